@@ -56,12 +56,27 @@ def build_mart(spec: MartSpec, tables: Mapping[str, DataFrame],
     (values are inlined as SQL literals).
     """
     values = {**spec.params, **(params or {})}
-    out = tables[spec.fact].alias(spec.fact_alias)
+    fa = spec.fact_alias
+    children: dict[str, list[Dim]] = {}
     for d in spec.dims:
         check_join_type(d.how)
-        dim = tables[d.table].alias(d.alias)
-        out = join_dimension(out, dim, (f"{spec.fact_alias}.{d.fact_key}", f"{d.alias}.{d.dim_key}"),
-                             d.how, **bounds)
+        parent = d.fact_key.split(".", 1)[0] if "." in d.fact_key else fa
+        children.setdefault(parent, []).append(d)
+
+    def key_of(d: Dim) -> str:
+        return d.fact_key if "." in d.fact_key else f"{fa}.{d.fact_key}"
+
+    def branch(d: Dim) -> DataFrame:
+        # A snowflake dimension (joined on another dimension's column) is
+        # joined to its parent first, so the fact meets each branch once.
+        df = tables[d.table].alias(d.alias)
+        for c in children.get(d.alias, []):
+            df = join_dimension(df, branch(c), (key_of(c), f"{c.alias}.{c.dim_key}"), c.how, **bounds)
+        return df
+
+    out = tables[spec.fact].alias(fa)
+    for d in children.get(fa, []):
+        out = join_dimension(out, branch(d), (key_of(d), f"{d.alias}.{d.dim_key}"), d.how, **bounds)
     for w in spec.where:
         out = out.where(F.expr(_fill(w, values)))
     cols = [F.expr(_fill(e, values)).alias(n) for n, e in spec.select]

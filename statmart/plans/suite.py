@@ -11,8 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from statmart.functions.columns import (SHEET_NA_TOKENS, cast_columns, null_tokens_all,
+                                        round_to_int64, to_int64, trim_all)
+from statmart.operators.star import flatten
 from statmart.plans.marts import Dim, MartSpec, build_mart
+from statmart.plans.sql import run_sql
 from statmart.sinks.tables import RangeBuckets
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -71,3 +76,246 @@ WHERE p.p_type != 'PROMO' AND s.s_suppkey != 0
 @register("mart_left_star", _LEFT_STAR_SQL)
 def mart_left_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_mart(LEFT_STAR, load(spark, sf_dir, "lineitem", "part", "supplier"))
+
+
+_LEFT_STAR_TEMPLATE = """
+SELECT CAST(substr(CAST(fct.l_shipdate AS STRING), 1, 4) AS BIGINT) AS jaar,
+       fct.l_orderkey AS l_orderkey, fct.l_linenumber AS l_linenumber,
+       p.p_name AS part_name, p.p_type AS part_type, s.s_name AS supplier_name,
+       CAST(round(fct.l_quantity) AS BIGINT) AS quantity
+FROM IDENTIFIER(:fact) AS fct
+LEFT JOIN IDENTIFIER(:part) AS p ON p.p_partkey = fct.l_partkey
+LEFT JOIN IDENTIFIER(:supplier) AS s ON s.s_suppkey = fct.l_suppkey
+WHERE p.p_type != :excluded_type AND s.s_suppkey != :excluded_supplier
+"""
+
+
+@register("mart_left_star_sql", _LEFT_STAR_SQL)
+def mart_left_star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load(spark, sf_dir, "lineitem", "part", "supplier")
+    return run_sql(spark, _LEFT_STAR_TEMPLATE,
+                   {"fact": t["lineitem"], "part": t["part"], "supplier": t["supplier"]},
+                   {"excluded_type": "PROMO", "excluded_supplier": 0})
+
+
+INNER_STAR = MartSpec(
+    name="lineitem_order_region",
+    fact="lineitem",
+    dims=[Dim("o", "orders", "l_orderkey", "o_orderkey"),
+          Dim("c", "customer", "o.o_custkey", "c_custkey"),
+          Dim("n", "nation", "c.c_nationkey", "n_nationkey"),
+          Dim("r", "region", "n.n_regionkey", "r_regionkey")],
+    select=[("jaar", "cast(year(o.o_orderdate) as bigint)"),
+            ("region_name", "r.r_name"),
+            ("nation_name", "n.n_name"),
+            ("segment", "c.c_mktsegment"),
+            ("priority", "o.o_orderpriority"),
+            ("l_orderkey", "fct.l_orderkey"),
+            ("l_linenumber", "fct.l_linenumber"),
+            ("extended_price", "fct.l_extendedprice")],
+    where=["o.o_orderpriority NOT IN ({subtotals})"],
+    params={"subtotals": ["1-URGENT", "2-HIGH"]},
+)
+
+
+@register("mart_inner_star", """
+SELECT CAST(year(o.o_orderdate) AS BIGINT) AS jaar, r.r_name AS region_name,
+       n.n_name AS nation_name, c.c_mktsegment AS segment, o.o_orderpriority AS priority,
+       fct.l_orderkey AS l_orderkey, fct.l_linenumber AS l_linenumber,
+       fct.l_extendedprice AS extended_price
+FROM lineitem AS fct
+JOIN orders AS o ON o.o_orderkey = fct.l_orderkey
+JOIN customer AS c ON c.c_custkey = o.o_custkey
+JOIN nation AS n ON n.n_nationkey = c.c_nationkey
+JOIN region AS r ON r.r_regionkey = n.n_regionkey
+WHERE o.o_orderpriority NOT IN ('1-URGENT', '2-HIGH')
+""")
+def mart_inner_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_mart(INNER_STAR, load(spark, sf_dir, "lineitem", "orders", "customer",
+                                       "nation", "region"))
+
+
+WIDE_CONSTANT = MartSpec(
+    name="orders_customer_wide",
+    fact="orders",
+    dims=[Dim("c", "customer", "o_custkey", "c_custkey")],
+    select=[("jaar", "2018"),
+            ("segment", "c.c_mktsegment"),
+            ("customer_name", "regexp_replace(concat(' ', c.c_name, '  '), '(?U)^\\\\s+|\\\\s+$', '')"),
+            ("order_key", "fct.o_orderkey"),
+            ("order_status", "fct.o_orderstatus"),
+            ("total_price", "fct.o_totalprice"),
+            ("acctbal", "c.c_acctbal")],
+    order_by=["segment", "order_key"],
+)
+
+
+@register("mart_wide_constant", """
+SELECT 2018 AS jaar, c.c_mktsegment AS segment,
+       TRIM(concat(' ', c.c_name, '  ')) AS customer_name, fct.o_orderkey AS order_key,
+       fct.o_orderstatus AS order_status, fct.o_totalprice AS total_price,
+       c.c_acctbal AS acctbal
+FROM orders AS fct JOIN customer AS c ON c.c_custkey = fct.o_custkey
+ORDER BY segment, order_key
+""")
+def mart_wide_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_mart(WIDE_CONSTANT, load(spark, sf_dir, "orders", "customer"))
+
+
+TYPE_PREFIX = MartSpec(
+    name="orders_priority_text",
+    fact="orders",
+    dims=[Dim("c", "customer", "o_custkey", "c_custkey")],
+    select=[("jaar", "cast(year(fct.o_orderdate) as bigint)"),
+            ("customer_code", "c.c_custkey"),
+            ("customer_number", "substr(c.c_name, 10)"),
+            ("priority_code", "fct.o_orderpriority"),
+            ("priority_text", "substr(fct.o_orderpriority, 3)"),
+            ("total_price", "fct.o_totalprice")],
+    where=["fct.o_orderpriority LIKE '4-%'", "c.c_name LIKE 'Custom%'",
+           "fct.o_orderstatus != 'P'"],
+)
+
+
+@register("mart_type_prefix", """
+SELECT CAST(year(fct.o_orderdate) AS BIGINT) AS jaar, c.c_custkey AS customer_code,
+       substr(c.c_name, 10) AS customer_number, fct.o_orderpriority AS priority_code,
+       substr(fct.o_orderpriority, 3) AS priority_text, fct.o_totalprice AS total_price
+FROM orders AS fct JOIN customer AS c ON c.c_custkey = fct.o_custkey
+WHERE fct.o_orderpriority LIKE '4-%' AND c.c_name LIKE 'Custom%' AND fct.o_orderstatus != 'P'
+""")
+def mart_type_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_mart(TYPE_PREFIX, load(spark, sf_dir, "orders", "customer"))
+
+
+@register("dim_extract", """
+SELECT TRIM(lpad(CAST(c_custkey AS VARCHAR), 12, ' ')) AS customer_code,
+       TRIM(concat(c_name, '   ')) AS customer_name
+FROM customer
+WHERE starts_with(c_mktsegment, 'MACHINE_') OR starts_with(c_mktsegment, 'AUTO')
+ORDER BY customer_code
+""")
+def dim_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # '_' is literal here: startswith is not a LIKE pattern.
+    c = load(spark, sf_dir, "customer")["customer"]
+    return (c.where(F.col("c_mktsegment").startswith("MACHINE_") |
+                    F.col("c_mktsegment").startswith("AUTO"))
+             .select(trim_all(F.lpad(F.col("c_custkey").cast("string"), 12, " ")).alias("customer_code"),
+                     trim_all(F.concat("c_name", F.lit("   "))).alias("customer_name"))
+             .orderBy("customer_code"))
+
+
+# --- metadata-driven flatten ------------------------------------------------------
+
+# Column metadata of the lineitem fact, as a statistical dataset describes itself.
+LINEITEM_PROPERTIES = [
+    ("l_partkey", "Part", "Dimension"),
+    ("l_suppkey", "Supplier", "Dimension"),
+    ("l_shipdate", "Ship date", "TimeDimension"),
+    ("l_quantity", "Quantity", "Topic"),
+    ("l_extendedprice", "Extended price (EUR)", "Topic"),
+    ("l_discount", "Discount %", "Topic"),
+    ("l_tax", "Tax, rate", "Topic"),
+]
+
+
+def _lineitem_flatten(spark: SparkSession, sf_dir: str, how: str, removed_keys: bool) -> DataFrame:
+    t = load(spark, sf_dir, "lineitem", "part", "supplier")
+    props = spark.createDataFrame(LINEITEM_PROPERTIES, "Key string, Title string, Type string")
+    part = t["part"]
+    supplier = t["supplier"]
+    fact = t["lineitem"]
+    if removed_keys:
+        part = part.where(F.col("p_type") != "PROMO")
+        supplier = supplier.where(F.col("s_acctbal") >= 0)
+        fact = fact.where(F.col("l_returnflag") == "R")
+    # Statistical datasets carry dimension codes as text, in the fact and in
+    # the dimension tables alike.
+    fact = fact.withColumns({"l_partkey": F.col("l_partkey").cast("string"),
+                             "l_suppkey": F.col("l_suppkey").cast("string")})
+    dims = {"l_partkey": part.select(F.col("p_partkey").cast("string").alias("Key"),
+                                     F.col("p_name").alias("Title")),
+            "l_suppkey": supplier.select(F.col("s_suppkey").cast("string").alias("Key"),
+                                         F.col("s_name").alias("Title"))}
+    return flatten(fact, dims, props, how=how)
+
+
+def _flatten_sql(how: str, removed_keys: bool) -> str:
+    pw = "WHERE p_type != 'PROMO'" if removed_keys else ""
+    sw = "WHERE s_acctbal >= 0" if removed_keys else ""
+    fw = "WHERE l_returnflag = 'R'" if removed_keys else ""
+    part = f"(SELECT CAST(p_partkey AS VARCHAR) AS Key, p_name AS Title FROM part {pw})"
+    supp = f"(SELECT CAST(s_suppkey AS VARCHAR) AS Key, s_name AS Title FROM supplier {sw})"
+    fact = (f"(SELECT CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey,"
+            f" l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem {fw})")
+    return f"""
+SELECT l_partkey.Key AS part_code, l_partkey.Title AS part,
+       l_suppkey.Key AS supplier_code, l_suppkey.Title AS supplier,
+       fct.l_quantity AS quantity, fct.l_extendedprice AS extended_price_eur,
+       fct.l_discount AS discount_per, fct.l_tax AS tax_rate
+FROM {fact} AS fct
+{how} JOIN {part} AS l_partkey ON l_partkey.Key = fct.l_partkey
+{how} JOIN {supp} AS l_suppkey ON l_suppkey.Key = fct.l_suppkey
+"""
+
+
+@register("flatten_meta_inner", _flatten_sql("INNER", False))
+def flatten_meta_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lineitem_flatten(spark, sf_dir, "INNER", False)
+
+
+@register("flatten_meta_left", _flatten_sql("LEFT", True))
+def flatten_meta_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lineitem_flatten(spark, sf_dir, "LEFT", True)
+
+
+@register("flatten_meta_right", _flatten_sql("RIGHT", True))
+def flatten_meta_right(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lineitem_flatten(spark, sf_dir, "RIGHT", True)
+
+
+@register("flatten_meta_full", _flatten_sql("FULL", True))
+def flatten_meta_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lineitem_flatten(spark, sf_dir, "FULL", True)
+
+
+# --- casts and missing values ---------------------------------------------------
+
+@register("int_round_half_away", """
+SELECT l_orderkey, l_linenumber,
+       CAST(round(l_extendedprice) AS BIGINT) AS price_int,
+       CAST(round(-l_extendedprice) AS BIGINT) AS neg_price_int,
+       CAST(round(l_quantity * 0.5) AS BIGINT) AS half_qty_int,
+       CAST(round(-l_quantity * 0.5) AS BIGINT) AS neg_half_qty_int,
+       CAST(CAST(l_linenumber AS VARCHAR) AS BIGINT) AS line_from_text
+FROM lineitem
+""")
+def int_round_half_away(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")["lineitem"]
+    return li.select("l_orderkey", "l_linenumber",
+                     round_to_int64("l_extendedprice").alias("price_int"),
+                     round_to_int64(-F.col("l_extendedprice")).alias("neg_price_int"),
+                     round_to_int64(F.col("l_quantity") * 0.5).alias("half_qty_int"),
+                     round_to_int64(-F.col("l_quantity") * 0.5).alias("neg_half_qty_int"),
+                     to_int64(F.col("l_linenumber").cast("string")).alias("line_from_text"))
+
+
+@register("na_tokens", """
+SELECT l_orderkey, l_linenumber,
+       CAST(CASE WHEN raw IN ('.', '        .', '        .       ') THEN NULL ELSE raw END AS DOUBLE)
+         AS quantity
+FROM (SELECT l_orderkey, l_linenumber,
+             CASE WHEN l_linenumber = 3 THEN '.'
+                  WHEN l_linenumber = 5 THEN '        .'
+                  WHEN l_linenumber = 7 THEN '        .       '
+                  ELSE CAST(l_quantity AS VARCHAR) END AS raw
+      FROM lineitem)
+""")
+def na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")["lineitem"]
+    raw = (F.when(F.col("l_linenumber") == 3, F.lit(SHEET_NA_TOKENS[0]))
+            .when(F.col("l_linenumber") == 5, F.lit(SHEET_NA_TOKENS[1]))
+            .when(F.col("l_linenumber") == 7, F.lit(SHEET_NA_TOKENS[2]))
+            .otherwise(F.col("l_quantity").cast("string")))
+    staged = li.select("l_orderkey", "l_linenumber", raw.alias("quantity"))
+    return cast_columns(null_tokens_all(staged), {"quantity": "double"})
