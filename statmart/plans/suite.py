@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from statmart.functions.columns import (SHEET_NA_TOKENS, cast_columns, null_tokens_all,
                                         round_to_int64, to_int64, trim_all)
+from statmart.operators.catalog import (batches, distinct_sources, expect_one, ids_by_source,
+                                        needs_refresh, source_filter)
+from statmart.operators.nesting import map_items, nest, unnest
+from statmart.operators.runlog import count_failed, failed_runs, first_last_by
 from statmart.operators.star import flatten
 from statmart.plans.marts import Dim, MartSpec, build_mart
 from statmart.plans.sql import run_sql
@@ -319,3 +323,237 @@ def na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.col("l_quantity").cast("string")))
     staged = li.select("l_orderkey", "l_linenumber", raw.alias("quantity"))
     return cast_columns(null_tokens_all(staged), {"quantity": "double"})
+
+
+# --- catalog ------------------------------------------------------------------------
+
+def _part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as a dataset catalog: id → brand (case varies), and a second,
+    conflicting catalog entry for the smallest parts (a repeated id)."""
+    p = load(spark, sf_dir, "part")["part"]
+    brand = F.when(F.col("p_size") > 25, F.upper("p_brand")).otherwise(F.col("p_brand"))
+    main = p.select(F.col("p_partkey").alias("Identifier"), brand.alias("Catalog"))
+    extra = p.where(F.col("p_size") == 1).select(F.col("p_partkey").alias("Identifier"),
+                                                 F.col("p_type").alias("Catalog"))
+    return main.unionByName(extra)
+
+
+_PART_CATALOG_SQL = """
+cat AS (
+  SELECT p_partkey AS Identifier,
+         CASE WHEN p_size > 25 THEN upper(p_brand) ELSE p_brand END AS Catalog FROM part
+  UNION ALL
+  SELECT p_partkey AS Identifier, p_type AS Catalog FROM part WHERE p_size = 1)
+"""
+
+
+@register("catalog_group", f"""
+WITH {_PART_CATALOG_SQL},
+latest AS (SELECT Identifier, max(Catalog) AS Catalog FROM cat GROUP BY Identifier),
+keyed AS (SELECT lower(Catalog) AS source, Identifier,
+                 row_number() OVER (PARTITION BY lower(Catalog) ORDER BY Identifier) - 1 AS seq
+          FROM latest)
+SELECT source, CAST(floor(seq / 1000) AS BIGINT) AS part, count(*) AS n_ids,
+       string_agg(CAST(Identifier AS VARCHAR), ',' ORDER BY Identifier) AS ids
+FROM keyed GROUP BY source, CAST(floor(seq / 1000) AS BIGINT)
+""")
+def catalog_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = ids_by_source(_part_catalog(spark, sf_dir))
+    return g.select("source", "part", "n_ids", F.array_join("ids", ",").alias("ids"))
+
+
+@register("catalog_distinct", f"""
+WITH {_PART_CATALOG_SQL}
+SELECT DISTINCT Catalog AS source FROM cat
+""")
+def catalog_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_sources(_part_catalog(spark, sf_dir))
+
+
+@register("catalog_assert_one", """
+SELECT * FROM customer WHERE lower(c_name) = lower('CUSTOMER#000000042')
+""")
+def catalog_assert_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")["customer"]
+    return expect_one(c.where(source_filter("c_name", "CUSTOMER#000000042")), "customer")
+
+
+def _refresh_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    o = load(spark, sf_dir, "orders")["orders"]
+    modified = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    source = o.select(F.col("o_orderkey").alias("id"), modified.alias("modified"))
+    changed = (F.when(F.col("o_orderstatus") == "P", F.lit(None))
+                .when(F.col("o_orderpriority") == "3-MEDIUM", F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
+                .when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "F"),
+                      F.lit(None))
+                .otherwise(F.col("o_orderdate")))
+    loaded = o.where(F.col("o_orderpriority") != "5-LOW") \
+              .select(F.col("o_orderkey").alias("id"), changed.cast("timestamp_ntz").alias("modified"))
+    return source, loaded
+
+
+_REFRESH_SQL = """
+WITH src AS (
+  SELECT o_orderkey AS id, CASE WHEN o_orderstatus != 'P' THEN o_orderdate END AS modified
+  FROM orders),
+ld AS (
+  SELECT o_orderkey AS id,
+         CASE WHEN o_orderstatus = 'P' THEN NULL
+              WHEN o_orderpriority = '3-MEDIUM' THEN o_orderdate + INTERVAL 1 DAY
+              WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F' THEN NULL
+              ELSE o_orderdate END AS modified
+  FROM orders WHERE o_orderpriority != '5-LOW')
+"""
+
+
+@register("refresh_needed", _REFRESH_SQL + """
+SELECT s.id, s.modified,
+       CASE WHEN EXISTS (SELECT 1 FROM ld WHERE ld.id = s.id) THEN 'changed' ELSE 'new' END AS reason
+FROM src s
+WHERE NOT EXISTS (SELECT 1 FROM ld WHERE ld.id = s.id AND ld.modified IS NOT DISTINCT FROM s.modified)
+""")
+def refresh_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, loaded = _refresh_frames(spark, sf_dir)
+    return needs_refresh(source, loaded, "id", "modified")
+
+
+@register("refresh_forced", _REFRESH_SQL + """
+SELECT s.id, s.modified, 'forced' AS reason FROM src s
+""")
+def refresh_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, loaded = _refresh_frames(spark, sf_dir)
+    return needs_refresh(source, loaded, "id", "modified", force=True)
+
+
+@register("batches_of_ten", """
+SELECT p_type, p_partkey,
+       CAST(floor((row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) - 1) / 10) AS BIGINT)
+         AS batch
+FROM part
+""")
+def batches_of_ten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "part")["part"].select("p_type", "p_partkey")
+    return batches(p, "p_type", "p_partkey", size=10)
+
+
+# --- run log --------------------------------------------------------------------------
+
+def _runs_and_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Users as load runs: a run is named by its first event, fails when its
+    last event is an error; every event is a log record."""
+    e = load(spark, sf_dir, "events")["events"]
+    order = F.struct("ts", "event_id")
+    runs = e.groupBy("user_id").agg(
+        F.min_by("event_type", order).alias("first_type"),
+        F.max_by("event_type", order).alias("last_type"),
+        F.min("ts").alias("start_time"), F.max("ts").alias("end_time"))
+    runs = runs.select(
+        F.col("user_id").alias("run_id"),
+        F.concat(F.when(F.col("first_type").isin("purchase", "click"), F.lit("CBS_v3_"))
+                  .otherwise(F.lit("bag_")), F.col("user_id").cast("string")).alias("name"),
+        F.when(F.col("last_type") == "error", F.lit("Failed")).otherwise(F.lit("Success")).alias("state"),
+        "start_time", "end_time")
+    logs = e.select(F.col("user_id").alias("run_id"),
+                    F.when(F.col("event_type") == "error", F.lit("ERROR")).otherwise(F.lit("INFO")).alias("level"),
+                    F.col("ts").alias("timestamp"),
+                    F.concat(F.lit("event "), F.col("event_id").cast("string"), F.lit(" "),
+                             F.col("event_type")).alias("message"))
+    return runs, logs
+
+
+_RUNS_SQL = """
+WITH runs AS (
+  SELECT user_id AS run_id,
+         CASE WHEN first(event_type ORDER BY ts, event_id) IN ('purchase', 'click') THEN 'CBS_v3_'
+              ELSE 'bag_' END || CAST(user_id AS VARCHAR) AS name,
+         CASE WHEN last(event_type ORDER BY ts, event_id) = 'error' THEN 'Failed'
+              ELSE 'Success' END AS state,
+         min(ts) AS start_time, max(ts) AS end_time
+  FROM events GROUP BY user_id),
+logs AS (
+  SELECT user_id AS run_id, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
+         ts AS timestamp, 'event ' || CAST(event_id AS VARCHAR) || ' ' || event_type AS message
+  FROM events)
+"""
+
+
+@register("failed_runs", _RUNS_SQL + """,
+ranked AS (
+  SELECT run_id, timestamp, message,
+         row_number() OVER (PARTITION BY run_id ORDER BY timestamp, message) AS rf,
+         row_number() OVER (PARTITION BY run_id ORDER BY timestamp DESC, message DESC) AS rl,
+         count(*) OVER (PARTITION BY run_id) AS n
+  FROM logs WHERE level = 'ERROR')
+SELECT r.run_id, r.name, r.start_time, r.end_time, COALESCE(f.n, 0) AS n_errors,
+       f.timestamp AS first_error_time, f.message AS first_error,
+       l.timestamp AS last_error_time, l.message AS last_error
+FROM runs r
+LEFT JOIN ranked f ON f.run_id = r.run_id AND f.rf = 1
+LEFT JOIN ranked l ON l.run_id = r.run_id AND l.rl = 1
+WHERE r.state = 'Failed' AND r.name ILIKE 'cbs_v3%'
+ORDER BY r.start_time DESC
+""")
+def failed_runs_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs, logs = _runs_and_logs(spark, sf_dir)
+    return failed_runs(runs, logs, "cbs_v3%")
+
+
+@register("failed_run_count", _RUNS_SQL + """
+SELECT count(*) AS n_failed FROM runs WHERE state = 'Failed' AND name ILIKE 'cbs_v3%'
+""")
+def failed_run_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs, _ = _runs_and_logs(spark, sf_dir)
+    return count_failed(runs, "cbs_v3%")
+
+
+@register("failed_first_last", """
+WITH err AS (
+  SELECT user_id, ts, event_id, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rf,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rl,
+         count(*) OVER (PARTITION BY user_id) AS n
+  FROM events WHERE event_type = 'error')
+SELECT f.user_id, f.n AS n_errors, f.ts AS first_ts, f.value AS first_value,
+       l.ts AS last_ts, l.value AS last_value
+FROM err f JOIN err l ON l.user_id = f.user_id AND l.rl = 1
+WHERE f.rf = 1
+""")
+def failed_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load(spark, sf_dir, "events")["events"].where(F.col("event_type") == "error")
+    fl = first_last_by(e, ["user_id"], ["ts", "event_id"], ["ts", "value"])
+    return fl.select("user_id", "n_errors", F.col("first_ts"), F.col("first_value"),
+                     F.col("last_ts"), F.col("last_value"))
+
+
+# --- nested rows ------------------------------------------------------------------------
+
+@register("nest_unnest", """
+SELECT l_orderkey,
+       CAST(floor((row_number() OVER (PARTITION BY l_orderkey
+                                      ORDER BY l_linenumber, l_partkey, l_quantity) - 1) / 1000)
+            AS BIGINT) AS part,
+       l_linenumber, l_partkey, l_quantity
+FROM lineitem
+""")
+def nest_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")["lineitem"]
+    nested = nest(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_quantity"])
+    return unnest(nested, keep=["l_orderkey", "part"])
+
+
+@register("array_transform", """
+SELECT l_orderkey, part,
+       string_agg(CAST(CAST(round(l_quantity) AS BIGINT) AS VARCHAR), ','
+                  ORDER BY l_linenumber, l_partkey, l_quantity) AS quantities
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
+             CAST(floor((row_number() OVER (PARTITION BY l_orderkey
+                                            ORDER BY l_linenumber, l_partkey, l_quantity) - 1) / 1000)
+                  AS BIGINT) AS part
+      FROM lineitem)
+GROUP BY l_orderkey, part
+""")
+def array_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")["lineitem"]
+    nested = nest(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_quantity"])
+    mapped = map_items(nested, lambda x: F.round(x["l_quantity"]).cast("bigint").cast("string"))
+    return mapped.select("l_orderkey", "part", F.array_join("mapped", ",").alias("quantities"))
