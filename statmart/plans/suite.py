@@ -19,7 +19,14 @@ from statmart.operators.catalog import (batches, distinct_sources, expect_one, i
                                         needs_refresh, source_filter)
 from statmart.operators.nesting import map_items, nest, unnest
 from statmart.operators.runlog import count_failed, failed_runs, first_last_by
+from statmart.functions import paths
+from statmart.functions.names import clean_name_col
 from statmart.operators.star import flatten
+from statmart.session import scratch_path
+from statmart.sinks.datasets import replace_dataset
+from statmart.sinks.tables import read_range, replace_table, write_ndjson, write_range_partitioned
+from statmart.sources.dataset import flatten_dataset
+from statmart.sources.listing import list_prefix, with_path_parts
 from statmart.plans.marts import Dim, MartSpec, build_mart
 from statmart.plans.sql import run_sql
 from statmart.sinks.tables import RangeBuckets
@@ -557,3 +564,122 @@ def array_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = nest(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_quantity"])
     mapped = map_items(nested, lambda x: F.round(x["l_quantity"]).cast("bigint").cast("string"))
     return mapped.select("l_orderkey", "part", F.array_join("mapped", ",").alias("quantities"))
+
+
+# --- sinks and table management ----------------------------------------------------------
+
+ORDER_YEARS = RangeBuckets("jaar", 1996, 2000, 1)
+ORDER_YEARS_STEP3 = RangeBuckets("jaar", 1995, 2002, 3)
+
+
+def _orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")["orders"]
+    return o.select("o_orderkey", "o_custkey", "o_totalprice",
+                    F.year("o_orderdate").cast("bigint").alias("jaar"))
+
+
+@register("range_partition", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS BIGINT) AS jaar
+FROM orders WHERE year(o_orderdate) BETWEEN 1997 AND 1998
+""")
+def range_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "orders_by_year")
+    df = _orders_by_year(spark, sf_dir)
+    write_range_partitioned(df, path, ORDER_YEARS)          # create
+    write_range_partitioned(df, path, ORDER_YEARS)          # replace: same rows, once
+    # The bucket column is layout only; rows outside the range sit in the
+    # null bucket and are read back all the same.
+    return read_range(spark, path, ORDER_YEARS, lo=1997, hi=1998).drop(ORDER_YEARS.partition_column)
+
+
+@register("range_partition_step3", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS BIGINT) AS jaar
+FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2001
+""")
+def range_partition_step3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "orders_by_year3")
+    write_range_partitioned(_orders_by_year(spark, sf_dir), path, ORDER_YEARS_STEP3)
+    return read_range(spark, path, ORDER_YEARS_STEP3, lo=1996, hi=2001) \
+        .drop(ORDER_YEARS_STEP3.partition_column)
+
+
+@register("refresh_dataset", """
+SELECT 'orders_snapshot' AS table_name, count(*) AS n_rows FROM orders
+UNION ALL
+SELECT 'events_snapshot' AS table_name, count(*) AS n_rows FROM events
+""")
+def refresh_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = load(spark, sf_dir, "orders", "events")
+    root = scratch_path(spark, "dataset")
+    files = [f"{root}/files/orders_snapshot.parquet", f"{root}/files/events_snapshot.json",
+             f"{root}/files/missing_table.parquet"]
+    replace_table(t["orders"], files[0])
+    write_ndjson(t["events"], files[1])
+    name = root.rsplit("-", 1)[-1]
+    for _ in range(2):   # create, then a full refresh of the same dataset
+        tables = replace_dataset(spark, "test", f"snapshot_{name}", files,
+                                 description="orders and events snapshot",
+                                 location=f"{root}/db")
+    counts = [spark.table(tb).agg(F.count(F.lit(1)).alias("n_rows"))
+                   .select(F.lit(tb.split(".")[-1]).alias("table_name"), "n_rows")
+              for tb in tables]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def _write_lineitem_dataset(spark: SparkSession, sf_dir: str, root: str) -> None:
+    t = load(spark, sf_dir, "lineitem", "part", "supplier")
+    fact = t["lineitem"].select(
+        F.concat(F.year("l_shipdate").cast("string"), F.lit("JJ00")).alias("Perioden"),
+        F.col("l_partkey").cast("string").alias("Part"),
+        F.col("l_suppkey").cast("string").alias("Supplier"),
+        F.col("l_quantity").alias("Quantity_1"),
+        F.col("l_extendedprice").alias("ExtendedPrice_2"))
+    replace_table(fact, f"{root}/LI01_TypedDataSet.parquet")
+    replace_table(t["part"].select(F.col("p_partkey").cast("string").alias("Key"),
+                                   F.col("p_name").alias("Title")), f"{root}/LI01_Part.parquet")
+    replace_table(t["supplier"].select(F.col("s_suppkey").cast("string").alias("Key"),
+                                       F.col("s_name").alias("Title")),
+                  f"{root}/LI01_Supplier.parquet")
+    props = spark.createDataFrame(
+        [("Perioden", "Perioden", "TimeDimension"), ("Part", "Part", "Dimension"),
+         ("Supplier", "Supplier", "Dimension"), ("Quantity_1", "Quantity", "Topic"),
+         ("ExtendedPrice_2", "Extended price", "Topic")], "Key string, Title string, Type string")
+    replace_table(props, f"{root}/LI01_DataProperties.parquet")
+
+
+@register("dataset_group", """
+SELECT p.Key AS part_code, p.Title AS part, s.Key AS supplier_code, s.Title AS supplier,
+       fct.l_quantity AS quantity, fct.l_extendedprice AS extended_price
+FROM lineitem AS fct
+JOIN (SELECT CAST(p_partkey AS VARCHAR) AS Key, p_name AS Title FROM part) AS p
+  ON p.Key = CAST(fct.l_partkey AS VARCHAR)
+JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS Key, s_name AS Title FROM supplier) AS s
+  ON s.Key = CAST(fct.l_suppkey AS VARCHAR)
+""")
+def dataset_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "cbs")
+    _write_lineitem_dataset(spark, sf_dir, root)
+    return flatten_dataset(spark, root, "LI01")
+
+
+@register("file_listing", """
+SELECT 'grp=' || l_returnflag || '_' || l_linestatus || '_v1' AS folder,
+       '.parquet' AS suffix, 'snappy' AS table_id, count(*) AS n_rows
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+""")
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem")["lineitem"]
+    root = scratch_path(spark, "tree")
+    grp = F.concat("l_returnflag", F.lit("-"), "l_linestatus", F.lit(".v1"))
+    li.select("l_orderkey", "l_linenumber", grp.alias("grp")) \
+      .write.mode("overwrite").partitionBy("grp").parquet(root)
+    files = with_path_parts(list_prefix(spark, root, "grp="))
+    rows = (spark.read.parquet(root).select(F.col("_metadata.file_path").alias("path"))
+                 .groupBy("path").agg(F.count(F.lit(1)).alias("n")))
+    joined = files.join(rows, "path", "left")
+    folder = clean_name_col(paths.last_segment(F.col("parent")))
+    return (joined.groupBy(folder.alias("folder"), "suffix", "table_id")
+                  .agg(F.sum("n").alias("n_rows")))

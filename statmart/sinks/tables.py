@@ -89,7 +89,8 @@ def read_range(spark: SparkSession, path: str, spec: RangeBuckets,
         df = df.where(part.isNull() | (part >= b_lo))
     elif b_hi is not None:
         df = df.where(part.isNull() | (part <= b_hi))
-    return df
+    # Partition discovery infers a narrow integer type from folder names.
+    return df.withColumn(spec.partition_column, part.cast("bigint"))
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
