@@ -90,7 +90,7 @@ def pad_code(c: Column | str, width: int = 8, fill: str = "0") -> Column:
 
 
 def parse_date(c: Column | str, fmt: str = "ddMMyyyy", pad_to: int | None = 8) -> Column:
-    """Parse a compact date; impossible or blank values become null.
+    """Parse a compact date to a timestamp; impossible or blank values become null.
 
     With ``pad_to`` the text is first left-padded with zeros, restoring a
     leading zero lost by a numeric round trip (``1012020`` → ``01012020``).
@@ -98,7 +98,7 @@ def parse_date(c: Column | str, fmt: str = "ddMMyyyy", pad_to: int | None = 8) -
     col = F.nullif(trim_all(_c(c)), F.lit(""))
     if pad_to:
         col = pad_code(col, pad_to, "0")
-    return F.try_to_timestamp(col, F.lit(fmt)).cast("date")
+    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
 
 
 def year_in_name(c: Column | str) -> Column:

@@ -13,8 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statmart.functions.columns import (SHEET_NA_TOKENS, cast_columns, null_tokens_all,
-                                        round_to_int64, to_int64, trim_all)
+from statmart.functions.columns import (SHEET_NA_TOKENS, cast_columns, get_key, null_tokens_all,
+                                        parse_decimal_comma, record_json, round_to_int64, to_int64,
+                                        trim_all)
 from statmart.operators.catalog import (batches, distinct_sources, expect_one, ids_by_source,
                                         needs_refresh, source_filter)
 from statmart.operators.nesting import map_items, nest, unnest
@@ -25,7 +26,18 @@ from statmart.operators.star import flatten
 from statmart.session import scratch_path
 from statmart.sinks.datasets import replace_dataset
 from statmart.sinks.tables import read_range, replace_table, write_ndjson, write_range_partitioned
+from statmart.plans.staging import (envelope_pages, stage_sheet_exports, stage_xml, stage_yearly_files,
+                                    stage_zips)
+from statmart.sinks.tables import load_ndjson_files
+from statmart.sources.archives import convert_members, expand_archives
 from statmart.sources.dataset import flatten_dataset
+from statmart.sources.delimited import read_delimited, read_yearly
+from statmart.sources.files import input_files
+from statmart.sources.fixed_width import (Layout, read_fixed_width, read_fixed_width_inferred,
+                                          write_fixed_width)
+from statmart.sources.json_records import portal_datasets, read_envelope, resource_urls
+from statmart.sources.sheet import read_sheet_export
+from statmart.sources.xml_records import read_xml_records
 from statmart.sources.listing import list_prefix, with_path_parts
 from statmart.plans.marts import Dim, MartSpec, build_mart
 from statmart.plans.sql import run_sql
@@ -683,3 +695,204 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = clean_name_col(paths.last_segment(F.col("parent")))
     return (joined.groupBy(folder.alias("folder"), "suffix", "table_id")
                   .agg(F.sum("n").alias("n_rows")))
+
+
+# --- scans: files staged from the tables, read back by the loaders ----------------------
+
+_CUSTOMER_TYPES = {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"}
+
+
+@register("roundtrip_csv_latin1", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, replace(c_mktsegment, 'E', 'É') AS c_mktsegment
+FROM customer
+""")
+def roundtrip_csv_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")["customer"]
+    root = scratch_path(spark, "latin1")
+    (c.withColumn("c_mktsegment", F.regexp_replace("c_mktsegment", "E", "É"))
+      .write.option("sep", ";").option("encoding", "ISO-8859-1").option("header", True)
+      .csv(f"{root}/customer_csv"))
+    text = read_delimited(spark, f"{root}/customer_csv", sep=";", encoding="8859")
+    replace_table(cast_columns(text, _CUSTOMER_TYPES), f"{root}/customer.parquet")
+    return spark.read.parquet(f"{root}/customer.parquet")
+
+
+@register("roundtrip_ndjson", "SELECT * FROM events")
+def roundtrip_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load(spark, sf_dir, "events")["events"]
+    root = scratch_path(spark, "ndjson")
+    write_ndjson(e.where(F.col("event_type") == "error"), f"{root}/errors")
+    write_ndjson(e.where(F.col("event_type") != "error"), f"{root}/other")
+    files = input_files(spark, [f"{root}/errors", f"{root}/other"])
+    schema = e.schema
+    return load_ndjson_files(spark, files, f"{root}/events_table", schema=schema)
+
+
+# Fixed-width layout of the staged order register.
+ORDER_REGISTER = Layout(["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"],
+                        [10, 10, 8, 15, 1], date_cols=["o_orderdate"])
+
+
+@register("roundtrip_fwf", """
+SELECT o_orderkey, o_custkey,
+       CASE WHEN o_orderstatus = 'P' OR (o_orderpriority = '5-LOW' AND o_orderstatus = 'O')
+            THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS o_orderdate,
+       o_orderpriority, o_orderstatus
+FROM orders
+""")
+def roundtrip_fwf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")["orders"]
+    root = scratch_path(spark, "fwf")
+    # Dates as a number would store them: leading zero lost; plus impossible dates.
+    date_text = (F.when(F.col("o_orderstatus") == "P", F.lit("00000000"))
+                  .when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "O"),
+                        F.lit("31022020"))
+                  .otherwise(F.regexp_replace(F.date_format("o_orderdate", "ddMMyyyy"), "^0+", "")))
+    staged = o.select("o_orderkey", "o_custkey", date_text.alias("o_orderdate"),
+                      "o_orderpriority", "o_orderstatus")
+    write_fixed_width(staged, root, ORDER_REGISTER, header=False,
+                      right_align=["o_orderkey", "o_custkey", "o_orderdate"])
+    df = read_fixed_width(spark, root, ORDER_REGISTER)
+    return cast_columns(df, {"o_orderkey": "bigint", "o_custkey": "bigint"})
+
+
+@register("fwf_infer", """
+SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%d%m%Y') AS o_orderdate,
+       o_orderpriority, o_orderstatus
+FROM orders
+""")
+def fwf_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")["orders"]
+    root = scratch_path(spark, "fwf_header")
+    layout = Layout(["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"],
+                    [12, 11, 13, 17, 14])
+    staged = o.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "ddMMyyyy").alias("o_orderdate"),
+                      "o_orderpriority", "o_orderstatus")
+    write_fixed_width(staged, root, layout, header=True)
+    df = read_fixed_width_inferred(spark, root, header=True)
+    return cast_columns(df, {"o_orderkey": "bigint", "o_custkey": "bigint"})
+
+
+# Filler lines under the header of a statistical sheet export.
+SHEET_FILLER = ["eenheid;;aantal;euro;", ""]
+
+
+@register("sheet_skiprows", """
+SELECT c_custkey, c_name,
+       CASE WHEN c_nationkey IN (3, 7) THEN NULL ELSE c_acctbal END AS c_acctbal,
+       c_mktsegment,
+       CAST(c_nationkey AS DOUBLE) AS c_nationkey
+FROM customer
+""")
+def sheet_skiprows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")["customer"]
+    root = scratch_path(spark, "sheets")
+    na = (F.when(F.col("c_nationkey") == 3, F.lit(SHEET_NA_TOKENS[0]))
+           .when(F.col("c_nationkey") == 7, F.lit(SHEET_NA_TOKENS[1]))
+           .otherwise(F.col("c_acctbal").cast("string")))
+    # A column that mixes plain numbers with decimal-comma text ("5,0").
+    mixed = F.when(F.col("c_nationkey") % 2 == 1, F.concat(F.col("c_nationkey").cast("string"), F.lit(",0"))) \
+             .otherwise(F.col("c_nationkey").cast("string"))
+    staged = c.select("c_custkey", "c_name", na.alias("c_acctbal"), "c_mktsegment",
+                      mixed.alias("c_nationkey"))
+    files = stage_sheet_exports(staged, root, SHEET_FILLER, sep=";")
+    df = read_sheet_export(spark, files, sep=";", skip_rows=[1, 2],
+                           types={"c_custkey": "bigint", "c_acctbal": "double"})
+    return df.withColumn("c_nationkey", parse_decimal_comma("c_nationkey"))
+
+
+@register("yearly_files", """
+SELECT o_orderkey, o_custkey, o_totalprice,
+       CASE WHEN year(o_orderdate) = 1998 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+       CAST(year(o_orderdate) AS INTEGER) AS jaar
+FROM orders
+""")
+def yearly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")["orders"]
+    root = scratch_path(spark, "yearly")
+    staged = o.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
+                      F.year("o_orderdate").alias("year"))
+    stage_yearly_files(staged, root, "year", {1998: ["o_orderpriority"]})
+    df = read_yearly(spark, root, sep=";")
+    df = cast_columns(df, {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"})
+    return df.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "jaar")
+
+
+@register("xml_records", """
+SELECT c_custkey AS id, c_name AS naam, c_acctbal AS saldo, c_nationkey AS land,
+       c_mktsegment AS segment,
+       to_json({'@id': c_custkey, 'adres': {'land': c_nationkey, 'segment': c_mktsegment},
+                'naam': c_name, 'saldo': c_acctbal}) AS json
+FROM customer
+""")
+def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")["customer"]
+    root = scratch_path(spark, "xml")
+    staged = c.select("c_custkey", F.col("c_name").alias("naam"), F.col("c_acctbal").alias("saldo"),
+                      F.col("c_nationkey").alias("land"), F.col("c_mktsegment").alias("segment"),
+                      (F.col("c_nationkey") == 0).alias("own_ns"))
+    stage_xml(staged, root, "Nummeraanduiding", "c_custkey", ["naam", "saldo"], "adres",
+              ["land", "segment"], "own_ns")
+    rec = read_xml_records(spark, root, "Nummeraanduiding")
+    return rec.select(F.col("`@id`").alias("id"), "naam", "saldo",
+                      F.col("adres.land").cast("int").alias("land"), F.col("adres.segment").alias("segment"),
+                      record_json(F.col("`@id`"), "adres", "naam", "saldo").alias("json"))
+
+
+_CUSTOMER_ELEMENT = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+@register("json_envelope", "SELECT * FROM customer")
+def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")["customer"]
+    root = scratch_path(spark, "envelope")
+    envelope_pages(c, F.floor(F.col("c_custkey") / 100)).write.text(root)
+    from pyspark.sql.types import _parse_datatype_string
+    rows = read_envelope(spark, root, "value", _parse_datatype_string(_CUSTOMER_ELEMENT))
+    return rows.select(*[get_key(F.struct("*"), n).alias(n) for n in c.columns])
+
+
+@register("portal_resources", """
+SELECT 'ds-' || CAST(page_id AS VARCHAR) AS name, url FROM pages
+WHERE url LIKE 'https%' AND url LIKE '%.zip%'
+UNION ALL
+SELECT 'ds-' || CAST(page_id AS VARCHAR) AS name, regexp_replace(url, '[?#].*$', '') || '.zip' AS url
+FROM pages WHERE url LIKE 'https%'
+""")
+def portal_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load(spark, sf_dir, "pages")["pages"]
+    root = scratch_path(spark, "portal")
+    ds = p.select(F.concat(F.lit("ds-"), F.col("page_id").cast("string")).alias("name"),
+                  F.when(F.col("url").startswith("https"), F.lit("dataset"))
+                   .otherwise(F.lit("harvest")).alias("type"),
+                  F.array(F.struct(F.col("url").alias("url")),
+                          F.struct(F.concat(F.regexp_replace("url", "[?#].*$", ""), F.lit(".zip"))
+                                   .alias("url"))).alias("resources"),
+                  F.floor(F.col("page_id") / 50).alias("__page"))
+    responses = (ds.groupBy("__page")
+                   .agg(F.collect_list(F.struct("name", "type", "resources")).alias("results"))
+                   .select(F.to_json(F.struct(F.lit(True).alias("success"),
+                                              F.struct("results").alias("result"))).alias("value")))
+    responses.write.text(root)
+    found = portal_datasets(spark.read.json(root), strict=True)
+    return resource_urls(found, ".zip")
+
+
+@register("zip_expand", """
+SELECT 'csv' AS kind, c_custkey, c_name, c_mktsegment FROM customer
+UNION ALL
+SELECT 'txt' AS kind, c_custkey, c_name, c_mktsegment FROM customer
+""")
+def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")["customer"]
+    root = scratch_path(spark, "zips")
+    layout = Layout(["c_custkey", "c_name", "c_mktsegment"], [12, 22, 14])
+    stage_zips(c.select(*layout.names), f"{root}/in", layout)
+    members = expand_archives(spark, f"{root}/in", f"{root}/out")
+    data = members.where(~F.col("member").endswith(".md"))
+    out = convert_members(spark, data, f"{root}/converted")
+    csv_rows = spark.read.parquet(out["csv"]).select(F.lit("csv").alias("kind"), "c_custkey", "c_name",
+                                                     "c_mktsegment")
+    txt_rows = spark.read.json(out["txt"]).select(F.lit("txt").alias("kind"), "c_custkey", "c_name",
+                                                  "c_mktsegment")
+    return cast_columns(csv_rows.unionByName(txt_rows), {"c_custkey": "bigint"})
