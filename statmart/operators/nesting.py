@@ -2,10 +2,10 @@
 parent, and unfold them again.
 
 A parent's children are cut into consecutive parts of at most ``max_items``
-(exact positions from :func:`statmart.operators.sequence.sequence_within`), so a
-parent with a very large share of the rows becomes many bounded rows spread
-over many tasks instead of one giant array in one task. Unfolding ignores the
-parts: the rows come back whole.
+(exact positions from :func:`statmart.operators.sequence.sequence_within` for
+the few parents above the bound), so a parent with a very large share of the
+rows becomes many bounded rows spread over many tasks instead of one giant
+array in one task. Unfolding ignores the parts: the rows come back whole.
 """
 
 from __future__ import annotations
@@ -18,17 +18,36 @@ from pyspark.sql import functions as F
 from statmart.operators.sequence import batch_number
 
 MAX_ITEMS = 1000
+# Up to this many oversized parents are broadcast for the split (their keys only).
+BIG_PARENTS_BROADCAST = 1_000_000
 
 
 def nest(df: DataFrame, parent_cols: Sequence[str], child_cols: Sequence[str],
          order_cols: Sequence[str] | None = None, name: str = "items",
          max_items: int = MAX_ITEMS) -> DataFrame:
     """``(parent..., part, n_items, items)`` with ``items`` sorted by ``order_cols``
-    (default: the child columns in order). ``n_items`` counts the part's items."""
+    (default: the child columns in order). ``n_items`` counts the part's items.
+
+    Parents with at most ``max_items`` children (nearly all) are folded with one
+    shuffle, as part 0. Only parents above the bound get exact consecutive
+    parts from the distributed sequence; there are at most rows / max_items of
+    them, and that set is broadcast only after a size check.
+    """
     order = list(order_cols or child_cols)
     struct_cols = order + [c for c in child_cols if c not in order]
-    parts = batch_number(df, parent_cols, order, size=max_items, name="part")
-    return parts.groupBy(*parent_cols, "part").agg(
+    parents = list(parent_cols)
+    counts = df.groupBy(*parents).agg(F.count(F.lit(1)).alias("__n"))
+    big = counts.where(F.col("__n") > max_items).select(*parents)
+    n_big = big.limit(BIG_PARENTS_BROADCAST + 1).count()
+    if n_big == 0:
+        rows = df.withColumn("part", F.lit(0).cast("bigint"))
+    else:
+        big_b = F.broadcast(big) if n_big <= BIG_PARENTS_BROADCAST else big
+        small_rows = df.join(big_b, parents, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+        big_rows = batch_number(df.join(big_b, parents, "left_semi"), parents, order,
+                                size=max_items, name="part")
+        rows = small_rows.unionByName(big_rows)
+    return rows.groupBy(*parents, "part").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.sort_array(F.collect_list(F.struct(*struct_cols))).alias(name))
 

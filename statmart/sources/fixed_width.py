@@ -83,8 +83,9 @@ def infer_spans(lines: DataFrame) -> list[tuple[int, int]]:
     max_len = lines.agg(F.max(F.length("value"))).first()[0] or 0
     if max_len == 0:
         return []
+    blank = [" ", "\t", "\r", "\f", "\u000b", ""]
     used = lines.agg(*[
-        F.max(F.when(F.substring("value", p, 1).rlike(r"\S"), 1).otherwise(0)).alias(f"p{p}")
+        F.max(F.when(~F.substring("value", p, 1).isin(blank), 1).otherwise(0)).alias(f"p{p}")
         for p in range(1, max_len + 1)]).first()
     spans, start = [], None
     for p in range(1, max_len + 1):
