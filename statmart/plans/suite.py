@@ -38,6 +38,7 @@ from statmart.sources.fixed_width import (Layout, read_fixed_width, read_fixed_w
 from statmart.sources.json_records import portal_datasets, read_envelope, resource_urls
 from statmart.sources.sheet import read_sheet_export
 from statmart.sources.xml_records import read_xml_records
+from statmart.streaming.incremental import load_new_files
 from statmart.sources.listing import list_prefix, with_path_parts
 from statmart.plans.marts import Dim, MartSpec, build_mart
 from statmart.plans.sql import run_sql
@@ -896,3 +897,20 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     txt_rows = spark.read.json(out["txt"]).select(F.lit("txt").alias("kind"), "c_custkey", "c_name",
                                                   "c_mktsegment")
     return cast_columns(csv_rows.unionByName(txt_rows), {"c_custkey": "bigint"})
+
+
+# --- incremental loads ------------------------------------------------------------------------
+
+@register("incremental_load", "SELECT * FROM events")
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load(spark, sf_dir, "events")["events"]
+    root = scratch_path(spark, "incremental")
+    src, target, ckpt = f"{root}/landing", f"{root}/events_table", f"{root}/_checkpoint"
+    write_ndjson(e.where(F.col("event_type") == "error"), f"{src}/arrival_1")
+    first = load_new_files(spark, src, target, ckpt, e.schema)
+    write_ndjson(e.where(F.col("event_type") != "error"), f"{src}/arrival_2")
+    second = load_new_files(spark, src, target, ckpt, e.schema)
+    again = load_new_files(spark, src, target, ckpt, e.schema)   # nothing new: nothing loaded
+    if again != 0 or first == 0 or second == 0:
+        raise RuntimeError(f"incremental load appended {first}, {second}, {again} rows")
+    return spark.read.parquet(target)
