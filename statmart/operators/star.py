@@ -64,16 +64,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: tuple[str, str] | str,
-                   how: str = "inner", check_size: bool = True, **bounds) -> DataFrame:
+                   how: str = "inner", check_size: bool = True, broadcast: bool | None = None,
+                   **bounds) -> DataFrame:
     """Join one dimension to ``fact``; ``on`` is ``(fact_col, dim_col)``.
 
     Column names may be qualified by DataFrame aliases (``fct.Postcode``).
-    Duplicate dimension keys multiply fact rows, as in SQL.
+    Duplicate dimension keys multiply fact rows, as in SQL. ``broadcast``
+    forces the decision a caller has already proven; ``None`` checks here.
     """
     how = check_join_type(how)
     fact_col, dim_col = (on, on) if isinstance(on, str) else on
-    if how in ("inner", "left") and check_size:
-        dim = bounded_broadcast(dim, **bounds)
+    if how in ("inner", "left"):
+        if broadcast is None and check_size:
+            dim = bounded_broadcast(dim, **bounds)
+        elif broadcast:
+            dim = F.broadcast(dim)
     return fact.join(dim, F.col(fact_col) == F.col(dim_col), how)
 
 

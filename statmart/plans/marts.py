@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statmart.operators.star import check_join_type, join_dimension
+from statmart.operators.star import check_join_type, fits_broadcast, join_dimension
 from statmart.sinks.tables import RangeBuckets
 
 
@@ -66,17 +66,27 @@ def build_mart(spec: MartSpec, tables: Mapping[str, DataFrame],
     def key_of(d: Dim) -> str:
         return d.fact_key if "." in d.fact_key else f"{fa}.{d.fact_key}"
 
-    def branch(d: Dim) -> DataFrame:
+    def branch(d: Dim) -> tuple[DataFrame, bool]:
         # A snowflake dimension (joined on another dimension's column) is
         # joined to its parent first, so the fact meets each branch once.
+        # Returns the branch and whether it is proven small enough to
+        # broadcast: the base table is checked first, and only a branch on a
+        # small base is counted, so no large join runs just for the check.
         df = tables[d.table].alias(d.alias)
+        small = fits_broadcast(tables[d.table], **bounds)
         for c in children.get(d.alias, []):
-            df = join_dimension(df, branch(c), (key_of(c), f"{c.alias}.{c.dim_key}"), c.how, **bounds)
-        return df
+            sub, sub_small = branch(c)
+            df = join_dimension(df, sub, (key_of(c), f"{c.alias}.{c.dim_key}"), c.how,
+                                broadcast=sub_small)
+            small = small and sub_small
+        if small and children.get(d.alias):
+            small = fits_broadcast(df, **bounds)
+        return df, small
 
     out = tables[spec.fact].alias(fa)
     for d in children.get(fa, []):
-        out = join_dimension(out, branch(d), (key_of(d), f"{d.alias}.{d.dim_key}"), d.how, **bounds)
+        dim, small = branch(d)
+        out = join_dimension(out, dim, (key_of(d), f"{d.alias}.{d.dim_key}"), d.how, broadcast=small)
     for w in spec.where:
         out = out.where(F.expr(_fill(w, values)))
     cols = [F.expr(_fill(e, values)).alias(n) for n, e in spec.select]

@@ -23,6 +23,10 @@ ENCODING_ALIASES = {"8859": "ISO-8859-1", "latin1": "ISO-8859-1", "latin-1": "IS
                     "iso-8859-1": "ISO-8859-1", "utf8": "UTF-8", "utf-8": "UTF-8"}
 
 
+# Per-file tables (one row per input file) are broadcast up to this many files.
+MAX_BROADCAST_FILES = 200_000
+
+
 def charset(encoding: str) -> str:
     return ENCODING_ALIASES.get(encoding.lower(), encoding)
 
@@ -34,7 +38,8 @@ def as_list(paths: str | Sequence[str]) -> list[str]:
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str],
                    encoding: str = "UTF-8") -> DataFrame:
     """Text lines with ``file`` and ``line_no`` (0-based) for lines of each
-    file's first split, ``line_no`` null further on. One text scan."""
+    file's first split, ``line_no`` null further on. ``paths`` should list the
+    files (see :func:`input_files`) so the per-file table size is known."""
     r = spark.read.option("encoding", charset(encoding)) if charset(encoding) != "UTF-8" \
         else spark.read
     raw = (r.text(as_list(paths))
@@ -44,8 +49,9 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str],
                     F.monotonically_increasing_id().alias("__id")))
     first = (raw.where(F.col("__block") == 0).groupBy("file")
                 .agg(F.min("__id").alias("__first")))
-    # One row per input file: a bounded table, safe to broadcast.
-    out = raw.join(F.broadcast(first), "file", "left")
+    # One row per input file: broadcast while the file count keeps it small.
+    n_files = len(as_list(paths)) if not isinstance(paths, str) else 1
+    out = raw.join(F.broadcast(first) if n_files <= MAX_BROADCAST_FILES else first, "file", "left")
     line_no = F.when(F.col("__block") == 0, F.col("__id") - F.col("__first"))
     return out.select("value", "file", line_no.alias("line_no"))
 
