@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statmart.operators.nesting import nest
 from statmart.operators.sequence import batch_number, sequence_within
 
 MAX_IDS_PER_ROW = 1000
@@ -41,10 +42,9 @@ def ids_by_source(catalog: DataFrame, id_col: str = "Identifier", catalog_col: s
     """
     latest = latest_catalog(catalog.where(source_filter(catalog_col, source)), id_col, catalog_col)
     keyed = latest.select(F.lower(catalog_col).alias("source"), F.col(id_col))
-    parts = batch_number(keyed, ["source"], [id_col], size=max_ids, name="part")
-    return parts.groupBy("source", "part").agg(
-        F.count(F.lit(1)).alias("n_ids"),
-        F.sort_array(F.collect_list(id_col)).alias("ids"))
+    parts = nest(keyed, ["source"], [id_col], name="__items", max_items=max_ids)
+    return parts.select("source", "part", F.col("n_items").alias("n_ids"),
+                        F.transform("__items", lambda x: x[id_col]).alias("ids"))
 
 
 def distinct_sources(catalog: DataFrame, catalog_col: str = "Catalog",

@@ -44,7 +44,7 @@ _TYPE_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "fl
                "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16}
 
 
-def _row_width(df: DataFrame) -> int:
+def row_width(df: DataFrame) -> int:
     return 16 + sum(_TYPE_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields)
 
 
@@ -53,10 +53,50 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """True when ``df`` has at most ``max_rows`` rows and their estimated size is
     under ``max_bytes``. The count stops after ``max_rows + 1`` rows, so the check
     costs at most one bounded scan of the dimension."""
-    limit = min(max_rows, max(1, max_bytes // _row_width(df)))
+    limit = min(max_rows, max(1, max_bytes // row_width(df)))
     return df.limit(limit + 1).count() <= limit
 
 
+def broadcast_limit(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> int:
+    """Most rows of ``df`` that may be broadcast (row bound and byte bound)."""
+    return min(max_rows, max(1, max_bytes // row_width(df)))
+
+
+def bounded_counts(dfs: Sequence[DataFrame], limits: Sequence[int]) -> list[int]:
+    """Row counts of several tables in one job, each counted only up to its
+    ``limit + 1`` (a union of limited, column-free scans)."""
+    if not dfs:
+        return []
+    parts = [d.limit(lim + 1).select(F.lit(i).alias("__i")) for i, (d, lim) in enumerate(zip(dfs, limits))]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionAll(p)
+    counts = {r["__i"]: r["n"] for r in union.groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) for i in range(len(dfs))]
+
+
+def max_key_multiplicity(dfs: Sequence[DataFrame], keys: Sequence[str]) -> list[int]:
+    """Largest number of rows sharing one key value, per (table, key), in one
+    job. Use on tables already proven small."""
+    if not dfs:
+        return []
+    parts = [d.groupBy(F.col(k)).agg(F.count(F.lit(1)).alias("__m"))
+              .select(F.lit(i).alias("__i"), "__m") for i, (d, k) in enumerate(zip(dfs, keys))]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionAll(p)
+    got = {r["__i"]: r["m"] for r in union.groupBy("__i").agg(F.max("__m").alias("m")).collect()}
+    return [got.get(i, 0) for i in range(len(dfs))]
+
+
+def fits_broadcast_many(dfs: Sequence[DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
+                        max_bytes: int = BROADCAST_MAX_BYTES) -> list[bool]:
+    """:func:`fits_broadcast` for several tables in one job."""
+    limits = [broadcast_limit(d, max_rows, max_bytes) for d in dfs]
+    return [n <= lim for n, lim in zip(bounded_counts(dfs, limits), limits)]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
@@ -137,12 +177,15 @@ def flatten(fact: DataFrame, dims: Mapping[str, DataFrame], properties: DataFram
 
     out = fact.alias("fct")
     select = []
+    missing = [k for k, _ in dim_items if k not in dims]
+    if missing:
+        raise KeyError(f"no dimension table for {missing}")
+    picked = [dims[k].select(F.col(key_col).alias(f"__d{i}_key"), F.col(title_col).alias(f"__d{i}_title"))
+              for i, (k, _) in enumerate(dim_items)]
+    small = fits_broadcast_many(picked, **bounds) if how in ("inner", "left") else [False] * len(picked)
     for i, (key, title) in enumerate(dim_items):
-        if key not in dims:
-            raise KeyError(f"no dimension table for {key!r}")
         kc, tc = f"__d{i}_key", f"__d{i}_title"
-        d = dims[key].select(F.col(key_col).alias(kc), F.col(title_col).alias(tc))
-        out = join_dimension(out, d, (f"fct.{key}", kc), how, **bounds)
+        out = join_dimension(out, picked[i], (f"fct.{key}", kc), how, broadcast=small[i])
         base = dimension_alias(title)
         select += [F.col(kc).alias(base + "_code"), F.col(tc).alias(base)]
     select += [F.col(f"fct.{key}").alias(topic_alias(title)) for key, title in topics]

@@ -22,7 +22,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statmart.operators.star import check_join_type, fits_broadcast, join_dimension
+from statmart.operators.star import (BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, row_width,
+                                     bounded_counts, broadcast_limit, check_join_type,
+                                     join_dimension, max_key_multiplicity)
 from statmart.sinks.tables import RangeBuckets
 
 
@@ -66,27 +68,54 @@ def build_mart(spec: MartSpec, tables: Mapping[str, DataFrame],
     def key_of(d: Dim) -> str:
         return d.fact_key if "." in d.fact_key else f"{fa}.{d.fact_key}"
 
-    def branch(d: Dim) -> tuple[DataFrame, bool]:
+    # Broadcast decisions, proven in two small jobs and without running any
+    # join: (1) bounded row counts of every dimension's base table; (2) for
+    # snowflake children on small bases, the largest number of rows sharing
+    # one join-key value. A branch d ⋈ c1 ⋈ … then has at most
+    # rows(d) × Π mult(c) rows, with mult(c) = max(1, maxdup(c)) × Π mult(g).
+    limits = {d.alias: broadcast_limit(tables[d.table], **bounds) for d in spec.dims}
+    counts = dict(zip([d.alias for d in spec.dims],
+                      bounded_counts([tables[d.table] for d in spec.dims],
+                                     [limits[d.alias] for d in spec.dims])))
+    snow = [d for d in spec.dims if "." in d.fact_key and counts[d.alias] <= limits[d.alias]]
+    dups = dict(zip([d.alias for d in snow],
+                    max_key_multiplicity([tables[d.table] for d in snow], [d.dim_key for d in snow])))
+
+    def mult(c: Dim) -> float:
+        if c.alias not in dups:
+            return float("inf")
+        m = max(1, dups[c.alias])
+        for g in children.get(c.alias, []):
+            m *= mult(g)
+        return m
+
+    def width(d: Dim) -> int:
+        return row_width(tables[d.table]) + sum(width(c) for c in children.get(d.alias, []))
+
+    def bound_ok(d: Dim) -> bool:
+        if counts[d.alias] > limits[d.alias]:
+            return False
+        rows = counts[d.alias]
+        for c in children.get(d.alias, []):
+            rows *= mult(c)
+        cap = bounds.get("max_bytes", BROADCAST_MAX_BYTES) // max(1, width(d))
+        return rows <= min(bounds.get("max_rows", BROADCAST_MAX_ROWS), cap)
+
+    small = {d.alias: bound_ok(d) for d in spec.dims}
+
+    def branch(d: Dim) -> DataFrame:
         # A snowflake dimension (joined on another dimension's column) is
         # joined to its parent first, so the fact meets each branch once.
-        # Returns the branch and whether it is proven small enough to
-        # broadcast: the base table is checked first, and only a branch on a
-        # small base is counted, so no large join runs just for the check.
         df = tables[d.table].alias(d.alias)
-        small = fits_broadcast(tables[d.table], **bounds)
         for c in children.get(d.alias, []):
-            sub, sub_small = branch(c)
-            df = join_dimension(df, sub, (key_of(c), f"{c.alias}.{c.dim_key}"), c.how,
-                                broadcast=sub_small)
-            small = small and sub_small
-        if small and children.get(d.alias):
-            small = fits_broadcast(df, **bounds)
-        return df, small
+            df = join_dimension(df, branch(c), (key_of(c), f"{c.alias}.{c.dim_key}"), c.how,
+                                broadcast=small[c.alias])
+        return df
 
     out = tables[spec.fact].alias(fa)
     for d in children.get(fa, []):
-        dim, small = branch(d)
-        out = join_dimension(out, dim, (key_of(d), f"{d.alias}.{d.dim_key}"), d.how, broadcast=small)
+        out = join_dimension(out, branch(d), (key_of(d), f"{d.alias}.{d.dim_key}"), d.how,
+                             broadcast=small[d.alias])
     for w in spec.where:
         out = out.where(F.expr(_fill(w, values)))
     cols = [F.expr(_fill(e, values)).alias(n) for n, e in spec.select]

@@ -6,8 +6,9 @@ is dropped using the CSV reader's own per-file header rule: lines are read as a
 single text field (a separator that does not occur in text registers, quoting
 off), so a large file is still split over many tasks.
 
-Layout inference (S4) is one aggregation over all lines: per character position
-"is any line non-blank here", then maximal runs of such positions are columns.
+Layout inference (S4) is one aggregation over all lines: for every character
+position "is any line non-blank here" (bit masks OR-ed with ``bit_or``), then
+maximal runs of such positions are columns.
 """
 
 from __future__ import annotations
@@ -77,21 +78,30 @@ def read_fixed_width(spark: SparkSession, paths: str | Sequence[str], layout: La
     return cut(read_lines(spark, paths, header, encoding), layout, parse_dates)
 
 
+_WORD = 63   # positions per aggregated word (bits of a positive BIGINT)
+
+
 def infer_spans(lines: DataFrame) -> list[tuple[int, int]]:
     """Column spans (1-based start, width) from the non-blank positions of
-    every line; one aggregation pass, plus one for the longest line."""
+    every line. Each line becomes a 0/1 mask; each 63-position slice of the
+    mask is read as a binary number and OR-ed over all lines (``bit_or``), so
+    the pass keeps only ceil(longest line / 63) small aggregates. One more
+    pass finds the longest line."""
     max_len = lines.agg(F.max(F.length("value"))).first()[0] or 0
     if max_len == 0:
         return []
-    blank = [" ", "\t", "\r", "\f", "\u000b", ""]
-    used = lines.agg(*[
-        F.max(F.when(~F.substring("value", p, 1).isin(blank), 1).otherwise(0)).alias(f"p{p}")
-        for p in range(1, max_len + 1)]).first()
+    mask = F.regexp_replace(F.regexp_replace("value", r"\S", "1"), r"\s", "0")
+    n_words = (max_len + _WORD - 1) // _WORD
+    words = lines.select(mask.alias("m")).agg(*[
+        F.bit_or(F.conv(F.rpad(F.substring("m", w * _WORD + 1, _WORD), _WORD, "0"), 2, 10)
+                 .cast("bigint")).alias(f"w{w}")
+        for w in range(n_words)]).first()
+    bits = "".join(format(words[f"w{w}"] or 0, f"0{_WORD}b") for w in range(n_words))[:max_len]
     spans, start = [], None
-    for p in range(1, max_len + 1):
-        if used[f"p{p}"] and start is None:
+    for p, bit in enumerate(bits, start=1):
+        if bit == "1" and start is None:
             start = p
-        elif not used[f"p{p}"] and start is not None:
+        elif bit == "0" and start is not None:
             spans.append((start, p - start))
             start = None
     if start is not None:
