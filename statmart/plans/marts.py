@@ -272,3 +272,12 @@ DISTRICT_DIMENSION = MartSpec(
 REFERENCE_MARTS = {m.name: m for m in (POPULATION_PC4, INCOME_MUNICIPALITY,
                                        CARE_USE_MUNICIPALITY, DISTRICT_KEY_FIGURES,
                                        DISTRICT_DIMENSION)}
+
+
+def write_mart(spec: MartSpec, df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace the mart's table (K6), range-partitioned when the spec says so (K9)."""
+    from statmart.sinks.tables import replace_table, write_range_partitioned
+    if spec.partition is not None:
+        write_range_partitioned(df, path, spec.partition, mode="overwrite", fmt=fmt)
+    else:
+        replace_table(df, path, fmt=fmt)
