@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.functions.names import clean_name
-from statmart.session import local_path
+from statmart.sources.files import filesystem, publish
 from statmart.sources.listing import list_files
 
 MEMBER_SCHEMA = "archive string, member string, path string, size long"
@@ -27,10 +27,7 @@ _COPY_CHUNK = 8 * 1024 * 1024
 
 
 def _fs(uri: str):
-    from pyarrow import fs as pafs
-    if "://" in uri and not uri.startswith("file:"):
-        return pafs.FileSystem.from_uri(uri)
-    return pafs.LocalFileSystem(), local_path(uri)
+    return filesystem(uri)
 
 
 def clean_member(member: str) -> str:
@@ -73,14 +70,16 @@ def expand_archives(spark: SparkSession, source: str, out_dir: str,
                 if info.is_dir():
                     continue
                 target = f"{out_root}/{stem}/{clean_member(info.filename)}"
-                tfs, tp = _fs(target)
-                tfs.create_dir(tp.rsplit("/", 1)[0], recursive=True)
-                with z.open(info) as src, tfs.open_output_stream(tp) as dst:
-                    while True:
-                        buf = src.read(_COPY_CHUNK)
-                        if not buf:
-                            break
-                        dst.write(buf)
+
+                def copy(dst, info=info):
+                    with z.open(info) as src:
+                        while True:
+                            buf = src.read(_COPY_CHUNK)
+                            if not buf:
+                                break
+                            dst.write(buf)
+
+                publish(target, copy)
                 yield {"archive": path, "member": info.filename, "path": target,
                        "size": info.file_size}
 

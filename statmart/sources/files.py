@@ -117,12 +117,29 @@ def write_partition_files(df: DataFrame, root: str,
     return df.mapInPandas(run, "path string, size long")
 
 
-def _write_bytes(uri: str, data: bytes) -> None:
+def filesystem(uri: str):
+    """(pyarrow filesystem, path) for a URI or a local path."""
     from pyarrow import fs as pafs
     if "://" in uri and not uri.startswith("file:"):
-        f, p = pafs.FileSystem.from_uri(uri)
-    else:
-        f, p = pafs.LocalFileSystem(), local_path(uri)
+        return pafs.FileSystem.from_uri(uri)
+    return pafs.LocalFileSystem(), local_path(uri)
+
+
+def publish(uri: str, write: Callable[[object], None]) -> None:
+    """Write a file from a task so that a retried or speculative attempt never
+    leaves a mix of two attempts: each attempt writes its own temporary file,
+    then moves it over the final name."""
+    import uuid
+    from pyspark import TaskContext
+    f, p = filesystem(uri)
     f.create_dir(p.rsplit("/", 1)[0], recursive=True)
-    with f.open_output_stream(p) as out:
-        out.write(data)
+    ctx = TaskContext.get()
+    attempt = f"{ctx.attemptNumber()}-" if ctx is not None else ""
+    tmp = f"{p}.tmp-{attempt}{uuid.uuid4().hex[:8]}"
+    with f.open_output_stream(tmp) as out:
+        write(out)
+    f.move(tmp, p)
+
+
+def _write_bytes(uri: str, data: bytes) -> None:
+    publish(uri, lambda out: out.write(data))
