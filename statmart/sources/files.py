@@ -90,7 +90,16 @@ def input_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     from urllib.parse import unquote
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                   .load(as_list(paths)).select("path").inputFiles())
-    return sorted(unquote(p) for p in found)
+    return sorted(_plain(unquote(p)) for p in found)
+
+
+def _plain(p: str) -> str:
+    return "file:/" + p[len("file:///"):] if p.startswith("file:///") else p
+
+
+def file_key(c: str = "file"):
+    """A metadata file path (a URI) in the plain form :func:`input_files` gives."""
+    return F.url_decode(F.col(c))
 
 
 def write_partition_files(df: DataFrame, root: str,

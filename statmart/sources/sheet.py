@@ -10,13 +10,13 @@ explicit lenient cast types the columns.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.functions.columns import SHEET_NA_TOKENS, cast_columns, null_tokens_all
-from statmart.sources.files import first_lines, input_files, numbered_lines
+from statmart.sources.files import file_key, first_lines, input_files, numbered_lines
 
 
 def _split_header(head: str, sep: str) -> list[str]:
@@ -25,24 +25,37 @@ def _split_header(head: str, sep: str) -> list[str]:
 
 
 def read_sheet_export(spark: SparkSession, paths: str | Sequence[str], sep: str = ",",
-                      skip_rows: Iterable[int] = (), na_tokens: Iterable[str] = SHEET_NA_TOKENS,
+                      skip_rows: Iterable[int] | Mapping[str, Iterable[int]] = (),
+                      na_tokens: Iterable[str] = SHEET_NA_TOKENS,
                       types: dict[str, str] | None = None, encoding: str = "utf-8") -> DataFrame:
     """Read sheet exports with a header line (line 0).
 
     ``skip_rows`` are 0-based file line numbers to drop (the header is line 0),
-    as a sheet reader's ``skiprows`` list. Blank lines are dropped. All files
-    must share the header. ``types`` casts columns leniently (bad → null).
+    as a sheet reader's ``skiprows`` list; a mapping gives them per file, keyed
+    by a part of the file name (sheets of different years differ). Blank lines
+    are dropped. Files are grouped by header; the groups are aligned by column
+    name. ``types`` casts columns leniently (bad → null).
     """
     files = input_files(spark, paths)
-    heads = set(first_lines(spark, files, encoding).values())
-    if len(heads) != 1:
-        raise ValueError(f"sheet exports with different headers: {sorted(heads)}")
-    names = _split_header(heads.pop(), sep)
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    heads = first_lines(spark, files, encoding)
+    groups: dict[str, list[str]] = {}
+    for f in files:
+        groups.setdefault(heads[f], []).append(f)
     lines = numbered_lines(spark, files, encoding)
-    drop = sorted({0, *skip_rows})
-    kept = lines.where((F.col("line_no").isNull() | ~F.col("line_no").isin(drop)) &
-                       (F.length(F.trim("value")) > 0))
-    rows = kept.select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*")
-    rows = null_tokens_all(rows, list(na_tokens))
+    line_no, name = F.col("line_no"), file_key("file")
+    drop = line_no == 0
+    if isinstance(skip_rows, Mapping):
+        for pattern, nums in skip_rows.items():
+            drop = drop | (name.contains(pattern) & line_no.isin(list(nums)))
+    elif list(skip_rows):
+        drop = drop | line_no.isin(list(skip_rows))
+    kept = lines.where(~F.coalesce(drop, F.lit(False)) & (F.length(F.trim("value")) > 0))
+    out = None
+    for head, group in groups.items():
+        names = _split_header(head, sep)
+        schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+        part = (kept.where(name.isin(group) if len(groups) > 1 else F.lit(True))
+                    .select(F.from_csv("value", schema, {"sep": sep}).alias("r")).select("r.*"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    rows = null_tokens_all(out, list(na_tokens))
     return cast_columns(rows, types, lenient=True) if types else rows

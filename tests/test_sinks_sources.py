@@ -231,3 +231,11 @@ def test_zip_expand_and_members(spark, tmp_path):
     assert rows(read_delimited(spark, got["sub dir/a-b.csv"])) == [("1", "2")]
     xml_only = list_members(spark, str(src), ".xml")
     assert [r.member for r in xml_only.collect()] == ["sub dir/c.xml"]
+
+
+def test_sheet_groups_and_per_file_skips(spark, tmp_path):
+    (tmp_path / "nabijheid-2014.csv").write_text("gemeente,afstand\nA,1.5\n")
+    (tmp_path / "nabijheid-2015.csv").write_text("gemeente,afstand,extra\nkm,km,-\nnotes,,\nB,.,x\n")
+    df = read_sheet_export(spark, str(tmp_path), skip_rows={"2015": [1, 2]},
+                           types={"afstand": "double"})
+    assert rows(df.select("gemeente", "afstand", "extra")) == [("A", 1.5, None), ("B", None, "x")]
