@@ -59,3 +59,15 @@ def flatten_dataset(spark: SparkSession, root: str, dataset_id: str, how: str =
     dims = {name[len(prefix):]: df for name, df in t.items()
             if name not in (f"{dataset_id}_{FACT}", f"{dataset_id}_{PROPERTIES}")}
     return flatten(fact, dims, props, how=how, **kw)
+
+
+def mart_table_name(title: str) -> str:
+    """Table name of a flattened mart from its title: lower case, spaces → ``_``."""
+    return title.lower().replace(" ", "_")
+
+
+def write_flat_mart(df: DataFrame, root: str, title: str, fmt: str = "parquet") -> str:
+    """Replace the flattened mart table named after ``title`` below ``root`` (K6)."""
+    path = f"{root.rstrip('/')}/{mart_table_name(title)}"
+    df.write.mode("overwrite").format(fmt).save(path)
+    return path

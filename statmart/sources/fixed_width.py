@@ -36,6 +36,18 @@ class Layout:
         if len(self.names) != len(self.widths):
             raise ValueError(f"{len(self.names)} names for {len(self.widths)} widths")
 
+    def to_json(self) -> str:
+        """Store an inferred layout so later reads skip the inference pass."""
+        import json
+        return json.dumps({"names": list(self.names), "widths": list(self.widths),
+                           "date_cols": list(self.date_cols)})
+
+    @staticmethod
+    def from_json(text: str) -> "Layout":
+        import json
+        d = json.loads(text)
+        return Layout(d["names"], d["widths"], d.get("date_cols", []))
+
     @property
     def starts(self) -> list[int]:
         out, pos = [], 1

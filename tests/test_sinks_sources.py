@@ -239,3 +239,15 @@ def test_sheet_groups_and_per_file_skips(spark, tmp_path):
     df = read_sheet_export(spark, str(tmp_path), skip_rows={"2015": [1, 2]},
                            types={"afstand": "double"})
     assert rows(df.select("gemeente", "afstand", "extra")) == [("A", 1.5, None), ("B", None, "x")]
+
+
+def test_layout_round_trip():
+    lay = REGISTER_LAYOUTS["praktijk"]
+    assert Layout.from_json(lay.to_json()) == Layout(list(lay.names), list(lay.widths), list(lay.date_cols))
+
+
+def test_flat_mart_title(spark, tmp_path):
+    from statmart.sources.dataset import mart_table_name, write_flat_mart
+    assert mart_table_name("Bevolking Per Gemeente") == "bevolking_per_gemeente"
+    path = write_flat_mart(spark.range(3), str(tmp_path), "Mijn Mart")
+    assert path.endswith("/mijn_mart") and spark.read.parquet(path).count() == 3
