@@ -251,3 +251,28 @@ def test_flat_mart_title(spark, tmp_path):
     assert mart_table_name("Bevolking Per Gemeente") == "bevolking_per_gemeente"
     path = write_flat_mart(spark.range(3), str(tmp_path), "Mijn Mart")
     assert path.endswith("/mijn_mart") and spark.read.parquet(path).count() == 3
+
+
+def test_header_and_skip_rows_with_many_splits(spark, tmp_path):
+    """A file cut into many splits: only its first split holds the header and
+    the skipped lines; every other line is kept exactly once."""
+    body = "".join(f"r{i:05d},{i}\n" for i in range(3000))
+    (tmp_path / "big.csv").write_text("name,value\nunits,n\nnote,\n" + body)
+    lay = Layout(["name", "value"], [8, 8])
+    (tmp_path / "fw").mkdir()
+    (tmp_path / "fw" / "big.txt").write_text(
+        "name    value   \n" + "".join(f"r{i:05d}  {i:<8d}\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        sheet = read_sheet_export(spark, str(tmp_path / "big.csv"), skip_rows=[1, 2],
+                                  types={"value": "bigint"})
+        assert spark.read.text(str(tmp_path / "big.csv")).rdd.getNumPartitions() > 10
+        got = sheet.collect()
+        assert len(got) == 3000 and sorted(r.value for r in got) == list(range(3000))
+        fw = read_fixed_width(spark, str(tmp_path / "fw"), lay, header=True)
+        got = fw.collect()
+        assert len(got) == 3000 and {r.name for r in got} == {f"r{i:05d}" for i in range(3000)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
