@@ -17,7 +17,8 @@ many ordered partitions:
    ``(partition, g)``, which spreads a large group evenly.
 
 Rows of one group are contiguous in each sorted partition, so block starts and
-counts do not depend on the order of rows with equal sort keys.
+counts do not depend on the order of rows with equal sort keys. The numbered
+rows are checkpointed to the shared folder before the two readers use them.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from statmart.session import cut_lineage
+
 _LOCAL_MASK = (1 << 33) - 1
 MAX_BROADCAST_GROUPS = 100_000
 
@@ -44,6 +47,10 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
                 .sortWithinPartitions(*keys)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_MASK))))
+    # Both readers below must see the very same partitions and numbers; a
+    # reliable checkpoint (shared folder) fixes them, whatever exchange reuse
+    # does, and a lost executor does not force a re-sample of range bounds.
+    ranged = cut_lineage(ranged)
     blocks = ranged.groupBy("__pid", *group_cols).agg(
         F.min("__local").alias("__start"), F.count(F.lit(1)).alias("__n"))
     w = (Window.partitionBy(*group_cols).orderBy("__pid")
