@@ -792,7 +792,7 @@ def sheet_skiprows(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(F.col("c_nationkey") == 7, F.lit(SHEET_NA_TOKENS[1]))
            .otherwise(F.col("c_acctbal").cast("string")))
     # A column that mixes plain numbers with decimal-comma text ("5,0").
-    mixed = F.when(F.col("c_nationkey") % 2 == 1, F.concat(F.col("c_nationkey").cast("string"), F.lit(",0"))) \
+    mixed = F.when(F.col("c_acctbal") < 0, F.concat(F.col("c_nationkey").cast("string"), F.lit(",0"))) \
              .otherwise(F.col("c_nationkey").cast("string"))
     staged = c.select("c_custkey", "c_name", na.alias("c_acctbal"), "c_mktsegment",
                       mixed.alias("c_nationkey"))
@@ -926,3 +926,289 @@ def mart_partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_mart(LEFT_STAR, mart_left_star(spark, sf_dir), path)
     spec = LEFT_STAR.partition
     return read_range(spark, path, spec, lo=1999).drop(spec.partition_column)
+
+
+# --- the statistical marts themselves, on datasets derived from the tables ------------------
+
+def _population_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A population-shaped dataset (83502NED) derived from lineitem: counts per
+    period, "postcode" (supplier), "sex" (return flag) and "age" (line
+    status), with the subtotal rows a statistical table carries (cube), and
+    dimension tables including the total codes the mart drops."""
+    t = load(spark, sf_dir, "lineitem", "supplier")
+    li = t["lineitem"].select(F.concat(F.year("l_shipdate").cast("string"), F.lit("JJ00")).alias("Perioden"),
+                              F.col("l_suppkey").cast("string").alias("Postcode"),
+                              F.col("l_returnflag").alias("Geslacht"),
+                              F.col("l_linestatus").alias("Leeftijd"), "l_quantity")
+    fact = (li.cube("Perioden", "Postcode", "Geslacht", "Leeftijd")
+              .agg(F.sum("l_quantity").alias("Bevolking_1"))
+              .where(F.col("Perioden").isNotNull())
+              .select("Perioden",
+                      F.coalesce("Postcode", F.lit("NL01")).alias("Postcode"),
+                      F.coalesce("Geslacht", F.lit("T001038")).alias("Geslacht"),
+                      F.coalesce("Leeftijd", F.lit("10000")).alias("Leeftijd"),
+                      "Bevolking_1"))
+    postcode = t["supplier"].select(F.col("s_suppkey").cast("string").alias("Key"),
+                                    F.col("s_name").alias("Title")) \
+        .unionByName(spark.createDataFrame([("NL01", "Nederland")], "Key string, Title string"))
+    flags = t["lineitem"].select("l_returnflag").distinct()
+    sex = flags.select(F.col("l_returnflag").alias("Key"),
+                       F.concat(F.lit("flag "), "l_returnflag").alias("Title")) \
+        .unionByName(spark.createDataFrame([("T001038", "Totaal")], "Key string, Title string"))
+    status = t["lineitem"].select("l_linestatus").distinct()
+    age = status.select(F.col("l_linestatus").alias("Key"),
+                        F.concat(F.lit("status "), "l_linestatus").alias("Title")) \
+        .unionByName(spark.createDataFrame([("10000", "Totaal")], "Key string, Title string"))
+    return {"83502NED_TypedDataSet": fact, "83502NED_Postcode": postcode,
+            "83502NED_Geslacht": sex, "83502NED_Leeftijd": age}
+
+
+@register("cbs_population_mart", """
+WITH li AS (
+  SELECT CAST(year(l_shipdate) AS VARCHAR) || 'JJ00' AS Perioden, CAST(l_suppkey AS VARCHAR) AS Postcode,
+         l_returnflag AS Geslacht, l_linestatus AS Leeftijd, l_quantity FROM lineitem),
+fct AS (
+  SELECT Perioden, COALESCE(Postcode, 'NL01') AS Postcode, COALESCE(Geslacht, 'T001038') AS Geslacht,
+         COALESCE(Leeftijd, '10000') AS Leeftijd, sum(l_quantity) AS Bevolking_1
+  FROM li GROUP BY CUBE (Perioden, Postcode, Geslacht, Leeftijd) HAVING Perioden IS NOT NULL),
+pc AS (SELECT CAST(s_suppkey AS VARCHAR) AS Key, s_name AS Title FROM supplier
+       UNION ALL SELECT 'NL01', 'Nederland'),
+gsl AS (SELECT DISTINCT l_returnflag AS Key, 'flag ' || l_returnflag AS Title FROM lineitem
+        UNION ALL SELECT 'T001038', 'Totaal'),
+lft AS (SELECT DISTINCT l_linestatus AS Key, 'status ' || l_linestatus AS Title FROM lineitem
+        UNION ALL SELECT '10000', 'Totaal')
+SELECT CAST(substr(fct.Perioden, 1, 4) AS BIGINT) AS jaar, pc.Title AS pc4, gsl.Title AS geslacht,
+       lft.Title AS leeftijd, CAST(round(fct.Bevolking_1) AS BIGINT) AS bevolking
+FROM fct
+LEFT JOIN pc ON pc.Key = fct.Postcode
+LEFT JOIN gsl ON gsl.Key = fct.Geslacht
+LEFT JOIN lft ON lft.Key = fct.Leeftijd
+WHERE pc.Key != 'NL01' AND gsl.Key != 'T001038' AND lft.Key != '10000'
+""")
+def cbs_population_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statmart.plans.marts import REFERENCE_MARTS
+    return build_mart(REFERENCE_MARTS["bevolking_p4_leeftijd_geslacht"],
+                      _population_dataset(spark, sf_dir))
+
+
+def _district_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A district key-figure dataset (84286NED) derived from customer: padded
+    area codes (districts 'WK…' and neighbourhoods 'BU…'), municipality per
+    nation, and one numeric topic per mart column."""
+    from statmart.plans.marts import DISTRICT_TOPICS
+    c = load(spark, sf_dir, "customer")["customer"]
+    kind = F.when(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"), F.lit("WK")).otherwise(F.lit("BU"))
+    code = F.rpad(F.concat(kind, F.lpad(F.col("c_custkey").cast("string"), 6, "0")), 10, " ")
+    dim = c.select(code.alias("Key"), F.concat(F.lit(" "), "c_name").alias("Title"),
+                   F.concat(F.lit("GM"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0"))
+                    .alias("Municipality"))
+    fact = c.select(code.alias("Codering_3"),
+                    *[(F.col("c_acctbal") + j).alias(src) for j, (_, src) in enumerate(DISTRICT_TOPICS)])
+    return {"84286NED_TypedDataSet": fact, "84286NED_WijkenEnBuurten": dim}
+
+
+def _district_sql() -> str:
+    from statmart.plans.marts import DISTRICT_TOPICS
+    topics = ",\n       ".join(f"fct.{src} AS {out}" for out, src in DISTRICT_TOPICS)
+    derived = ",\n         ".join(f"c_acctbal + {j} AS {src}" for j, (_, src) in enumerate(DISTRICT_TOPICS))
+    return f"""
+WITH codes AS (
+  SELECT *, rpad(CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'WK' ELSE 'BU' END
+                 || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 10, ' ') AS code FROM customer),
+wkbu AS (SELECT code AS Key, ' ' || c_name AS Title,
+                'GM' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS Municipality FROM codes),
+fct AS (SELECT code AS Codering_3,
+         {derived}
+        FROM codes)
+SELECT 2018 AS jaar, wkbu.Municipality AS gemeente_code, TRIM(fct.Codering_3) AS wijk_code,
+       {topics}
+FROM fct JOIN wkbu ON wkbu.Key = fct.Codering_3
+WHERE fct.Codering_3 LIKE 'WK%'
+ORDER BY gemeente_code, wijk_code
+"""
+
+
+@register("cbs_district_mart", _district_sql())
+def cbs_district_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statmart.plans.marts import REFERENCE_MARTS
+    return build_mart(REFERENCE_MARTS["kerncijfers_wijken_en_buurten"], _district_dataset(spark, sf_dir))
+
+
+@register("cbs_district_dimension", """
+SELECT TRIM(Key) AS wijk_code, TRIM(Title) AS wijk_naam
+FROM (SELECT rpad(CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'WK' ELSE 'BU' END
+                  || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 10, ' ') AS Key,
+             ' ' || c_name AS Title FROM customer)
+WHERE Key LIKE 'WK%'
+ORDER BY Key
+""")
+def cbs_district_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statmart.plans.marts import REFERENCE_MARTS
+    return build_mart(REFERENCE_MARTS["dim_wijken_2018"], _district_dataset(spark, sf_dir))
+
+
+def _care_codes():
+    """Code columns of a care-use dataset (40060NED) derived from lineitem;
+    some values are the subtotal codes the mart drops."""
+    return {
+        "Perioden": F.concat(F.year("l_shipdate").cast("string"),
+                             F.when(F.col("l_linestatus") == "O", F.lit("KW01")).otherwise(F.lit("JJ00"))),
+        "Geslacht": F.when(F.col("l_returnflag") == "R", F.lit("T001038")).otherwise(F.col("l_returnflag")),
+        "Leeftijd": F.when(F.col("l_linenumber") == 1, F.lit("20300"))
+                     .when(F.col("l_linenumber") == 2, F.lit("90120"))
+                     .otherwise(F.concat(F.lit("5202"), F.col("l_linenumber").cast("string"))),
+        "Huishouden": F.when(F.col("l_tax") == 0, F.lit("T001139"))
+                       .otherwise(F.concat(F.lit("H"), F.round(F.col("l_tax") * 100).cast("int").cast("string"))),
+        "TypeMaatwerkvoorziening": F.when(F.col("l_discount") == 0, F.lit("T001024"))
+                                    .otherwise(F.concat(F.lit("D"), F.round(F.col("l_discount") * 100)
+                                                        .cast("int").cast("string"))),
+        "LeveringsvormZorg": F.when(F.month("l_shipdate") == 12, F.lit("T001306"))
+                              .otherwise(F.concat(F.lit("L"), F.month("l_shipdate").cast("string"))),
+        "RegioS": F.concat(F.when(F.col("l_quantity") > 45, F.lit("PV")).otherwise(F.lit("GM")),
+                           F.lpad(F.col("l_suppkey").cast("string"), 4, "0")),
+    }
+
+
+def _care_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    li = load(spark, sf_dir, "lineitem")["lineitem"]
+    codes = _care_codes()
+    coded = li.select(*[c.alias(n) for n, c in codes.items()], "l_quantity")
+    fact = coded.groupBy(*codes).agg(F.count(F.lit(1)).cast("double").alias("PersonenMetGebruikInJaar_1"),
+                                     F.sum("l_quantity").alias("PersonenMetGebruikInJaar_2"))
+    out = {"40060NED_TypedDataSet": fact}
+    for name in codes:
+        out[f"40060NED_{name}"] = coded.select(F.col(name).alias("Key")).distinct() \
+            .select("Key", F.concat(F.lit(f"{name} "), "Key").alias("Title"))
+    return out
+
+
+_CARE_SQL_CODES = """
+  SELECT CAST(year(l_shipdate) AS VARCHAR) || CASE WHEN l_linestatus = 'O' THEN 'KW01' ELSE 'JJ00' END AS Perioden,
+         CASE WHEN l_returnflag = 'R' THEN 'T001038' ELSE l_returnflag END AS Geslacht,
+         CASE WHEN l_linenumber = 1 THEN '20300' WHEN l_linenumber = 2 THEN '90120'
+              ELSE '5202' || CAST(l_linenumber AS VARCHAR) END AS Leeftijd,
+         CASE WHEN l_tax = 0 THEN 'T001139'
+              ELSE 'H' || CAST(CAST(round(l_tax * 100) AS INTEGER) AS VARCHAR) END AS Huishouden,
+         CASE WHEN l_discount = 0 THEN 'T001024'
+              ELSE 'D' || CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) END AS TypeMaatwerkvoorziening,
+         CASE WHEN month(l_shipdate) = 12 THEN 'T001306'
+              ELSE 'L' || CAST(month(l_shipdate) AS VARCHAR) END AS LeveringsvormZorg,
+         CASE WHEN l_quantity > 45 THEN 'PV' ELSE 'GM' END || lpad(CAST(l_suppkey AS VARCHAR), 4, '0') AS RegioS,
+         l_quantity
+  FROM lineitem"""
+
+
+@register("cbs_care_use_mart", f"""
+WITH coded AS ({_CARE_SQL_CODES}),
+fct AS (
+  SELECT Perioden, Geslacht, Leeftijd, Huishouden, TypeMaatwerkvoorziening, LeveringsvormZorg, RegioS,
+         CAST(count(*) AS DOUBLE) AS PersonenMetGebruikInJaar_1, sum(l_quantity) AS PersonenMetGebruikInJaar_2
+  FROM coded GROUP BY ALL)
+SELECT CAST(substr(fct.Perioden, 1, 4) AS BIGINT) AS jaar,
+       fct.RegioS AS gemeente_code, 'RegioS ' || fct.RegioS AS gemeente_naam,
+       'Geslacht ' || fct.Geslacht AS geslacht, 'Leeftijd ' || fct.Leeftijd AS leefijd,
+       fct.Huishouden AS huishouden_code, 'Huishouden ' || fct.Huishouden AS huishouden_omschrijving,
+       'TypeMaatwerkvoorziening ' || fct.TypeMaatwerkvoorziening AS voorziening,
+       'LeveringsvormZorg ' || fct.LeveringsvormZorg AS leveringsvorm,
+       fct.PersonenMetGebruikInJaar_1 AS gebruik_aantal_personen,
+       fct.PersonenMetGebruikInJaar_2 AS gebruik_percentage
+FROM fct
+WHERE fct.Perioden LIKE '%JJ%' AND fct.RegioS LIKE 'GM%' AND fct.Geslacht != 'T001038'
+  AND fct.Leeftijd NOT IN ('20300', '90120', '90200') AND fct.Huishouden != 'T001139'
+  AND fct.TypeMaatwerkvoorziening != 'T001024' AND fct.LeveringsvormZorg != 'T001306'
+""")
+def cbs_care_use_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statmart.plans.marts import REFERENCE_MARTS
+    return build_mart(REFERENCE_MARTS["gebruik_wmo_pgb_gemeente"], _care_dataset(spark, sf_dir))
+
+
+_INCOME_TOPICS = (["ParticuliereHuishoudens_1", "ParticuliereHuishoudensRelatief_2",
+                   "GemiddeldGestandaardiseerdInkomen_3", "MediaanGestandaardiseerdInkomen_4",
+                   "GemiddeldBesteedbaarInkomen_5", "MediaanBesteedbaarInkomen_6"]
+                  + [f"GestandaardiseerdInkomen{i}e10Groep_{i + 6}" for i in range(1, 11)])
+
+
+def _income_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """An income dataset (84639NED) derived from orders ⋈ customer: region per
+    nation (municipalities 'GM…', provinces 'PV…'), population by order status,
+    household type by priority (one subtotal code, one total without 'Type:')."""
+    t = load(spark, sf_dir, "orders", "customer")
+    oc = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    kvh = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1050015"))
+            .when(F.col("o_orderpriority") == "2-HIGH", F.lit("1050055"))
+            .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("1050020"))
+            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("1050025"))
+            .otherwise(F.lit("1010000")))
+    coded = oc.select(
+        F.concat(F.year("o_orderdate").cast("string"), F.lit("JJ00")).alias("Perioden"),
+        F.concat(F.when(F.col("c_acctbal") < 0, F.lit("PV")).otherwise(F.lit("GM")),
+                 F.lpad(F.col("c_nationkey").cast("string"), 4, "0")).alias("Regio"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("1050010")).otherwise(F.lit("1050011")).alias("Populatie"),
+        kvh.alias("KenmerkenVanHuishoudens"), "o_orderpriority", "o_totalprice")
+    n = F.count(F.lit(1))
+    fact = coded.groupBy("Perioden", "Regio", "Populatie", "KenmerkenVanHuishoudens").agg(
+        n.cast("double").alias(_INCOME_TOPICS[0]),
+        F.sum(F.round("o_totalprice")).alias(_INCOME_TOPICS[1]),
+        *[(n * k).cast("double").alias(name) for k, name in enumerate(_INCOME_TOPICS[2:], start=3)])
+    titled = F.when(F.col("KenmerkenVanHuishoudens") == "1010000", F.lit("Totaal")) \
+              .otherwise(F.concat(F.lit("Type: "), F.substring("o_orderpriority", 3, 100)))
+    return {
+        "84639NED_TypedDataSet": fact,
+        "84639NED_Regio": coded.select(F.col("Regio").alias("Key")).distinct()
+                               .select("Key", F.concat(F.lit("Regio "), "Key").alias("Title")),
+        "84639NED_Populatie": coded.select(F.col("Populatie").alias("Key")).distinct()
+                                   .select("Key", F.concat(F.lit("Populatie "), "Key").alias("Title")),
+        "84639NED_KenmerkenVanHuishoudens": coded.select(F.col("KenmerkenVanHuishoudens").alias("Key"),
+                                                         titled.alias("Title")).distinct(),
+    }
+
+
+def _income_sql() -> str:
+    topics = ",\n         ".join(
+        ["CAST(count(*) AS DOUBLE) AS " + _INCOME_TOPICS[0],
+         f"sum(round(o_totalprice)) AS {_INCOME_TOPICS[1]}"]
+        + [f"CAST(count(*) * {k} AS DOUBLE) AS {name}" for k, name in enumerate(_INCOME_TOPICS[2:], start=3)])
+    select = """CAST(substr(fct.Perioden, 1, 4) AS BIGINT) AS jaar, regio.Key AS gemeente_code,
+       regio.Title AS gemeente_naam, kvh.Key AS huishouden_code,
+       substr(kvh.Title, 7) AS huishouden_omschrijving,
+       fct.ParticuliereHuishoudens_1 AS particuliere_huishoudens_aantal,
+       fct.ParticuliereHuishoudensRelatief_2 AS particuliere_huishoudens_relatief,
+       fct.GemiddeldGestandaardiseerdInkomen_3 AS inkomen_gestandaardiseerd_gemiddeld,
+       fct.MediaanGestandaardiseerdInkomen_4 AS inkomen_gestandaardiseerd_mediaan,
+       fct.GemiddeldBesteedbaarInkomen_5 AS inkomen_besteedbaar_gemiddeld,
+       fct.MediaanBesteedbaarInkomen_6 AS inkomen_besteedbaar_mediaan,
+       """ + ",\n       ".join(f"fct.GestandaardiseerdInkomen{i}e10Groep_{i + 6} AS inkomensgroep_deciel_{i}"
+                                for i in range(1, 11))
+    return f"""
+WITH coded AS (
+  SELECT CAST(year(o_orderdate) AS VARCHAR) || 'JJ00' AS Perioden,
+         CASE WHEN c_acctbal < 0 THEN 'PV' ELSE 'GM' END || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS Regio,
+         CASE WHEN o_orderstatus = 'F' THEN '1050010' ELSE '1050011' END AS Populatie,
+         CASE o_orderpriority WHEN '1-URGENT' THEN '1050015' WHEN '2-HIGH' THEN '1050055'
+              WHEN '3-MEDIUM' THEN '1050020' WHEN '4-NOT SPECIFIED' THEN '1050025'
+              ELSE '1010000' END AS KenmerkenVanHuishoudens,
+         o_orderpriority, o_totalprice
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+fct AS (
+  SELECT Perioden, Regio, Populatie, KenmerkenVanHuishoudens,
+         {topics}
+  FROM coded GROUP BY Perioden, Regio, Populatie, KenmerkenVanHuishoudens),
+regio AS (SELECT DISTINCT Regio AS Key, 'Regio ' || Regio AS Title FROM coded),
+pop AS (SELECT DISTINCT Populatie AS Key, 'Populatie ' || Populatie AS Title FROM coded),
+kvh AS (SELECT DISTINCT KenmerkenVanHuishoudens AS Key,
+               CASE WHEN KenmerkenVanHuishoudens = '1010000' THEN 'Totaal'
+                    ELSE 'Type: ' || substr(o_orderpriority, 3) END AS Title FROM coded)
+SELECT {select}
+FROM fct
+JOIN regio ON regio.Key = fct.Regio
+JOIN pop ON pop.Key = fct.Populatie
+JOIN kvh ON kvh.Key = fct.KenmerkenVanHuishoudens
+WHERE fct.Regio LIKE 'GM%' AND fct.Populatie = '1050010' AND kvh.Title LIKE 'Type:%'
+  AND fct.KenmerkenVanHuishoudens != '1050055'
+"""
+
+
+@register("cbs_income_mart", _income_sql())
+def cbs_income_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from statmart.plans.marts import REFERENCE_MARTS
+    return build_mart(REFERENCE_MARTS["inkomen_huishouden_gemeente"], _income_dataset(spark, sf_dir))
