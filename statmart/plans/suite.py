@@ -24,7 +24,7 @@ from statmart.functions import paths
 from statmart.functions.names import clean_name_col
 from statmart.operators.star import flatten
 from statmart.session import scratch_path
-from statmart.sinks.datasets import replace_dataset
+from statmart.sinks.datasets import dataset_name, replace_dataset
 from statmart.sinks.tables import read_range, replace_table, write_ndjson, write_range_partitioned
 from statmart.plans.staging import (envelope_pages, stage_sheet_exports, stage_xml, stage_yearly_files,
                                     stage_zips)
@@ -41,7 +41,7 @@ from statmart.sources.xml_records import read_xml_records
 from statmart.streaming.incremental import load_new_files
 from statmart.sources.listing import list_prefix, with_path_parts
 from statmart.plans.marts import Dim, MartSpec, build_mart, write_mart
-from statmart.plans.sql import run_sql
+from statmart.plans.sql import population_pc4, run_sql
 from statmart.sinks.tables import RangeBuckets
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -1212,3 +1212,17 @@ WHERE fct.Regio LIKE 'GM%' AND fct.Populatie = '1050010' AND kvh.Title LIKE 'Typ
 def cbs_income_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     from statmart.plans.marts import REFERENCE_MARTS
     return build_mart(REFERENCE_MARTS["inkomen_huishouden_gemeente"], _income_dataset(spark, sf_dir))
+
+
+@register("cbs_population_sql", ORACLE["cbs_population_mart"])
+def cbs_population_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the derived population dataset → a dataset database with one
+    file-backed table each → the templated population mart SQL over it."""
+    root = scratch_path(spark, "cbs_population")
+    uris = []
+    for name, df in _population_dataset(spark, sf_dir).items():
+        uris.append(f"{root}/files/{name}.parquet")
+        replace_table(df, uris[-1])
+    tag = root.rsplit("-", 1)[-1]
+    replace_dataset(spark, "cbs", tag, uris, "population dataset", location=f"{root}/db")
+    return population_pc4(spark, project="", schema=dataset_name("cbs", tag))
