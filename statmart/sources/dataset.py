@@ -30,7 +30,8 @@ def read_table(spark: SparkSession, uri: str) -> DataFrame:
 
 def dataset_tables(spark: SparkSession, root: str, dataset_id: str) -> dict[str, str]:
     """``{table name: uri}`` of the dataset's tables below ``root``."""
-    listing = list_files(spark, root)
+    # Only this dataset's entries are listed (a glob), not the whole root.
+    listing = list_files(spark, f"{root.rstrip('/')}/{dataset_id}_*", base=root)
     first = F.split(F.col("relative"), "/").getItem(0)
     names = (listing.select(first.alias("entry")).distinct()
                     .where(F.col("entry").startswith(dataset_id + "_"))

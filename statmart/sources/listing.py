@@ -13,18 +13,20 @@ from pyspark.sql import functions as F
 from statmart.functions import paths
 
 
-def list_files(spark: SparkSession, folder: str, suffix: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, folder: str, suffix: str | None = None,
+               base: str | None = None) -> DataFrame:
     """Every file below ``folder`` (recursive), optionally only ``suffix``.
 
-    Columns: ``path, length, modificationTime, relative`` (path below folder).
+    ``folder`` may be a glob (``root/83502NED_*``) so only matching entries are
+    listed; ``relative`` is then taken from ``base`` (default: ``folder``).
+    Columns: ``path, length, modificationTime, relative``.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix:
         suffix = suffix if suffix.startswith(".") else "." + suffix
         r = r.option("pathGlobFilter", f"*{suffix}")
     df = r.load(folder).select("path", "length", "modificationTime")
-    base = _qualified(spark, folder)
-    return df.withColumn("relative", paths.relative_to("path", base))
+    return df.withColumn("relative", paths.relative_to("path", _qualified(spark, base or folder)))
 
 
 def list_prefix(spark: SparkSession, root: str, prefix: str) -> DataFrame:
@@ -32,7 +34,12 @@ def list_prefix(spark: SparkSession, root: str, prefix: str) -> DataFrame:
 
     Object-store prefix semantics: ``cbs/kwb`` also matches ``cbs/kwb2/…``.
     """
-    return list_files(spark, root).where(F.col("relative").startswith(prefix))
+    if prefix and not any(ch in prefix for ch in "*?[]{}\\"):
+        # Only entries under the prefix are listed (a glob), not the whole root.
+        listed = list_files(spark, f"{root.rstrip('/')}/{prefix}*", base=root)
+    else:
+        listed = list_files(spark, root)
+    return listed.where(F.col("relative").startswith(prefix))
 
 
 def _qualified(spark: SparkSession, folder: str) -> str:
