@@ -8,7 +8,10 @@ Design
   and adaptive execution may still turn it into a broadcast from real sizes,
   or split skewed keys. The fact is never collected or broadcast.
 * Right and full joins keep the dimension rows, so the dimension cannot be the
-  broadcast build side; those run as shuffle joins.
+  broadcast build side of that join. When every dimension is proven small,
+  :func:`flatten` rewrites a RIGHT or FULL chain into broadcast joins plus the
+  unmatched dimension rows (found against the fact's distinct keys), so the
+  fact is never shuffled; otherwise they run as shuffle joins.
 * :func:`flatten` builds one logical plan from the dataset's column metadata:
   the metadata table is small (one row per column of the dataset) and is the
   only thing collected to the driver.
@@ -182,11 +185,59 @@ def flatten(fact: DataFrame, dims: Mapping[str, DataFrame], properties: DataFram
         raise KeyError(f"no dimension table for {missing}")
     picked = [dims[k].select(F.col(key_col).alias(f"__d{i}_key"), F.col(title_col).alias(f"__d{i}_title"))
               for i, (k, _) in enumerate(dim_items)]
-    small = fits_broadcast_many(picked, **bounds) if how in ("inner", "left") else [False] * len(picked)
+    small = fits_broadcast_many(picked, **bounds)
+    dim_selects = []
     for i, (key, title) in enumerate(dim_items):
-        kc, tc = f"__d{i}_key", f"__d{i}_title"
-        out = join_dimension(out, picked[i], (f"fct.{key}", kc), how, broadcast=small[i])
         base = dimension_alias(title)
-        select += [F.col(kc).alias(base + "_code"), F.col(tc).alias(base)]
+        dim_selects.append([F.col(f"__d{i}_key").alias(base + "_code"),
+                            F.col(f"__d{i}_title").alias(base)])
+        select += dim_selects[-1]
     select += [F.col(f"fct.{key}").alias(topic_alias(title)) for key, title in topics]
+    keys = [f"fct.{k}" for k, _ in dim_items]
+    if how in ("right", "full") and dim_items and all(small):
+        return _outer_by_broadcast(out, picked, keys, how, select, dim_selects)
+    for i in range(len(dim_items)):
+        out = join_dimension(out, picked[i], (keys[i], f"__d{i}_key"), how,
+                             broadcast=small[i] and how in ("inner", "left"))
     return out.select(select)
+
+
+def _unmatched(dim: DataFrame, i: int, fact_keys: DataFrame) -> DataFrame:
+    """Rows of a (small) dimension whose key is not among ``fact_keys``: the
+    distinct fact keys meet the broadcast dimension first, so only the matched
+    keys (at most the dimension's size) are broadcast back for the anti join."""
+    kc = f"__d{i}_key"
+    matched = fact_keys.join(F.broadcast(dim.select(kc).distinct()),
+                             fact_keys["__k"] == F.col(kc), "inner").select(F.col(kc).alias("__m")).distinct()
+    return dim.join(F.broadcast(matched), F.col(kc) == F.col("__m"), "left_anti")
+
+
+def _outer_by_broadcast(fact: DataFrame, picked: list[DataFrame], keys: list[str], how: str,
+                        select: list, dim_selects: list[list]) -> DataFrame:
+    """RIGHT / FULL star chains without shuffling the fact (all dimensions small).
+
+    FULL: the LEFT chain plus, for each dimension, its rows whose key no fact
+    row has. RIGHT: rows a later right join cannot match carry null keys, so
+    the chain is the INNER chain plus the last dimension's rows that the inner
+    chain of the other dimensions does not match. Only distinct fact keys are
+    shuffled (after partial aggregation).
+    """
+    n = len(picked)
+    if how == "full":
+        chain = fact
+        for i in range(n):
+            chain = chain.join(F.broadcast(picked[i]), F.col(keys[i]) == F.col(f"__d{i}_key"), "left")
+        out = chain.select(select)
+        for i in range(n):
+            fact_keys = fact.select(F.col(keys[i]).alias("__k")).distinct()
+            extra = _unmatched(picked[i], i, fact_keys)
+            out = out.unionByName(extra.select(dim_selects[i]), allowMissingColumns=True)
+        return out
+    prefix = fact
+    for i in range(n - 1):
+        prefix = prefix.join(F.broadcast(picked[i]), F.col(keys[i]) == F.col(f"__d{i}_key"), "inner")
+    last = n - 1
+    main = prefix.join(F.broadcast(picked[last]), F.col(keys[last]) == F.col(f"__d{last}_key"), "inner")
+    prefix_keys = prefix.select(F.col(keys[last]).alias("__k")).distinct()
+    extra = _unmatched(picked[last], last, prefix_keys)
+    return main.select(select).unionByName(extra.select(dim_selects[last]), allowMissingColumns=True)

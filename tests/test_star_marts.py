@@ -213,3 +213,31 @@ def test_broadcast_only_when_bounded(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("how", ["right", "full", "left", "inner"])
+@pytest.mark.parametrize("n_dims", [1, 2, 3])
+def test_flatten_outer_chains_match_sql(spark, how, n_dims):
+    """Random fact with keys missing on both sides, null keys and duplicate
+    dimension keys; flatten must equal the plain SQL join chain."""
+    import random
+    rnd = random.Random(n_dims * 7 + len(how))
+    names = ["A", "B", "C"][:n_dims]
+    fact_rows = [tuple([rnd.choice(["1", "2", "3", "4", None]) for _ in names]) + (float(i),)
+                 for i in range(40)]
+    fact = spark.createDataFrame(fact_rows, ", ".join(f"{n} string" for n in names) + ", T_1 double")
+    dims = {}
+    for n in names:
+        keys = rnd.sample(["2", "3", "4", "5", "6"], 3) + ["3", None]     # duplicate and null keys
+        dims[n] = spark.createDataFrame([(k, f"{n}{i}") for i, k in enumerate(keys)], "Key string, Title string")
+    props = spark.createDataFrame([(n, f"dim {n}", "Dimension") for n in names] + [("T_1", "Total", "Topic")],
+                                  "Key string, Title string, Type string")
+    got = flatten(fact, dims, props, how=how)
+    fact.createOrReplaceTempView("ofct")
+    for n in names:
+        dims[n].createOrReplaceTempView(f"odim_{n}")
+    cols = ", ".join(f"{n}.Key AS dim_{n.lower()}_code, {n}.Title AS dim_{n.lower()}" for n in names)
+    joins = " ".join(f"{how.upper()} JOIN odim_{n} AS {n} ON {n}.Key = fct.{n}" for n in names)
+    want = spark.sql(f"SELECT {cols}, fct.T_1 AS total FROM ofct AS fct {joins}")
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got.select(*sorted(got.columns))) == rows(want.select(*sorted(want.columns)))
