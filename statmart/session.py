@@ -12,7 +12,6 @@ setting is missing (unit tests, a laptop) do we pick a folder of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,17 +46,26 @@ def build_session(master: str | None = None, app: str = "statmart",
     return spark
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
-    """Shared folder for job-owned files: ``spark.checkpoint.dir`` when set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """Shared folder for job-owned files: ``spark.checkpoint.dir`` when set.
+
+    Only when the cluster names none (unit tests, a laptop) is a folder of our
+    own chosen, once per application, and given to the context as its
+    checkpoint directory. ``spark.checkpoint.dir`` is a core setting that a
+    running session cannot change, so it is never set here.
+    """
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        root = _OWN_ROOTS.get(sc.applicationId)
     if not root:
-        # Unset only outside a cluster (tests): choose one and tell Spark.
         root = tempfile.mkdtemp(prefix="statmart-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        _OWN_ROOTS[sc.applicationId] = root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -80,11 +88,3 @@ def local_path(uri: str) -> str:
         return uri[len("file:"):]
     return uri
 
-
-def is_local_fs(uri: str) -> bool:
-    return "://" not in uri or uri.startswith("file:")
-
-
-def ensure_dir(uri: str) -> None:
-    if is_local_fs(uri):
-        os.makedirs(local_path(uri), exist_ok=True)
