@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from statmart.functions.columns import (SHEET_NA_TOKENS, cast_columns, get_key, null_tokens_all,
                                         parse_decimal_comma, record_json, round_to_int64, to_int64,
@@ -848,8 +849,7 @@ def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")["customer"]
     root = scratch_path(spark, "envelope")
     envelope_pages(c, F.floor(F.col("c_custkey") / 100)).write.text(root)
-    from pyspark.sql.types import _parse_datatype_string
-    rows = read_envelope(spark, root, "value", _parse_datatype_string(_CUSTOMER_ELEMENT))
+    rows = read_envelope(spark, root, "value", StructType.fromDDL(_CUSTOMER_ELEMENT))
     return rows.select(*[get_key(F.struct("*"), n).alias(n) for n in c.columns])
 
 
