@@ -117,3 +117,17 @@ def test_relative_and_with_suffix(spark):
     df = spark.createDataFrame([("/r/x/y.txt",), ("/other/z.txt",)], "p string")
     got = df.select(paths.relative_to("p", "/r"), paths.with_suffix("p", ".json")).collect()
     assert [tuple(r) for r in got] == [("x/y.txt", "/r/x/y.json"), (None, "/other/z.json")]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_TEXT = st.text(alphabet=st.sampled_from(list("ab-.()%_ \t\n\x0b\x0c\r\x1c\x1f\x85\xa0 　xyz")),
+                max_size=12)
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(names=st.lists(_TEXT, min_size=1, max_size=20))
+def test_clean_name_column_equals_python_form(spark, names):
+    df = spark.createDataFrame([(n,) for n in names], "v string")
+    assert [r[0] for r in df.select(clean_name_col("v")).collect()] == [clean_name(n) for n in names]
