@@ -930,6 +930,15 @@ def mart_partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the statistical marts themselves, on datasets derived from the tables ------------------
 
+def _stored(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
+    """Write a derived table to the shared folder and read it back: the
+    dataset is then stored, as a loaded statistical dataset is, and the
+    tables derived from it do not recompute its lineage."""
+    path = f"{root}/{name}.parquet"
+    replace_table(df, path)
+    return spark.read.parquet(path)
+
+
 def _population_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """A population-shaped dataset (83502NED) derived from lineitem: counts per
     period, "postcode" (supplier), "sex" (return flag) and "age" (line
@@ -940,27 +949,30 @@ def _population_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame
                               F.col("l_suppkey").cast("string").alias("Postcode"),
                               F.col("l_returnflag").alias("Geslacht"),
                               F.col("l_linestatus").alias("Leeftijd"), "l_quantity")
-    fact = (li.cube("Perioden", "Postcode", "Geslacht", "Leeftijd")
-              .agg(F.sum("l_quantity").alias("Bevolking_1"))
-              .where(F.col("Perioden").isNotNull())
-              .select("Perioden",
-                      F.coalesce("Postcode", F.lit("NL01")).alias("Postcode"),
-                      F.coalesce("Geslacht", F.lit("T001038")).alias("Geslacht"),
-                      F.coalesce("Leeftijd", F.lit("10000")).alias("Leeftijd"),
-                      "Bevolking_1"))
+    root = scratch_path(spark, "83502NED")
+    fact = _stored(spark, root, "83502NED_TypedDataSet", (
+        li.cube("Perioden", "Postcode", "Geslacht", "Leeftijd")
+          .agg(F.sum("l_quantity").alias("Bevolking_1"))
+          .where(F.col("Perioden").isNotNull())
+          .select("Perioden",
+                  F.coalesce("Postcode", F.lit("NL01")).alias("Postcode"),
+                  F.coalesce("Geslacht", F.lit("T001038")).alias("Geslacht"),
+                  F.coalesce("Leeftijd", F.lit("10000")).alias("Leeftijd"),
+                  "Bevolking_1")))
     postcode = t["supplier"].select(F.col("s_suppkey").cast("string").alias("Key"),
                                     F.col("s_name").alias("Title")) \
         .unionByName(spark.createDataFrame([("NL01", "Nederland")], "Key string, Title string"))
-    flags = t["lineitem"].select("l_returnflag").distinct()
-    sex = flags.select(F.col("l_returnflag").alias("Key"),
-                       F.concat(F.lit("flag "), "l_returnflag").alias("Title")) \
-        .unionByName(spark.createDataFrame([("T001038", "Totaal")], "Key string, Title string"))
-    status = t["lineitem"].select("l_linestatus").distinct()
-    age = status.select(F.col("l_linestatus").alias("Key"),
-                        F.concat(F.lit("status "), "l_linestatus").alias("Title")) \
-        .unionByName(spark.createDataFrame([("10000", "Totaal")], "Key string, Title string"))
-    return {"83502NED_TypedDataSet": fact, "83502NED_Postcode": postcode,
-            "83502NED_Geslacht": sex, "83502NED_Leeftijd": age}
+    # Codes of the other dimensions as the stored fact has them (totals included).
+    sex = fact.select(F.col("Geslacht").alias("Key")).distinct().select(
+        "Key", F.when(F.col("Key") == "T001038", F.lit("Totaal"))
+                .otherwise(F.concat(F.lit("flag "), "Key")).alias("Title"))
+    age = fact.select(F.col("Leeftijd").alias("Key")).distinct().select(
+        "Key", F.when(F.col("Key") == "10000", F.lit("Totaal"))
+                .otherwise(F.concat(F.lit("status "), "Key")).alias("Title"))
+    return {"83502NED_TypedDataSet": fact,
+            "83502NED_Postcode": _stored(spark, root, "83502NED_Postcode", postcode),
+            "83502NED_Geslacht": _stored(spark, root, "83502NED_Geslacht", sex),
+            "83502NED_Leeftijd": _stored(spark, root, "83502NED_Leeftijd", age)}
 
 
 @register("cbs_population_mart", """
@@ -1073,12 +1085,15 @@ def _care_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     li = load(spark, sf_dir, "lineitem")["lineitem"]
     codes = _care_codes()
     coded = li.select(*[c.alias(n) for n, c in codes.items()], "l_quantity")
-    fact = coded.groupBy(*codes).agg(F.count(F.lit(1)).cast("double").alias("PersonenMetGebruikInJaar_1"),
-                                     F.sum("l_quantity").alias("PersonenMetGebruikInJaar_2"))
+    root = scratch_path(spark, "40060NED")
+    fact = _stored(spark, root, "40060NED_TypedDataSet", coded.groupBy(*codes).agg(
+        F.count(F.lit(1)).cast("double").alias("PersonenMetGebruikInJaar_1"),
+        F.sum("l_quantity").alias("PersonenMetGebruikInJaar_2")))
     out = {"40060NED_TypedDataSet": fact}
     for name in codes:
-        out[f"40060NED_{name}"] = coded.select(F.col(name).alias("Key")).distinct() \
+        dim = fact.select(F.col(name).alias("Key")).distinct() \
             .select("Key", F.concat(F.lit(f"{name} "), "Key").alias("Title"))
+        out[f"40060NED_{name}"] = _stored(spark, root, f"40060NED_{name}", dim)
     return out
 
 
@@ -1146,21 +1161,25 @@ def _income_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(F.col("o_orderstatus") == "F", F.lit("1050010")).otherwise(F.lit("1050011")).alias("Populatie"),
         kvh.alias("KenmerkenVanHuishoudens"), "o_orderpriority", "o_totalprice")
     n = F.count(F.lit(1))
-    fact = coded.groupBy("Perioden", "Regio", "Populatie", "KenmerkenVanHuishoudens").agg(
+    root = scratch_path(spark, "84639NED")
+    # Household types keep the priority text for their titles ("Type: …").
+    fact = _stored(spark, root, "84639NED_TypedDataSet", coded.groupBy(
+        "Perioden", "Regio", "Populatie", "KenmerkenVanHuishoudens", "o_orderpriority").agg(
         n.cast("double").alias(_INCOME_TOPICS[0]),
         F.sum(F.round("o_totalprice")).alias(_INCOME_TOPICS[1]),
-        *[(n * k).cast("double").alias(name) for k, name in enumerate(_INCOME_TOPICS[2:], start=3)])
+        *[(n * k).cast("double").alias(name) for k, name in enumerate(_INCOME_TOPICS[2:], start=3)]))
     titled = F.when(F.col("KenmerkenVanHuishoudens") == "1010000", F.lit("Totaal")) \
               .otherwise(F.concat(F.lit("Type: "), F.substring("o_orderpriority", 3, 100)))
-    return {
-        "84639NED_TypedDataSet": fact,
-        "84639NED_Regio": coded.select(F.col("Regio").alias("Key")).distinct()
-                               .select("Key", F.concat(F.lit("Regio "), "Key").alias("Title")),
-        "84639NED_Populatie": coded.select(F.col("Populatie").alias("Key")).distinct()
-                                   .select("Key", F.concat(F.lit("Populatie "), "Key").alias("Title")),
-        "84639NED_KenmerkenVanHuishoudens": coded.select(F.col("KenmerkenVanHuishoudens").alias("Key"),
-                                                         titled.alias("Title")).distinct(),
+    dims = {
+        "84639NED_Regio": fact.select(F.col("Regio").alias("Key")).distinct()
+                              .select("Key", F.concat(F.lit("Regio "), "Key").alias("Title")),
+        "84639NED_Populatie": fact.select(F.col("Populatie").alias("Key")).distinct()
+                                  .select("Key", F.concat(F.lit("Populatie "), "Key").alias("Title")),
+        "84639NED_KenmerkenVanHuishoudens": fact.select(F.col("KenmerkenVanHuishoudens").alias("Key"),
+                                                        titled.alias("Title")).distinct(),
     }
+    return {"84639NED_TypedDataSet": fact.drop("o_orderpriority"),
+            **{k: _stored(spark, root, k, v) for k, v in dims.items()}}
 
 
 def _income_sql() -> str:
