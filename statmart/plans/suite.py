@@ -930,9 +930,20 @@ def mart_partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the statistical marts themselves, on datasets derived from the tables ------------------
 
+def _codes_from_fact(spark: SparkSession, root: str, fact: DataFrame,
+                     names: list[str]) -> dict[str, DataFrame]:
+    """The distinct codes of several dimension columns of a stored fact, in one
+    pass (one aggregation over (dimension, code) pairs), stored once; each
+    dimension is then a filter on that small table."""
+    pairs = fact.select(F.explode(F.array(*[F.struct(F.lit(n).alias("dim"), F.col(n).alias("Key"))
+                                            for n in names])).alias("p")).select("p.*").distinct()
+    codes = _stored(spark, root, "dimension_codes", pairs)
+    return {n: codes.where(F.col("dim") == n).select("Key") for n in names}
+
+
 def _stored(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
-    """Write a derived table to the shared folder and read it back: the
-    dataset is then stored, as a loaded statistical dataset is, and the
+    """Write a derived fact table to the shared folder and read it back: it
+    is then stored, as a loaded statistical dataset is, and the dimension
     tables derived from it do not recompute its lineage."""
     path = f"{root}/{name}.parquet"
     replace_table(df, path)
@@ -963,16 +974,15 @@ def _population_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame
                                     F.col("s_name").alias("Title")) \
         .unionByName(spark.createDataFrame([("NL01", "Nederland")], "Key string, Title string"))
     # Codes of the other dimensions as the stored fact has them (totals included).
-    sex = fact.select(F.col("Geslacht").alias("Key")).distinct().select(
+    codes = _codes_from_fact(spark, root, fact, ["Geslacht", "Leeftijd"])
+    sex = codes["Geslacht"].select(
         "Key", F.when(F.col("Key") == "T001038", F.lit("Totaal"))
                 .otherwise(F.concat(F.lit("flag "), "Key")).alias("Title"))
-    age = fact.select(F.col("Leeftijd").alias("Key")).distinct().select(
+    age = codes["Leeftijd"].select(
         "Key", F.when(F.col("Key") == "10000", F.lit("Totaal"))
                 .otherwise(F.concat(F.lit("status "), "Key")).alias("Title"))
-    return {"83502NED_TypedDataSet": fact,
-            "83502NED_Postcode": _stored(spark, root, "83502NED_Postcode", postcode),
-            "83502NED_Geslacht": _stored(spark, root, "83502NED_Geslacht", sex),
-            "83502NED_Leeftijd": _stored(spark, root, "83502NED_Leeftijd", age)}
+    return {"83502NED_TypedDataSet": fact, "83502NED_Postcode": postcode,
+            "83502NED_Geslacht": sex, "83502NED_Leeftijd": age}
 
 
 @register("cbs_population_mart", """
@@ -1090,10 +1100,8 @@ def _care_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.count(F.lit(1)).cast("double").alias("PersonenMetGebruikInJaar_1"),
         F.sum("l_quantity").alias("PersonenMetGebruikInJaar_2")))
     out = {"40060NED_TypedDataSet": fact}
-    for name in codes:
-        dim = fact.select(F.col(name).alias("Key")).distinct() \
-            .select("Key", F.concat(F.lit(f"{name} "), "Key").alias("Title"))
-        out[f"40060NED_{name}"] = _stored(spark, root, f"40060NED_{name}", dim)
+    for name, keys in _codes_from_fact(spark, root, fact, list(codes)).items():
+        out[f"40060NED_{name}"] = keys.select("Key", F.concat(F.lit(f"{name} "), "Key").alias("Title"))
     return out
 
 
@@ -1178,8 +1186,7 @@ def _income_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "84639NED_KenmerkenVanHuishoudens": fact.select(F.col("KenmerkenVanHuishoudens").alias("Key"),
                                                         titled.alias("Title")).distinct(),
     }
-    return {"84639NED_TypedDataSet": fact.drop("o_orderpriority"),
-            **{k: _stored(spark, root, k, v) for k, v in dims.items()}}
+    return {"84639NED_TypedDataSet": fact.drop("o_orderpriority"), **dims}
 
 
 def _income_sql() -> str:
