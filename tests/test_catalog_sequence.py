@@ -132,3 +132,27 @@ def test_map_items(spark):
     df = spark.createDataFrame([(1, 1.4), (1, 2.6)], "k int, q double")
     nested = map_items(nest(df, ["k"], ["q"]), lambda x: F.round(x["q"]).cast("int"))
     assert nested.first().mapped == [1, 3]
+
+
+def test_catalog_flow_envelope_to_batches(spark, tmp_path):
+    """Saved catalog response → one catalog per id → ids to (re)load → batches
+    of ten per source (the catalog mirror flow)."""
+    import json
+    from statmart.sources.json_records import read_envelope
+    rows_ = ([{"Identifier": f"A{i:02d}", "Catalog": "CBS", "Modified": "2021-01-01"} for i in range(10)]
+             + [{"Identifier": f"B{i:02d}", "Catalog": "Politie" if i % 2 else "politie",
+                 "Modified": "2021-01-01"} for i in range(11)]
+             + [{"Identifier": "A00", "Catalog": "Another", "Modified": "2021-01-01"}])   # repeated id
+    (tmp_path / "catalog.json").write_text(json.dumps({"odata.metadata": "x", "value": rows_}, indent=1))
+    cat = read_envelope(spark, str(tmp_path / "catalog.json"), multi_line=True)
+    latest = latest_catalog(cat.select("Identifier", "Catalog"))
+    assert {r.Identifier: r.Catalog for r in latest.collect()}["A00"] == "CBS"   # greatest name wins
+    meta = cat.groupBy("Identifier").agg(F.max("Modified").alias("modified")) \
+              .withColumnRenamed("Identifier", "id")
+    loaded = spark.createDataFrame([("A01", "2021-01-01"), ("B03", "2020-12-31")], "id string, modified string")
+    todo = needs_refresh(meta, loaded)
+    keyed = todo.join(latest.withColumnRenamed("Identifier", "id"), "id") \
+                .select("id", F.lower("Catalog").alias("source"))
+    got = batches(keyed, "source", "id").groupBy("source", "batch").count()
+    # CBS: 10 ids, one already loaded → 9; politie (case merged): 11 → 10 + 1
+    assert rows(got) == [("cbs", 0, 9), ("politie", 0, 10), ("politie", 1, 1)]
