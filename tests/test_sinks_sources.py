@@ -276,3 +276,22 @@ def test_header_and_skip_rows_with_many_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_zip_flow_to_dataset(spark, tmp_path):
+    """Archive → expand → convert by suffix (csv → parquet, txt → NDJSON) →
+    dataset with one file-backed table per output (the zipped-file flow)."""
+    from statmart.sources.archives import convert_members
+    src = tmp_path / "in"
+    src.mkdir()
+    with zipfile.ZipFile(src / "open-data (2021).zip", "w") as z:
+        z.writestr("deel 1/regio.csv", "code,naam\nGM1,Een\nGM2,Twee\n")
+        z.writestr("deel 1/vast.txt", "code naam  \nGM1  Een   \nGM3  Drie  \n")
+    members = expand_archives(spark, str(src), str(tmp_path / "out"))
+    out = convert_members(spark, members, str(tmp_path / "converted"))
+    assert set(out) == {"csv", "txt"}
+    tables = replace_dataset(spark, "zip", "flow_unit", [out["csv"], out["txt"]],
+                             location=str(tmp_path / "db"))
+    assert tables == ["zip_flow_unit.csv", "zip_flow_unit.txt"]
+    assert rows(spark.table("zip_flow_unit.csv").select("code", "naam")) == [("GM1", "Een"), ("GM2", "Twee")]
+    assert rows(spark.table("zip_flow_unit.txt").select("code", "naam")) == [("GM1", "Een"), ("GM3", "Drie")]
