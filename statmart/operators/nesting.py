@@ -42,9 +42,12 @@ def nest(df: DataFrame, parent_cols: Sequence[str], child_cols: Sequence[str],
     if n_big == 0:
         rows = df.withColumn("part", F.lit(0).cast("bigint"))
     else:
+        big = big.select(*[F.col(c).alias(f"__b_{c}") for c in parents])
         big_b = F.broadcast(big) if n_big <= BIG_PARENTS_BROADCAST else big
-        small_rows = df.join(big_b, parents, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
-        big_rows = batch_number(df.join(big_b, parents, "left_semi"), parents, order,
+        # Null-safe: a large group with a null parent key is split as well.
+        on = [df[c].eqNullSafe(big_b[f"__b_{c}"]) for c in parents]
+        small_rows = df.join(big_b, on, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+        big_rows = batch_number(df.join(big_b, on, "left_semi"), parents, order,
                                 size=max_items, name="part")
         rows = small_rows.unionByName(big_rows)
     return rows.groupBy(*parents, "part").agg(

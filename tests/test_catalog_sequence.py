@@ -156,3 +156,10 @@ def test_catalog_flow_envelope_to_batches(spark, tmp_path):
     got = batches(keyed, "source", "id").groupBy("source", "batch").count()
     # CBS: 10 ids, one already loaded → 9; politie (case merged): 11 → 10 + 1
     assert rows(got) == [("cbs", 0, 9), ("politie", 0, 10), ("politie", 1, 1)]
+
+
+def test_nest_splits_a_large_null_parent(spark):
+    df = spark.createDataFrame([(None, i) for i in range(120)] + [("p", 1)], "parent string, child int")
+    nested = nest(df, ["parent"], ["child"], max_items=50)
+    got = {(r.parent, r.part): r.n_items for r in nested.collect()}
+    assert got == {(None, 0): 50, (None, 1): 50, (None, 2): 20, ("p", 0): 1}
