@@ -823,8 +823,8 @@ def yearly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("xml_records", """
 SELECT c_custkey AS id, c_name AS naam, c_acctbal AS saldo, c_nationkey AS land,
        c_mktsegment AS segment,
-       to_json({'@id': c_custkey, 'adres': {'land': c_nationkey, 'segment': c_mktsegment},
-                'naam': c_name, 'saldo': c_acctbal}) AS json
+       CAST(to_json({'@id': c_custkey, 'adres': {'land': c_nationkey, 'segment': c_mktsegment},
+                     'naam': c_name, 'saldo': c_acctbal}) AS VARCHAR) AS json
 FROM customer
 """)
 def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
