@@ -31,9 +31,18 @@ def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+# Spark type → DuckDB type of the same values.
+TYPE_NAMES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    got = E.queries()[key](spark, SF_SMALL).toPandas()
+    df = E.queries()[key](spark, SF_SMALL)
+    declared = {r[0]: r[1] for r in duck.sql(f"DESCRIBE ({E.oracle_sql()[key]})").fetchall()}
+    for f in df.schema.fields:
+        assert TYPE_NAMES.get(f.dataType.simpleString()) == declared[f.name], f.name
+    got = df.toPandas()
     want = duck.sql(E.oracle_sql()[key]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
