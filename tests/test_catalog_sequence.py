@@ -7,7 +7,7 @@ from statmart.operators.catalog import (batches, distinct_sources, expect_one, i
                                         latest_catalog, needs_refresh)
 from statmart.operators.nesting import map_items, nest, unnest
 from statmart.operators.runlog import count_failed, failed_runs, first_last_by
-from statmart.operators.sequence import batch_number, sequence_within
+from statmart.operators.sequence import sequence_within
 
 
 def skewed(spark, n=3000):
