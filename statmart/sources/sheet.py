@@ -49,7 +49,7 @@ def read_sheet_export(spark: SparkSession, paths: str | Sequence[str], sep: str
             drop = drop | (name.contains(pattern) & line_no.isin(list(nums)))
     elif list(skip_rows):
         drop = drop | line_no.isin(list(skip_rows))
-    kept = lines.where(~F.coalesce(drop, F.lit(False)) & (F.length(F.trim("value")) > 0))
+    kept = lines.where(~drop & (F.length(F.trim("value")) > 0))
     out = None
     for head, group in groups.items():
         names = _split_header(head, sep)

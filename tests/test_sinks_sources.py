@@ -295,3 +295,19 @@ def test_zip_flow_to_dataset(spark, tmp_path):
     assert tables == ["zip_flow_unit.csv", "zip_flow_unit.txt"]
     assert rows(spark.table("zip_flow_unit.csv").select("code", "naam")) == [("GM1", "Een"), ("GM2", "Twee")]
     assert rows(spark.table("zip_flow_unit.txt").select("code", "naam")) == [("GM1", "Een"), ("GM3", "Drie")]
+
+
+def test_skip_rows_beyond_the_first_split(spark, tmp_path):
+    body = "".join(f"r{i:05d},{i}\n" for i in range(3000))
+    (tmp_path / "s.csv").write_text("name,value\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        # line 2501 holds row 2500, far past the first split
+        df = read_sheet_export(spark, str(tmp_path / "s.csv"), skip_rows=[1, 2501],
+                               types={"value": "bigint"})
+        got = sorted(r.value for r in df.collect())
+        assert got == [i for i in range(3000) if i not in (0, 2500)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
