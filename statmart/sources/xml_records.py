@@ -38,12 +38,17 @@ def declared_prefixes(spark: SparkSession, paths: str | Sequence[str]) -> tuple[
 
 
 def read_xml_records(spark: SparkSession, paths: str | Sequence[str], row_tag: str,
-                     schema=None) -> DataFrame:
-    """Rows of every ``row_tag`` element, namespace declarations removed."""
-    prefixes, plain = declared_prefixes(spark, paths)
-    clash = sorted(prefixes & plain)
-    if clash:
-        raise ValueError(f"namespace prefix equals an attribute name: {clash}")
+                     schema=None, prefixes: set[str] | None = None) -> DataFrame:
+    """Rows of every ``row_tag`` element, namespace declarations removed.
+
+    ``prefixes`` (the declared namespace prefixes, when known) skips the text
+    pass that finds them and checks them against attribute names.
+    """
+    if prefixes is None:
+        prefixes, plain = declared_prefixes(spark, paths)
+        clash = sorted(prefixes & plain)
+        if clash:
+            raise ValueError(f"namespace prefix equals an attribute name: {clash}")
     r = (spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true")
               .option("attributePrefix", "@").option("valueTag", "#text"))
     if schema is not None:

@@ -311,3 +311,10 @@ def test_skip_rows_beyond_the_first_split(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_xml_records_with_known_prefixes(spark, tmp_path):
+    p = tmp_path / "a.xml"
+    p.write_text(XML)
+    df = read_xml_records(spark, str(p), "Nummeraanduiding", prefixes={"b", "c", "d"})
+    assert sorted(df.columns) == ["@id", "adres", "postcode"]
