@@ -90,24 +90,31 @@ def read_fixed_width(spark: SparkSession, paths: str | Sequence[str], layout: La
     return cut(read_lines(spark, paths, header, encoding), layout, parse_dates)
 
 
-_WORD = 63   # positions per aggregated word (bits of a positive BIGINT)
+_WORD = 63        # positions per aggregated word (bits of a positive BIGINT)
+_FIRST_WORDS = 8  # words computed with the longest line in the first pass (504 positions)
+
+
+def _word_aggs(first: int, last: int) -> list:
+    mask = F.regexp_replace(F.regexp_replace("value", r"\S", "1"), r"\s", "0")
+    return [F.bit_or(F.conv(F.rpad(F.substring(mask, w * _WORD + 1, _WORD), _WORD, "0"), 2, 10)
+                     .cast("bigint")).alias(f"w{w}") for w in range(first, last)]
 
 
 def infer_spans(lines: DataFrame) -> list[tuple[int, int]]:
     """Column spans (1-based start, width) from the non-blank positions of
     every line. Each line becomes a 0/1 mask; each 63-position slice of the
     mask is read as a binary number and OR-ed over all lines (``bit_or``), so
-    the pass keeps only ceil(longest line / 63) small aggregates. One more
-    pass finds the longest line."""
-    max_len = lines.agg(F.max(F.length("value"))).first()[0] or 0
+    only ceil(longest line / 63) small aggregates are kept. Lines up to 504
+    characters need one pass; longer lines one more pass for the rest."""
+    first = lines.agg(F.max(F.length("value")).alias("max_len"), *_word_aggs(0, _FIRST_WORDS)).first()
+    max_len = first["max_len"] or 0
     if max_len == 0:
         return []
-    mask = F.regexp_replace(F.regexp_replace("value", r"\S", "1"), r"\s", "0")
     n_words = (max_len + _WORD - 1) // _WORD
-    words = lines.select(mask.alias("m")).agg(*[
-        F.bit_or(F.conv(F.rpad(F.substring("m", w * _WORD + 1, _WORD), _WORD, "0"), 2, 10)
-                 .cast("bigint")).alias(f"w{w}")
-        for w in range(n_words)]).first()
+    words = {f"w{w}": first[f"w{w}"] for w in range(min(n_words, _FIRST_WORDS))}
+    if n_words > _FIRST_WORDS:
+        rest = lines.agg(*_word_aggs(_FIRST_WORDS, n_words)).first()
+        words.update({f"w{w}": rest[f"w{w}"] for w in range(_FIRST_WORDS, n_words)})
     bits = "".join(format(words[f"w{w}"] or 0, f"0{_WORD}b") for w in range(n_words))[:max_len]
     spans, start = [], None
     for p, bit in enumerate(bits, start=1):

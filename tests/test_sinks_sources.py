@@ -318,3 +318,12 @@ def test_xml_records_with_known_prefixes(spark, tmp_path):
     p.write_text(XML)
     df = read_xml_records(spark, str(p), "Nummeraanduiding", prefixes={"b", "c", "d"})
     assert sorted(df.columns) == ["@id", "adres", "postcode"]
+
+
+def test_infer_layout_wide_lines(spark, tmp_path):
+    """Lines wider than the first pass covers (504 positions) take the second pass."""
+    from statmart.sources.fixed_width import infer_spans, read_lines
+    head = "a" * 10 + " " * 600 + "b" * 5
+    p = tmp_path / "wide.txt"
+    p.write_text(head + "\n" + "x" * 3 + " " * 607 + "yy" + "\n")
+    assert infer_spans(read_lines(spark, str(p))) == [(1, 10), (611, 5)]
