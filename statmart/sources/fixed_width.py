@@ -2,9 +2,8 @@
 
 Every line is cut with ``substring`` per column and trimmed; columns stay text
 until an explicit cast step. With ``header=True`` the first line of every file
-is dropped using the CSV reader's own per-file header rule: lines are read as a
-single text field (a separator that does not occur in text registers, quoting
-off), so a large file is still split over many tasks.
+is dropped by its exact line number, so a large file is still split over many
+tasks.
 
 Layout inference (S4) is one aggregation over all lines: for every character
 position "is any line non-blank here" (bit masks OR-ed with ``bit_or``), then
@@ -20,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.functions.columns import parse_date, trim_all
-from statmart.sources.files import as_list, charset, first_lines, input_files
+from statmart.sources.files import as_list, charset, first_lines, input_files, numbered_lines
 
-# Field separator for whole-line reads: never present in register text.
+# Field separator for writing whole lines through the CSV writer (which puts
+# the header line at the top of every file): never present in register text.
 _LINE_SEP = "\u0001\u0002\u0003"
 
 
@@ -59,17 +59,14 @@ class Layout:
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], header: bool = False,
                encoding: str = "utf-8") -> DataFrame:
-    """Whole lines as ``value``; ``header`` drops the first line of every file."""
+    """Whole lines as ``value``; ``header`` drops the first line of every file
+    (exact per-file line numbers, see :func:`statmart.sources.files.numbered_lines`)."""
     if not header:
         r = spark.read.option("encoding", charset(encoding)) if charset(encoding) != "UTF-8" \
             else spark.read
         return r.text(as_list(paths))
-    return (spark.read.schema("value string").option("header", True)
-                 .option("sep", _LINE_SEP).option("quote", "").option("escape", "")
-                 .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-                 .option("nullValue", None).option("emptyValue", "")
-                 .option("encoding", charset(encoding)).csv(as_list(paths))
-                 .where(F.col("value").isNotNull()))
+    lines = numbered_lines(spark, input_files(spark, paths), encoding)
+    return lines.where(F.col("line_no") != 0).select("value")
 
 
 def cut(lines: DataFrame, layout: Layout, parse_dates: bool = True) -> DataFrame:
