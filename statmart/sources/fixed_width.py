@@ -183,7 +183,9 @@ def write_fixed_width(df: DataFrame, path: str, layout: Layout, header: bool = T
     if not header:
         lines.write.mode(mode).text(path)
         return
-    (lines.withColumnRenamed("value", header_line(layout))
+    safe = F.when(~F.col("value").contains(_LINE_SEP), F.col("value")).otherwise(
+        F.raise_error(F.lit("line holds the writer's field separator")))
+    (lines.select(safe.alias(header_line(layout)))
           .write.mode(mode).option("header", True).option("sep", _LINE_SEP)
           .option("quote", "").option("escape", "").option("quoteAll", False)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
