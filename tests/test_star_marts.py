@@ -241,3 +241,28 @@ def test_flatten_outer_chains_match_sql(spark, how, n_dims):
     want = spark.sql(f"SELECT {cols}, fct.T_1 AS total FROM ofct AS fct {joins}")
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got.select(*sorted(got.columns))) == rows(want.select(*sorted(want.columns)))
+
+
+def test_snowflake_broadcast_proof_uses_key_multiplicity(spark):
+    from statmart.operators.star import max_key_multiplicity
+    from statmart.plans.marts import Dim, MartSpec
+    fact = spark.createDataFrame([(i, i % 5) for i in range(100)], "f_id int, o_key int")
+    orders = spark.createDataFrame([(k, k % 2) for k in range(5)], "o_key int, c_key int")
+    uniq = spark.createDataFrame([(0, "a"), (1, "b")], "c_key int, name string")
+    dup = spark.createDataFrame([(0, "a"), (0, "a2"), (0, "a3"), (1, "b")], "c_key int, name string")
+    assert max_key_multiplicity([uniq, dup], ["c_key", "c_key"]) == [1, 3]
+    spec = MartSpec(name="t", fact="f", dims=[Dim("o", "o", "o_key", "o_key"), Dim("c", "c", "o.c_key", "c_key")],
+                    select=[("f_id", "fct.f_id"), ("name", "c.name")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        # 5 orders × multiplicity 1 = 5 rows ≤ 8: the whole branch is broadcast
+        small = build_mart(spec, {"f": fact, "o": orders, "c": uniq}, max_rows=8)
+        assert "SortMergeJoin" not in plan_text(small)
+        # 5 orders × multiplicity 3 = 15 rows > 8: the branch is not broadcast
+        big = build_mart(spec, {"f": fact, "o": orders, "c": dup}, max_rows=8)
+        assert "SortMergeJoin" in plan_text(big)
+        assert big.count() == 60 * 3 + 40 and small.count() == 100   # 3 names for c_key 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
