@@ -61,7 +61,9 @@ def expect_one(df: DataFrame, what: str = "result") -> DataFrame:
     The check is part of the plan (``raise_error``), not a driver-side count.
     """
     cols = df.columns
-    agg = df.agg(F.count(F.lit(1)).alias("__n"), F.max(F.struct(*cols)).alias("__row"))
+    # With exactly one row any_value is that row; it also takes maps and
+    # other types max() cannot order.
+    agg = df.agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*cols)).alias("__row"))
     checked = agg.select(
         F.when(F.col("__n") == 1, F.col("__row"))
          .otherwise(F.raise_error(F.concat(F.lit(f"expected exactly one {what}, got "),

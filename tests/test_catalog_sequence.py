@@ -163,3 +163,8 @@ def test_nest_splits_a_large_null_parent(spark):
     nested = nest(df, ["parent"], ["child"], max_items=50)
     got = {(r.parent, r.part): r.n_items for r in nested.collect()}
     assert got == {(None, 0): 50, (None, 1): 50, (None, 2): 20, ("p", 0): 1}
+
+
+def test_expect_one_with_a_map_column(spark):
+    df = spark.createDataFrame([(1, {"a": 1})], "k int, m map<string,int>")
+    assert expect_one(df).first().m == {"a": 1}
