@@ -43,16 +43,16 @@ def count_failed(runs: DataFrame, name_pattern: str = "cbs_v3%",
 
 
 def first_last_by(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                  value_cols: list[str]) -> DataFrame:
-    """Per group: row count and the values of the first and last row by
-    ``order_cols`` (A3), as ``first_<col>`` / ``last_<col>``. Partial
-    aggregation (``min_by``/``max_by`` on a struct key), so a large group is
-    reduced in every task before the shuffle."""
+                  value_cols: list[str], count_name: str = "n_errors") -> DataFrame:
+    """Per group: row count (``count_name``) and the values of the first and
+    last row by ``order_cols`` (A3), as ``first_<col>`` / ``last_<col>``.
+    Partial aggregation (``min_by``/``max_by`` on a struct key), so a large
+    group is reduced in every task before the shuffle."""
     order = F.struct(*order_cols)
     vals = F.struct(*value_cols)
-    agg = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n_errors"),
+    agg = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(count_name),
                                       F.min_by(vals, order).alias("__first"),
                                       F.max_by(vals, order).alias("__last"))
-    return agg.select(*group_cols, "n_errors",
+    return agg.select(*group_cols, count_name,
                       *[F.col(f"__first.{c}").alias(f"first_{c}") for c in value_cols],
                       *[F.col(f"__last.{c}").alias(f"last_{c}") for c in value_cols])
