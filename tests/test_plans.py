@@ -9,7 +9,8 @@ from conftest import SF_SMALL, plan_text
 
 KEYS = sorted(E.queries())
 STAR = ["mart_left_star", "mart_left_star_sql", "mart_inner_star", "mart_type_prefix",
-        "flatten_meta_inner", "flatten_meta_left", "dataset_group"]
+        "flatten_meta_inner", "flatten_meta_left", "dataset_group", "cbs_population_mart",
+        "cbs_income_mart", "cbs_care_use_mart", "cbs_district_mart"]
 
 
 @pytest.fixture(scope="module")
