@@ -37,9 +37,13 @@ MAX_BROADCAST_GROUPS = 100_000
 def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                     name: str = "seq", max_broadcast_groups: int = MAX_BROADCAST_GROUPS) -> DataFrame:
     """Add ``name``: 0-based position of the row in its group ordered by ``order_cols``."""
-    keys = list(group_cols) + list(order_cols)
     few_groups = (df.select(*group_cols).distinct().limit(max_broadcast_groups + 1).count()
                   <= max_broadcast_groups)
+    # Tie-breaker: rows with equal (group, order) values would all land in one
+    # range partition; the scan-order id (taken before the shuffle, the same
+    # on re-execution) lets the range shuffle split them as well.
+    df = df.withColumn("__tie", F.monotonically_increasing_id())
+    keys = list(group_cols) + list(order_cols) + ["__tie"]
     # A fixed partition count: adaptive coalescing must not renumber the
     # partitions differently for the two readers of this shuffle.
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -61,7 +65,7 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     cond = [ranged[c].eqNullSafe(offsets[f"__o_{c}"]) for c in ["__pid"] + list(group_cols)]
     out = ranged.join(F.broadcast(offsets) if few_groups else offsets, cond, "inner")
     return (out.withColumn(name, F.col("__o___offset") + F.col("__local") - F.col("__o___start"))
-               .drop("__pid", "__local", *[c for c in offsets.columns]))
+               .drop("__pid", "__local", "__tie", *[c for c in offsets.columns]))
 
 
 def batch_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],

@@ -168,3 +168,17 @@ def test_nest_splits_a_large_null_parent(spark):
 def test_expect_one_with_a_map_column(spark):
     df = spark.createDataFrame([(1, {"a": 1})], "k int, m map<string,int>")
     assert expect_one(df).first().m == {"a": 1}
+
+
+def test_sequence_with_a_hot_group_of_equal_keys(spark):
+    """A third of the rows share group and order value: positions are still a
+    gap-free 0..n-1 per group."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") < 1000, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string")))
+         .alias("g"),
+        F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id")).alias("o"))
+    got = sequence_within(df, ["g"], ["o"]).groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("seq").alias("d"), F.min("seq").alias("lo"),
+        F.max("seq").alias("hi"))
+    for r in got.collect():
+        assert (r.d, r.lo, r.hi) == (r.n, 0, r.n - 1)
