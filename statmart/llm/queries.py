@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from statmart.llm.bpe import op10_bpe
 from statmart.llm.sharding import op9_feistel_sharding
 
 QUERIES = {
     "op9_feistel_sharding": op9_feistel_sharding,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {}
