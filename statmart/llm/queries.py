@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from statmart.llm.bpe import op10_bpe
 from statmart.llm.sharding import op9_feistel_sharding
+from statmart.llm.tokenfile import op2_bitplane_files
 
 QUERIES = {
+    "op2_bitplane_files": op2_bitplane_files,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_bpe": op10_bpe,
 }
