@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from statmart.llm.bpe import op10_bpe
+from statmart.llm.langid import op3_language_id
 from statmart.llm.sharding import op9_feistel_sharding
 from statmart.llm.tokenfile import op2_bitplane_files
 
 QUERIES = {
     "op2_bitplane_files": op2_bitplane_files,
+    "op3_language_id": op3_language_id,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_bpe": op10_bpe,
 }
