@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from statmart.llm.bpe import op10_bpe
+from statmart.llm.chatlog import op5_chat_format
 from statmart.llm.langid import op3_language_id
 from statmart.llm.sharding import op9_feistel_sharding
 from statmart.llm.tokenfile import op2_bitplane_files
@@ -10,6 +11,7 @@ from statmart.llm.tokenfile import op2_bitplane_files
 QUERIES = {
     "op2_bitplane_files": op2_bitplane_files,
     "op3_language_id": op3_language_id,
+    "op5_chat_format": op5_chat_format,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_bpe": op10_bpe,
 }
