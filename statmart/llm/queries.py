@@ -5,10 +5,12 @@ from __future__ import annotations
 from statmart.llm.bpe import op10_bpe
 from statmart.llm.chatlog import op5_chat_format
 from statmart.llm.langid import op3_language_id
+from statmart.llm.revisits import OP1_SQL, op1_revisits
 from statmart.llm.sharding import op9_feistel_sharding
 from statmart.llm.tokenfile import op2_bitplane_files
 
 QUERIES = {
+    "op1_revisits": op1_revisits,
     "op2_bitplane_files": op2_bitplane_files,
     "op3_language_id": op3_language_id,
     "op5_chat_format": op5_chat_format,
@@ -16,4 +18,6 @@ QUERIES = {
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_revisits": OP1_SQL,
+}
