@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from statmart.llm.bpe import op10_bpe
 from statmart.llm.chatlog import op5_chat_format
+from statmart.llm.kmeans_tree import op4_kmeans_tree
 from statmart.llm.langid import op3_language_id
 from statmart.llm.revisits import OP1_SQL, op1_revisits
 from statmart.llm.sharding import op9_feistel_sharding
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_revisits": op1_revisits,
     "op2_bitplane_files": op2_bitplane_files,
     "op3_language_id": op3_language_id,
+    "op4_kmeans_tree": op4_kmeans_tree,
     "op5_chat_format": op5_chat_format,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_bpe": op10_bpe,
