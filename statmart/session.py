@@ -7,13 +7,16 @@ session time zone, Arrow transfer for the few pandas steps.
 
 Files a job writes for itself (staged conversions, lineage cuts) go below the
 shared folder the cluster names in ``spark.checkpoint.dir``. Only when that
-setting is missing (unit tests, a laptop) do we pick a folder of our own.
+setting is missing and the master is local (unit tests, a laptop) do we pick a
+folder of our own.
 """
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,9 +46,35 @@ def build_session(master: str | None = None, app: str = "statmart",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Functions that run in tasks are pickled by name, so a Python worker must be able
+    to import them wherever it was started.
+    """
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(package):
+        return  # already sent, or imported from an archive that was sent itself
+    top = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="statmart-"), "statmart_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, top))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 _OWN_ROOTS: dict[str, str] = {}
 
 
@@ -62,6 +91,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = _OWN_ROOTS.get(sc.applicationId)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="statmart-")
         _OWN_ROOTS[sc.applicationId] = root
     if sc.getCheckpointDir() is None:

@@ -1,3 +1,7 @@
+import os
+
+import pytest
+
 from statmart import session
 
 
@@ -12,8 +16,9 @@ class _Conf:
 class _Context:
     applicationId = "app-test-1"
 
-    def __init__(self, conf):
+    def __init__(self, conf, master):
         self._conf = _Conf(conf)
+        self.master = master
         self.checkpoint = None
 
     def getConf(self):
@@ -27,9 +32,9 @@ class _Context:
 
 
 class _Session:
-    def __init__(self, conf):
+    def __init__(self, conf, master="local[2]"):
         self.conf = _Conf(conf)
-        self.sparkContext = _Context(conf)
+        self.sparkContext = _Context(conf, master)
 
 
 def test_shared_root_reads_the_cluster_setting():
@@ -47,7 +52,32 @@ def test_shared_root_when_unset_picks_one_folder_per_application():
     assert s.conf.get("spark.checkpoint.dir") is None          # never written
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_no_folder_of_our_own_on_a_cluster(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_root(_Session({}, master))
+
+
 def test_real_session_uses_configured_dir(spark):
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         assert session.shared_root(spark) == configured.rstrip("/")
+
+
+def test_tasks_find_the_package_from_any_folder(tmp_path):
+    """A task-side query in a session that was started elsewhere and knows no path of ours."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as E
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false") \\
+    .config("spark.sql.shuffle.partitions", "2").getOrCreate()
+print("ROWS", E.queries()["zip_expand"](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS " in out.stdout, out.stderr[-2000:]
