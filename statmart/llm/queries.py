@@ -6,6 +6,7 @@ from statmart.llm.bpe import op10_bpe
 from statmart.llm.chatlog import op5_chat_format
 from statmart.llm.kmeans_tree import op4_kmeans_tree
 from statmart.llm.langid import op3_language_id
+from statmart.llm.ngram_join import op7_ngram_join
 from statmart.llm.revisits import OP1_SQL, op1_revisits
 from statmart.llm.sharding import op9_feistel_sharding
 from statmart.llm.tokenfile import op2_bitplane_files
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_kmeans_tree": op4_kmeans_tree,
     "op5_chat_format": op5_chat_format,
+    "op7_ngram_join": op7_ngram_join,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_bpe": op10_bpe,
 }
