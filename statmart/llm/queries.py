@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from statmart.llm.bpe import op10_bpe
 from statmart.llm.chatlog import op5_chat_format
+from statmart.llm.decontaminate import op8_spaced_seeds
 from statmart.llm.kmeans_tree import op4_kmeans_tree
 from statmart.llm.langid import op3_language_id
 from statmart.llm.ngram_join import op7_ngram_join
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_kmeans_tree": op4_kmeans_tree,
     "op5_chat_format": op5_chat_format,
     "op7_ngram_join": op7_ngram_join,
+    "op8_spaced_seeds": op8_spaced_seeds,
     "op9_feistel_sharding": op9_feistel_sharding,
     "op10_bpe": op10_bpe,
 }
