@@ -7,6 +7,7 @@ from statmart.llm.chatlog import op5_chat_format
 from statmart.llm.decontaminate import op8_spaced_seeds
 from statmart.llm.kmeans_tree import op4_kmeans_tree
 from statmart.llm.langid import op3_language_id
+from statmart.llm.linededup import op6_line_dedup
 from statmart.llm.ngram_join import op7_ngram_join
 from statmart.llm.revisits import OP1_SQL, op1_revisits
 from statmart.llm.sharding import op9_feistel_sharding
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_kmeans_tree": op4_kmeans_tree,
     "op5_chat_format": op5_chat_format,
+    "op6_line_dedup": op6_line_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op8_spaced_seeds": op8_spaced_seeds,
     "op9_feistel_sharding": op9_feistel_sharding,
