@@ -1,8 +1,86 @@
-"""Corpus cleaning pipeline (stages follow as their operators are added)."""
+"""Corpus cleaning pipeline over ``documents`` (doc_id, text, lang, source, n_chars).
 
-STAGES: list = []
-ORACLE_SQL = None
+Five stages, each on all that the one before kept; every stage's result is written as
+Parquet below the shared folder and read again. All but the last return the columns of
+``documents``; ``n_chars`` follows the text.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from statmart.llm.bpe import RANKS, bpe_digests
+from statmart.llm.common import table
+from statmart.llm.decontaminate import contamination
+from statmart.llm.langid import UNDETERMINED, fit_language_model, held_out, predict_language
+from statmart.llm.linededup import dedup_lines
+from statmart.llm.ngram_join import similar_documents
+from statmart.session import scratch_path, ship_package
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` but for the rows whose doc_id is in ``ids``; a null doc_id stays."""
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without any letter go."""
+    ship_package(spark)
+    model = fit_language_model(docs.where(~held_out()))
+    told = predict_language(docs, model)
+    # rows of one doc_id can differ in text, so it goes only if none of them has a language
+    known = told.groupBy("doc_id").agg(F.max((F.col("lang_pred") != UNDETERMINED).cast("int")).alias("known"))
+    return _without(docs, known.where("known = 0"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated and near-equal lines removed; a document that loses all it had goes."""
+    ship_package(spark)
+    done = dedup_lines(docs.select(*COLUMNS))
+    left = (F.col("n_removed") == 0) | (F.trim(F.regexp_replace("text", "\\s+", " ")) != "")
+    return done.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id."""
+    ship_package(spark)
+    rows = similar_documents(docs)
+    again = rows.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    return _without(docs, again.where("doc_id <> component_id")).dropDuplicates(["doc_id", "text"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any passage of the benchmark."""
+    ship_package(spark)
+    return _without(docs, contamination(docs, table(spark, sf_dir, "benchmark")))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the text decoded from them."""
+    ship_package(spark)
+    return bpe_digests(docs, public_tokenizers.path(RANKS))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("ngram_join", ngram_join),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
+
+ORACLE_SQL = None  # most stages have no SQL form; tests compare each with a brute-force version
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents`` of ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
