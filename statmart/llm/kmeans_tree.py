@@ -8,9 +8,11 @@ the exact neighbours are found against all rows, and visits are widened until th
 wanted part of these neighbours lies in the visited leaves. A query also goes on until
 its leaves hold enough candidates.
 
-Vectors meet queries by (leaf, slice): a leaf with many vectors is cut into slices by a
-hash of vec_id, so a vector that a third of the rows repeat is spread as well. Each
-group returns its best ``k`` per query, and only these are brought together.
+Vectors meet queries in pools of neighbouring leaves that hold about equally many
+vectors; a leaf with more is a pool of its own, cut into slices by a hash of vec_id, so a
+vector that a third of the rows repeat is spread as well. A query is sent to each pool
+once, with the leaves it visits there. Each group returns its best ``k`` per query, and
+only these are brought together.
 """
 
 from __future__ import annotations
@@ -27,12 +29,12 @@ from pyspark.sql import functions as F
 
 from statmart.llm.common import stored, table
 
-SAMPLE = 20_000  # rows that the tree is fitted on, at most
+SAMPLE, SAMPLE_VALUES = 20_000, 2_000_000  # the tree is fitted on so many rows or components at most
 LEAF_SAMPLE = 40  # sample rows at which a node is no longer split
 BRANCH = 8
-SLICE_ROWS = 4096  # vectors of a leaf that one group holds, about
+POOL_ROWS = 2048, 65_536  # vectors that one group holds, at least and at most, about
 CALIBRATION = 64  # queries whose exact neighbours are found
-RECALL = 0.97  # wanted part of the exact neighbours
+RECALL = 0.95  # wanted part of the exact neighbours
 
 
 def usable(vector: Column) -> Column:
@@ -201,7 +203,8 @@ def search(table_: DataFrame, is_query: Column, k: int = 10, recall: float = REC
     if not sizes:
         return spark.createDataFrame([], result)
     valid = valid.where(F.size("vector") == sizes[0]["dims"])
-    sample = _collected(valid.select("vec_id", "vector").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE))
+    sample = _collected(valid.select("vec_id", "vector").orderBy(F.xxhash64("vec_id"), "vec_id")
+                        .limit(min(SAMPLE, max(1, SAMPLE_VALUES // sizes[0]["dims"]))))
     tree = fit_tree(np.array([s[1] for s in sample], dtype=np.float64))
     shared = spark.sparkContext.broadcast(tree)
 
@@ -219,46 +222,63 @@ def search(table_: DataFrame, is_query: Column, k: int = 10, recall: float = REC
         return spark.createDataFrame([], result)
     width = calibrate(tree, probes, exact_neighbours(filed, probes, k).join(
         filed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").collect(), recall)
-    parts = {leaf: -(-n // SLICE_ROWS) for leaf, n in held.items()}
-    plan = spark.sparkContext.broadcast((width, held, parts))
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = min(max(sum(held.values()) // (4 * n), POOL_ROWS[0]), POOL_ROWS[1])
+    pools, cuts = pack(held, size)
+    plan = spark.sparkContext.broadcast((width, held, pools, cuts))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        visits, rows, cuts = plan.value
+        visits, rows, pool_of, cut = plan.value
         for batch in batches:
             for query, vector in zip(batch.column(0).to_pylist(), _matrix(batch.column(1))):
-                leaves, slices, seen, near = [], [], 0, 0
+                wanted: dict[int, list[int]] = {}
+                seen = near = 0
                 for leaf in shared.value.visits(vector):
                     if seen >= visits and near > k:
                         break
                     seen += 1
-                    near += rows.get(leaf, 0)
-                    leaves += [leaf] * cuts.get(leaf, 0)
-                    slices += range(cuts.get(leaf, 0))
-                yield pa.record_batch([pa.array([query] * len(leaves), pa.int64()),
-                                       pa.array([vector.tolist()] * len(leaves), pa.list_(pa.float64())),
-                                       pa.array(leaves, pa.int32()), pa.array(slices, pa.int32())],
-                                      names=["query_id", "query", "leaf", "slice"])
+                    if leaf in rows:
+                        near += rows[leaf]
+                        wanted.setdefault(pool_of[leaf], []).append(leaf)
+                to = [(p, i, leaves) for p, leaves in wanted.items() for i in range(cut[p])]
+                yield pa.record_batch([pa.array([query] * len(to), pa.int64()),
+                                       pa.array([vector.tolist()] * len(to), pa.list_(pa.float64())),
+                                       pa.array([x[0] for x in to], pa.int32()), pa.array([x[1] for x in to], pa.int32()),
+                                       pa.array([x[2] for x in to], pa.list_(pa.int32()))],
+                                      names=["query_id", "query", "pool", "slice", "leaves"])
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids = left["query_id"].to_numpy()
-        got = nearest(_matrix(left["query"]), ids, _matrix(right["vector"]), right["vec_id"].to_numpy(), k)
-        return pd.DataFrame({"query_id": np.repeat(ids, [len(g[0]) for g in got]),
-                             "vec_id": np.concatenate([g[0] for g in got]),
-                             "score": np.concatenate([g[1] for g in got])})
-
-    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    visited = queries.repartition(n).mapInArrow(walk, "query_id long, query array<double>, leaf int, slice int")
-    cuts = F.create_map(*[F.lit(x) for leaf, c in parts.items() if c > 1 for x in (leaf, c)]) \
-        if any(c > 1 for c in parts.values()) else F.lit(None).cast("map<int,int>")
-    sliced = filed.withColumn("slice", F.pmod(F.xxhash64("vec_id"), F.coalesce(F.try_element_at(cuts, F.col("leaf")),
-                                                                              F.lit(1))).cast("int"))
-    found = visited.groupBy("leaf", "slice").cogroup(sliced.groupBy("leaf", "slice")) \
+        out = []
+        if len(left) and len(right):
+            vectors, ids, leaf = _matrix(right["vector"]), right["vec_id"].to_numpy(), right["leaf"].to_numpy()
+            for q, v, leaves in zip(left["query_id"], _matrix(left["query"]), left["leaves"]):
+                there = np.isin(leaf, leaves)
+                near, score = nearest(v[None], [q], vectors[there], ids[there], k)[0]
+                out.append(pd.DataFrame({"query_id": q, "vec_id": near, "score": score}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+
+    visited = queries.repartition(n).mapInArrow(
+        walk, "query_id long, query array<double>, pool int, slice int, leaves array<int>")
+    where = spark.createDataFrame([(leaf, p, cuts[p]) for leaf, p in pools.items()], "leaf int, pool int, cuts int")
+    pooled = filed.join(F.broadcast(where), "leaf").select(  # at most a row per leaf
+        "vec_id", "vector", "leaf", "pool", F.pmod(F.xxhash64("vec_id"), F.col("cuts")).cast("int").alias("slice"))
+    found = visited.groupBy("pool", "slice").cogroup(pooled.groupBy("pool", "slice")) \
         .applyInPandas(meet, "query_id long, vec_id long, score double")
     return ranked(found, k)
 
 
+def pack(held: dict[int, int], size: int) -> tuple[dict[int, int], dict[int, int]]:
+    """Pool of each leaf and slices of each pool: leaves in order until a pool holds ``size`` rows."""
+    pools: dict[int, int] = {}
+    rows: list[int] = []
+    for leaf in sorted(held):
+        if not rows or rows[-1] + held[leaf] > size:
+            rows.append(0)
+        pools[leaf] = len(rows) - 1
+        rows[-1] += held[leaf]
+    return pools, {p: -(-r // size) for p, r in enumerate(rows)}
+
+
 def calibrate(tree: Tree, probes: list[tuple[int, list[float]]], neighbours: list, recall: float) -> int:
     """Visits after which the wanted part of the probes' exact neighbours has been met."""
     wanted: dict[int, list[int]] = {}
