@@ -163,7 +163,7 @@ def parse(formatted: DataFrame) -> DataFrame:
         return F.struct(_role(F.substring(t, F.lit(len(HEAD) + 1), colon - len(HEAD) - 1)).alias("role"),
                         unescape(F.substring(t, colon + len(COLON), F.length(t))).alias("text"))
 
-    return (formatted.withColumn("pieces", F.slice(pieces, F.lit(1), F.size(pieces) - 1))
+    return (formatted.select("conv_id", "formatted", "loss_spans").withColumn("pieces", F.slice(pieces, F.lit(1), F.size(pieces) - 1))
             .withColumn("turns", F.transform("pieces", turn))
             .withColumn("loss_text", F.array_join(F.transform("loss_spans", lambda s: unescape(
                 F.substring(F.get(F.col("pieces"), s["turn"]), s["start"], s["length"]))), ""))

@@ -42,19 +42,20 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     is brought together. Rows equal in every column of ``order`` are interchangeable.
     """
     n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cols = [F.col(c).asc_nulls_first() for c in order]
-    local = stored(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-                   .withColumn("_id", F.monotonically_increasing_id()), name)
-    part = F.shiftright("_id", 33)
-    sizes = local.groupBy(part.alias("_part")).count().collect()  # one row per partition
+    own = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("d"),
+                    *[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)])
+    cols = [F.col(f"o{i}").asc_nulls_first() for i in range(len(order))]
+    local = stored(own.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                   .select("d", F.monotonically_increasing_id().alias("id")), name)
+    part = F.shiftright("id", 33)
+    sizes = local.groupBy(part.alias("part")).count().collect()  # one row per partition
     starts, total = [], 0
     for r in sorted(sizes):
-        starts.append((r["_part"], total))
+        starts.append((r["part"], total))
         total += r["count"]
-    base = df.sparkSession.createDataFrame(starts, "_part long, _base long")
-    return (local.withColumn("_part", part).join(F.broadcast(base), "_part")
-            .withColumn("row_no", F.col("_base") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-            .drop("_id", "_part", "_base"))
+    base = df.sparkSession.createDataFrame(starts, "part long, base long")
+    return (local.withColumn("part", part).join(F.broadcast(base), "part")
+            .select("d.*", (F.col("base") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))).alias("row_no")))
 
 
 def text_or_empty(col: str = "text") -> Column:

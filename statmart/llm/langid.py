@@ -5,7 +5,7 @@ A text is parsed into phrases, each the longest match that the automaton of a la
 allows from where the last one ended; the language that needs the fewest phrases,
 normalised by the text's length and the sample's (phrases * log2(sample) / symbols: the
 cross-parsing entropy), wins. Case is folded, letters outside the alphabet match
-nothing, runs of other characters count as one space.
+nothing and end a phrase, runs of other characters count as one space.
 
 The walk is vectorised: texts are parsed in blocks of ``BLOCK`` symbols, and many
 blocks and all languages step through their automata together, so the work per

@@ -45,9 +45,9 @@ def canonical_url(url: Column) -> Column:
 
 
 def _lower_names(headers: Column) -> Column:
-    """Header map with names in lower case; of names that differ by case only the first stays."""
-    entries = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"),
-                                                                     e["value"].alias("value")))
+    """Header map with names in lower case; of names that differ by case only the first in order stays."""
+    entries = F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.struct(
+        F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     names = F.transform(entries, lambda e: e["key"])
     return F.coalesce(F.map_from_entries(F.filter(
         entries, lambda e, i: F.array_position(names, e["key"]) == i + 1)), F.create_map().cast("map<string,string>"))
