@@ -36,7 +36,7 @@ from statmart.llm.textunits import finish, slices, span_hashes
 
 WORDS = 5
 CELLS_LOG2 = 20  # cells of the count table
-BLOCK = 1024  # nodes of a cluster that one side of a group holds
+BLOCK = 2048  # nodes of a cluster that one side of a group holds
 SPARE = 16  # one shingle in so many is asked for beyond the first in a shared prefix
 BROADCAST_ROWS = 1_000_000  # of three longs each
 _U = np.uint64
@@ -217,7 +217,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     a row. An empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
     cells = spark.sparkContext.broadcast(corpus_counts(docs))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -232,13 +233,16 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, flat, counts, ids in sets(batches):
             keep = np.where(counts > 0, np.minimum(counts, _prefix(counts, 1 + counts // SPARE)), 0)
-            yield pa.record_batch([rows.column(0), pa.array(counts, pa.int64()), pa.array(ids),
-                                   _lists(flat, counts, keep)], names=["doc_id", "n", "node", "prefix"])
+            yield pa.record_batch([rows.column(0), rows.column(1), pa.array(counts, pa.int64()), pa.array(ids),
+                                   _lists(flat, counts, keep)], names=["doc_id", "row", "n", "node", "prefix"])
 
-    kept = stored(docs.mapInArrow(prefixes, "doc_id long, n long, node long, prefix array<bigint>"), "prefixes")
-    nodes = stored(kept.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
-                                                           F.first("prefix").alias("prefix")), "nodes")
-    rows = nodes.select("node", "n", F.explode("prefix").alias("token"))
+    kept = stored(docs.mapInArrow(prefixes, "doc_id long, row long, n long, node long, prefix array<bigint>")
+                  .withColumn("place", F.monotonically_increasing_id()), "prefixes")
+    nodes = stored(kept.where("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.min("place").alias("place"), F.min_by("row", "place").alias("row"),
+        F.first("n").alias("n")), "nodes")
+    rows = kept.select("place", "prefix").join(nodes.select("place", "node"), "place") \
+        .select("node", F.explode("prefix").alias("token"))
 
     def repeated(r: DataFrame) -> DataFrame:
         return r.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("hub")).where("c > 1")
@@ -246,8 +250,12 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     shared = stored(rows.join(repeated(rows).select("token"), "token"), "shared")
     # a linked node has at least 0.8 n shingles, and both prefixes are long enough for the smaller demand
     wanted = F.floor(F.floor((4 * F.col("n") + 4) / 5) / SPARE) + 1
-    alive = shared.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n")).where(F.col("c") >= wanted)
-    live = shared.join(alive.select("node"), "node").select("token", "node")
+    live = shared
+    for _ in range(2):  # again among those left: what only a node that has gone shared does not count
+        alive = live.groupBy("node").agg(F.count(F.lit(1)).alias("c")).join(nodes.select("node", "n"), "node") \
+            .where(F.col("c") >= wanted).select("node")
+        live = live.join(alive, "node")
+        live = stored(live.join(repeated(live).select("token"), "token"), "live")
     meet = live.join(repeated(live).select("token", "hub"), "token").select(F.col("node").alias("u"),
                                                                            F.col("hub").alias("v"))
     clusters = stored(connected_components(meet, "candidates"), "clusters")
@@ -272,8 +280,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, sets) -> D
     total = clusters.count()
     small = F.col("size") <= BLOCK // 4
     # small clusters share a group; they have no shingle in common that could make a pair
-    members = clusters.join(sizes, "component").join(nodes.select("node", "doc_id"), "node").select(
-        "doc_id", "node", F.when(small, F.pmod(F.xxhash64("component"), F.lit(total // BLOCK + 1)))
+    members = clusters.join(sizes, "component").join(nodes.select("node", "row"), "node").select(
+        "row", "node", F.when(small, F.pmod(F.xxhash64("component"), F.lit(total // BLOCK + 1)))
         .otherwise(F.col("component")).alias("pool"),
         F.when(small, 1).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int").alias("blocks"), small.alias("small"))
     members = stored(members, "members")
@@ -281,11 +289,11 @@ def _verified(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, sets) -> D
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, flat, counts, ids in sets(batches):
-            right = rows.column(1).to_numpy() == ids  # not another text of the same doc_id
+            right = rows.column(1).to_numpy() == ids  # always so but for equal hashes of two rows
             yield pa.record_batch([*[rows.column(i) for i in range(1, 5)], _lists(flat, counts, counts)],
                                   names=["node", "pool", "blocks", "small", "tokens"]).filter(pa.array(right))
 
-    full = docs.join(chosen, "doc_id").select("text", "node", "pool", "blocks", "small") \
+    full = docs.join(chosen, "row").select("text", "node", "pool", "blocks", "small") \
         .mapInArrow(ordered, "node long, pool long, blocks int, small boolean, tokens array<bigint>")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = full.withColumn("block", block).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
