@@ -89,6 +89,12 @@ def pad_code(c: Column | str, width: int = 8, fill: str = "0") -> Column:
     return F.when(F.length(col) < width, F.lpad(col, width, fill)).otherwise(col)
 
 
+def pad_right(c: Column | str, width: int, fill: str = " ") -> Column:
+    """Right-pad text to ``width``; longer text stays whole (``rpad`` would cut it)."""
+    col = _c(c)
+    return F.when(F.length(col) < width, F.rpad(col, width, fill)).otherwise(col)
+
+
 def parse_date(c: Column | str, fmt: str = "ddMMyyyy", pad_to: int | None = 8) -> Column:
     """Parse a compact date to a timestamp; impossible or blank values become null.
 

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Characters the name cleaner turns into "_".
-CLEAN_CHARS = "-.()%"
+# Characters that a name cannot hold, and what stands in for them.
+CLEAN_CHARS, STAND_IN = "-.()%", "_"
 
 # The topic-title rewrite, in order:
 # lower case, " " -> "_", drop "(" and ")", "%" -> "per", drop ",".
@@ -20,9 +20,12 @@ TOPIC_RULES = [(" ", "_"), ("(", ""), (")", ""), ("%", "per"), (",", "")]
 
 def clean_name(s: str, extra_chars: str = "") -> str:
     """Each of ``-.()%`` (plus ``extra_chars``) → ``_``, then strip."""
-    for ch in CLEAN_CHARS + extra_chars:
-        s = s.replace(ch, "_")
-    return s.strip()
+    return s.translate(_stand_ins(extra_chars)).strip()
+
+
+def _stand_ins(extra_chars: str) -> dict[int, str]:
+    """The cleaning rule as a table, for both forms."""
+    return str.maketrans(dict.fromkeys(CLEAN_CHARS + extra_chars, STAND_IN))
 
 
 def dimension_alias(title: str) -> str:
@@ -72,6 +75,6 @@ _PY_STRIP = r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$"
 
 def clean_name_col(c: Column | str, extra_chars: str = "") -> Column:
     """:func:`clean_name` as a column expression, for path listings."""
-    chars = CLEAN_CHARS + extra_chars
+    rule = _stand_ins(extra_chars)
     col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.translate(col, chars, "_" * len(chars)), _PY_STRIP, "")
+    return F.regexp_replace(F.translate(col, "".join(map(chr, rule)), "".join(rule.values())), _PY_STRIP, "")

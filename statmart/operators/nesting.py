@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statmart.operators.sequence import batch_number
+from statmart.operators.star import row_bytes
 
 MAX_ITEMS = 1000
-# Up to this many oversized parents are broadcast for the split (their keys only).
-BIG_PARENTS_BROADCAST = 1_000_000
+# Keys of oversized parents are broadcast for the split up to this size.
+BIG_PARENTS_BYTES = 64 * 1024 * 1024
 
 
 def nest(df: DataFrame, parent_cols: Sequence[str], child_cols: Sequence[str],
@@ -38,16 +39,18 @@ def nest(df: DataFrame, parent_cols: Sequence[str], child_cols: Sequence[str],
     parents = list(parent_cols)
     counts = df.groupBy(*parents).agg(F.count(F.lit(1)).alias("__n"))
     big = counts.where(F.col("__n") > max_items).select(*parents)
-    n_big = big.limit(BIG_PARENTS_BROADCAST + 1).count()
+    n_big = big.count()
     if n_big == 0:
         rows = df.withColumn("part", F.lit(0).cast("bigint"))
     else:
         big = big.select(*[F.col(c).alias(f"__b_{c}") for c in parents])
-        big_b = F.broadcast(big) if n_big <= BIG_PARENTS_BROADCAST else big
+        key_bytes = big.agg(F.sum(row_bytes(big)).alias("b")).first()["b"]
+        big_b = F.broadcast(big) if key_bytes <= BIG_PARENTS_BYTES else big
         # Null-safe: a large group with a null parent key is split as well.
         on = [df[c].eqNullSafe(big_b[f"__b_{c}"]) for c in parents]
         small_rows = df.join(big_b, on, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
-        big_rows = batch_number(df.join(big_b, on, "left_semi"), parents, order,
+        # all child columns decide, so which of two equal rows is in which part does not matter
+        big_rows = batch_number(df.join(big_b, on, "left_semi"), parents, struct_cols,
                                 size=max_items, name="part")
         rows = small_rows.unionByName(big_rows)
     return rows.groupBy(*parents, "part").agg(

@@ -21,6 +21,7 @@ def failed_runs(runs: DataFrame, logs: DataFrame, name_pattern: str = "cbs_v3%",
     picked = runs.where((F.col("state") == state) & F.col("name").ilike(name_pattern))
     errors = logs.where(F.col("level") == level)
     order = F.struct("timestamp", "message")
+    errors = errors.join(picked.select("run_id"), "run_id", "left_semi")  # logs of other runs are not aggregated
     per_run = errors.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("n_errors"),
         F.min_by(order, order).alias("first"),

@@ -12,9 +12,9 @@ many ordered partitions:
 4. running sum of those counts over the partitions of each group gives the
    offset of every ``(partition, g)`` block;
 5. join the offsets back → exact 0-based position. The offsets table has at
-   most (partitions + groups) rows; it is broadcast when a bounded count of
-   distinct groups proves that small, else joined by a shuffle on
-   ``(partition, g)``, which spreads a large group evenly.
+   most (partitions + groups) rows; adaptive execution broadcasts it when its
+   real size is small, else it is joined by a shuffle on ``(partition, g)``,
+   which spreads a large group evenly.
 
 Rows of one group are contiguous in each sorted partition, so block starts and
 counts do not depend on the order of rows with equal sort keys. The numbered
@@ -31,14 +31,11 @@ from pyspark.sql import functions as F
 from statmart.session import cut_lineage
 
 _LOCAL_MASK = (1 << 33) - 1
-MAX_BROADCAST_GROUPS = 100_000
 
 
 def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                    name: str = "seq", max_broadcast_groups: int = MAX_BROADCAST_GROUPS) -> DataFrame:
+                    name: str = "seq") -> DataFrame:
     """Add ``name``: 0-based position of the row in its group ordered by ``order_cols``."""
-    few_groups = (df.select(*group_cols).distinct().limit(max_broadcast_groups + 1).count()
-                  <= max_broadcast_groups)
     # Tie-breaker: rows with equal (group, order) values would all land in one
     # range partition; the scan-order id (taken before the shuffle, the same
     # on re-execution) lets the range shuffle split them as well.
@@ -63,7 +60,7 @@ def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
                     .drop("__n")
     offsets = offsets.select(*[F.col(c).alias(f"__o_{c}") for c in offsets.columns])
     cond = [ranged[c].eqNullSafe(offsets[f"__o_{c}"]) for c in ["__pid"] + list(group_cols)]
-    out = ranged.join(F.broadcast(offsets) if few_groups else offsets, cond, "inner")
+    out = ranged.join(offsets, cond, "inner")  # adaptive execution broadcasts it when it is small
     return (out.withColumn(name, F.col("__o___offset") + F.col("__local") - F.col("__o___start"))
                .drop("__pid", "__local", "__tie", *[c for c in offsets.columns]))
 

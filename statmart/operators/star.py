@@ -8,10 +8,9 @@ Design
   and adaptive execution may still turn it into a broadcast from real sizes,
   or split skewed keys. The fact is never collected or broadcast.
 * Right and full joins keep the dimension rows, so the dimension cannot be the
-  broadcast build side of that join. When every dimension is proven small,
-  :func:`flatten` rewrites a RIGHT or FULL chain into broadcast joins plus the
-  unmatched dimension rows (found against the fact's distinct keys), so the
-  fact is never shuffled; otherwise they run as shuffle joins.
+  broadcast build side of that join. :func:`flatten` rewrites a RIGHT or FULL
+  chain into inner or left joins plus the unmatched dimension rows, found in
+  one more pass over the fact's distinct keys for all dimensions together.
 * :func:`flatten` builds one logical plan from the dataset's column metadata:
   the metadata table is small (one row per column of the dataset) and is the
   only thing collected to the driver.
@@ -20,8 +19,9 @@ Design
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statmart.functions.names import dimension_alias, topic_alias
@@ -41,42 +41,55 @@ def check_join_type(how: str) -> str:
     return h
 
 
-# Estimated bytes per value by type, for the broadcast size bound; text and
-# nested values are taken at a generous fixed width.
+# Bytes of a value of fixed width, by type.
 _TYPE_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
                "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16}
 
 
-def row_width(df: DataFrame) -> int:
-    return 16 + sum(_TYPE_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields)
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row: fixed widths by type, text and binary as long as they are, nested values as JSON."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in _TYPE_WIDTH:
+            total = total + _TYPE_WIDTH[kind]
+        else:
+            c = F.col(f"`{f.name}`")
+            c = c if kind in ("string", "binary", "varchar", "char") else F.to_json(F.struct(c))
+            total = total + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    return total
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and their estimated size is
-    under ``max_bytes``. The count stops after ``max_rows + 1`` rows, so the check
-    costs at most one bounded scan of the dimension."""
-    limit = min(max_rows, max(1, max_bytes // row_width(df)))
-    return df.limit(limit + 1).count() <= limit
-
+@dataclass(frozen=True)
+class TableSize:
+    rows: int
+    bytes: int
+    widest: int  # bytes of the largest row
 
-def broadcast_limit(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    max_bytes: int = BROADCAST_MAX_BYTES) -> int:
-    """Most rows of ``df`` that may be broadcast (row bound and byte bound)."""
-    return min(max_rows, max(1, max_bytes // row_width(df)))
 
-
-def bounded_counts(dfs: Sequence[DataFrame], limits: Sequence[int]) -> list[int]:
-    """Row counts of several tables in one job, each counted only up to its
-    ``limit + 1`` (a union of limited, column-free scans)."""
+def table_sizes(dfs: Sequence[DataFrame]) -> list[TableSize]:
+    """Sizes of several tables in one job, each reduced inside its tasks (one row per task is shuffled)."""
     if not dfs:
         return []
-    parts = [d.limit(lim + 1).select(F.lit(i).alias("__i")) for i, (d, lim) in enumerate(zip(dfs, limits))]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionAll(p)
-    counts = {r["__i"]: r["n"] for r in union.groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) for i in range(len(dfs))]
+    union = None
+    for i, d in enumerate(dfs):
+        own = row_bytes(d)
+        part = d.agg(F.count(F.lit(1)).alias("n"), F.sum(own).alias("b"), F.max(own).alias("w")) \
+                .select(F.lit(i).alias("i"), "n", "b", "w")
+        union = part if union is None else union.unionAll(part)
+    got = {r["i"]: TableSize(r["n"], r["b"] or 0, r["w"] or 0) for r in union.collect()}
+    return [got[i] for i in range(len(dfs))]
+
+
+def fits_broadcast_many(dfs: Sequence[DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
+                        max_bytes: int = BROADCAST_MAX_BYTES) -> list[bool]:
+    """Per table: at most ``max_rows`` rows and ``max_bytes`` bytes, as counted."""
+    return [s.rows <= max_rows and s.bytes <= max_bytes for s in table_sizes(dfs)]
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    return fits_broadcast_many([df], max_rows, max_bytes)[0]
 
 
 def max_key_multiplicity(dfs: Sequence[DataFrame], keys: Sequence[str]) -> list[int]:
@@ -93,13 +106,6 @@ def max_key_multiplicity(dfs: Sequence[DataFrame], keys: Sequence[str]) -> list[
     return [got.get(i, 0) for i in range(len(dfs))]
 
 
-def fits_broadcast_many(dfs: Sequence[DataFrame], max_rows: int = BROADCAST_MAX_ROWS,
-                        max_bytes: int = BROADCAST_MAX_BYTES) -> list[bool]:
-    """:func:`fits_broadcast` for several tables in one job."""
-    limits = [broadcast_limit(d, max_rows, max_bytes) for d in dfs]
-    return [n <= lim for n, lim in zip(bounded_counts(dfs, limits), limits)]
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
@@ -178,66 +184,55 @@ def flatten(fact: DataFrame, dims: Mapping[str, DataFrame], properties: DataFram
     if dup:
         raise ValueError(f"flatten would produce duplicate column names: {dup}")
 
-    out = fact.alias("fct")
-    select = []
     missing = [k for k, _ in dim_items if k not in dims]
     if missing:
         raise KeyError(f"no dimension table for {missing}")
     picked = [dims[k].select(F.col(key_col).alias(f"__d{i}_key"), F.col(title_col).alias(f"__d{i}_title"))
               for i, (k, _) in enumerate(dim_items)]
     small = fits_broadcast_many(picked, **bounds)
-    dim_selects = []
-    for i, (key, title) in enumerate(dim_items):
-        base = dimension_alias(title)
-        dim_selects.append([F.col(f"__d{i}_key").alias(base + "_code"),
-                            F.col(f"__d{i}_title").alias(base)])
-        select += dim_selects[-1]
-    select += [F.col(f"fct.{key}").alias(topic_alias(title)) for key, title in topics]
     keys = [f"fct.{k}" for k, _ in dim_items]
-    if how in ("right", "full") and dim_items and all(small):
-        return _outer_by_broadcast(out, picked, keys, how, select, dim_selects)
+    dim_columns = [(F.col(f"__d{i}_key").alias(dimension_alias(t) + "_code"),
+                    F.col(f"__d{i}_title").alias(dimension_alias(t))) for i, (_, t) in enumerate(dim_items)]
+    select = [c for pair in dim_columns for c in pair] + \
+        [F.col(f"fct.{key}").alias(topic_alias(title)) for key, title in topics]
+    base = fact.alias("fct")
+    chain = base
     for i in range(len(dim_items)):
-        out = join_dimension(out, picked[i], (keys[i], f"__d{i}_key"), how,
-                             broadcast=small[i] and how in ("inner", "left"))
-    return out.select(select)
-
-
-def _unmatched(dim: DataFrame, i: int, fact_keys: DataFrame) -> DataFrame:
-    """Rows of a (small) dimension whose key is not among ``fact_keys``: the
-    distinct fact keys meet the broadcast dimension first, so only the matched
-    keys (at most the dimension's size) are broadcast back for the anti join."""
-    kc = f"__d{i}_key"
-    matched = fact_keys.join(F.broadcast(dim.select(kc).distinct()),
-                             fact_keys["__k"] == F.col(kc), "inner").select(F.col(kc).alias("__m")).distinct()
-    return dim.join(F.broadcast(matched), F.col(kc) == F.col("__m"), "left_anti")
-
-
-def _outer_by_broadcast(fact: DataFrame, picked: list[DataFrame], keys: list[str], how: str,
-                        select: list, dim_selects: list[list]) -> DataFrame:
-    """RIGHT / FULL star chains without shuffling the fact (all dimensions small).
-
-    FULL: the LEFT chain plus, for each dimension, its rows whose key no fact
-    row has. RIGHT: rows a later right join cannot match carry null keys, so
-    the chain is the INNER chain plus the last dimension's rows that the inner
-    chain of the other dimensions does not match. Only distinct fact keys are
-    shuffled (after partial aggregation).
-    """
-    n = len(picked)
-    if how == "full":
-        chain = fact
-        for i in range(n):
-            chain = chain.join(F.broadcast(picked[i]), F.col(keys[i]) == F.col(f"__d{i}_key"), "left")
-        out = chain.select(select)
-        for i in range(n):
-            fact_keys = fact.select(F.col(keys[i]).alias("__k")).distinct()
-            extra = _unmatched(picked[i], i, fact_keys)
-            out = out.unionByName(extra.select(dim_selects[i]), allowMissingColumns=True)
+        chain = join_dimension(chain, picked[i], (keys[i], f"__d{i}_key"),
+                               {"right": "inner", "full": "left"}.get(how, how), broadcast=small[i], check_size=False)
+    out = chain.select(select)
+    if how in ("inner", "left") or not dim_items:
         return out
-    prefix = fact
-    for i in range(n - 1):
-        prefix = prefix.join(F.broadcast(picked[i]), F.col(keys[i]) == F.col(f"__d{i}_key"), "inner")
-    last = n - 1
-    main = prefix.join(F.broadcast(picked[last]), F.col(keys[last]) == F.col(f"__d{last}_key"), "inner")
-    prefix_keys = prefix.select(F.col(keys[last]).alias("__k")).distinct()
-    extra = _unmatched(picked[last], last, prefix_keys)
-    return main.select(select).unionByName(extra.select(dim_selects[last]), allowMissingColumns=True)
+    extra = _unmatched(base, picked, keys, how, small)
+    titles = [dimension_alias(t) for _, t in dim_items]
+    return out.unionByName(extra.select(
+        *[F.when(F.col("__i") == i, F.col(c)).alias(n) for i, t in enumerate(titles)
+          for c, n in (("__key", t + "_code"), ("__title", t))]), allowMissingColumns=True)
+
+
+def _unmatched(fact: DataFrame, picked: list[DataFrame], keys: list[str], how: str, small: list[bool]) -> DataFrame:
+    """(__i, __key, __title): dimension rows that a RIGHT or FULL chain adds.
+
+    FULL adds the rows of every dimension whose key no fact row has. In a RIGHT chain
+    a row kept by one join has null keys for the next, so only the last dimension's rows
+    stay, those that no fact row with a match in all other dimensions has. The keys of
+    all dimensions come from one pass over the fact, reduced to distinct pairs before
+    the shuffle.
+    """
+    last = len(picked) - 1
+    if how == "right":
+        for i in range(last):
+            known = picked[i].select(f"__d{i}_key")
+            fact = fact.join(F.broadcast(known) if small[i] else known,
+                             F.col(keys[i]) == F.col(f"__d{i}_key"), "left_semi")
+    asked = range(len(picked)) if how == "full" else [last]
+    seen = fact.select(F.explode(F.array(*[F.struct(F.lit(i).alias("__j"), F.col(keys[i]).cast("string").alias("__k"))
+                                           for i in asked])).alias("p")).select("p.*").distinct()
+    rows = None
+    for i in asked:
+        part = picked[i].select(F.lit(i).alias("__i"), F.col(f"__d{i}_key").alias("__key"),
+                                F.col(f"__d{i}_title").alias("__title"))
+        rows = part if rows is None else rows.unionAll(part)
+    # An anti join would be pushed into the union, one pass over the fact per branch.
+    met = (F.col("__i") == F.col("__j")) & (F.col("__key").cast("string") == F.col("__k"))
+    return rows.join(seen, met, "left").where(F.col("__j").isNull()).drop("__j", "__k")

@@ -16,15 +16,16 @@ like ``{id}_TypedDataSet`` / ``{id}_{Dimension}``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statmart.operators.star import (BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, row_width,
-                                     bounded_counts, broadcast_limit, check_join_type,
-                                     join_dimension, max_key_multiplicity)
+from statmart.operators.star import (BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, check_join_type,
+                                     join_dimension, max_key_multiplicity, table_sizes)
 from statmart.sinks.tables import RangeBuckets
 
 
@@ -68,16 +69,16 @@ def build_mart(spec: MartSpec, tables: Mapping[str, DataFrame],
     def key_of(d: Dim) -> str:
         return d.fact_key if "." in d.fact_key else f"{fa}.{d.fact_key}"
 
-    # Broadcast decisions, proven in two small jobs and without running any
-    # join: (1) bounded row counts of every dimension's base table; (2) for
-    # snowflake children on small bases, the largest number of rows sharing
-    # one join-key value. A branch d ⋈ c1 ⋈ … then has at most
-    # rows(d) × Π mult(c) rows, with mult(c) = max(1, maxdup(c)) × Π mult(g).
-    limits = {d.alias: broadcast_limit(tables[d.table], **bounds) for d in spec.dims}
-    counts = dict(zip([d.alias for d in spec.dims],
-                      bounded_counts([tables[d.table] for d in spec.dims],
-                                     [limits[d.alias] for d in spec.dims])))
-    snow = [d for d in spec.dims if "." in d.fact_key and counts[d.alias] <= limits[d.alias]]
+    # Broadcast decisions, proven in at most two small jobs and without running any
+    # join: (1) rows and bytes of every dimension's base table; (2) for snowflake
+    # children on small bases, the largest number of rows sharing one join-key
+    # value. A branch d ⋈ c1 ⋈ … then has at most rows(d) × Π mult(c) rows, with
+    # mult(c) = max(1, maxdup(c)) × Π mult(g), none wider than the widest rows together.
+    max_rows = bounds.get("max_rows", BROADCAST_MAX_ROWS)
+    max_bytes = bounds.get("max_bytes", BROADCAST_MAX_BYTES)
+    sizes = dict(zip([d.alias for d in spec.dims], table_sizes([_used(tables[d.table], d, spec) for d in spec.dims])))
+    base_ok = {a: z.rows <= max_rows and z.bytes <= max_bytes for a, z in sizes.items()}
+    snow = [d for d in spec.dims if "." in d.fact_key and base_ok[d.alias]]
     dups = dict(zip([d.alias for d in snow],
                     max_key_multiplicity([tables[d.table] for d in snow], [d.dim_key for d in snow])))
 
@@ -89,17 +90,16 @@ def build_mart(spec: MartSpec, tables: Mapping[str, DataFrame],
             m *= mult(g)
         return m
 
-    def width(d: Dim) -> int:
-        return row_width(tables[d.table]) + sum(width(c) for c in children.get(d.alias, []))
+    def widest(d: Dim) -> int:
+        return sizes[d.alias].widest + sum(widest(c) for c in children.get(d.alias, []))
 
     def bound_ok(d: Dim) -> bool:
-        if counts[d.alias] > limits[d.alias]:
-            return False
-        rows = counts[d.alias]
-        for c in children.get(d.alias, []):
+        if not base_ok[d.alias] or not children.get(d.alias):
+            return base_ok[d.alias]
+        rows = sizes[d.alias].rows
+        for c in children[d.alias]:
             rows *= mult(c)
-        cap = bounds.get("max_bytes", BROADCAST_MAX_BYTES) // max(1, width(d))
-        return rows <= min(bounds.get("max_rows", BROADCAST_MAX_ROWS), cap)
+        return rows <= max_rows and rows * widest(d) <= max_bytes
 
     small = {d.alias: bound_ok(d) for d in spec.dims}
 
@@ -117,18 +117,26 @@ def build_mart(spec: MartSpec, tables: Mapping[str, DataFrame],
         out = join_dimension(out, branch(d), (key_of(d), f"{d.alias}.{d.dim_key}"), d.how,
                              broadcast=small[d.alias])
     for w in spec.where:
-        out = out.where(F.expr(_fill(w, values)))
-    cols = [F.expr(_fill(e, values)).alias(n) for n, e in spec.select]
+        out = out.where(F.expr(fill(w, values)))
+    cols = [F.expr(fill(e, values)).alias(n) for n, e in spec.select]
     out = out.select(cols)
     if spec.order_by:
         out = out.orderBy(*[F.expr(o) for o in spec.order_by])
     return out
 
 
-def _fill(text: str, values: Mapping[str, object]) -> str:
+def _used(df: DataFrame, dim: Dim, spec: MartSpec) -> DataFrame:
+    """The dimension's columns that the mart reads: those a broadcast would carry."""
+    text = " ".join([*(e for _, e in spec.select), *spec.where, *(d.fact_key for d in spec.dims)])
+    used = [c for c in df.columns if c == dim.dim_key or re.search(rf"\b{re.escape(dim.alias)}\.`?{re.escape(c)}\b", text)]
+    return df.select(*[F.col(f"`{c}`") for c in used])
+
+
+def fill(text: str, values: Mapping[str, object]) -> str:
     if not values:
         return text
-    return text.format(**{k: _literal(v) for k, v in values.items()})
+    # only the names that were given are placeholders; other braces belong to the text
+    return re.sub("|".join(r"\{%s\}" % re.escape(k) for k in values), lambda m: _literal(values[m[0][1:-1]]), text)
 
 
 def _literal(v: object) -> str:
@@ -136,6 +144,14 @@ def _literal(v: object) -> str:
         return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(v, (list, tuple)):
         return ", ".join(_literal(x) for x in v)
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return str(v).upper()
+    if isinstance(v, datetime):
+        return f"TIMESTAMP '{v.isoformat(sep=' ')}'"
+    if isinstance(v, date):
+        return f"DATE '{v.isoformat()}'"
     return repr(v)
 
 
