@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from statmart.sources.listing import list_prefix
 
 log = logging.getLogger(__name__)
 
@@ -20,15 +23,19 @@ log = logging.getLogger(__name__)
 FORMATS = {"parquet": "parquet", "json": "json"}
 
 
-def dataset_name(source: str, name: str) -> str:
-    """``{source}_{name}`` (K4)."""
-    return f"{source}_{name}"
+def dataset_name(source: str | None, name: str) -> str:
+    """``{source}_{name}``, or the bare name without a source (K4)."""
+    return f"{source}_{name}" if source else name
 
 
 def _q(ident: str) -> str:
     return "`" + ident.replace("`", "``") + "`"
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_id(uri: str) -> tuple[str, str]:
     """(table id, suffix) of a staged file: ``…/a.b.parquet`` → (``b``, ``parquet``)."""
     last = uri.rstrip("/").split("/")[-1]
@@ -50,45 +57,86 @@ def create_dataset(spark: SparkSession, name: str, description: str | None = Non
                    location: str | None = None) -> None:
     sql = f"CREATE DATABASE IF NOT EXISTS {_q(name)}"
     if description:
-        sql += " COMMENT '" + description.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        sql += f" COMMENT {_text(description)}"
     if location:
-        sql += f" LOCATION '{location}'"
+        sql += f" LOCATION {_text(location)}"
     spark.sql(sql)
 
 
+def _checked(uris: list[str | tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    """(table id, uri, format) of every file; raises before anything has been touched."""
+    plan = []
+    for given in uris:
+        uri = given if isinstance(given, str) else given[1]
+        tid, suffix = table_id(uri) if isinstance(given, str) else (given[0], given[2])
+        if suffix not in FORMATS:
+            raise TypeError(f"no table can be made of {uri!r}: its suffix is none of {sorted(FORMATS)}")
+        plan.append((tid, uri, FORMATS[suffix]))
+    names = [tid.lower() for tid, _, _ in plan]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"several files would become one table: {twice}")
+    return plan
+
+
+def _exists(spark: SparkSession, uri: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _readable(spark: SparkSession, plan: list[tuple[str, str, str]]) -> list[tuple[str, str, str, StructType]]:
+    """The files that exist, with their schemas; a missing one is reported, an unreadable one raises."""
+    out = []
+    for tid, uri, fmt in plan:
+        if not _exists(spark, uri):
+            log.warning("no file at %s, it gets no table", uri)
+            continue
+        out.append((tid, uri, fmt, spark.read.format(fmt).load(uri).schema))
+    return out
+
+
+def _register(spark: SparkSession, dataset: str, tables: list[tuple[str, str, str, StructType]]) -> list[str]:
+    for tid, uri, fmt, schema in tables:
+        spark.catalog.createTable(f"{_q(dataset)}.{_q(tid)}", path=uri, source=fmt, schema=schema)
+    return [f"{dataset}.{tid}" for tid, *_ in tables]
+
+
 def link_files(spark: SparkSession, dataset: str, uris: list[str]) -> list[str]:
     """Register one unmanaged table per staged file (K5).
 
     Only ``.parquet`` and ``.json`` (NDJSON) are accepted; another suffix raises
-    ``TypeError`` before anything is registered. A missing file is reported and
-    skipped. Returns the registered table names.
+    ``TypeError``, a file that cannot be read raises as well, both before anything is
+    registered. A missing file is reported and skipped. Returns the table names.
     """
-    plan = []
-    for uri in uris:
-        tid, suffix = table_id(uri)
-        if suffix not in FORMATS:
-            raise TypeError("Only json or parquet files are supported, "
-                            f"file suffix is neither: {uri}")
-        plan.append((tid, uri, FORMATS[suffix]))
-    done = []
-    for tid, uri, fmt in plan:
-        try:
-            spark.catalog.createTable(f"{dataset}.{tid}", path=uri, source=fmt)
-        except AnalysisException as e:
-            if any(m in str(e) for m in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
-                log.warning("URI %s not found, skipped", uri)
-                continue
-            raise
-        done.append(f"{dataset}.{tid}")
-    return done
-
-
-def replace_dataset(spark: SparkSession, source: str, name: str, uris: list[str],
+    return _register(spark, dataset, _readable(spark, _checked(uris)))
+
+
+def replace_dataset(spark: SparkSession, source: str | None, name: str, uris: list[str | tuple[str, str, str]],
                     description: str | None = None, location: str | None = None) -> list[str]:
-    """Full refresh of a dataset (K3): drop it if present, create it, register
-    every file. Returns the registered table names."""
+    """Full refresh of a dataset (K3): drop it if present, create it, register every file.
+
+    A file is a URI whose last segment names table and format, or (table id, URI,
+    format). All are checked first, so bad input leaves the old dataset as it is.
+    Returns the registered table names.
+    """
+    tables = _readable(spark, _checked(uris))
     ds = dataset_name(source, name)
     if dataset_exists(spark, ds):
         drop_dataset(spark, ds)
     create_dataset(spark, ds, description, location)
-    return link_files(spark, ds, uris)
+    return _register(spark, ds, tables)
+
+
+def replace_dataset_from_folder(spark: SparkSession, root: str, prefix: str, name: str,
+                                source: str | None = None, description: str | None = None,
+                                location: str | None = None) -> list[str]:
+    """Full refresh from a folder: every table file whose path below ``root`` starts with ``prefix``.
+
+    A table file is a ``.parquet`` or ``.json`` file, or a folder so named that a writer
+    made. One row per table reaches the driver, as the catalog needs each.
+    """
+    listed = list_prefix(spark, root, prefix)
+    table = F.regexp_extract("relative", r"^(.*?\.(?:parquet|json))(?:/|$)", 1)
+    found = listed.select(table.alias("table")).where("table <> ''").distinct().collect()
+    return replace_dataset(spark, source, name, sorted(f"{root.rstrip('/')}/{r['table']}" for r in found),
+                           description, location)

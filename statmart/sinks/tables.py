@@ -103,15 +103,17 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet", **options) ->
     w.save(path)
 
 
+# Null fields stay as keys; timestamps keep their microseconds.
+NDJSON_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                  "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite",
                  keep_nulls: bool = True) -> None:
     """Newline-delimited JSON, one record per line (K2). Null fields are kept
     as ``null`` keys, the way a record-oriented frame dump writes them."""
-    (df.write.mode(mode)
-       .option("ignoreNullFields", str(not keep_nulls).lower())
-       .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-       .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-       .json(path))
+    (df.write.mode(mode).options(**NDJSON_OPTIONS)
+       .option("ignoreNullFields", str(not keep_nulls).lower()).json(path))
 
 
 def load_ndjson_files(spark: SparkSession, paths: list[str], target: str,

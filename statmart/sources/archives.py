@@ -1,16 +1,18 @@
 """Zip archives.
 
-Expanding is the one step Spark has no reader for. The archive listing is
-spread over tasks (one archive per task at most, when there are enough tasks);
-each task streams its archive's members to the shared folder and yields one row
-per member. The extracted members are then ordinary files, read by the
-distributed scans (and split by Spark when large). Member names keep their
-relative folder; the name cleaner is applied to each part.
+Expanding is the one step Spark has no reader for. The central directories are
+read first, one task per archive; then every member is a row of its own, dealt
+over tasks by (archive, member), and each task copies its members to the shared
+folder. The extracted members are ordinary files, read by the distributed scans
+(and split by Spark when large). An archive's folder below the source and a
+member's folder inside the archive are kept, the name cleaner is applied to each
+part, and two members that would get one path raise before anything is written.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
@@ -19,17 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.functions.names import clean_name
-from statmart.sources.files import filesystem, publish
-from statmart.sources.listing import list_files
+from statmart.sources.files import filesystem, first_lines, publish
+from statmart.sources.listing import list_files, qualified
 
 MEMBER_SCHEMA = "archive string, member string, path string, size long"
+MAX_TASKS = 10_000  # more files than this share tasks
 _COPY_CHUNK = 8 * 1024 * 1024
 
 
-def _fs(uri: str):
-    return filesystem(uri)
-
-
 def clean_member(member: str) -> str:
     """Clean every folder and the file stem of a member path."""
     parts = member.split("/")
@@ -40,53 +39,64 @@ def clean_member(member: str) -> str:
     return "/".join(out)
 
 
-def map_files(listing: DataFrame, fn: Callable[[str], Iterator[dict]], schema: str,
-              n_tasks: int | None = None) -> DataFrame:
-    """Apply ``fn(path)`` to every path of a listing in parallel (X1); ``fn``
-    yields output rows. Constants reach ``fn`` by closure."""
-    n = n_tasks or max(1, listing.count())
-    n = min(n, 10_000)
+def map_files(listing: DataFrame, fn: Callable[..., Iterator[dict]], schema: str,
+              n_tasks: int | None = None, columns: Sequence[str] = ("path",)) -> DataFrame:
+    """Apply ``fn(*columns)`` to every row of a listing in parallel (X1); ``fn``
+    yields output rows, passed on file by file. Constants reach ``fn`` by closure."""
+    n = min(n_tasks or max(1, listing.count()), MAX_TASKS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [r for p in pdf["path"] for r in fn(p)]
-            if rows:
-                yield pd.DataFrame(rows)
+            for row in pdf.itertuples(index=False):
+                rows = list(fn(*row))
+                if rows:
+                    yield pd.DataFrame(rows)
+
+    return listing.select(*columns).repartition(n, *columns).mapInPandas(run, schema)
+
 
-    return listing.select("path").repartition(n, "path").mapInPandas(run, schema)
+def _directory(path: str, relative: str) -> Iterator[dict]:
+    """Central directory of one archive, with each member's cleaned path."""
+    fs, p = filesystem(path)
+    folder = "/".join(clean_name(x) for x in relative.rsplit(".", 1)[0].split("/"))
+    with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z:
+        for info in z.infolist():
+            if not info.is_dir():
+                yield {"archive": path, "member": info.filename, "size": info.file_size,
+                       "path": f"{folder}/{clean_member(info.filename)}"}
 
 
 def expand_archives(spark: SparkSession, source: str, out_dir: str,
                     suffix: str = ".zip") -> DataFrame:
-    """Expand every ``*.zip`` below ``source`` into ``out_dir/<archive stem>/``
+    """Expand every ``*.zip`` below ``source`` into ``out_dir/<its path without suffix>/``
     (S2); returns ``archive, member, path, size`` per extracted member."""
-    out_root = out_dir.rstrip("/")
-
-    def expand(path: str) -> Iterator[dict]:
-        fs, p = _fs(path)
-        stem = clean_name(p.rsplit("/", 1)[-1].rsplit(".", 1)[0])
-        with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z:
-            for info in z.infolist():
-                if info.is_dir():
-                    continue
-                target = f"{out_root}/{stem}/{clean_member(info.filename)}"
-
-                def copy(dst, info=info):
-                    with z.open(info) as src:
-                        while True:
-                            buf = src.read(_COPY_CHUNK)
-                            if not buf:
-                                break
-                            dst.write(buf)
-
-                publish(target, copy)
-                yield {"archive": path, "member": info.filename, "path": target,
-                       "size": info.file_size}
-
+    out_root = qualified(spark, out_dir)
     listing = list_files(spark, source, suffix)
+    found = f"{out_root}/_found.parquet"
+    map_files(listing, _directory, MEMBER_SCHEMA, columns=("path", "relative")).write.mode("overwrite").parquet(found)
+    members = spark.read.parquet(found)
+    twice = members.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("a"),
+                                        F.max("member").alias("b")).where("n > 1").take(1)
+    if twice:
+        raise ValueError(f"several archive members would be written to {twice[0]['path']!r}: "
+                         f"{twice[0]['a']!r}, {twice[0]['b']!r}")
+
+    def expand(archive: str, member: str, path: str, size: int) -> Iterator[dict]:
+        target = f"{out_root}/{path}"
+        fs, p = filesystem(archive)
+
+        def copy(dst):
+            with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z, z.open(member) as src:
+                while buf := src.read(_COPY_CHUNK):
+                    dst.write(buf)
+
+        publish(target, copy)
+        yield {"archive": archive, "member": member, "path": target, "size": size}
+
     manifest = f"{out_root}/_members.parquet"
     # Materialise once: the tasks write files, so the plan must not run twice.
-    map_files(listing, expand, MEMBER_SCHEMA).write.mode("overwrite").parquet(manifest)
+    map_files(members, expand, MEMBER_SCHEMA, columns=("archive", "member", "path", "size")) \
+        .write.mode("overwrite").parquet(manifest)
     return spark.read.parquet(manifest)
 
 
@@ -94,7 +104,7 @@ def list_members(spark: SparkSession, source: str, suffix: str | None = None) ->
     """Member names of every archive without extracting (S7); ``suffix``
     keeps e.g. only ``.xml`` members."""
     def names(path: str) -> Iterator[dict]:
-        fs, p = _fs(path)
+        fs, p = filesystem(path)
         with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z:
             for info in z.infolist():
                 if not info.is_dir():
@@ -114,31 +124,71 @@ def write_zip(files: Sequence[tuple[str, bytes]]) -> bytes:
     return buf.getvalue()
 
 
+def table_of(path: str, root: str) -> str:
+    """Table id of a converted member: its path below ``root`` without suffix, as one word."""
+    inside = path[len(root):].strip("/").rsplit(".", 1)[0]
+    return re.sub(r"\W+", "_", inside).strip("_").lower()
+
+
 def convert_members(spark: SparkSession, members: DataFrame, out_dir: str, csv_sep: str = ",",
-                    encoding: str = "utf-8") -> dict[str, str]:
-    """Convert extracted members by suffix (S16): all ``.csv`` members in one
-    delimited scan → parquet; all ``.txt`` members in one fixed-width scan with
-    an inferred layout → NDJSON. Each row keeps its source ``member`` path.
-    Returns ``{suffix: output path}``."""
-    from statmart.sinks.tables import write_ndjson
+                    encoding: str = "utf-8") -> list[tuple[str, str, str]]:
+    """Convert extracted members by suffix (S16), each to an output of its own:
+    ``.csv`` to parquet, ``.txt`` (fixed width, inferred layout) to NDJSON; other
+    members are left alone.
+
+    Members with one header line are read in one scan and written per member, so
+    files with other columns or another layout never mix. Returns ``(table id, path,
+    format)`` per member; one entry per table reaches the driver, as the catalog
+    needs each. Two members with one table id raise.
+    """
+    from statmart.sinks.tables import NDJSON_OPTIONS
     from statmart.sources.delimited import read_delimited
     from statmart.sources.fixed_width import infer_layout, read_fixed_width
 
-    by_suffix: dict[str, list[str]] = {}
-    for r in members.select("path").collect():
-        suffix = r["path"].rsplit(".", 1)[-1].lower() if "." in r["path"] else ""
-        by_suffix.setdefault(suffix, []).append(r["path"])
-    out = {}
-    if by_suffix.get("csv"):
-        target = f"{out_dir.rstrip('/')}/csv.parquet"
-        df = read_delimited(spark, by_suffix["csv"], sep=csv_sep, encoding=encoding)
-        df.withColumn("member", F.col("_metadata.file_path")).write.mode("overwrite").parquet(target)
-        out["csv"] = target
-    if by_suffix.get("txt"):
-        target = f"{out_dir.rstrip('/')}/txt.json"
-        layout = infer_layout(spark, by_suffix["txt"], header=True, encoding=encoding)
-        df = read_fixed_width(spark, by_suffix["txt"], layout, header=True, encoding=encoding,
-                              parse_dates=False)
-        write_ndjson(df, target)
-        out["txt"] = target
+    kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    paths = {r["path"]: r["kind"] for r in members.select("path", kind.alias("kind"))
+             .where(F.col("kind").isin("csv", "txt")).collect()}
+    if not paths:
+        return []
+    folders = {p.rsplit("/", 1)[0] for p in paths}
+    root = min(folders, key=len)
+    while not all((f + "/").startswith(root + "/") for f in folders):
+        root = root.rsplit("/", 1)[0]
+    tables = {p: table_of(p, root) for p in paths}
+    twice = sorted({t for t in tables.values() if list(tables.values()).count(t) > 1}) if \
+        len(set(tables.values())) < len(tables) else []
+    if twice:
+        raise ValueError(f"several members would become one table: {twice}")
+    heads = first_lines(spark, sorted(paths), encoding)
+    groups: dict[tuple[str, str], list[str]] = {}
+    for p in sorted(paths):
+        groups.setdefault((paths[p], heads[p]), []).append(p)
+    names = spark.createDataFrame([(file_uri(p), t) for p, t in tables.items()], "uri string, table string")
+    out = []
+    for i, ((suffix, _), group) in enumerate(groups.items()):
+        target = f"{out_dir.rstrip('/')}/{suffix}-{i:05d}"
+        if suffix == "csv":
+            rows = read_delimited(spark, group, sep=csv_sep, encoding=encoding)
+            rows = rows.withColumn("uri", _plain_uri(F.col("_metadata.file_path")))
+        else:
+            layout = infer_layout(spark, group, header=True, encoding=encoding)
+            rows = read_fixed_width(spark, group, layout, header=True, encoding=encoding,
+                                    parse_dates=False, file_col="uri")
+            rows = rows.withColumn("uri", _plain_uri(F.col("uri")))
+        rows = rows.join(F.broadcast(names), "uri").drop("uri")  # a row per member
+        write = rows.write.mode("overwrite").partitionBy("table")
+        if suffix == "csv":
+            write.parquet(target)
+        else:
+            write.options(**NDJSON_OPTIONS).json(target)
+        out += [(tables[p], f"{target}/table={tables[p]}", "parquet" if suffix == "csv" else "json") for p in group]
     return out
+
+
+def file_uri(path: str) -> str:
+    """A path in one spelling: decoded, one slash after ``file:``."""
+    return re.sub(r"^file:/+", "file:/", path if "://" in path or path.startswith("file:") else "file:" + path)
+
+
+def _plain_uri(c):
+    return F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")

@@ -109,7 +109,7 @@ def _plain(p: str) -> str:
 
 def file_key(c: str = "file"):
     """A metadata file path (a URI) in the plain form :func:`input_files` gives."""
-    return F.url_decode(F.col(c))
+    return F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))  # a plus sign is no blank here
 
 
 def write_partition_files(df: DataFrame, root: str,

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.functions.columns import parse_date, trim_all
@@ -58,33 +58,36 @@ class Layout:
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], header: bool = False,
-               encoding: str = "utf-8") -> DataFrame:
-    """Whole lines as ``value``; ``header`` drops the first line of every file
+               encoding: str = "utf-8", keep_file: bool = False) -> DataFrame:
+    """Whole lines as ``value``, with ``file`` if ``keep_file``; ``header`` drops the first line of every file
     (exact per-file line numbers, see :func:`statmart.sources.files.numbered_lines`)."""
     if not header:
         r = spark.read.option("encoding", charset(encoding)) if charset(encoding) != "UTF-8" \
             else spark.read
-        return r.text(as_list(paths))
+        lines = r.text(as_list(paths))
+        return lines.select("value", F.col("_metadata.file_path").alias("file")) if keep_file else lines
     lines = numbered_lines(spark, input_files(spark, paths), encoding)
-    return lines.where(F.col("line_no") != 0).select("value")
+    return lines.where(F.col("line_no") != 0).select("value", *(["file"] if keep_file else []))
 
 
-def cut(lines: DataFrame, layout: Layout, parse_dates: bool = True) -> DataFrame:
-    """Cut ``value`` into the layout's columns."""
+def cut(lines: DataFrame, layout: Layout, parse_dates: bool = True, *extra: Column) -> DataFrame:
+    """Cut ``value`` into the layout's columns (S3, P11, F5, F6), ``extra`` columns after them."""
     cols = []
     for name, start, width in zip(layout.names, layout.starts, layout.widths):
         text = F.nullif(trim_all(F.substring("value", start, width)), F.lit(""))
         if parse_dates and name in layout.date_cols:
             text = parse_date(text, "ddMMyyyy", pad_to=8)
         cols.append(text.alias(name))
-    return lines.select(cols)
+    return lines.select(*cols, *extra)
 
 
 def read_fixed_width(spark: SparkSession, paths: str | Sequence[str], layout: Layout,
                      header: bool = False, encoding: str = "utf-8",
-                     parse_dates: bool = True) -> DataFrame:
-    """Fixed-width scan with a known layout (S3). Every record is kept."""
-    return cut(read_lines(spark, paths, header, encoding), layout, parse_dates)
+                     parse_dates: bool = True, file_col: str | None = None) -> DataFrame:
+    """Fixed-width scan with a known layout (S3). Every record is kept; ``file_col``
+    adds the file each came from."""
+    lines = read_lines(spark, paths, header, encoding, keep_file=file_col is not None)
+    return cut(lines, layout, parse_dates, *([F.col("file").alias(file_col)] if file_col else []))
 
 
 _WORD = 63        # positions per aggregated word (bits of a positive BIGINT)
@@ -173,7 +176,11 @@ def to_fixed_width_lines(df: DataFrame, layout: Layout, right_align: Sequence[st
 
 
 def header_line(layout: Layout) -> str:
-    return "".join(n[:w].ljust(w) for n, w in zip(layout.names, layout.widths))
+    """Column names in their columns; a name wider than its column raises."""
+    wide = [n for n, w in zip(layout.names, layout.widths) if len(n) > w]
+    if wide:
+        raise ValueError(f"column names wider than their columns: {wide}")
+    return "".join(n.ljust(w) for n, w in zip(layout.names, layout.widths))
 
 
 def write_fixed_width(df: DataFrame, path: str, layout: Layout, header: bool = True,

@@ -26,11 +26,19 @@ def read_envelope(spark: SparkSession, paths: str | Sequence[str], key: str = "v
     return r.json(as_list(paths)).select(F.inline(key))
 
 
-def portal_datasets(responses: DataFrame, strict: bool = False) -> DataFrame:
-    """Datasets of portal search responses (S9): results of successful
-    responses, only ``type = 'dataset'`` when ``strict``."""
-    ok = responses.where(F.col("success"))
-    ds = ok.select(F.explode("result.results").alias("d")).select("d.*")
+def portal_datasets(responses: DataFrame, strict: bool = False, skip_failed: bool = False) -> DataFrame:
+    """Datasets of portal search responses (S9), only ``type = 'dataset'`` when ``strict``.
+
+    A response that reports no success fails the job, unless ``skip_failed`` leaves it out.
+    """
+    good = F.coalesce(F.col("success"), F.lit(False))
+    if skip_failed:
+        responses, results = responses.where(good), F.col("result.results")
+    else:
+        results = F.when(good, F.col("result.results")).otherwise(
+            F.raise_error(F.concat(F.lit("portal response without success: "),
+                                   F.to_json(F.struct(*responses.columns)))))
+    ds = responses.select(F.explode(results).alias("d")).select("d.*")
     return ds.where(F.col("type") == "dataset") if strict else ds
 
 

@@ -26,7 +26,7 @@ def list_files(spark: SparkSession, folder: str, suffix: str | None = None,
         suffix = suffix if suffix.startswith(".") else "." + suffix
         r = r.option("pathGlobFilter", f"*{suffix}")
     df = r.load(folder).select("path", "length", "modificationTime")
-    return df.withColumn("relative", paths.relative_to("path", _qualified(spark, base or folder)))
+    return df.withColumn("relative", paths.relative_to("path", qualified(spark, base or folder)))
 
 
 def list_prefix(spark: SparkSession, root: str, prefix: str) -> DataFrame:
@@ -42,12 +42,11 @@ def list_prefix(spark: SparkSession, root: str, prefix: str) -> DataFrame:
     return listed.where(F.col("relative").startswith(prefix))
 
 
-def _qualified(spark: SparkSession, folder: str) -> str:
-    """The folder as Spark reports paths: local paths get the ``file:`` scheme."""
-    f = folder.rstrip("/")
-    if "://" in f or f.startswith("file:"):
-        return f if not f.startswith("file://") else "file:" + f[len("file://"):]
-    return "file:" + f
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as Spark reports paths: a path without a scheme is on the default filesystem."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") or "/")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toString()
 
 
 def with_path_parts(df: DataFrame, col: str = "path") -> DataFrame:

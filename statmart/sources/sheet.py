@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.functions.columns import SHEET_NA_TOKENS, cast_columns, null_tokens_all
+from statmart.functions.paths import last_segment
 from statmart.sources.files import file_key, first_lines, input_files, numbered_lines
 
 
@@ -32,7 +33,7 @@ def read_sheet_export(spark: SparkSession, paths: str | Sequence[str], sep: str
 
     ``skip_rows`` are 0-based file line numbers to drop (the header is line 0),
     as a sheet reader's ``skiprows`` list; a mapping gives them per file, keyed
-    by a part of the file name (sheets of different years differ). Blank lines
+    by a part of the file's own name, without its folder (sheets of different years differ). Blank lines
     are dropped. Files are grouped by header; the groups are aligned by column
     name. ``types`` casts columns leniently (bad → null).
     """
@@ -46,7 +47,7 @@ def read_sheet_export(spark: SparkSession, paths: str | Sequence[str], sep: str
     drop = line_no == 0
     if isinstance(skip_rows, Mapping):
         for pattern, nums in skip_rows.items():
-            drop = drop | (name.contains(pattern) & line_no.isin(list(nums)))
+            drop = drop | (last_segment(name).contains(pattern) & line_no.isin(list(nums)))
     elif list(skip_rows):
         drop = drop | line_no.isin(list(skip_rows))
     kept = lines.where(~drop & (F.length(F.trim("value")) > 0))

@@ -49,7 +49,9 @@ def read_xml_records(spark: SparkSession, paths: str | Sequence[str], row_tag: s
         clash = sorted(prefixes & plain)
         if clash:
             raise ValueError(f"namespace prefix equals an attribute name: {clash}")
+    # every value stays text: codes keep their leading zeros; cast explicitly afterwards
     r = (spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true")
+              .option("inferSchema", "false")
               .option("attributePrefix", "@").option("valueTag", "#text"))
     if schema is not None:
         r = r.schema(schema)

@@ -15,6 +15,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 
+def _rows(spark: SparkSession, target: str, schema: StructType) -> int:
+    """Committed rows of the table, from its file footers; none while it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return 0
+    return spark.read.schema(schema).parquet(target).count()
+
+
 def load_new_files(spark: SparkSession, source: str, target: str, checkpoint: str,
                    schema: StructType, fmt: str = "json", max_files_per_trigger: int = 1000,
                    options: dict[str, str] | None = None) -> int:
@@ -24,6 +32,7 @@ def load_new_files(spark: SparkSession, source: str, target: str, checkpoint: st
     if fmt == "json":
         opts["timestampNTZFormat"] = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     opts.update(options or {})
+    before = _rows(spark, target, schema)
     stream = spark.readStream.format(fmt).schema(schema).options(**opts).load(source)
     q = (stream.writeStream.format("parquet").outputMode("append")
                .option("checkpointLocation", checkpoint)
@@ -31,4 +40,4 @@ def load_new_files(spark: SparkSession, source: str, target: str, checkpoint: st
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _rows(spark, target, schema) - before
