@@ -15,22 +15,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from statmart.functions.columns import (SHEET_NA_TOKENS, cast_columns, get_key, null_tokens_all,
-                                        parse_decimal_comma, record_json, round_to_int64, to_int64,
-                                        trim_all)
+                                        pad_code, pad_right, parse_decimal_comma, record_json,
+                                        round_to_int64, substr_from, to_int64, trim_all)
 from statmart.operators.catalog import (batches, distinct_sources, expect_one, ids_by_source,
                                         needs_refresh, source_filter)
 from statmart.operators.nesting import map_items, nest, unnest
 from statmart.operators.runlog import count_failed, failed_runs, first_last_by
 from statmart.functions import paths
-from statmart.functions.names import clean_name_col
+from statmart.functions.names import assign_columns, clean_name_col
+from statmart.operators.sequence import batch_number
 from statmart.operators.star import flatten
 from statmart.session import scratch_path
-from statmart.sinks.datasets import dataset_name, replace_dataset
+from statmart.sinks.datasets import (dataset_name, drop_dataset, replace_dataset,
+                                     replace_dataset_from_folder)
 from statmart.sinks.tables import read_range, replace_table, write_ndjson, write_range_partitioned
 from statmart.plans.staging import (envelope_pages, stage_sheet_exports, stage_xml, stage_yearly_files,
                                     stage_zips)
 from statmart.sinks.tables import load_ndjson_files
-from statmart.sources.archives import convert_members, expand_archives
+from statmart.sources.archives import convert_members, expand_archives, list_members
 from statmart.sources.dataset import flatten_dataset
 from statmart.sources.delimited import read_delimited, read_yearly
 from statmart.sources.files import input_files
@@ -54,6 +56,11 @@ def load(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
+def _padded(value: str, width: int, fill: str = "0", side: str = "l") -> str:
+    """SQL of a padded code that never shortens a longer one."""
+    return f"(CASE WHEN length({value}) < {width} THEN {side}pad({value}, {width}, '{fill}') ELSE {value} END)"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -214,7 +221,7 @@ def mart_type_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("dim_extract", """
-SELECT TRIM(lpad(CAST(c_custkey AS VARCHAR), 12, ' ')) AS customer_code,
+SELECT CAST(c_custkey AS VARCHAR) AS customer_code,
        TRIM(concat(c_name, '   ')) AS customer_name
 FROM customer
 WHERE starts_with(c_mktsegment, 'MACHINE_') OR starts_with(c_mktsegment, 'AUTO')
@@ -225,7 +232,7 @@ def dim_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")["customer"]
     return (c.where(F.col("c_mktsegment").startswith("MACHINE_") |
                     F.col("c_mktsegment").startswith("AUTO"))
-             .select(trim_all(F.lpad(F.col("c_custkey").cast("string"), 12, " ")).alias("customer_code"),
+             .select(trim_all(pad_code(F.col("c_custkey").cast("string"), 12, " ")).alias("customer_code"),
                      trim_all(F.concat("c_name", F.lit("   "))).alias("customer_name"))
              .orderBy("customer_code"))
 
@@ -247,32 +254,36 @@ LINEITEM_PROPERTIES = [
 def _lineitem_flatten(spark: SparkSession, sf_dir: str, how: str, removed_keys: bool) -> DataFrame:
     t = load(spark, sf_dir, "lineitem", "part", "supplier")
     props = spark.createDataFrame(LINEITEM_PROPERTIES, "Key string, Title string, Type string")
-    part = t["part"]
-    supplier = t["supplier"]
     fact = t["lineitem"]
+    part = t["part"].select(F.col("p_partkey").cast("string").alias("Key"), F.col("p_name").alias("Title"),
+                            (F.col("p_type") != "PROMO").alias("kept"), (F.col("p_size") <= 25).alias("unused"))
+    supplier = t["supplier"].select(F.col("s_suppkey").cast("string").alias("Key"), F.col("s_name").alias("Title"),
+                                    (F.col("s_acctbal") >= 0).alias("kept"),
+                                    (F.col("s_nationkey") <= 12).alias("unused"))
     if removed_keys:
-        part = part.where(F.col("p_type") != "PROMO")
-        supplier = supplier.where(F.col("s_acctbal") >= 0)
-        fact = fact.where(F.col("l_returnflag") == "R")
+        # some fact rows lose their dimension row, and some dimension rows have no fact row
+        part, supplier = (d.where("kept").unionByName(d.where("unused").withColumns(
+            {"Key": F.concat(F.lit("X"), "Key"), "Title": F.concat(F.lit("unused "), "Title")}))
+            for d in (part, supplier))
     # Statistical datasets carry dimension codes as text, in the fact and in
     # the dimension tables alike.
     fact = fact.withColumns({"l_partkey": F.col("l_partkey").cast("string"),
                              "l_suppkey": F.col("l_suppkey").cast("string")})
-    dims = {"l_partkey": part.select(F.col("p_partkey").cast("string").alias("Key"),
-                                     F.col("p_name").alias("Title")),
-            "l_suppkey": supplier.select(F.col("s_suppkey").cast("string").alias("Key"),
-                                         F.col("s_name").alias("Title"))}
+    dims = {"l_partkey": part.select("Key", "Title"), "l_suppkey": supplier.select("Key", "Title")}
     return flatten(fact, dims, props, how=how)
 
 
 def _flatten_sql(how: str, removed_keys: bool) -> str:
-    pw = "WHERE p_type != 'PROMO'" if removed_keys else ""
-    sw = "WHERE s_acctbal >= 0" if removed_keys else ""
-    fw = "WHERE l_returnflag = 'R'" if removed_keys else ""
-    part = f"(SELECT CAST(p_partkey AS VARCHAR) AS Key, p_name AS Title FROM part {pw})"
-    supp = f"(SELECT CAST(s_suppkey AS VARCHAR) AS Key, s_name AS Title FROM supplier {sw})"
+    part = "SELECT CAST(p_partkey AS VARCHAR) AS Key, p_name AS Title FROM part"
+    supp = "SELECT CAST(s_suppkey AS VARCHAR) AS Key, s_name AS Title FROM supplier"
+    if removed_keys:
+        part += (" WHERE p_type != 'PROMO' UNION ALL SELECT 'X' || CAST(p_partkey AS VARCHAR), 'unused ' || p_name"
+                 " FROM part WHERE p_size <= 25")
+        supp += (" WHERE s_acctbal >= 0 UNION ALL SELECT 'X' || CAST(s_suppkey AS VARCHAR), 'unused ' || s_name"
+                 " FROM supplier WHERE s_nationkey <= 12")
+    part, supp = f"({part})", f"({supp})"
     fact = (f"(SELECT CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey,"
-            f" l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem {fw})")
+            " l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)")
     return f"""
 SELECT l_partkey.Key AS part_code, l_partkey.Title AS part,
        l_suppkey.Key AS supplier_code, l_suppkey.Title AS supplier,
@@ -383,6 +394,25 @@ def catalog_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("source", "part", "n_ids", F.array_join("ids", ",").alias("ids"))
 
 
+@register("catalog_group_hot", """
+WITH keyed AS (
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'cbs' ELSE lower(o_orderpriority) END AS source, o_orderkey,
+         row_number() OVER (PARTITION BY CASE WHEN o_orderkey % 3 = 0 THEN 'cbs' ELSE lower(o_orderpriority) END
+                            ORDER BY o_orderkey) - 1 AS seq
+  FROM orders)
+SELECT source, CAST(floor(seq / 1000) AS BIGINT) AS part, count(*) AS n_ids,
+       string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS ids
+FROM keyed GROUP BY source, CAST(floor(seq / 1000) AS BIGINT)
+""")
+def catalog_group_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source holds a third of all ids: its list is cut into parts of 1000."""
+    o = load(spark, sf_dir, "orders")["orders"]
+    catalog = o.select(F.col("o_orderkey").alias("Identifier"),
+                       F.when(F.col("o_orderkey") % 3 == 0, F.lit("CBS")).otherwise(F.col("o_orderpriority")).alias("Catalog"))
+    g = ids_by_source(catalog)
+    return g.select("source", "part", "n_ids", F.array_join("ids", ",").alias("ids"))
+
+
 @register("catalog_distinct", f"""
 WITH {_PART_CATALOG_SQL}
 SELECT DISTINCT Catalog AS source FROM cat
@@ -427,6 +457,20 @@ ld AS (
 """
 
 
+@register("batches_hot", """
+SELECT kind, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CAST(floor((row_number() OVER (PARTITION BY kind ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) / 10)
+            AS BIGINT) AS batch
+FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag END AS kind FROM lineitem)
+""")
+def batches_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One group holds a third of all rows."""
+    li = load(spark, sf_dir, "lineitem")["lineitem"]
+    kind = F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.col("l_returnflag"))
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return batch_number(li.select(kind.alias("kind"), *cols), ["kind"], cols, size=10).select("kind", *cols, "batch")
+
+
 @register("refresh_needed", _REFRESH_SQL + """
 SELECT s.id, s.modified,
        CASE WHEN EXISTS (SELECT 1 FROM ld WHERE ld.id = s.id) THEN 'changed' ELSE 'new' END AS reason
@@ -562,6 +606,21 @@ def nest_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unnest(nested, keep=["l_orderkey", "part"])
 
 
+@register("nest_unnest_hot", """
+SELECT parent, CAST(floor((row_number() OVER (PARTITION BY parent
+                                              ORDER BY l_quantity, l_orderkey, l_linenumber, l_partkey) - 1) / 1000)
+                    AS BIGINT) AS part,
+       l_quantity, l_orderkey, l_linenumber, l_partkey
+FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_suppkey END AS parent FROM lineitem)
+""")
+def nest_unnest_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One parent holds a third of all rows, with many equal order values."""
+    li = load(spark, sf_dir, "lineitem")["lineitem"]
+    li = li.withColumn("parent", F.when(F.col("l_orderkey") % 3 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("l_suppkey")))
+    nested = nest(li, ["parent"], ["l_orderkey", "l_linenumber", "l_partkey"], order_cols=["l_quantity"])
+    return unnest(nested, keep=["parent", "part"])
+
+
 @register("array_transform", """
 SELECT l_orderkey, part,
        string_agg(CAST(CAST(round(l_quantity) AS BIGINT) AS VARCHAR), ','
@@ -640,6 +699,30 @@ def refresh_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
+    drop_dataset(spark, dataset_name("test", f"snapshot_{name}"))  # the plan already points at the files
+    return out
+
+
+@register("folder_to_dataset", """
+SELECT 'orders_kwb' AS table_name, count(*) AS n_rows FROM orders
+UNION ALL
+SELECT 'events_kwb' AS table_name, count(*) AS n_rows FROM events
+""")
+def folder_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table file below a prefix becomes a table of a dataset with a bare name."""
+    t = load(spark, sf_dir, "orders", "events", "region")
+    root = scratch_path(spark, "folder")
+    replace_table(t["orders"], f"{root}/files/cbs/kwb/2020/orders_kwb.parquet")
+    write_ndjson(t["events"], f"{root}/files/cbs/kwb2/events_kwb.json")
+    replace_table(t["region"], f"{root}/files/cbs/other/region.parquet")
+    name = "kwb_" + root.rsplit("-", 1)[-1]
+    tables = replace_dataset_from_folder(spark, f"{root}/files", "cbs/kwb", name, location=f"{root}/db")
+    out = None
+    for tb in tables:
+        n = spark.table(tb).agg(F.count(F.lit(1)).alias("n_rows")) \
+                 .select(F.lit(tb.split(".")[-1]).alias("table_name"), "n_rows")
+        out = n if out is None else out.unionByName(n)
+    drop_dataset(spark, name)
     return out
 
 
@@ -731,9 +814,15 @@ def roundtrip_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_ndjson_files(spark, files, f"{root}/events_table", schema=schema)
 
 
-# Fixed-width layout of the staged order register.
-ORDER_REGISTER = Layout(["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"],
-                        [10, 10, 8, 15, 1], date_cols=["o_orderdate"])
+_REGISTER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+
+
+def _register_layout(staged: DataFrame, extra: int = 0, date_cols: list[str] | None = None) -> Layout:
+    """Fixed-width layout of the staged order register: as wide as its longest values."""
+    widest = staged.agg(*[F.max(F.length(F.col(c).cast("string"))).alias(c) for c in _REGISTER_COLUMNS]).first()
+    least = [len(c) if extra else 1 for c in _REGISTER_COLUMNS]
+    return Layout(_REGISTER_COLUMNS, [max(widest[c] or 1, n) + extra for c, n in zip(_REGISTER_COLUMNS, least)],
+                  date_cols=date_cols or [])
 
 
 @register("roundtrip_fwf", """
@@ -753,9 +842,10 @@ def roundtrip_fwf(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .otherwise(F.regexp_replace(F.date_format("o_orderdate", "ddMMyyyy"), "^0+", "")))
     staged = o.select("o_orderkey", "o_custkey", date_text.alias("o_orderdate"),
                       "o_orderpriority", "o_orderstatus")
-    write_fixed_width(staged, root, ORDER_REGISTER, header=False,
+    layout = _register_layout(staged, date_cols=["o_orderdate"])
+    write_fixed_width(staged, root, layout, header=False,
                       right_align=["o_orderkey", "o_custkey", "o_orderdate"])
-    df = read_fixed_width(spark, root, ORDER_REGISTER)
+    df = read_fixed_width(spark, root, layout)
     return cast_columns(df, {"o_orderkey": "bigint", "o_custkey": "bigint"})
 
 
@@ -767,11 +857,9 @@ FROM orders
 def fwf_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")["orders"]
     root = scratch_path(spark, "fwf_header")
-    layout = Layout(["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"],
-                    [12, 11, 13, 17, 14])
     staged = o.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "ddMMyyyy").alias("o_orderdate"),
                       "o_orderpriority", "o_orderstatus")
-    write_fixed_width(staged, root, layout, header=True)
+    write_fixed_width(staged, root, _register_layout(staged, extra=2), header=True)
     df = read_fixed_width_inferred(spark, root, header=True)
     return cast_columns(df, {"o_orderkey": "bigint", "o_custkey": "bigint"})
 
@@ -798,10 +886,16 @@ def sheet_skiprows(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(F.col("c_nationkey").cast("string"))
     staged = c.select("c_custkey", "c_name", na.alias("c_acctbal"), "c_mktsegment",
                       mixed.alias("c_nationkey"))
-    files = stage_sheet_exports(staged, root, SHEET_FILLER, sep=";")
-    df = read_sheet_export(spark, files, sep=";", skip_rows=[1, 2],
+    # Two years of sheets with other columns first and other filler lines; the folder
+    # carries the year of the first, its files a plus sign.
+    odd = F.col("c_custkey") % 2 == 1
+    files = stage_sheet_exports(staged.where(odd), f"{root}/export 2015", SHEET_FILLER, sep=";",
+                                name="a+b 2015")
+    files += stage_sheet_exports(staged.where(~odd).select(*reversed(staged.columns)), f"{root}/export 2015",
+                                 SHEET_FILLER[:1], sep=";", name="c 2016")
+    df = read_sheet_export(spark, files, sep=";", skip_rows={"2015": [1, 2], "2016": [1]},
                            types={"c_custkey": "bigint", "c_acctbal": "double"})
-    return df.withColumn("c_nationkey", parse_decimal_comma("c_nationkey"))
+    return df.select(*staged.columns).withColumn("c_nationkey", parse_decimal_comma("c_nationkey"))
 
 
 @register("yearly_files", """
@@ -822,22 +916,23 @@ def yearly_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("xml_records", """
-SELECT c_custkey AS id, c_name AS naam, c_acctbal AS saldo, c_nationkey AS land,
-       c_mktsegment AS segment,
-       CAST(to_json({'@id': c_custkey, 'adres': {'land': c_nationkey, 'segment': c_mktsegment},
-                     'naam': c_name, 'saldo': c_acctbal}) AS VARCHAR) AS json
-FROM customer
+SELECT id, c_name AS naam, c_acctbal AS saldo, c_nationkey AS land, c_mktsegment AS segment,
+       CAST(to_json({'@id': id, 'adres': {'land': CAST(c_nationkey AS VARCHAR), 'segment': c_mktsegment},
+                     'naam': c_name, 'saldo': CAST(c_acctbal AS VARCHAR)}) AS VARCHAR) AS json
+FROM (SELECT *, """ + _padded("CAST(c_custkey AS VARCHAR)", 16) + """ AS id FROM customer)
 """)
 def xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")["customer"]
     root = scratch_path(spark, "xml")
-    staged = c.select("c_custkey", F.col("c_name").alias("naam"), F.col("c_acctbal").alias("saldo"),
+    # Register ids are 16 digits that begin with zeros.
+    staged = c.select(pad_code(F.col("c_custkey").cast("string"), 16).alias("id"),
+                      F.col("c_name").alias("naam"), F.col("c_acctbal").alias("saldo"),
                       F.col("c_nationkey").alias("land"), F.col("c_mktsegment").alias("segment"),
                       (F.col("c_nationkey") == 0).alias("own_ns"))
-    stage_xml(staged, root, "Nummeraanduiding", "c_custkey", ["naam", "saldo"], "adres",
+    stage_xml(staged, root, "Nummeraanduiding", "id", ["naam", "saldo"], "adres",
               ["land", "segment"], "own_ns")
     rec = read_xml_records(spark, root, "Nummeraanduiding")
-    return rec.select(F.col("`@id`").alias("id"), "naam", "saldo",
+    return rec.select(F.col("`@id`").alias("id"), "naam", F.col("saldo").cast("double").alias("saldo"),
                       F.col("adres.land").cast("int").alias("land"), F.col("adres.segment").alias("segment"),
                       record_json(F.col("`@id`"), "adres", "naam", "saldo").alias("json"))
 
@@ -891,13 +986,54 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = Layout(["c_custkey", "c_name", "c_mktsegment"], [12, 22, 14])
     stage_zips(c.select(*layout.names), f"{root}/in", layout)
     members = expand_archives(spark, f"{root}/in", f"{root}/out")
-    data = members.where(~F.col("member").endswith(".md"))
-    out = convert_members(spark, data, f"{root}/converted")
-    csv_rows = spark.read.parquet(out["csv"]).select(F.lit("csv").alias("kind"), "c_custkey", "c_name",
-                                                     "c_mktsegment")
-    txt_rows = spark.read.json(out["txt"]).select(F.lit("txt").alias("kind"), "c_custkey", "c_name",
-                                                  "c_mktsegment")
-    return cast_columns(csv_rows.unionByName(txt_rows), {"c_custkey": "bigint"})
+    out = convert_members(spark, members, f"{root}/converted")
+    rows = None
+    for kind, fmt in (("csv", "parquet"), ("txt", "json")):
+        part = spark.read.format(fmt).load([p for _, p, f in out if f == fmt]) \
+            .select(F.lit(kind).alias("kind"), "c_custkey", "c_name", "c_mktsegment")
+        rows = part if rows is None else rows.unionByName(part)
+    return cast_columns(rows, {"c_custkey": "bigint"})
+
+
+@register("zip_to_dataset", """
+SELECT count(*) AS n_rows, min(c_custkey) AS first_key, max(c_custkey) AS last_key,
+       CAST(sum(length(c_name)) AS BIGINT) AS name_chars FROM (
+SELECT * FROM customer UNION ALL SELECT * FROM customer)
+""")
+def zip_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives to a dataset with one table per member; all its tables are read back."""
+    c = load(spark, sf_dir, "customer")["customer"]
+    root = scratch_path(spark, "zipset")
+    layout = Layout(["c_custkey", "c_name", "c_mktsegment"], [12, 22, 14])
+    stage_zips(c.select(*layout.names).repartition(3, "c_custkey"), f"{root}/in", layout)
+    members = expand_archives(spark, f"{root}/in", f"{root}/out")
+    found = list_members(spark, f"{root}/in")
+    if found.count() != members.count():
+        raise RuntimeError("listed and expanded members differ")
+    out = convert_members(spark, members, f"{root}/converted")
+    name = root.rsplit("-", 1)[-1]
+    tables = replace_dataset(spark, "zip", name, out, location=f"{root}/db")
+    rows = None
+    for t in tables:
+        part = spark.table(t).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name")
+        rows = part if rows is None else rows.unionByName(part)
+    drop_dataset(spark, dataset_name("zip", name))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.min("c_custkey").alias("first_key"),
+                    F.max("c_custkey").alias("last_key"), F.sum(F.length("c_name")).alias("name_chars"))
+
+
+@register("assign_names", """
+SELECT r_regionkey AS code, r_name AS naam FROM region
+UNION ALL SELECT n_nationkey AS code, n_name AS naam FROM nation
+""")
+def assign_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unnamed columns of files without a header get a fixed list of names."""
+    t = load(spark, sf_dir, "region", "nation")
+    root = scratch_path(spark, "unnamed")
+    t["region"].select("r_regionkey", "r_name").write.csv(f"{root}/region")
+    t["nation"].select("n_nationkey", "n_name").write.csv(f"{root}/nation")
+    raw = read_delimited(spark, [f"{root}/region", f"{root}/nation"], header=False)
+    return cast_columns(assign_columns(raw, ["code", "naam"]), {"code": "int"})
 
 
 # --- incremental loads ------------------------------------------------------------------------
@@ -1021,25 +1157,28 @@ def _district_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from statmart.plans.marts import DISTRICT_TOPICS
     c = load(spark, sf_dir, "customer")["customer"]
     kind = F.when(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE"), F.lit("WK")).otherwise(F.lit("BU"))
-    code = F.rpad(F.concat(kind, F.lpad(F.col("c_custkey").cast("string"), 6, "0")), 10, " ")
+    code = pad_right(F.concat(kind, pad_code(F.col("c_custkey").cast("string"), 6)), 10)
     dim = c.select(code.alias("Key"), F.concat(F.lit(" "), "c_name").alias("Title"),
-                   F.concat(F.lit("GM"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0"))
+                   F.concat(F.lit("GM"), pad_code(F.col("c_nationkey").cast("string"), 4))
                     .alias("Municipality"))
     fact = c.select(code.alias("Codering_3"),
                     *[(F.col("c_acctbal") + j).alias(src) for j, (_, src) in enumerate(DISTRICT_TOPICS)])
     return {"84286NED_TypedDataSet": fact, "84286NED_WijkenEnBuurten": dim}
 
 
+_DISTRICT_CODE_SQL = _padded("(CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'WK' ELSE 'BU' END || "
+                             + _padded("CAST(c_custkey AS VARCHAR)", 6) + ")", 10, " ", "r")
+
+
 def _district_sql() -> str:
     from statmart.plans.marts import DISTRICT_TOPICS
     topics = ",\n       ".join(f"fct.{src} AS {out}" for out, src in DISTRICT_TOPICS)
     derived = ",\n         ".join(f"c_acctbal + {j} AS {src}" for j, (_, src) in enumerate(DISTRICT_TOPICS))
     return f"""
 WITH codes AS (
-  SELECT *, rpad(CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'WK' ELSE 'BU' END
-                 || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 10, ' ') AS code FROM customer),
+  SELECT *, {_DISTRICT_CODE_SQL} AS code FROM customer),
 wkbu AS (SELECT code AS Key, ' ' || c_name AS Title,
-                'GM' || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS Municipality FROM codes),
+                'GM' || {_padded("CAST(c_nationkey AS VARCHAR)", 4)} AS Municipality FROM codes),
 fct AS (SELECT code AS Codering_3,
          {derived}
         FROM codes)
@@ -1057,11 +1196,9 @@ def cbs_district_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_mart(REFERENCE_MARTS["kerncijfers_wijken_en_buurten"], _district_dataset(spark, sf_dir))
 
 
-@register("cbs_district_dimension", """
+@register("cbs_district_dimension", f"""
 SELECT TRIM(Key) AS wijk_code, TRIM(Title) AS wijk_naam
-FROM (SELECT rpad(CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'WK' ELSE 'BU' END
-                  || lpad(CAST(c_custkey AS VARCHAR), 6, '0'), 10, ' ') AS Key,
-             ' ' || c_name AS Title FROM customer)
+FROM (SELECT {_DISTRICT_CODE_SQL} AS Key, ' ' || c_name AS Title FROM customer)
 WHERE Key LIKE 'WK%'
 ORDER BY Key
 """)
@@ -1088,7 +1225,7 @@ def _care_codes():
         "LeveringsvormZorg": F.when(F.month("l_shipdate") == 12, F.lit("T001306"))
                               .otherwise(F.concat(F.lit("L"), F.month("l_shipdate").cast("string"))),
         "RegioS": F.concat(F.when(F.col("l_quantity") > 45, F.lit("PV")).otherwise(F.lit("GM")),
-                           F.lpad(F.col("l_suppkey").cast("string"), 4, "0")),
+                           pad_code(F.col("l_suppkey").cast("string"), 4)),
     }
 
 
@@ -1103,10 +1240,15 @@ def _care_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     out = {"40060NED_TypedDataSet": fact}
     for name, keys in _codes_from_fact(spark, root, fact, list(codes)).items():
         out[f"40060NED_{name}"] = keys.select("Key", F.concat(F.lit(f"{name} "), "Key").alias("Title"))
+    # Some regions have no dimension row, one form of delivery has two.
+    out["40060NED_RegioS"] = out["40060NED_RegioS"].where(~F.col("Key").endswith("7"))
+    forms = out["40060NED_LeveringsvormZorg"]
+    out["40060NED_LeveringsvormZorg"] = forms.unionByName(
+        forms.where("Key = 'L1'").withColumn("Title", F.lit("LeveringsvormZorg L1 (oud)")))
     return out
 
 
-_CARE_SQL_CODES = """
+_CARE_SQL_CODES = f"""
   SELECT CAST(year(l_shipdate) AS VARCHAR) || CASE WHEN l_linestatus = 'O' THEN 'KW01' ELSE 'JJ00' END AS Perioden,
          CASE WHEN l_returnflag = 'R' THEN 'T001038' ELSE l_returnflag END AS Geslacht,
          CASE WHEN l_linenumber = 1 THEN '20300' WHEN l_linenumber = 2 THEN '90120'
@@ -1117,26 +1259,35 @@ _CARE_SQL_CODES = """
               ELSE 'D' || CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) END AS TypeMaatwerkvoorziening,
          CASE WHEN month(l_shipdate) = 12 THEN 'T001306'
               ELSE 'L' || CAST(month(l_shipdate) AS VARCHAR) END AS LeveringsvormZorg,
-         CASE WHEN l_quantity > 45 THEN 'PV' ELSE 'GM' END || lpad(CAST(l_suppkey AS VARCHAR), 4, '0') AS RegioS,
+         CASE WHEN l_quantity > 45 THEN 'PV' ELSE 'GM' END || {_padded("CAST(l_suppkey AS VARCHAR)", 4)} AS RegioS,
          l_quantity
   FROM lineitem"""
 
 
+def _care_dimensions_sql() -> str:
+    names = ["Perioden", "Geslacht", "Leeftijd", "Huishouden", "TypeMaatwerkvoorziening", "LeveringsvormZorg", "RegioS"]
+    extra = {"LeveringsvormZorg": " UNION ALL SELECT 'L1', 'LeveringsvormZorg L1 (oud)'",
+             "RegioS": " WHERE NOT ends_with(RegioS, '7')"}
+    return ",\n".join(f"d{i} AS (SELECT DISTINCT {n} AS Key, '{n} ' || {n} AS Title FROM fct{extra.get(n, '')})"
+                      for i, n in enumerate(names))
+
+
 @register("cbs_care_use_mart", f"""
 WITH coded AS ({_CARE_SQL_CODES}),
 fct AS (
   SELECT Perioden, Geslacht, Leeftijd, Huishouden, TypeMaatwerkvoorziening, LeveringsvormZorg, RegioS,
          CAST(count(*) AS DOUBLE) AS PersonenMetGebruikInJaar_1, sum(l_quantity) AS PersonenMetGebruikInJaar_2
-  FROM coded GROUP BY ALL)
+  FROM coded GROUP BY ALL),
+{_care_dimensions_sql()}
 SELECT CAST(substr(fct.Perioden, 1, 4) AS BIGINT) AS jaar,
-       fct.RegioS AS gemeente_code, 'RegioS ' || fct.RegioS AS gemeente_naam,
-       'Geslacht ' || fct.Geslacht AS geslacht, 'Leeftijd ' || fct.Leeftijd AS leefijd,
-       fct.Huishouden AS huishouden_code, 'Huishouden ' || fct.Huishouden AS huishouden_omschrijving,
-       'TypeMaatwerkvoorziening ' || fct.TypeMaatwerkvoorziening AS voorziening,
-       'LeveringsvormZorg ' || fct.LeveringsvormZorg AS leveringsvorm,
+       d6.Key AS gemeente_code, d6.Title AS gemeente_naam, d1.Title AS geslacht, d2.Title AS leefijd,
+       d3.Key AS huishouden_code, d3.Title AS huishouden_omschrijving, d4.Title AS voorziening,
+       d5.Title AS leveringsvorm,
        fct.PersonenMetGebruikInJaar_1 AS gebruik_aantal_personen,
        fct.PersonenMetGebruikInJaar_2 AS gebruik_percentage
-FROM fct
+FROM fct JOIN d0 ON d0.Key = fct.Perioden JOIN d1 ON d1.Key = fct.Geslacht JOIN d2 ON d2.Key = fct.Leeftijd
+JOIN d3 ON d3.Key = fct.Huishouden JOIN d4 ON d4.Key = fct.TypeMaatwerkvoorziening
+JOIN d5 ON d5.Key = fct.LeveringsvormZorg JOIN d6 ON d6.Key = fct.RegioS
 WHERE fct.Perioden LIKE '%JJ%' AND fct.RegioS LIKE 'GM%' AND fct.Geslacht != 'T001038'
   AND fct.Leeftijd NOT IN ('20300', '90120', '90200') AND fct.Huishouden != 'T001139'
   AND fct.TypeMaatwerkvoorziening != 'T001024' AND fct.LeveringsvormZorg != 'T001306'
@@ -1166,7 +1317,7 @@ def _income_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     coded = oc.select(
         F.concat(F.year("o_orderdate").cast("string"), F.lit("JJ00")).alias("Perioden"),
         F.concat(F.when(F.col("c_acctbal") < 0, F.lit("PV")).otherwise(F.lit("GM")),
-                 F.lpad(F.col("c_nationkey").cast("string"), 4, "0")).alias("Regio"),
+                 pad_code(F.col("c_nationkey").cast("string"), 4)).alias("Regio"),
         F.when(F.col("o_orderstatus") == "F", F.lit("1050010")).otherwise(F.lit("1050011")).alias("Populatie"),
         kvh.alias("KenmerkenVanHuishoudens"), "o_orderpriority", "o_totalprice")
     n = F.count(F.lit(1))
@@ -1178,7 +1329,7 @@ def _income_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.sum(F.round("o_totalprice")).alias(_INCOME_TOPICS[1]),
         *[(n * k).cast("double").alias(name) for k, name in enumerate(_INCOME_TOPICS[2:], start=3)]))
     titled = F.when(F.col("KenmerkenVanHuishoudens") == "1010000", F.lit("Totaal")) \
-              .otherwise(F.concat(F.lit("Type: "), F.substring("o_orderpriority", 3, 100)))
+              .otherwise(F.concat(F.lit("Type: "), substr_from("o_orderpriority", 3)))
     dims = {
         "84639NED_Regio": fact.select(F.col("Regio").alias("Key")).distinct()
                               .select("Key", F.concat(F.lit("Regio "), "Key").alias("Title")),
@@ -1209,7 +1360,7 @@ def _income_sql() -> str:
     return f"""
 WITH coded AS (
   SELECT CAST(year(o_orderdate) AS VARCHAR) || 'JJ00' AS Perioden,
-         CASE WHEN c_acctbal < 0 THEN 'PV' ELSE 'GM' END || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS Regio,
+         CASE WHEN c_acctbal < 0 THEN 'PV' ELSE 'GM' END || {_padded("CAST(c_nationkey AS VARCHAR)", 4)} AS Regio,
          CASE WHEN o_orderstatus = 'F' THEN '1050010' ELSE '1050011' END AS Populatie,
          CASE o_orderpriority WHEN '1-URGENT' THEN '1050015' WHEN '2-HIGH' THEN '1050055'
               WHEN '3-MEDIUM' THEN '1050020' WHEN '4-NOT SPECIFIED' THEN '1050025'
@@ -1252,4 +1403,6 @@ def cbs_population_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         replace_table(df, uris[-1])
     tag = root.rsplit("-", 1)[-1]
     replace_dataset(spark, "cbs", tag, uris, "population dataset", location=f"{root}/db")
-    return population_pc4(spark, project="", schema=dataset_name("cbs", tag))
+    out = population_pc4(spark, project="", schema=dataset_name("cbs", tag))
+    drop_dataset(spark, dataset_name("cbs", tag))  # the plan already points at the files
+    return out

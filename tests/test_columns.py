@@ -131,3 +131,21 @@ _TEXT = st.text(alphabet=st.sampled_from(list("ab-.()%_ \t\n\x0b\x0c\r\x1c\x1f\x
 def test_clean_name_column_equals_python_form(spark, names):
     df = spark.createDataFrame([(n,) for n in names], "v string")
     assert [r[0] for r in df.select(clean_name_col("v")).collect()] == [clean_name(n) for n in names]
+
+
+def test_padding_never_shortens(spark):
+    from statmart.functions.columns import pad_code, pad_right
+    df = spark.createDataFrame([("7",), ("1234",), ("10000",), (None,)], "c string")
+    got = [tuple(r) for r in df.select(pad_code("c", 4), pad_right("c", 4)).collect()]
+    assert got == [("0007", "7   "), ("1234", "1234"), ("10000", "10000"), (None, None)]
+
+
+def test_codes_past_their_old_widths(spark, tmp_path):
+    """Keys of more digits than a code is padded to stay apart."""
+    from pyspark.sql import functions as F
+    from statmart.plans.suite import QUERIES
+    c = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    c.withColumn("c_custkey", F.col("c_custkey") + 1_234_567_000).write.parquet(str(tmp_path / "customer.parquet"))
+    out = QUERIES["cbs_district_mart"](spark, str(tmp_path))
+    wanted = c.where(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE")).count()
+    assert out.count() == out.select("wijk_code").distinct().count() == wanted

@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL, plan_text
+from statmart.plans.suite import QUERIES
 
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 STAR = ["mart_left_star", "mart_left_star_sql", "mart_inner_star", "mart_type_prefix",
         "flatten_meta_inner", "flatten_meta_left", "dataset_group", "cbs_population_mart",
         "cbs_income_mart", "cbs_care_use_mart", "cbs_district_mart"]
@@ -15,7 +15,7 @@ STAR = ["mart_left_star", "mart_left_star_sql", "mart_inner_star", "mart_type_pr
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {k: plan_text(E.queries()[k](spark, SF_SMALL)) for k in KEYS}
+    return {k: plan_text(QUERIES[k](spark, SF_SMALL)) for k in KEYS}
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -43,3 +43,17 @@ def test_left_star_filters_reach_scans(plans):
 def test_partitioned_read_prunes(plans):
     assert re.search(r"PartitionFilters: \[[^\]]*jaar_bucket", plans["mart_partitioned_read"])
     assert re.search(r"PartitionFilters: \[[^\]]*jaar_bucket", plans["range_partition"])
+
+
+@pytest.mark.parametrize("key", ["flatten_meta_right", "flatten_meta_full"])
+def test_outer_flatten_reads_the_fact_twice_at_most(plans, key):
+    assert 1 <= len(re.findall(r"Location: .*lineitem\.parquet", plans[key])) <= 2
+
+
+def test_no_limited_counts():
+    """A limit before a count would bring the rows of every partition to one task."""
+    import pathlib
+    import statmart
+    root = pathlib.Path(statmart.__file__).parent / "operators"
+    for p in root.glob("*.py"):
+        assert not re.search(r"\.limit\([^)]*\)\.count\(", p.read_text()), p

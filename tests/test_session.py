@@ -54,8 +54,10 @@ def test_shared_root_when_unset_picks_one_folder_per_application():
 
 @pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
 def test_no_folder_of_our_own_on_a_cluster(master):
+    s = _Session({}, master)
+    s.sparkContext.applicationId = f"app-{master}"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_root(_Session({}, master))
+        session.shared_root(s)
 
 
 def test_real_session_uses_configured_dir(spark):

@@ -16,6 +16,7 @@ from statmart.sources.fixed_width import (REGISTER_LAYOUTS, Layout, infer_layout
                                           read_fixed_width_inferred)
 from statmart.sources.json_records import portal_datasets, read_envelope, resource_urls
 from statmart.sources.listing import list_files, list_prefix
+from statmart.session import local_path
 from statmart.sources.sheet import read_sheet_export
 from statmart.sources.xml_records import read_xml_records
 
@@ -184,7 +185,7 @@ def test_xml_records_drop_namespace_attributes(spark, tmp_path):
     p.write_text(XML)
     df = read_xml_records(spark, str(p), "Nummeraanduiding")
     assert sorted(df.columns) == ["@id", "adres", "postcode"]
-    assert rows(df.select("`@id`", "postcode", "adres.nr")) == [(1, "1011AB", 5), (2, "1012CD", 7)]
+    assert rows(df.select("`@id`", "postcode", "adres.nr")) == [("1", "1011AB", "5"), ("2", "1012CD", "7")]
 
 
 def test_xml_prefix_clash_raises(spark, tmp_path):
@@ -209,8 +210,10 @@ def test_portal_strict_and_zip_urls(spark, tmp_path):
         {"name": "b", "type": "harvest", "resources": [{"url": "http://x/b.zip"}]}]}}
     p.write_text(json.dumps(resp) + "\n" + json.dumps({"success": False, "result": None}) + "\n")
     responses = spark.read.json(str(p))
-    assert rows(resource_urls(portal_datasets(responses, strict=True))) == [("a", "http://x/a.zip")]
-    assert resource_urls(portal_datasets(responses)).count() == 2
+    assert rows(resource_urls(portal_datasets(responses, strict=True, skip_failed=True))) == [("a", "http://x/a.zip")]
+    assert resource_urls(portal_datasets(responses, skip_failed=True)).count() == 2
+    with pytest.raises(Exception, match="without success"):
+        portal_datasets(responses).collect()
 
 
 # --- archives ---------------------------------------------------------------------------------
@@ -227,7 +230,7 @@ def test_zip_expand_and_members(spark, tmp_path):
     got = {r.member: r.path for r in m.collect()}
     assert set(got) == {"sub dir/a-b.csv", "sub dir/c.xml", "t%1.txt"}
     assert got["sub dir/a-b.csv"].endswith("/data _2020_/sub dir/a_b.csv")
-    assert os.path.exists(got["sub dir/a-b.csv"])
+    assert os.path.exists(local_path(got["sub dir/a-b.csv"]))
     assert rows(read_delimited(spark, got["sub dir/a-b.csv"])) == [("1", "2")]
     xml_only = list_members(spark, str(src), ".xml")
     assert [r.member for r in xml_only.collect()] == ["sub dir/c.xml"]
@@ -289,12 +292,72 @@ def test_zip_flow_to_dataset(spark, tmp_path):
         z.writestr("deel 1/vast.txt", "code naam  \nGM1  Een   \nGM3  Drie  \n")
     members = expand_archives(spark, str(src), str(tmp_path / "out"))
     out = convert_members(spark, members, str(tmp_path / "converted"))
-    assert set(out) == {"csv", "txt"}
-    tables = replace_dataset(spark, "zip", "flow_unit", [out["csv"], out["txt"]],
-                             location=str(tmp_path / "db"))
-    assert tables == ["zip_flow_unit.csv", "zip_flow_unit.txt"]
-    assert rows(spark.table("zip_flow_unit.csv").select("code", "naam")) == [("GM1", "Een"), ("GM2", "Twee")]
-    assert rows(spark.table("zip_flow_unit.txt").select("code", "naam")) == [("GM1", "Een"), ("GM3", "Drie")]
+    assert sorted((t, f) for t, _, f in out) == [("regio", "parquet"), ("vast", "json")]
+    tables = replace_dataset(spark, "zip", "flow_unit", out, location=str(tmp_path / "it's db"))
+    assert sorted(tables) == ["zip_flow_unit.regio", "zip_flow_unit.vast"]
+    assert rows(spark.table("zip_flow_unit.regio")) == [("GM1", "Een"), ("GM2", "Twee")]
+    assert rows(spark.table("zip_flow_unit.vast").select("code", "naam")) == [("GM1", "Een"), ("GM3", "Drie")]
+    with pytest.raises(TypeError):  # bad input leaves the dataset as it is
+        replace_dataset(spark, "zip", "flow_unit", ["/x/a.parquet", "/x/b.csv"])
+    (tmp_path / "broken.parquet").write_text("not a table")
+    with pytest.raises(Exception):
+        replace_dataset(spark, "zip", "flow_unit", [str(tmp_path / "broken.parquet")])
+    assert spark.table("zip_flow_unit.regio").count() == 2
+
+
+def _zip(path, members):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w") as z:
+        for name, text in members.items():
+            z.writestr(name, text)
+
+
+def test_archives_of_one_name_and_members_of_other_headers(spark, tmp_path):
+    from statmart.sources.archives import convert_members
+    _zip(tmp_path / "in" / "a" / "data.zip", {"one.csv": "id,name\n1,x\n", "two+2.csv": "name,amount,id\ny,5,2\n"})
+    _zip(tmp_path / "in" / "b" / "data.zip", {"one.csv": "id,name\n3,z\n", "w.txt": "id name\n4  q\n",
+                                              "v.txt": "code  id\nAA    5\n", "skip.md": "x"})
+    members = expand_archives(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert members.count() == 6 and members.select("path").distinct().count() == 6
+    out = convert_members(spark, members, str(tmp_path / "converted"))
+    got = {t: rows(spark.read.format(f).load(p).select("id", *(["name"] if t != "b_data_v" else ["code"])))
+           for t, p, f in out}
+    assert got == {"a_data_one": [("1", "x")], "a_data_two_2": [("2", "y")], "b_data_one": [("3", "z")],
+                   "b_data_w": [("4", "q")], "b_data_v": [("5", "AA")]}
+
+
+def test_colliding_members_raise(spark, tmp_path):
+    _zip(tmp_path / "in" / "x.zip", {"a-b.csv": "x\n", "a_b.csv": "y\n"})
+    with pytest.raises(ValueError, match="several archive members"):
+        expand_archives(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert not (tmp_path / "out" / "x").exists()
+
+
+def test_skip_rule_matches_the_file_name_only(spark, tmp_path):
+    (tmp_path / "2015").mkdir()
+    (tmp_path / "2015" / "a+b 2015.csv").write_text("k,v\nunit,n\nA,1\n")
+    (tmp_path / "2015" / "c 2016.csv").write_text("v,k\n2,B\n")
+    df = read_sheet_export(spark, str(tmp_path / "2015"), skip_rows={"2015": [1]})
+    assert rows(df.select("k", "v")) == [("A", "1"), ("B", "2")]
+
+
+def test_xml_codes_keep_leading_zeros(spark, tmp_path):
+    p = tmp_path / "z.xml"
+    p.write_text('<r><Num id="0003200000133985"><x>007</x></Num></r>')
+    assert rows(read_xml_records(spark, str(p), "Num").select("`@id`", "x")) == [("0003200000133985", "007")]
+
+
+def test_folder_to_dataset_with_a_bare_name(spark, tmp_path):
+    from statmart.sinks.datasets import drop_dataset, replace_dataset_from_folder
+    spark.range(3).write.parquet(str(tmp_path / "cbs" / "kwb" / "one.parquet"))
+    (tmp_path / "cbs" / "kwb2").mkdir()
+    (tmp_path / "cbs" / "kwb2" / "two.json").write_text('{"a": 1}\n')
+    (tmp_path / "cbs" / "other").mkdir()
+    (tmp_path / "cbs" / "other" / "three.json").write_text('{"a": 1}\n')
+    got = replace_dataset_from_folder(spark, str(tmp_path), "cbs/kwb", "bare_unit", location=str(tmp_path / "db"))
+    assert sorted(got) == ["bare_unit.one", "bare_unit.two"]
+    assert spark.table("bare_unit.one").count() == 3
+    drop_dataset(spark, "bare_unit")
 
 
 def test_skip_rows_beyond_the_first_split(spark, tmp_path):

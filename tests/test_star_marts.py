@@ -5,7 +5,7 @@ from conftest import plan_text, rows
 from statmart.operators.star import (bounded_broadcast, check_join_type, flatten, join_dimension,
                                      split_properties)
 from statmart.plans.marts import REFERENCE_MARTS, build_mart
-from statmart.plans.sql import POPULATION_PC4_SQL, POPULATION_PC4_ARGS, run_sql
+from statmart.plans.sql import run_mart_sql, run_sql
 
 
 def kt(spark, pairs, extra=None):
@@ -50,11 +50,7 @@ def test_population_mart(spark, population):
 
 
 def test_population_mart_as_bound_sql(spark, population):
-    df = run_sql(spark, POPULATION_PC4_SQL,
-                 {"fact": population["83502NED_TypedDataSet"],
-                  "postcode": population["83502NED_Postcode"],
-                  "geslacht": population["83502NED_Geslacht"],
-                  "leeftijd": population["83502NED_Leeftijd"]}, POPULATION_PC4_ARGS)
+    df = run_mart_sql(spark, REFERENCE_MARTS["bevolking_p4_leeftijd_geslacht"], population)
     assert rows(df) == EXPECTED_POPULATION
 
 
@@ -266,3 +262,32 @@ def test_snowflake_broadcast_proof_uses_key_multiplicity(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_broadcast_proof_counts_real_bytes(spark):
+    from statmart.operators.star import fits_broadcast, table_sizes
+    wide = spark.range(200).select(F.col("id"), F.repeat(F.lit("é"), 1000).alias("title"),
+                                   F.array(F.lit("x" * 50)).alias("nested"))
+    size = table_sizes([wide])[0]
+    assert size.rows == 200 and size.bytes > 200 * 2050 and size.widest > 2050
+    assert not fits_broadcast(wide, max_bytes=200 * 200) and fits_broadcast(wide, max_bytes=10**6)
+    assert not fits_broadcast(wide, max_rows=199)
+
+
+def test_mart_build_runs_two_jobs_at_most(spark):
+    from statmart.plans.suite import INNER_STAR, load
+    tables = load(spark, "/root/testdata/sf0.001", "lineitem", "orders", "customer", "nation", "region")
+    calls = []
+    original = type(tables["orders"]).collect
+    try:
+        type(tables["orders"]).collect = lambda self: calls.append(1) or original(self)
+        build_mart(INNER_STAR, tables)
+    finally:
+        type(tables["orders"]).collect = original
+    assert len(calls) <= 2
+
+
+def test_fill_leaves_other_braces(spark):
+    from statmart.plans.marts import fill
+    assert fill("x rlike 'a{2}' and d > {day} and s = {none}", {"day": __import__("datetime").date(2020, 1, 2), "none": None}) \
+        == "x rlike 'a{2}' and d > DATE '2020-01-02' and s = NULL"
