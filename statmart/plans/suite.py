@@ -9,6 +9,7 @@ as the correctness reference. Column names and types match between the two.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1098,10 +1099,12 @@ def _population_dataset(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame
                               F.col("l_returnflag").alias("Geslacht"),
                               F.col("l_linestatus").alias("Leeftijd"), "l_quantity")
     root = scratch_path(spark, "83502NED")
+    area = ["Postcode", "Geslacht", "Leeftijd"]
     fact = _stored(spark, root, "83502NED_TypedDataSet", (
-        li.cube("Perioden", "Postcode", "Geslacht", "Leeftijd")
+        # rows are added up first; the subtotals are the eight grouping sets that keep the period
+        li.groupBy("Perioden", *area).agg(F.sum("l_quantity").alias("l_quantity"))
+          .groupingSets([["Perioden", *s] for k in range(4) for s in combinations(area, k)], "Perioden", *area)
           .agg(F.sum("l_quantity").alias("Bevolking_1"))
-          .where(F.col("Perioden").isNotNull())
           .select("Perioden",
                   F.coalesce("Postcode", F.lit("NL01")).alias("Postcode"),
                   F.coalesce("Geslacht", F.lit("T001038")).alias("Geslacht"),

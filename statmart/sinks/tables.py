@@ -56,16 +56,13 @@ def write_range_partitioned(df: DataFrame, path: str, spec: RangeBuckets,
                             mode: str = "overwrite", fmt: str = "parquet") -> None:
     """Write ``df`` partitioned by its range bucket (K9 + K6/K7).
 
-    Rows are range-shuffled on (bucket, scan-order id) so each task covers a
-    few adjacent buckets and a bucket holding a large share of the rows, even
-    of identical rows, is spread over many tasks (files) instead of one task
-    writing it all. The id is taken before the shuffle and is the same when a
-    task is re-executed.
+    Rows are rebalanced by bucket: adaptive execution puts small buckets together
+    and splits a bucket holding a large share of the rows, even of identical
+    rows, over many tasks (files) from the real sizes of the shuffle. Unlike a
+    range shuffle this needs no sample, so the input is computed once.
     """
     part = spec.partition_column
-    out = with_bucket(df, spec).withColumn("__spread", F.monotonically_increasing_id())
-    out = out.repartitionByRange(F.col(part), F.col("__spread")).drop("__spread") \
-             .sortWithinPartitions(part)
+    out = with_bucket(df, spec).hint("rebalance", F.col(part)).sortWithinPartitions(part)
     out.write.mode(mode).format(fmt).partitionBy(part).save(path)
 
 
