@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.llm.bpe import RANKS, bpe_digests
-from statmart.llm.common import table
+from statmart.llm.common import stored, table
 from statmart.llm.decontaminate import contamination
 from statmart.llm.langid import UNDETERMINED, fit_language_model, held_out, predict_language
 from statmart.llm.linededup import dedup_lines
@@ -22,9 +22,15 @@ from statmart.session import scratch_path, ship_package
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+BROADCAST_IDS = 2_000_000  # of one long each; more are joined by a shuffle
+
+
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` but for the rows whose doc_id is in ``ids``; a null doc_id stays."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    gone = stored(ids.select("doc_id").distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +54,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id."""
     ship_package(spark)
-    rows = similar_documents(docs)
-    again = rows.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    return _without(docs, again.where("doc_id <> component_id")).dropDuplicates(["doc_id", "text"])
+    ids = stored(similar_documents(docs).groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("rows")), "components")
+    kept = _without(docs, ids.where("doc_id <> component_id"))
+    # equal rows are copies that no doc_id tells apart
+    return kept if ids.where("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
