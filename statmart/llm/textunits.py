@@ -18,10 +18,11 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 OTHER, LETTER, DIGIT, SPACE, UNKNOWN = 0, 1, 2, 3, 4
 BASE = 0x9E3779B97F4A7C15 | 1
-SLICE = 1 << 20  # characters worked on at once; a longer text is taken whole
+SLICE = 1 << 18  # characters worked on at once; a longer text is taken whole
 _U = np.uint64
 
 
@@ -66,24 +67,42 @@ def finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of ``symbols`` (unsigned integers), independent of its place."""
-    _, powers, inverse = _tables(len(symbols))
+def running_hash(symbols: np.ndarray) -> np.ndarray:
+    """Sums from which :func:`hash_between` takes the hash of any span of ``symbols`` (unsigned integers)."""
+    _, powers, _ = _tables(len(symbols))
     x = finish(symbols.astype(np.uint64) + _U(1)) if symbols.dtype != np.uint8 else _BYTE_HASH[symbols]
     x *= powers[:len(x)]
     total = np.zeros(len(x) + 1, dtype=np.uint64)
     np.cumsum(x, out=total[1:])
+    return total
+
+
+def hash_between(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span, independent of its place."""
+    _, _, inverse = _tables(len(total) - 1)
     h = (total[ends] - total[starts]) * inverse[starts]
     return finish(h + (ends - starts).astype(np.uint64))
 
 
+def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return hash_between(running_hash(symbols), starts, ends)
+
+
 _BYTE_HASH = finish(np.arange(1, 257, dtype=np.uint64))
 
 
-def slices(texts: list[str | None]) -> Iterator[list[str]]:
-    """Consecutive texts in groups of about ``SLICE`` characters; null counts as empty."""
+def _few_at_once(column: pa.Array) -> Iterator[str | None]:
+    for at in range(0, len(column), 64):
+        yield from column.slice(at, 64).to_pylist()
+
+
+def slices(texts: list[str | None] | pa.Array) -> Iterator[list[str]]:
+    """Consecutive texts in groups of about ``SLICE`` characters; null counts as empty.
+
+    Of an Arrow column only the texts of a group become Python strings at a time.
+    """
     part, size = [], 0
-    for t in texts:
+    for t in _few_at_once(texts) if isinstance(texts, pa.Array) else texts:
         t = t or ""
         if part and size + len(t) > SLICE:
             yield part
@@ -139,7 +158,7 @@ class UnitEncoder:
 
     def __init__(self, encode: Callable[[list[str]], list], bound: int = 1 << 20):
         self._encode, self._bound = encode, bound
-        self._size = 4 * bound
+        self._size = 2 * bound
         self._reset()
 
     def _reset(self) -> None:
