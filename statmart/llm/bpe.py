@@ -33,7 +33,7 @@ from statmart.llm.textunits import UnitEncoder, slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 64  # bytes; from here on LONG_SQL
-CHUNK = 1 << 19  # bytes of words in one query
+CHUNK = 1 << 17  # bytes of words, or ids to decode, in one query; bounds its memory
 
 SHORT_SQL = """
 WITH RECURSIVE step AS (
@@ -170,12 +170,19 @@ class Codec:
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The bytes of each text."""
         out = [b""] * len(counts)
-        if len(ids):
-            self._db.register("ids", pa.table({
-                "doc": np.repeat(np.arange(len(counts), dtype=np.int32), counts),
-                "pos": np.arange(len(ids), dtype=np.int64), "id": ids.astype(np.int32)}))
-            for doc, s in self._db.execute(DECODE_SQL).fetchall():
-                out[doc] = (np.frombuffer(s.encode("utf-16-le"), dtype="<u2") - 256).astype(np.uint8).tobytes()
+        ends = np.cumsum(counts)
+        first = 0
+        while first < len(counts):  # whole texts, about CHUNK ids at once
+            start = int(ends[first] - counts[first])
+            last = max(first + 1, int(np.searchsorted(ends, start + CHUNK, side="right")))
+            part = ids[start:int(ends[last - 1])]
+            if len(part):
+                self._db.register("ids", pa.table({
+                    "doc": np.repeat(np.arange(first, last, dtype=np.int32), counts[first:last]),
+                    "pos": np.arange(len(part), dtype=np.int64), "id": part.astype(np.int32)}))
+                for doc, s in self._db.execute(DECODE_SQL).fetchall():
+                    out[doc] = (np.frombuffer(s.encode("utf-16-le"), dtype="<u2") - 256).astype(np.uint8).tobytes()
+            first = last
         return out
 
 
@@ -195,7 +202,7 @@ def bpe_encode(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFram
         own = codec(path)
         for batch in batches:
             done = 0
-            for part in slices(batch.column(1).to_pylist()):
+            for part in slices(batch.column(1)):
                 ids, counts = own.encode(part)
                 yield pa.record_batch([batch.column(0).slice(done, len(part)), pa.LargeListArray.from_arrays(
                     np.concatenate([[0], np.cumsum(counts)]), ids.astype(np.int64)).cast(pa.list_(pa.int64()))],
@@ -231,7 +238,7 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         own = codec(path)
         for batch in batches:
             done = 0
-            for part in slices(batch.column(1).to_pylist()):
+            for part in slices(batch.column(1)):
                 ids, counts = own.encode(part)
                 raw = ids.astype("<u4").tobytes()
                 ends = np.cumsum(counts).tolist()

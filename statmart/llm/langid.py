@@ -227,7 +227,7 @@ def predict_language(df: DataFrame, model: LanguageModel) -> DataFrame:
         own = shared.value
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(1).to_pylist()):
+            for texts in slices(batch.column(1)):
                 langs, score = own.predict(texts)
                 yield pa.record_batch([batch.column(0).slice(at, len(texts)), pa.array(langs, pa.string()),
                                        pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])

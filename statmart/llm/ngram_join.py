@@ -110,7 +110,7 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(cells, dtype=np.int64)
         for batch in batches:
-            for texts in slices(batch.column(0).to_pylist()):
+            for texts in slices(batch.column(0)):
                 hashes, _ = shingle_sets(texts)
                 own += np.bincount((hashes >> _U(64 - CELLS_LOG2)).astype(np.int64), minlength=cells)
         if own.any():
@@ -224,7 +224,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             done = 0
-            for texts in slices(batch.column(batch.schema.get_field_index("text")).to_pylist()):
+            for texts in slices(batch.column(batch.schema.get_field_index("text"))):
                 hashes, counts = shingle_sets(texts)
                 yield batch.slice(done, len(texts)), rare_first(hashes, counts, cells.value), counts, \
                     set_ids(hashes, counts)

@@ -113,7 +113,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
 
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(1).to_pylist()):
+            for texts in slices(batch.column(1)):
                 flat, counts = encoder(texts)
                 ends = np.cumsum(counts)
                 whole = np.insert(flat, ends, end_id).astype(np.uint32)  # the end id after each document
