@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.llm.bpe import RANKS, bpe_digests
-from statmart.llm.common import stored, table
+from statmart.llm.common import BATCH, TEXT_ROWS, stored, table
 from statmart.llm.decontaminate import contamination
 from statmart.llm.langid import UNDETERMINED, fit_language_model, held_out, predict_language
 from statmart.llm.linededup import dedup_lines
@@ -36,6 +36,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without any letter go."""
     ship_package(spark)
+    spark.conf.set(BATCH, TEXT_ROWS)
     model = fit_language_model(docs.where(~held_out()))
     told = predict_language(docs, model)
     # rows of one doc_id can differ in text, so it goes only if none of them has a language
@@ -70,6 +71,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the text decoded from them."""
     ship_package(spark)
+    spark.conf.set(BATCH, TEXT_ROWS)
     return bpe_digests(docs, public_tokenizers.path(RANKS))
 
 

@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from statmart.session import scratch_path
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+TEXT_ROWS = 1000  # whole documents in one Arrow batch
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Arrow batches are kept small from here on, as rows hold whole texts."""
+    if int(spark.conf.get(BATCH)) > TEXT_ROWS:
+        spark.conf.set(BATCH, TEXT_ROWS)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
