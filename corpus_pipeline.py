@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from statmart.llm.bpe import RANKS, bpe_digests
 from statmart.llm.common import BATCH, TEXT_ROWS, stored, table
 from statmart.llm.decontaminate import contamination
-from statmart.llm.langid import UNDETERMINED, fit_language_model, held_out, predict_language
+from statmart.llm.langid import fit_language_model, held_out, languages_told
 from statmart.llm.linededup import dedup_lines
 from statmart.llm.ngram_join import similar_documents
 from statmart.session import scratch_path, ship_package
@@ -34,13 +34,12 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without any letter go."""
+    """Documents of a language that the labelled ones teach; if none is labelled, all."""
     ship_package(spark)
     spark.conf.set(BATCH, TEXT_ROWS)
     model = fit_language_model(docs.where(~held_out()))
-    told = predict_language(docs, model)
     # rows of one doc_id can differ in text, so it goes only if none of them has a language
-    known = told.groupBy("doc_id").agg(F.max((F.col("lang_pred") != UNDETERMINED).cast("int")).alias("known"))
+    known = languages_told(docs, model).groupBy("doc_id").agg(F.max(F.col("told").cast("int")).alias("known"))
     return _without(docs, known.where("known = 0"))
 
 

@@ -7,6 +7,11 @@ normalised by the text's length and the sample's (phrases * log2(sample) / symbo
 cross-parsing entropy), wins. Case is folded, letters outside the alphabet match
 nothing and end a phrase, runs of other characters count as one space.
 
+Whether a text is of the language it comes nearest to at all is decided by the same
+entropy: it must stay within a bound fitted on labelled texts, each parsed by a model
+that has not seen it. Short parses vary more, so the bound is fitted on windows of
+several lengths and a text meets that of the longest window it fills.
+
 The walk is vectorised: texts are parsed in blocks of ``BLOCK`` symbols, and many
 blocks and all languages step through their automata together, so the work per
 character is a few array operations whatever the lengths of the texts.
@@ -30,6 +35,9 @@ ALPHABET = 62
 BLOCK = 512
 SPACE = 0
 UNDETERMINED = "und"
+WINDOWS = (8, 16, 32, 64, 128)  # symbols; a text below the first is too short for its entropy to tell
+LEAST_WINDOWS = 50  # a bound is fitted on so many at least
+SPREAD = 5  # times the distance from the median to the 99th percentile that a bound lies above the median
 
 
 def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
@@ -81,6 +89,8 @@ class LanguageModel:
     step: np.ndarray
     roots: np.ndarray
     weight: np.ndarray
+    bound: np.ndarray | None = None  # highest entropy of a language's texts (rows) by length (columns)
+    share: float = 0.0  # least part of letters in a text that is too short for a bound
 
     def symbols(self, text: str) -> np.ndarray:
         got = self.lookup[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
@@ -117,6 +127,31 @@ class LanguageModel:
             count[:, i] = np.bincount(owner, weights=ended[i], minlength=len(texts)).astype(np.int64)
         return count
 
+    def _parsed(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each text has a letter, its symbols, and its cost in each language."""
+        known = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+        symbols = [self.symbols(t) if k else np.zeros(0, dtype=np.uint8) for t, k in zip(texts, known)]
+        sizes = np.array([len(s) for s in symbols], dtype=np.int64)
+        return known, sizes, self.phrases(symbols) * self.weight[None, :]
+
+    def told(self, texts: list[str | None]) -> np.ndarray:
+        """Whether each text is of one of the languages, as far as its entropy tells.
+
+        A text without a letter is of none. Where no bound could be fitted any other text
+        is; where nothing was learned, every text.
+        """
+        if not self.languages or not len(texts):
+            return np.ones(len(texts), dtype=bool)
+        known, sizes, cost = self._parsed(texts)
+        if self.bound is None:
+            return known
+        best, length = cost.argmin(axis=1), np.searchsorted(WINDOWS, sizes, side="right") - 1
+        entropy = cost.min(axis=1) / np.maximum(sizes, 1)
+        ok = known & ((length < 0) | (entropy <= self.bound[best, np.maximum(length, 0)]))
+        for i in np.flatnonzero(known & (length < 0)):
+            ok[i] = letter_share(texts[i]) >= self.share
+        return ok
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; ties go to the language named first in order.
 
@@ -124,9 +159,7 @@ class LanguageModel:
         """
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        known = [bool(t) and any(map(str.isalpha, t)) for t in texts]
-        symbols = [self.symbols(t) if k else np.zeros(0, dtype=np.uint8) for t, k in zip(texts, known)]
-        cost = self.phrases(symbols) * self.weight[None, :]
+        known, _, cost = self._parsed(texts)
         best = cost.argmin(axis=1) if len(texts) else np.zeros(0, dtype=np.int64)
         low = np.sort(cost, axis=1)
         second = low[:, 1] if len(self.languages) > 1 else np.full(len(texts), np.inf)
@@ -135,6 +168,37 @@ class LanguageModel:
         return [self.languages[b] if k else UNDETERMINED for b, k in zip(best, known)], score
 
 
+def letter_share(text: str) -> float:
+    """Letters among all characters that are not white space."""
+    seen = sum(map(len, text.split()))
+    return sum(map(str.isalpha, text)) / seen if seen else 0.0
+
+
+def fit_bounds(languages: list[str], clean: dict[str, list[tuple[str, LanguageModel]]]) -> tuple[np.ndarray, float]:
+    """Bounds by language and length, and the share of letters, from texts and models that have not seen them.
+
+    A bound lies ``SPREAD`` times as far above the median of the windows' entropies as
+    their 99th percentile does, so a few odd texts in the sample do not move it. Of lengths
+    with too few windows the next shorter bound holds, and without any there is none.
+    """
+    bound = np.full((len(languages), len(WINDOWS)), np.inf)
+    for i, g in enumerate(languages):
+        parsed = [(m.symbols(t), m) for t, m in clean[g]]
+        for j, w in enumerate(WINDOWS):
+            found = []
+            for model in {id(m): m for _, m in parsed}.values():
+                cut = [s[a:a + w] for s, m in parsed if m is model for a in range(0, len(s) - w + 1, w)]
+                own = model.languages.index(g)
+                found.append(model.phrases(cut)[:, own] * model.weight[own] / w)
+            rates = np.concatenate(found) if found else np.zeros(0)
+            if len(rates) >= LEAST_WINDOWS:
+                middle, high = np.quantile(rates, [0.5, 0.99])
+                bound[i, j] = middle + SPREAD * (high - middle)
+            elif j:
+                bound[i, j] = bound[i, j - 1]
+    return bound, min((letter_share(t) for ts in clean.values() for t, _ in ts), default=0.0) / 2
+
+
 def build_model(samples: dict[str, list[str]], alphabet: int = ALPHABET) -> LanguageModel:
     """Model of the sample texts of each language."""
     languages = sorted(samples)
@@ -200,14 +264,19 @@ def fit_language_model(labelled: DataFrame, sample_symbols: int = SAMPLE_SYMBOLS
         held[r["lang"]] = held.get(r["lang"], 0) + len(r["text"])
     halves = [{g: ts[k::2] for g, ts in sample.items() if ts[k::2]} for k in (0, 1)]
     clean = {g: list(ts) for g, ts in sample.items()}
+    unseen: dict[str, list[tuple[str, LanguageModel]]] = {}  # texts and the model of the other half
     if all(len(h) == len(sample) for h in halves):
         models = [build_model(h, alphabet) for h in halves]
         for g, ts in sample.items():
             said = [models[1 - i % 2].predict([t])[0][0] for i, t in enumerate(ts)]
-            right = [t for t, s in zip(ts, said) if s == g]
-            if 2 * len(right) >= len(ts):
-                clean[g] = right
-    return build_model(clean, alphabet)
+            right = [i for i, s in enumerate(said) if s == g]
+            right = right if 2 * len(right) >= len(ts) else list(range(len(ts)))
+            clean[g] = [ts[i] for i in right]
+            unseen[g] = [(ts[i], models[1 - i % 2]) for i in right]
+    model = build_model(clean, alphabet)
+    if unseen:
+        model.bound, model.share = fit_bounds(model.languages, unseen)
+    return model
 
 
 def _sample_order():
@@ -236,6 +305,21 @@ def predict_language(df: DataFrame, model: LanguageModel) -> DataFrame:
         run, "doc_id long, lang_pred string, score double")
 
 
+def languages_told(df: DataFrame, model: LanguageModel) -> DataFrame:
+    """doc_id and ``told``: whether the text is of one of the model's languages. One row per row."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            at = 0
+            for texts in slices(batch.column(1)):
+                yield pa.record_batch([batch.column(0).slice(at, len(texts)), pa.array(own.told(texts), pa.bool_())],
+                                      names=["doc_id", "told"])
+                at += len(texts)
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, told boolean")
+
+
 def held_out():
     """Documents that the classifier never learns from."""
     return F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(5)) == 0

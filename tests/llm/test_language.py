@@ -75,3 +75,32 @@ def test_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in out)
     right = [r["lang_pred"] == lang[r["doc_id"]] for r in out if r["held_out"]]
     assert np.mean(right) > 0.97
+
+
+def spoken(rnd, words, n=60):
+    return " ".join(rnd.choice(words) for _ in range(n))
+
+
+def test_stage_rejects_by_entropy(spark):
+    import corpus_pipeline as cp
+    rnd = random.Random(7)
+    syllables = {"en": ["the", "and", "ing", "tion", "her", "was", "out"], "de": ["der", "und", "ich", "sch", "ein", "ung", "keit"],
+                 "xx": ["qax", "zob", "vyk", "jwu", "xif", "pqo", "kzy"]}
+    words = {g: ["".join(rnd.choice(s) for _ in range(rnd.randint(1, 3))) for _ in range(80)] for g, s in syllables.items()}
+    rows = [(i, spoken(rnd, words[g]), g) for i, g in enumerate(["en", "de"] * 60)]
+    odd = {1000: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300)),  # gibberish
+           1001: spoken(rnd, words["xx"]),  # a language that was never learned
+           1002: "12 % 4411 // 99 ++ a 3 ## 17.50 -- 8", 1003: "1234 ...", 1004: None}
+    good = {2000: spoken(rnd, words["en"], 8), 2001: spoken(rnd, words["de"], 400), 2002: "Out.", 2003: words["en"][3]}
+    rows += [(i, t, None) for i, t in {**odd, **good}.items()]
+    docs = spark.createDataFrame([(i, t, g, "s", len(t or "")) for i, t, g in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in cp.language_id(spark, docs, "").collect()}
+    assert kept == {i for i, _, _ in rows} - set(odd)
+
+
+def test_stage_keeps_all_without_labels(spark):
+    import corpus_pipeline as cp
+    docs = spark.createDataFrame([(1, "some text", None, "s", 9), (2, "12", None, "s", 2)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert cp.language_id(spark, docs, "").count() == 2
