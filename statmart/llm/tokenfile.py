@@ -18,6 +18,7 @@ ever split and every chunk can be read by itself.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -68,22 +69,61 @@ def from_planes(planes: list[bytes], n_ids: int, block: int = BLOCK, unit: str =
     return out[:n_ids]
 
 
-_ENCODERS: dict[str, UnitEncoder] = {}
+class LibraryEncoder:
+    """The ids that the public tokenizers library gives for whole texts.
 
-
-def library_encoder(path: str) -> UnitEncoder:
-    """The process's encoder on the public tokenizers library.
-
-    Special tokens' strings in a text are ordinary text. The encoder is kept for later
-    tasks of the same worker.
+    The library takes the strings of the file's added tokens out of a text first and
+    encodes what stands between them on its own, and so does this, with units. A text
+    with an added token that also looks at its surroundings goes to the library whole.
     """
-    if path not in _ENCODERS:
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True
-        _ENCODERS[path] = UnitEncoder(
-            lambda units: [e.ids for e in own.encode_batch_fast(units, add_special_tokens=False)])
+        self._whole = lambda texts: [e.ids for e in own.encode_batch_fast(texts, add_special_tokens=False)]
+        self._units = UnitEncoder(self._whole)
+        added = own.get_added_tokens_decoder()
+        self._added = {t.content: i for i, t in added.items()}
+        self._odd = [t.content for t in added.values() if t.single_word or t.lstrip or t.rstrip or t.normalized]
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._match = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one after another, and the number of ids per text."""
+        if not any(c in t for t in texts for c in self._added):
+            return self._units(texts)
+        pieces, owner, single, before = [], [], [], []  # added ids, and the pieces before each
+        for i, t in enumerate(texts):
+            if any(c in t for c in self._odd):
+                ids = self._whole([t])[0]
+                single += ids
+                before += [len(pieces)] * len(ids)
+                owner += [i] * len(ids)
+            elif any(c in t for c in self._added):
+                for k, x in enumerate(self._match.split(t)):
+                    if k % 2:
+                        single.append(self._added[x])
+                        before.append(len(pieces))
+                        owner.append(i)
+                    else:
+                        pieces.append((i, x))
+            else:
+                pieces.append((i, t))
+        flat, counts = self._units([x for _, x in pieces])
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        total = np.bincount(np.array([i for i, _ in pieces], dtype=np.int64), weights=counts, minlength=len(texts)) \
+            + np.bincount(np.array(owner, dtype=np.int64), minlength=len(texts))
+        return np.insert(flat, ends[before], np.array(single, dtype=np.uint32)), total.astype(np.int64)
+
+
+_ENCODERS: dict[str, LibraryEncoder] = {}
+
+
+def library_encoder(path: str) -> LibraryEncoder:
+    """The process's encoder of a vocabulary file, kept for later tasks of the same worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = LibraryEncoder(path)
     return _ENCODERS[path]
 
 

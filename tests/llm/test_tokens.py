@@ -117,6 +117,34 @@ def test_token_files_round_trip(spark, tmp_path, unit):
     assert len(index) > 5 and all(a + n == b for (a, n), (b, _) in zip(index, index[1:])) and sum(index[-1]) == start
 
 
+def test_added_tokens_as_in_the_plain_call(spark, tmp_path):
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"{end}\n\n x", f"it's{end}'s", end[:-1], f"<|endof{end}text|>", "", None,
+             *(t + end * (i % 3) + t[:9] for i, t in enumerate(odd_texts(80, seed=8)))]
+    plain = Tokenizer.from_file(VOCABULARY)
+    tokenfile.write_token_files(documents(spark, texts), str(tmp_path / "t"), VOCABULARY, chunk_ids=500)
+    want, start = [], 0
+    for i, t in enumerate(texts):
+        x = plain.encode(t or "", add_special_tokens=False).ids + [2]
+        want.append((i, start, x))
+        start += len(x)
+    assert want[0][2][:-1].count(50256) == 1
+    got = sorted((r[0], r[1], list(r[2])) for r in tokenfile.read_token_files(spark, str(tmp_path / "t")).collect())
+    assert got == want
+
+
+@pytest.mark.parametrize("flags", [{"lstrip": True}, {"rstrip": True}, {"single_word": True}, {"normalized": True}, {}])
+def test_added_tokens_of_any_kind(tmp_path, flags):
+    from tokenizers import AddedToken
+    own = Tokenizer.from_file(VOCABULARY)
+    own.add_special_tokens([AddedToken("<sep>", **{"normalized": False, **flags}), AddedToken("<sep>>", normalized=False)])
+    own.save(str(tmp_path / "v.json"))
+    texts = ["a  <sep>  b", "a<sep>b <sep>> c", "<sep><|endoftext|><sep>", "", "none here", "x <sep>>>\n"]
+    ids, counts = tokenfile.LibraryEncoder(str(tmp_path / "v.json"))(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == \
+        [own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_files_of_an_empty_table(spark, tmp_path):
     tokenfile.write_token_files(documents(spark, []), str(tmp_path / "t"), VOCABULARY)
     assert tokenfile.read_token_files(spark, str(tmp_path / "t")).count() == 0
