@@ -44,9 +44,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated and near-equal lines removed; a document that loses all it had goes."""
+    """Repeated lines of any length and near-equal ones removed; a document that loses all it had goes."""
     ship_package(spark)
-    done = dedup_lines(docs.select(*COLUMNS))
+    done = dedup_lines(docs.select(*COLUMNS), least=1)
     left = (F.col("n_removed") == 0) | (F.trim(F.regexp_replace("text", "\\s+", " ")) != "")
     return done.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

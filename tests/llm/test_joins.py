@@ -93,6 +93,23 @@ def test_line_dedup_equals_brute_force(spark, hot):
     assert got == brute_lines(docs)
 
 
+def test_short_lines_by_equality(spark):
+    line = "a line that is long enough to be looked at"
+    docs = [(1, "Home\nMenu\n\nHome\n" + line), (2, "Home\n\n" + line[:-1] + "\nHomes\na\nb"), (3, "\na\n" + line[:31]),
+            (4, line[:31] + "\n日本語の文。"), (5, "日本語の文。\nmenu"), (6, line[:30])]
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(documents(spark, docs), least=1).collect()}
+    assert got == {1: "Home\nMenu\n\n" + line, 2: "\nHomes\na\nb", 3: "\n" + line[:31], 4: "日本語の文。", 5: "menu",
+                   6: line[:30]}
+
+
+def test_pipeline_drops_short_copies(spark):
+    import corpus_pipeline as cp
+    docs = spark.createDataFrame([(1, "Home\nfirst", "en", "s", 10), (2, "Home\nsecond", "en", "s", 11), (3, "Home", "en", "s", 4)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in cp.line_dedup(spark, docs, "").collect()}
+    assert got == {1: ("Home\nfirst", 10), 2: ("second", 6)}
+
+
 def test_very_long_lines(spark):
     line = "0123456789" * 50_000
     docs = [(1, line), (2, line + "x"), (3, line[:-2] + "9"), (4, line + "xy"), (5, line[:70_000] + "-" + line[70_000:])]
