@@ -64,7 +64,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of the benchmark."""
     ship_package(spark)
-    return _without(docs, contamination(docs, table(spark, sf_dir, "benchmark")))
+    return _without(docs, contamination(docs, table(spark, sf_dir, "benchmark"), scaled=True))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

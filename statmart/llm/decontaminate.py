@@ -7,13 +7,18 @@ which the words of both are compared. An item is found where ``WINDOW`` consecut
 positions of a diagonal hold at most ``SUBSTITUTIONS`` differing words. ``MASKS``
 together hit every such window, whichever words differ, so the seeds lose nothing.
 
-Items shorter than a window are found where all their words stand in a row; items of
-fewer than ``LEAST`` words are no evidence and are left out. Words are runs of letters
-and digits in lower case, compared by 64-bit hashes.
+Items shorter than a window are found where all their words stand in a row, or, if
+``scaled``, with ``tolerance`` of their words differing: such an item is cut into two
+blocks more than that, so two blocks are whole wherever it differs, and every pair of
+blocks is a mask. Items of fewer than ``LEAST`` words are no evidence and are left out;
+``unmatched`` lists them. Words are runs of letters and digits in lower case, compared by
+64-bit hashes; if ``scaled``, a character of a script without blanks is a word of its own.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +32,39 @@ BROADCAST_SEEDS = 2_000_000  # of five longs each; beyond that the join shuffles
 BROADCAST_HITS = 500_000
 
 
-def word_codes(text: Column) -> Column:
-    """Hashes of the words of a text; none for null."""
-    words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), "")
+NO_BLANKS = "([" + "".join(f"\\p{{Is{s}}}" for s in (
+    "Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")) + "])"
+
+
+def tolerance(words: int) -> int:
+    """Words that may differ in an item, or in each window of a longer one."""
+    return 0 if words < LEAST else 1 if words <= 8 else 2 if words < WINDOW else SUBSTITUTIONS
+
+
+def block_masks(words: int) -> list[tuple[int, str]]:
+    """Place of the first one, and mask from there to the last one, for a short item of ``words`` words."""
+    blocks = tolerance(words) + 2
+    edge = [words * b // blocks for b in range(blocks + 1)]
+    out = []
+    for pair in combinations(range(blocks), 2):
+        mask = "".join("1" if any(edge[b] <= i < edge[b + 1] for b in pair) else "0" for i in range(words))
+        out.append((mask.index("1"), mask.strip("0")))
+    return out
+
+
+def word_codes(text: Column, signs: bool = False) -> Column:
+    """Hashes of the words of a text; none for null. ``signs``: characters of scripts without blanks are words."""
+    text = F.lower(F.coalesce(text, F.lit("")))
+    text = F.regexp_replace(text, NO_BLANKS, " $1 ") if signs else text
+    words = F.array_remove(F.split(text, "[^\\p{L}\\p{N}]+"), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def unmatched(benchmark: DataFrame) -> DataFrame:
+    """(item_id, words) of the items that have too few words to be looked for."""
+    return benchmark.select("item_id", F.size(word_codes(F.col("text"), True)).alias("words")).where(F.col("words") < LEAST)
+
+
 def _seed(mask: str, number: int) -> Column:
     picked = [F.get(F.col("codes"), F.col("pos") + i) for i, c in enumerate(mask) if c == "1"]
     return F.when(F.col("pos") + len(mask) <= F.size("codes"),
@@ -46,7 +78,7 @@ def seeds(coded: DataFrame, key: str, masks: list[tuple[int, str]]) -> DataFrame
         .where("s IS NOT NULL").select(key, "pos", "s.mask", "s.seed")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, scaled: bool = False) -> DataFrame:
     """(doc_id, item_id, matched, best_window, first_word) of every item found in a document.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. ``matched`` is the number
@@ -55,34 +87,40 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and empty texts hold and are nothing; an item_id or doc_id that repeats is one
     item or document with all its texts. Empty tables give no rows.
     """
-    items = benchmark.select("item_id", word_codes(F.col("text")).alias("codes")) \
+    items = benchmark.select("item_id", word_codes(F.col("text"), scaled).alias("codes")) \
         .where(F.size("codes") >= LEAST).select("item_id", "codes", F.size("codes").alias("words")).distinct()
     short = [r[0] for r in items.where(F.col("words") < WINDOW).select("words").distinct().collect()]  # < WINDOW values
     general = list(enumerate(MASKS))
-    whole = [(100 + n, "1" * n) for n in sorted(short)]
+    at = {n: block_masks(n) if scaled else [(0, "1" * n)] for n in sorted(short)}
+    number = {m: 100 + i for i, m in enumerate(sorted({m for masks in at.values() for _, m in masks}))}
+    whole = [(i, m) for m, i in number.items()]
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     known = seeds(items.where(F.col("words") >= WINDOW).select(F.struct("item_id", "codes").alias("item"), "codes"),
                   "item", general)
     if whole:
         exact = seeds(items.where(F.col("words") < WINDOW).select(F.struct("item_id", "codes").alias("item"), "codes"),
                       "item", whole)
-        known = known.union(exact.where(F.col("mask") == F.size("item.codes") + 100))
+        wanted = F.lit(False)
+        for n, masks in at.items():
+            for place, m in masks:
+                wanted |= (F.size("item.codes") == n) & (F.col("pos") == place) & (F.col("mask") == number[m])
+        known = known.union(exact.where(wanted))
     known = known.select(F.col("item.item_id").alias("item_id"), F.col("pos").alias("item_pos"), "mask", "seed")
     if known.count() <= BROADCAST_SEEDS:
         known = F.broadcast(known)
-    coded = texts.select("doc_id", word_codes(F.col("text")).alias("codes"))
+    coded = texts.select("doc_id", word_codes(F.col("text"), scaled).alias("codes"))
     hits = seeds(coded, "doc_id", general + whole).join(known, ["mask", "seed"]) \
         .select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
-    return verified(texts, items, hits)
+    return verified(texts, items, hits, scaled)
 
 
-def verified(texts: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
+def verified(texts: DataFrame, items: DataFrame, hits: DataFrame, scaled: bool = False) -> DataFrame:
     """Compare the words along each hit diagonal."""
     hits = stored(hits, "seedhits").groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "shift")).alias("hits"))
     if hits.count() <= BROADCAST_HITS:
         hits = F.broadcast(hits)
     # the words of the few documents with hits only, so they are split after the join
-    found = texts.join(hits, "doc_id").select("doc_id", word_codes(F.col("text")).alias("codes"), "hits")
+    found = texts.join(hits, "doc_id").select("doc_id", word_codes(F.col("text"), scaled).alias("codes"), "hits")
     lines = found.select("doc_id", "codes", F.explode("hits").alias("h")) \
         .select("doc_id", "codes", "h.item_id", "h.shift")
     item = items.select("item_id", F.col("codes").alias("item"), "words")
@@ -92,6 +130,9 @@ def verified(texts: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
     windows = F.transform(F.sequence(F.lit(1), F.col("words") - width + 1), lambda s: F.aggregate(
         F.slice("equal", s, width), F.lit(0), lambda a, b: a + b))
     need = F.when(F.col("words") < WINDOW, F.col("words")).otherwise(WINDOW - SUBSTITUTIONS)
+    if scaled:
+        for n in range(LEAST, WINDOW):
+            need = F.when(F.col("words") == n, n - tolerance(n)).otherwise(need)
     scored = pair.select("doc_id", "item_id", "shift", need.alias("need"), F.array_max(windows).alias("best_window"),
                          F.aggregate("equal", F.lit(0), lambda a, b: a + b).alias("matched"))
     best = F.max(F.struct("matched", "best_window", (-F.col("shift")).alias("back")))
@@ -101,4 +142,4 @@ def verified(texts: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
 
 def op8_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in any document."""
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), scaled=True)

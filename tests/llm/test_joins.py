@@ -285,6 +285,38 @@ def test_contamination_equals_brute_force(spark):
     assert decontaminate.contamination(documents(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_block_masks_lose_nothing():
+    from itertools import combinations
+    assert [decontaminate.tolerance(n) for n in (4, 5, 8, 9, 12, 13)] == [0, 1, 1, 2, 2, 3]
+    for n in range(decontaminate.LEAST, decontaminate.WINDOW):
+        for wrong in combinations(range(n), decontaminate.tolerance(n)):
+            assert any(all(at + k not in wrong for k, c in enumerate(m) if c == "1")
+                       for at, m in decontaminate.block_masks(n)), (n, wrong)
+
+
+def test_short_items_with_changed_words(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(2, 16)] + [(90, "日本語の文章は空白がない。"), (91, "短い文")]
+    docs, want = [], set()
+    for n, text in items[:-2]:
+        for k in range(5):
+            for turn in range(3):
+                words = text.split()
+                for j in range(min(k, n)):
+                    words[(turn * 2 + j * 3) % n if n % 3 else (turn * 2 + j) % n] = "new"
+                d = 1000 * n + 10 * k + turn
+                docs.append((d, "some words before " * (turn > 0) + " ".join(words) + " and after" * (turn > 1)))
+                if n >= decontaminate.LEAST and words.count("new") <= decontaminate.tolerance(n):
+                    want.add((d, n))
+    docs += [(1, "前置き日本語の文章は余白がない"), (2, "日本語の短い文"), (3, " ".join(items[5][1].split()[1:]))]
+    want |= {(1, 90), (3, 7)}  # of the last, the first word stands before the document
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.contamination(documents(spark, docs), bench, scaled=True)
+    got = {(r["doc_id"], r["item_id"]) for r in out.collect()}
+    assert {x for x in got if x[1] < 13 or x[1] > 15} == {x for x in want if x[1] < 13 or x[1] > 15}
+    assert {x for x in want if 13 <= x[1] <= 15} <= got  # a longer one may have a better window
+    assert sorted(map(tuple, decontaminate.unmatched(bench).collect())) == [(2, 2), (3, 3), (4, 4), (91, 3)]
+
+
 def test_contamination_runs_no_python(spark):
     from conftest import plan_text
     sf = "/root/testdata/sf0.001"
