@@ -75,3 +75,12 @@ def test_query_recall(spark):
     out = kt.op4_kmeans_tree(spark, sf).collect()
     want = {(int(q), v) for q in ids if q % 100 == 0 for v, _ in exact(ids, vectors, q)}
     assert len(out) == len(want) and len(want & {(r["query_id"], r["vec_id"]) for r in out}) >= 0.9 * len(want)
+
+
+def test_wanted_recall(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float64)
+    want = {(int(q), v) for q in ids if q % 100 == 0 for v, _ in exact(ids, vectors, q)}
+    got = {(r["query_id"], r["vec_id"]) for r in kt.op4_kmeans_tree(spark, sf).collect()}
+    assert kt.RECALL == 0.97 and len(want & got) >= 0.97 * len(want)
