@@ -83,3 +83,22 @@ print("ROWS", E.queries()["zip_expand"](spark, "/root/testdata/sf0.001").count()
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS " in out.stdout, out.stderr[-2000:]
+
+
+def test_entry_without_optional_packages(tmp_path):
+    """The other queries stay when a package that only the training-data operators use is missing."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for missing in ("duckdb", "regex", "zstandard", "public_tokenizers", "xxhash"):
+        code = f"""
+import sys
+sys.modules[{missing!r}] = None
+sys.path.insert(0, {root!r})
+import __spark_entry__ as E
+from statmart.plans import suite
+assert set(suite.QUERIES) <= set(E.queries()) and set(suite.ORACLE) <= set(E.oracle_sql())
+print("QUERIES", len(E.queries()))
+"""
+        out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+        assert "QUERIES " in out.stdout, out.stderr[-2000:]
