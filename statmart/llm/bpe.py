@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from statmart.llm.common import table
+from statmart.llm.common import lean, release_memory, table
 from statmart.llm.textunits import UnitEncoder, slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -235,6 +235,7 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()  # what the process still holds from other work
         own = codec(path)
         for batch in batches:
             done = 0
@@ -250,7 +251,7 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
                 done += len(part)
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,5 +69,29 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
             .select("d.*", (F.col("base") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))).alias("row_no")))
 
 
+def release_memory() -> None:
+    """Give what this process holds and no longer uses back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` for ``mapInArrow``, whose process is lean again when a task of it ends.
+
+    Spark keeps Python processes for later tasks, of other queries too, so what an
+    allocator holds back adds up over the stages of a job.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+    return run
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))

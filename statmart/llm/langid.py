@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statmart.llm.common import table
+from statmart.llm.common import lean, table
 from statmart.llm.textunits import slices
 
 SAMPLE_SYMBOLS = 40_000  # the classifier is fitted on about so many symbols of each language
@@ -302,27 +302,31 @@ def predict_language(df: DataFrame, model: LanguageModel) -> DataFrame:
                                        pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
                 at += len(texts)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, lang_pred string, score double")
+        lean(run), "doc_id long, lang_pred string, score double")
 
 
-def languages_told(df: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id and ``told``: whether the text is of one of the model's languages. One row per row."""
+def rows_told(df: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of ``df`` (text among its columns) whose text is of one of the model's languages.
+
+    Each row is judged by its own text, so rows that share an id do not matter to each
+    other. Null and empty texts are of no language; columns and copies stay as they are.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
+    place = df.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(1)):
-                yield pa.record_batch([batch.column(0).slice(at, len(texts)), pa.array(own.told(texts), pa.bool_())],
-                                      names=["doc_id", "told"])
+            for texts in slices(batch.column(place)):
+                yield batch.slice(at, len(texts)).filter(pa.array(own.told(texts), pa.bool_()))
                 at += len(texts)
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, told boolean")
+    return df.mapInArrow(lean(run), df.schema)
 
 
 def held_out():
-    """Documents that the classifier never learns from."""
-    return F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(5)) == 0
+    """Documents that the classifier never learns from; a null doc_id counts as the empty text."""
+    return F.pmod(F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")), F.lit(5)) == 0
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

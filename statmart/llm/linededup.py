@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statmart.llm.common import stored, table
+from statmart.llm.common import lean, stored, table
 from statmart.llm.textunits import finish, hash_between, running_hash, slices
 
 THRESHOLD = 1
@@ -190,7 +190,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             h, m, t = zip(*out) if out else ((), (), ())
             yield pa.record_batch([pa.array(h, pa.int64()), pa.array(m, pa.int64()), pa.array(t, pa.string())],
                                   names=["h", "m", "text"])
-    return docs.join(by_doc, "row").select("text", "wanted").mapInArrow(pick, "h long, m long, text string") \
+    return docs.join(by_doc, "row").select("text", "wanted").mapInArrow(lean(pick), "h long, m long, text string") \
         .dropDuplicates(["h", "m"])
 
 
@@ -232,7 +232,7 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
             .when(own, F.col("rank") > F.col("longer")).otherwise(F.col("rank") > F.col("shorter")))
         near.append(stored(proven.select("h", "m").distinct(), "proven"))
         keyed = hot.where(gap >= 1).join(texts, ["h", "m"]).select("l", "p", "q", "n", "h", "m", "text") \
-            .mapInArrow(_longer_keys, KEYED).distinct()
+            .mapInArrow(lean(_longer_keys), KEYED).distinct()
     found = pairs[0]
     for p in pairs[1:]:
         found = found.union(p)
@@ -253,7 +253,7 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     later = F.when(F.col("rank_a") > F.col("rank_b"), F.col("a")).otherwise(F.col("b"))
     checked = found.join(left, "a").join(right, "b").select(later["h"].alias("h"), later["m"].alias("m"),
                                                             "text_a", "text_b")
-    out = checked.mapInArrow(verify, "h long, m long")
+    out = checked.mapInArrow(lean(verify), "h long, m long")
     for n in near:
         out = out.union(n)
     return out.distinct()
@@ -261,7 +261,7 @@ def _near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
     """``row`` and ``gone`` (numbers of the lines to remove) of documents that lose lines."""
-    occurrences = stored(docs.where("text IS NOT NULL").mapInArrow(lambda b: _scan(b, least), SCAN), "lines")
+    occurrences = stored(docs.where("text IS NOT NULL").mapInArrow(lean(lambda b: _scan(b, least)), SCAN), "lines")
     lines = stored(occurrences.groupBy("h", "m").agg(
         F.min(F.struct("doc_id", "row", "line")).alias("first"), F.count(F.lit(1)).alias("times"),
         *[F.first(c).alias(c) for c in ("n", "left", "right", "left1", "right1")]), "distinctlines")

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statmart.llm.common import stored, table
+from statmart.llm.common import lean, stored, table
 from statmart.llm.components import connected_components
 from statmart.llm.textunits import finish, slices, span_hashes
 
@@ -125,7 +125,7 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
                          "counts": pa.array([total.tobytes()], pa.binary())})
 
     layout = "cut int, part int, counts binary"
-    sums = docs.select("text").mapInArrow(count, layout).groupBy("cut", "part").applyInArrow(add, layout) \
+    sums = docs.select("text").mapInArrow(lean(count), layout).groupBy("cut", "part").applyInArrow(add, layout) \
         .groupBy("cut").applyInArrow(add, layout).select("cut", "counts").collect()
     out = np.zeros(cells, dtype=np.int64)
     for r in sums:
@@ -214,11 +214,26 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
     Rows without a word have an empty set, no links and their own id; equal sets are
     linked (``links`` counts other sets, not copies). Rows that repeat a doc_id each give
-    a row. An empty table gives no rows; other columns are ignored.
+    a row; a null doc_id is never the smallest. A very long text is one set like any other.
+    An empty table gives no rows; other columns are ignored.
+    """
+    return document_classes(docs).select("doc_id", "n_shingles", "component_id", "links")
+
+
+def row_key() -> Column:
+    """A 64-bit hash that tells rows apart by doc_id and text; rows equal in both are copies."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
+def document_classes(docs: DataFrame) -> DataFrame:
+    """:func:`similar_documents` with ``row``, the row's key, and ``root``, which names its class.
+
+    ``root`` is null for rows without a word. Unlike component_id it also tells classes
+    apart that hold rows of one doc_id.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+        .select("doc_id", row_key().alias("row"), "text")
     cells = spark.sparkContext.broadcast(corpus_counts(docs))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -236,7 +251,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([rows.column(0), rows.column(1), pa.array(counts, pa.int64()), pa.array(ids),
                                    _lists(flat, counts, keep)], names=["doc_id", "row", "n", "node", "prefix"])
 
-    kept = stored(docs.mapInArrow(prefixes, "doc_id long, row long, n long, node long, prefix array<bigint>")
+    kept = stored(docs.mapInArrow(lean(prefixes), "doc_id long, row long, n long, node long, prefix array<bigint>")
                   .withColumn("place", F.monotonically_increasing_id()), "prefixes")
     nodes = stored(kept.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("place").alias("place"), F.min_by("row", "place").alias("row"),
@@ -265,12 +280,13 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     where = nodes.select("node", "doc_id").join(parts, "node")
     least = where.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     placed = nodes.select("node", F.col("doc_id").alias("own_id")).join(
-        where.select("node", "component").join(least, "component").select("node", "component_id"), "node", "left") \
+        where.select("node", "component").join(least, "component"), "node", "left") \
         .join(degree, "node", "left") \
-        .select("node", F.coalesce("component_id", "own_id").alias("component_id"), "links")
-    return kept.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")) \
+        .select("node", F.coalesce("component_id", "own_id").alias("component_id"), "links",
+                F.coalesce("component", "node").alias("root"))
+    return kept.select("doc_id", "row", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")) \
         .join(placed, "node", "left") \
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+        .select("doc_id", "row", "root", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
                 F.coalesce("links", F.lit(0).cast("long")).alias("links"))
 
 
@@ -294,7 +310,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, sets) -> D
                                   names=["node", "pool", "blocks", "small", "tokens"]).filter(pa.array(right))
 
     full = docs.join(chosen, "row").select("text", "node", "pool", "blocks", "small") \
-        .mapInArrow(ordered, "node long, pool long, blocks int, small boolean, tokens array<bigint>")
+        .mapInArrow(lean(ordered), "node long, pool long, blocks int, small boolean, tokens array<bigint>")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = full.withColumn("block", block).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("small", "pool", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"),

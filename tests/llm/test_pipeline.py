@@ -68,3 +68,29 @@ def test_empty_table(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{path}/documents.parquet").limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, docs, path).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark, folder, tmp_path):
+    """A decision about one row does not touch another text under its id."""
+    path, texts = folder
+    bench = "which of these seven old answers about green apples on a table is the right one for a child"
+    own = [" ".join(f"own{k}x{i}" for i in range(60)) for k in range(8)]
+    rows = [(3, own[0]), (5, own[0] + " tail"), (5, own[1]), (5, own[1]), (3, own[2]),  # 5 holds a copy of 3 and a text of its own
+            (None, own[0]), (None, own[3]), (None, own[3] + " end"), (6, own[4] + " " + bench), (6, own[5]),
+            (None, own[6] + " " + bench), (8, None), (8, own[7]), (9, ""), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    by_name = dict(cp.STAGES)
+    got = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    single = got(by_name["ngram_join"](spark, docs, path))
+    alone = [(5, own[1]), (3, own[2]), (6, own[4] + " " + bench), (6, own[5]), (None, own[6] + " " + bench), (8, None),
+             (8, own[7]), (9, ""), (9, ""), (3, own[0])]
+    either = [r for r in single if r not in alone]
+    assert sorted((r for r in single if r in alone), key=str) == sorted(alone, key=str)
+    assert len(either) == 1 and either[0] in ((None, own[3]), (None, own[3] + " end"))
+    clean = got(by_name["decontamination"](spark, docs, path))
+    assert clean == sorted(((i, t) for i, t in rows if bench not in (t or "")), key=str)
+    en = [(i, EN.format(i) + " " + EN.format(i + 50)) for i in range(40)]
+    told = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in en] + [(1, "12345 ...", None, "s", 9), (None, en[0][1], None, "s", 5)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert got(by_name["language_id"](spark, told, path)) == sorted([*en, (None, en[0][1])], key=str)
