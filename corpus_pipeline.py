@@ -2,7 +2,9 @@
 
 Five stages, each on all that the one before kept; every stage's result is written as
 Parquet below the shared folder and read again. All but the last return the columns of
-``documents``; ``n_chars`` follows the text.
+``documents``; ``n_chars`` follows the text. Every decision is about a row, told apart by
+doc_id and text, so rows that share a doc_id, or have none, do not touch each other. Texts
+are taken whole at any length, and empty tables pass every stage.
 """
 
 from __future__ import annotations
@@ -14,33 +16,36 @@ from pyspark.sql import functions as F
 from statmart.llm.bpe import RANKS, bpe_digests
 from statmart.llm.common import BATCH, TEXT_ROWS, stored, table
 from statmart.llm.decontaminate import contamination
-from statmart.llm.langid import fit_language_model, held_out, languages_told
+from statmart.llm.langid import fit_language_model, held_out, rows_told
 from statmart.llm.linededup import dedup_lines
-from statmart.llm.ngram_join import similar_documents
+from statmart.llm.ngram_join import document_classes, row_key
 from statmart.session import scratch_path, ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+BROADCAST_KEYS = 2_000_000  # of one long each; more are joined by a shuffle
 
 
-BROADCAST_IDS = 2_000_000  # of one long each; more are joined by a shuffle
+def _with_key(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS).withColumn("row", row_key())
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for the rows whose doc_id is in ``ids``; a null doc_id stays."""
-    gone = stored(ids.select("doc_id").distinct(), "gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+def _marked(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` (with ``row``) semi- or anti-joined with the row keys ``keys``."""
+    keys = stored(keys.select("row").distinct(), "rowkeys")
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return docs.join(keys, "row", how)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language that the labelled ones teach; if none is labelled, all."""
+    """Documents of a language that the labelled ones teach; if none is labelled, all.
+
+    Every row is judged by its own text; null and empty texts go.
+    """
     ship_package(spark)
     spark.conf.set(BATCH, TEXT_ROWS)
-    model = fit_language_model(docs.where(~held_out()))
-    # rows of one doc_id can differ in text, so it goes only if none of them has a language
-    known = languages_told(docs, model).groupBy("doc_id").agg(F.max(F.col("told").cast("int")).alias("known"))
-    return _without(docs, known.where("known = 0"))
+    docs = docs.select(*COLUMNS)
+    return rows_told(docs, fit_language_model(docs.where(~held_out())))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,19 +57,32 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id."""
+    """Of each group of near-duplicates the row with the smallest doc_id.
+
+    Groups are of rows, so another text under the doc_id of a copy stays. Among rows of the
+    smallest doc_id the least row key stays, null ids come last, and of rows equal in doc_id
+    and text one. Rows without a word stay.
+    """
     ship_package(spark)
-    ids = stored(similar_documents(docs).groupBy("doc_id").agg(
-        F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("rows")), "components")
-    kept = _without(docs, ids.where("doc_id <> component_id"))
-    # equal rows are copies that no doc_id tells apart
-    return kept if ids.where("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    classes = stored(document_classes(docs).where("root IS NOT NULL").select("root", "row", "doc_id"), "classes")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    first = classes.groupBy("root").agg(F.min(rank).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = classes.select("row").distinct().count()
+    grouped = classes.join(first.select("root", F.col("f.row").alias("keep")), "root")
+    kept = _marked(_with_key(docs), grouped.where("row <> keep"), "left_anti")
+    if members == classes.count():
+        return kept.select(*COLUMNS)
+    twice = stored(classes.groupBy("row").count().where("count > 1").select("row"), "repeated")
+    return _marked(kept, twice, "left_anti").union(
+        _marked(kept, twice, "left_semi").dropDuplicates(["row"])).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of the benchmark."""
+    """Rows without any passage of the benchmark; another text under the doc_id of one that goes stays."""
     ship_package(spark)
-    return _without(docs, contamination(docs, table(spark, sf_dir, "benchmark"), scaled=True))
+    docs = _with_key(docs)
+    found = contamination(docs.select(F.col("row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), scaled=True)
+    return _marked(docs, found.select(F.col("doc_id").alias("row")), "left_anti").select(*COLUMNS)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
