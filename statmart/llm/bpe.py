@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from statmart.llm.common import lean, release_memory, table
+from statmart.llm.common import HELD, lean, table
 from statmart.llm.textunits import UnitEncoder, slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -119,6 +119,9 @@ class Codec:
         self._db.execute("CREATE TABLE vocab AS SELECT * FROM shown")
         self._units = UnitEncoder(self._encode_units, bound)
 
+    def close(self) -> None:
+        self._db.close()
+
     def _put(self, name: str, *columns, names: tuple[str, ...]) -> None:
         data = pa.table({n: pa.array(c, pa.int32()) for n, c in zip(names, columns)})
         self._db.register("given", data)
@@ -196,6 +199,14 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
+def _drop_codecs() -> None:
+    while _CODECS:
+        _CODECS.popitem()[1].close()
+
+
+HELD["codecs"] = _drop_codecs
+
+
 def bpe_encode(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
     """``id_col`` and ``ids`` (array of long) of every row; a null text has no ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +246,6 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()  # what the process still holds from other work
         own = codec(path)
         for batch in batches:
             done = 0
@@ -251,7 +261,7 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
                 done += len(part)
     return docs.select("doc_id", "text").mapInArrow(
-        lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        lean(run, keeps="codecs"), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

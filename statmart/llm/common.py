@@ -79,13 +79,21 @@ def release_memory() -> None:
         pass
 
 
-def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+HELD: dict[str, Callable[[], None]] = {}  # how to drop the tables a process keeps between tasks, by their name
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str | None = None):
     """``work`` for ``mapInArrow``, whose process is lean again when a task of it ends.
 
     Spark keeps Python processes for later tasks, of other queries too, so what an
-    allocator holds back adds up over the stages of a job.
+    allocator holds back adds up over the stages of a job. Tables in ``HELD`` that other
+    work left are dropped first, but for those named ``keeps``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, drop in HELD.items():
+            if name != keeps:
+                drop()
+        release_memory()
         try:
             yield from work(batches)
         finally:
