@@ -82,6 +82,13 @@ def release_memory() -> None:
 HELD: dict[str, Callable[[], None]] = {}  # how to drop the tables a process keeps between tasks, by their name
 
 
+def drop_held(keeps: str | None) -> None:
+    for name, drop in HELD.items():
+        if name != keeps:
+            drop()
+    release_memory()
+
+
 def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str | None = None):
     """``work`` for ``mapInArrow``, whose process is lean again when a task of it ends.
 
@@ -90,10 +97,7 @@ def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], k
     work left are dropped first, but for those named ``keeps``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, drop in HELD.items():
-            if name != keeps:
-                drop()
-        release_memory()
+        drop_held(keeps)  # found by name, so it is the task process's own table
         try:
             yield from work(batches)
         finally:
