@@ -183,9 +183,9 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         by_doc = F.broadcast(by_doc)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (b.slice(at, 64) for b in batches for at in range(0, len(b), 64)):
             out = [(w["h"], w["m"], lines[w["line"]])
-                   for text, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                   for text, some in zip(part.column(0).to_pylist(), part.column(1).to_pylist())
                    for lines in [text.split("\n")] for w in some]
             h, m, t = zip(*out) if out else ((), (), ())
             yield pa.record_batch([pa.array(h, pa.int64()), pa.array(m, pa.int64()), pa.array(t, pa.string())],

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statmart.llm.common import lean, stored, table
+from statmart.llm.common import lean, release_memory, stored, table
 from statmart.llm.components import connected_components
 from statmart.llm.textunits import finish, slices, span_hashes
 
@@ -38,6 +38,7 @@ WORDS = 5
 CELLS_LOG2 = 20  # cells of the count table
 BLOCK = 2048  # nodes of a cluster that one side of a group holds
 SPARE = 16  # one shingle in so many is asked for beyond the first in a shared prefix
+LARGE = 1 << 18  # shingles of a group after which memory is given back
 BROADCAST_ROWS = 1_000_000  # of three longs each
 _U = np.uint64
 _PLACE = finish(np.arange(101, 101 + WORDS, dtype=np.uint64)) | _U(1)
@@ -155,20 +156,20 @@ def linked_stars(tokens: list[np.ndarray], left: np.ndarray, right: np.ndarray,
     each pair is taken once.
     """
     sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-    flat = np.concatenate(tokens)
-    words, local = np.unique(flat, return_inverse=True)
     first = np.cumsum(sizes) - sizes
     prefix = _prefix(sizes)
-    bins = np.zeros((len(tokens), 32), dtype=np.int32)
-    np.add.at(bins, (np.repeat(np.arange(len(tokens)), sizes), (flat >> _U(33)).astype(np.int64) & 31), 1)
+    bins = np.array([np.bincount((t >> _U(33)).astype(np.int64) & 31, minlength=32) for t in tokens], dtype=np.int32)
+    words, local = np.unique(np.concatenate(tokens), return_inverse=True)
+    words, local = len(words), local.astype(np.int32)  # a group's tokens are few enough for short numbers
 
     def postings(length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n = length[right]
-        place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        doc = np.repeat(right, n)
+        place = (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
+        doc = np.repeat(right.astype(np.int32), n)
         word = local[first[doc] + place]
-        order = np.argsort(word, kind="stable")
-        return np.searchsorted(word[order], np.arange(len(words) + 1)), doc[order], place[order]
+        order = np.argsort(word, kind="stable").astype(np.int32)
+        at = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=words))])
+        return at, doc[order], place[order]
 
     def look(own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = at[own + 1] - at[own]
@@ -325,6 +326,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, sets) -> D
         tokens = [flat[at[r]:at[r + 1]] for r in where]
         label, links = linked_stars(tokens, np.flatnonzero(side == i), np.flatnonzero(side == j), i == j)
         on = links > 0
+        if len(flat) >= LARGE:
+            release_memory()
         return pa.table({"node": node[on], "root": node[label[on]], "links": links[on]})
 
     return dealt.groupBy("small", "pool", "i", "j").applyInArrow(verify, "node long, root long, links long")
