@@ -108,6 +108,25 @@ def stage_zips(df: DataFrame, root: str, layout: Layout) -> list[str]:
     return [r["path"] for r in write_partition_files(df.withColumns(cells), root, render).collect()]
 
 
+def stage_member_zips(df: DataFrame, root: str, by: str, layout: Layout) -> list[str]:
+    """One archive per value of ``by``, with the rows as CSV and as fixed-width text, each
+    next to a member of the header alone, and with an empty CSV member."""
+    line = F.concat(*[fixed_cell(n, w) for n, w in zip(layout.names, layout.widths)])
+
+    def render(pdf: pd.DataFrame, pid: int):
+        out = []
+        for value, part in pdf.groupby(by, sort=True):
+            text = _csv_text(part[layout.names], ",")
+            head = header_line(layout)
+            data = write_zip([("rows.csv", text.encode()), ("head.csv", (text.split("\n")[0] + "\n").encode()), ("none.csv", b""),
+                              ("lines.txt", ("\n".join([head, *part["__line"]]) + "\n").encode()),
+                              ("names.txt", (head + "\n").encode())])
+            out.append((f"batch {int(value):05d}/set.zip", data))
+        return out
+    staged = df.withColumn("__line", line).repartition(by)  # a value has a bounded number of rows
+    return [r["path"] for r in write_partition_files(staged, root, render).collect()]
+
+
 def envelope_pages(df: DataFrame, page_col, key: str = "value") -> DataFrame:
     """One JSON response document ``{"<key>": [...]}`` per page of rows; a page
     is a bounded group (``page_col``) so no document grows with the table."""

@@ -30,8 +30,8 @@ from statmart.session import scratch_path
 from statmart.sinks.datasets import (dataset_name, drop_dataset, replace_dataset,
                                      replace_dataset_from_folder)
 from statmart.sinks.tables import read_range, replace_table, write_ndjson, write_range_partitioned
-from statmart.plans.staging import (envelope_pages, stage_sheet_exports, stage_xml, stage_yearly_files,
-                                    stage_zips)
+from statmart.plans.staging import (envelope_pages, stage_member_zips, stage_sheet_exports, stage_xml,
+                                    stage_yearly_files, stage_zips)
 from statmart.sinks.tables import load_ndjson_files
 from statmart.sources.archives import convert_members, expand_archives, list_members
 from statmart.sources.dataset import flatten_dataset
@@ -996,17 +996,20 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_columns(rows, {"c_custkey": "bigint"})
 
 
+ROWS_PER_ARCHIVE = 5000
+
+
 @register("zip_to_dataset", """
-SELECT count(*) AS n_rows, min(c_custkey) AS first_key, max(c_custkey) AS last_key,
-       CAST(sum(length(c_name)) AS BIGINT) AS name_chars FROM (
-SELECT * FROM customer UNION ALL SELECT * FROM customer)
+SELECT c_custkey, c_name, c_mktsegment FROM customer
+UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer
 """)
 def zip_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives to a dataset with one table per member; all its tables are read back."""
+    """Archives to a dataset with one table per member; the rows of all its tables are read back."""
     c = load(spark, sf_dir, "customer")["customer"]
     root = scratch_path(spark, "zipset")
     layout = Layout(["c_custkey", "c_name", "c_mktsegment"], [12, 22, 14])
-    stage_zips(c.select(*layout.names).repartition(3, "c_custkey"), f"{root}/in", layout)
+    archives = -(-c.count() // ROWS_PER_ARCHIVE)
+    stage_zips(c.select(*layout.names).repartition(max(1, archives)), f"{root}/in", layout)
     members = expand_archives(spark, f"{root}/in", f"{root}/out")
     found = list_members(spark, f"{root}/in")
     if found.count() != members.count():
@@ -1016,25 +1019,57 @@ def zip_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = replace_dataset(spark, "zip", name, out, location=f"{root}/db")
     rows = None
     for t in tables:
-        part = spark.table(t).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name")
+        part = spark.table(t).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_mktsegment")
+        rows = part if rows is None else rows.unionByName(part)
+    drop_dataset(spark, dataset_name("zip", name))
+    return rows
+
+
+@register("zip_empty_members", """
+WITH batch AS (SELECT 2 * (c_custkey // 5000) + c_custkey % 2 AS batch, count(*) AS n, sum(c_custkey) AS keys FROM customer GROUP BY 1)
+SELECT batch, member, columns, CASE WHEN filled THEN n ELSE 0 END AS n_rows,
+       CASE WHEN filled THEN CAST(keys AS BIGINT) END AS key_sum
+FROM batch CROSS JOIN (VALUES ('rows', 'c_custkey,c_name,c_mktsegment', true), ('head', 'c_custkey,c_name,c_mktsegment', false),
+                              ('none', '_c0', false), ('lines', 'c_custkey,c_name,c_mktsegment', true),
+                              ('names', 'c_custkey,c_name,c_mktsegment', false)) AS m(member, columns, filled)
+""")
+def zip_empty_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every member becomes a table: those of a header alone and empty ones have no rows."""
+    c = load(spark, sf_dir, "customer")["customer"]
+    root = scratch_path(spark, "zipempty")
+    layout = Layout(["c_custkey", "c_name", "c_mktsegment"], [12, 22, 14])
+    staged = c.select(*layout.names, F.expr("2 * (c_custkey div 5000) + c_custkey % 2").alias("batch"))
+    stage_member_zips(staged, f"{root}/in", "batch", layout)
+    members = expand_archives(spark, f"{root}/in", f"{root}/out")
+    name = root.rsplit("-", 1)[-1]
+    tables = replace_dataset(spark, "zip", name, convert_members(spark, members, f"{root}/converted"), location=f"{root}/db")
+    listed, rows = [], None
+    for t in tables:
+        table = spark.table(t)
+        listed.append((t, ",".join(table.columns)))
+        key = F.col("c_custkey").cast("bigint") if "c_custkey" in table.columns else F.lit(None).cast("bigint")
+        part = table.select(F.lit(t).alias("name"), key.alias("key"))
         rows = part if rows is None else rows.unionByName(part)
     drop_dataset(spark, dataset_name("zip", name))
-    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.min("c_custkey").alias("first_key"),
-                    F.max("c_custkey").alias("last_key"), F.sum(F.length("c_name")).alias("name_chars"))
+    counted = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum("key").alias("key_sum"))
+    pattern = r"batch_(\d+)_set_(\w+)$"
+    return spark.createDataFrame(listed, "name string, columns string").join(counted, "name", "left").select(
+        F.regexp_extract("name", pattern, 1).cast("bigint").alias("batch"), F.regexp_extract("name", pattern, 2).alias("member"),
+        "columns", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows"), "key_sum")
 
 
 @register("assign_names", """
-SELECT r_regionkey AS code, r_name AS naam FROM region
-UNION ALL SELECT n_nationkey AS code, n_name AS naam FROM nation
+SELECT c_custkey AS code, c_name AS naam FROM customer
+UNION ALL SELECT o_orderkey AS code, o_orderpriority AS naam FROM orders
 """)
 def assign_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unnamed columns of files without a header get a fixed list of names."""
-    t = load(spark, sf_dir, "region", "nation")
+    """Unnamed columns of registers without a header get a fixed list of names."""
+    t = load(spark, sf_dir, "customer", "orders")
     root = scratch_path(spark, "unnamed")
-    t["region"].select("r_regionkey", "r_name").write.csv(f"{root}/region")
-    t["nation"].select("n_nationkey", "n_name").write.csv(f"{root}/nation")
-    raw = read_delimited(spark, [f"{root}/region", f"{root}/nation"], header=False)
-    return cast_columns(assign_columns(raw, ["code", "naam"]), {"code": "int"})
+    t["customer"].select("c_custkey", "c_name").write.csv(f"{root}/customer")
+    t["orders"].select("o_orderkey", "o_orderpriority").write.csv(f"{root}/orders")
+    raw = read_delimited(spark, [f"{root}/customer", f"{root}/orders"], header=False)
+    return cast_columns(assign_columns(raw, ["code", "naam"]), {"code": "bigint"})
 
 
 # --- incremental loads ------------------------------------------------------------------------

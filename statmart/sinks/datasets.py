@@ -1,15 +1,20 @@
 """Datasets as catalog databases, tables as registered files (K3, K4, K5).
 
 A dataset is a database named ``{source}_{name}``; each staged file (a parquet
-or NDJSON table folder) becomes one unmanaged table whose name is the file's
-table id. A full refresh drops the dataset with its table entries and
-registers every file again; data files are never deleted by a drop, because
-the tables only point at them.
+or NDJSON table folder) becomes one table whose name is the file's table id. Data
+files are never deleted by a drop, because the tables only point at them.
+
+A full refresh registers the files in a new version (a database of its own) and then
+points the dataset's names at it: each name is a view that is replaced in one step. A
+reader finds every table at any moment, in its old or its new state, and whatever fails
+on the way leaves the old state: names that were already moved are moved back.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +54,28 @@ def dataset_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.databaseExists(name)
 
 
+VERSION = "statmart.version"  # the database a dataset's names point at
+INFERENCE_THREADS = 8
+
+
+def _version(spark: SparkSession, name: str) -> str | None:
+    """The version database of a dataset; none if it has none, or is not there."""
+    if not dataset_exists(spark, name):
+        return None
+    told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE DATABASE EXTENDED {_q(name)}").collect()}
+    for pair in str(told.get("Properties") or "").strip("()").replace("(", "").replace(")", "").split(", "):
+        key, _, value = pair.partition(",")
+        if key == VERSION:
+            return value
+    return None
+
+
 def drop_dataset(spark: SparkSession, name: str) -> None:
+    """Drop a dataset with the version that its names point at."""
+    version = _version(spark, name)
     spark.sql(f"DROP DATABASE IF EXISTS {_q(name)} CASCADE")
+    if version:
+        spark.sql(f"DROP DATABASE IF EXISTS {_q(version)} CASCADE")
 
 
 def create_dataset(spark: SparkSession, name: str, description: str | None = None,
@@ -63,16 +88,16 @@ def create_dataset(spark: SparkSession, name: str, description: str | None = Non
     spark.sql(sql)
 
 
-def _checked(uris: list[str | tuple[str, str, str]]) -> list[tuple[str, str, str]]:
-    """(table id, uri, format) of every file; raises before anything has been touched."""
+def _checked(uris: list[str | tuple[str, str, str]]) -> list[tuple[str, str, str, StructType | None]]:
+    """(table id, uri, format, schema if it is known) of every file; raises before anything has been touched."""
     plan = []
     for given in uris:
         uri = given if isinstance(given, str) else given[1]
         tid, suffix = table_id(uri) if isinstance(given, str) else (given[0], given[2])
         if suffix not in FORMATS:
             raise TypeError(f"no table can be made of {uri!r}: its suffix is none of {sorted(FORMATS)}")
-        plan.append((tid, uri, FORMATS[suffix]))
-    names = [tid.lower() for tid, _, _ in plan]
+        plan.append((tid, uri, FORMATS[suffix], getattr(given, "schema", None)))
+    names = [tid.lower() for tid, *_ in plan]
     twice = sorted({n for n in names if names.count(n) > 1})
     if twice:
         raise ValueError(f"several files would become one table: {twice}")
@@ -84,15 +109,25 @@ def _exists(spark: SparkSession, uri: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def _readable(spark: SparkSession, plan: list[tuple[str, str, str]]) -> list[tuple[str, str, str, StructType]]:
-    """The files that exist, with their schemas; a missing one is reported, an unreadable one raises."""
-    out = []
-    for tid, uri, fmt in plan:
-        if not _exists(spark, uri):
+def _readable(spark: SparkSession, plan: list[tuple[str, str, str, StructType | None]]) \
+        -> list[tuple[str, str, str, StructType]]:
+    """The files that exist, with their schemas; a missing one is reported, an unreadable one raises.
+
+    Schemas that are not known yet are inferred by jobs that run side by side.
+    """
+    there = []
+    for tid, uri, fmt, schema in plan:
+        if _exists(spark, uri):
+            there.append((tid, uri, fmt, schema))
+        else:
             log.warning("no file at %s, it gets no table", uri)
-            continue
-        out.append((tid, uri, fmt, spark.read.format(fmt).load(uri).schema))
-    return out
+
+    def schema_of(entry: tuple) -> StructType:
+        tid, uri, fmt, schema = entry
+        return schema if schema is not None else spark.read.format(fmt).load(uri).schema
+
+    with ThreadPoolExecutor(INFERENCE_THREADS) as pool:
+        return [(tid, uri, fmt, schema) for (tid, uri, fmt, _), schema in zip(there, pool.map(schema_of, there))]
 
 
 def _register(spark: SparkSession, dataset: str, tables: list[tuple[str, str, str, StructType]]) -> list[str]:
@@ -111,20 +146,73 @@ def link_files(spark: SparkSession, dataset: str, uris: list[str]) -> list[str]:
     return _register(spark, dataset, _readable(spark, _checked(uris)))
 
 
+def _names(spark: SparkSession, dataset: str) -> dict[str, bool]:
+    """Names in a dataset, with whether each is a view."""
+    return {t.name: t.tableType == "VIEW" for t in spark.catalog.listTables(_q(dataset)) if not t.isTemporary}
+
+
+def _point(spark: SparkSession, dataset: str, name: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {_q(dataset)}.{_q(name)} AS SELECT * FROM {_q(version)}.{_q(name)}")
+
+
+def _switch(spark: SparkSession, ds: str, old: str | None, new: str, tables: list[str]) -> None:
+    """Point every name of the dataset at its new version; if a step fails, all at the old one again."""
+    before = _names(spark, ds)
+    done: list[tuple[str, str | None]] = []  # name, and where its own table (no view) was put aside
+    try:
+        for t in tables:
+            aside = None
+            if before.get(t) is False:  # registered by link_files
+                aside = f"{t}__{uuid.uuid4().hex[:8]}"
+                spark.sql(f"ALTER TABLE {_q(ds)}.{_q(t)} RENAME TO {_q(ds)}.{_q(aside)}")
+            done.append((t, aside))
+            _point(spark, ds, t, new)
+        spark.sql(f"ALTER DATABASE {_q(ds)} SET DBPROPERTIES ('{VERSION}' = {_text(new)})")
+    except Exception:
+        for t, aside in reversed(done):
+            if aside:
+                spark.sql(f"DROP VIEW IF EXISTS {_q(ds)}.{_q(t)}")
+                spark.sql(f"ALTER TABLE {_q(ds)}.{_q(aside)} RENAME TO {_q(ds)}.{_q(t)}")
+            elif t in before and old:
+                _point(spark, ds, t, old)
+            else:
+                spark.sql(f"DROP VIEW IF EXISTS {_q(ds)}.{_q(t)}")
+        raise
+    gone = [t for t in before if t not in set(tables)]
+    for t, is_view in [(t, before[t]) for t in gone] + [(aside, False) for _, aside in done if aside]:
+        spark.sql(f"DROP {'VIEW' if is_view else 'TABLE'} IF EXISTS {_q(ds)}.{_q(t)}")
+
+
 def replace_dataset(spark: SparkSession, source: str | None, name: str, uris: list[str | tuple[str, str, str]],
                     description: str | None = None, location: str | None = None) -> list[str]:
-    """Full refresh of a dataset (K3): drop it if present, create it, register every file.
+    """Full refresh of a dataset (K3): exactly the given files are its tables afterwards.
 
     A file is a URI whose last segment names table and format, or (table id, URI,
-    format). All are checked first, so bad input leaves the old dataset as it is.
-    Returns the registered table names.
+    format), with a ``schema`` if it is known. All are checked first and registered under
+    a new version; only then do the dataset's names move to it, one by one, each in one
+    step. Bad input or a failure on the way leaves the old dataset as it was. Returns the
+    table names.
     """
     tables = _readable(spark, _checked(uris))
     ds = dataset_name(source, name)
-    if dataset_exists(spark, ds):
-        drop_dataset(spark, ds)
-    create_dataset(spark, ds, description, location)
-    return _register(spark, ds, tables)
+    old, is_new = _version(spark, ds), not dataset_exists(spark, ds)
+    new = f"{ds}__v{uuid.uuid4().hex[:12]}"
+    try:
+        create_dataset(spark, new, location=f"{location.rstrip('/')}/{new}" if location else None)
+        _register(spark, new, tables)
+        create_dataset(spark, ds, description, location)
+        if description and not is_new:
+            spark.sql(f"COMMENT ON DATABASE {_q(ds)} IS {_text(description)}")
+        # the catalog keeps names in lower case
+        _switch(spark, ds, old, new, [tid.lower() for tid, *_ in tables])
+    except Exception:
+        spark.sql(f"DROP DATABASE IF EXISTS {_q(new)} CASCADE")
+        if is_new:
+            spark.sql(f"DROP DATABASE IF EXISTS {_q(ds)} CASCADE")
+        raise
+    if old:
+        spark.sql(f"DROP DATABASE IF EXISTS {_q(old)} CASCADE")
+    return [f"{ds}.{tid}" for tid, *_ in tables]
 
 
 def replace_dataset_from_folder(spark: SparkSession, root: str, prefix: str, name: str,

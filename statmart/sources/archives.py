@@ -11,17 +11,20 @@ part, and two members that would get one path raise before anything is written.
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import zipfile
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from statmart.functions.names import clean_name
-from statmart.sources.files import filesystem, first_lines, publish
+from statmart.sources.files import charset, filesystem, publish
 from statmart.sources.listing import list_files, qualified
 
 MEMBER_SCHEMA = "archive string, member string, path string, size long"
@@ -130,24 +133,107 @@ def table_of(path: str, root: str) -> str:
     return re.sub(r"\W+", "_", inside).strip("_").lower()
 
 
+class Converted(tuple):
+    """``(table id, path, format)`` of a converted member, with the ``schema`` its header fixed."""
+
+    schema: StructType
+
+    def __new__(cls, table: str, path: str, fmt: str, names: Sequence[str]):
+        own = super().__new__(cls, (table, path, fmt))
+        own.schema = StructType([StructField(n, StringType()) for n in names])
+        return own
+
+
+DESCRIBED = "path string, kind string, head string, filled boolean"
+LONGEST_HEAD = 1 << 20  # characters
+
+
+def describe_members(members: DataFrame, encoding: str = "utf-8") -> DataFrame:
+    """``path, kind, head, filled`` of every ``.csv`` and ``.txt`` member, found by tasks
+    that read a member no further than its second line.
+
+    ``head`` is the header line: the first line that is not blank (``.csv``), or the first
+    one (``.txt``); null if there is none. ``filled`` says whether any row follows.
+    """
+    enc = charset(encoding)
+
+    def describe(path: str, kind: str) -> Iterator[dict]:
+        fs, p = filesystem(path)
+        with fs.open_input_stream(p) as raw, io.TextIOWrapper(raw, encoding=enc) as text:
+            head, filled = None, False
+            while (line := text.readline(LONGEST_HEAD)) and not filled:
+                if head is None and not line.endswith("\n") and len(line) >= LONGEST_HEAD:
+                    raise ValueError(f"no header line in the first {LONGEST_HEAD} characters of {path!r}")
+                if kind == "csv" and not line.strip():
+                    continue
+                if head is None:
+                    head = line.rstrip("\r\n").removeprefix("\ufeff")
+                else:
+                    filled = True
+        yield {"path": path, "kind": kind, "head": head, "filled": filled}
+
+    kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    wanted = members.select("path", kind.alias("kind")).where(F.col("kind").isin("csv", "txt"))
+    return map_files(wanted, describe, DESCRIBED, columns=("path", "kind"))
+
+
+def header_names(kind: str, head: str | None, sep: str = ",") -> list[str]:
+    """Column names of a header line: blank ones are numbered, repeated ones get their number behind."""
+    if head is None:
+        given = [""]  # an empty file: one column that nothing is known of
+    elif kind == "csv":
+        given = next(csv.reader([head], delimiter=sep), []) or [""]
+    else:
+        given = head.split() or [""]
+    low = [g.lower() for g in given]
+    return [f"_c{i}" if not g else f"{g}{i}" if low.count(g.lower()) > 1 else g for i, g in enumerate(given)]
+
+
+def _write_empty(tables: DataFrame, sep: str) -> None:
+    """One file without rows for every (path, kind, head, target): Parquet with its columns, or NDJSON."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def write(path: str, kind: str, head: str | None, target: str) -> Iterator[dict]:
+        if kind == "csv":
+            none = pa.schema([(n, pa.string()) for n in header_names(kind, head, sep)]).empty_table()
+            publish(f"{target}/part-00000.parquet", lambda out: pq.write_table(none, out))
+        else:
+            publish(f"{target}/part-00000.json", lambda out: None)
+        yield {"path": target}
+
+    map_files(tables, write, "path string", columns=("path", "kind", "head", "target")) \
+        .write.format("noop").mode("overwrite").save()
+
+
 def convert_members(spark: SparkSession, members: DataFrame, out_dir: str, csv_sep: str = ",",
-                    encoding: str = "utf-8") -> list[tuple[str, str, str]]:
-    """Convert extracted members by suffix (S16), each to an output of its own:
+                    encoding: str = "utf-8") -> list[Converted]:
+    """Convert extracted members by suffix (S16), each to a table of its own:
     ``.csv`` to parquet, ``.txt`` (fixed width, inferred layout) to NDJSON; other
     members are left alone.
 
-    Members with one header line are read in one scan and written per member, so
-    files with other columns or another layout never mix. Returns ``(table id, path,
-    format)`` per member; one entry per table reaches the driver, as the catalog
-    needs each. Two members with one table id raise.
+    The columns of every member are fixed from its header before rows are written, so a
+    member of a header alone becomes a table with its columns and no rows, and an empty
+    file one with the column ``_c0``. Members with one header line are read in one scan
+    and written per member, so files with other columns or another layout never mix.
+    Returns ``(table id, path, format)`` per member, with its ``schema``; one entry per
+    table reaches the driver, as the catalog needs each, and each header line once.
+    Two members with one table id raise.
     """
+    from statmart.session import scratch_path
     from statmart.sinks.tables import NDJSON_OPTIONS
     from statmart.sources.delimited import read_delimited
     from statmart.sources.fixed_width import infer_layout, read_fixed_width
 
-    kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    paths = {r["path"]: r["kind"] for r in members.select("path", kind.alias("kind"))
-             .where(F.col("kind").isin("csv", "txt")).collect()}
+    out_dir = qualified(spark, out_dir).rstrip("/")
+    found = scratch_path(spark, "described")
+    describe_members(members, encoding).write.parquet(found)
+    # members that are read together: of one kind and header, with rows or without
+    group = F.sha2(F.to_json(F.struct("kind", "head", "filled"), {"ignoreNullFields": "false"}), 256)
+    described = spark.read.parquet(found).withColumn("group", group)
+    heads = {r["group"]: r for r in described.groupBy("group").agg(
+        *[F.first(c).alias(c) for c in ("kind", "head", "filled")]).collect()}  # one row per header line
+    paths = {r["path"]: r["group"] for r in described.select("path", "group").collect()}
     if not paths:
         return []
     folders = {p.rsplit("/", 1)[0] for p in paths}
@@ -155,33 +241,48 @@ def convert_members(spark: SparkSession, members: DataFrame, out_dir: str, csv_s
     while not all((f + "/").startswith(root + "/") for f in folders):
         root = root.rsplit("/", 1)[0]
     tables = {p: table_of(p, root) for p in paths}
-    twice = sorted({t for t in tables.values() if list(tables.values()).count(t) > 1}) if \
-        len(set(tables.values())) < len(tables) else []
+    times = Counter(tables.values())
+    twice = sorted(t for t, n in times.items() if n > 1)
     if twice:
         raise ValueError(f"several members would become one table: {twice}")
-    heads = first_lines(spark, sorted(paths), encoding)
-    groups: dict[tuple[str, str], list[str]] = {}
+    groups: dict[str, list[str]] = {}
     for p in sorted(paths):
-        groups.setdefault((paths[p], heads[p]), []).append(p)
+        groups.setdefault(paths[p], []).append(p)
     names = spark.createDataFrame([(file_uri(p), t) for p, t in tables.items()], "uri string, table string")
+    if not all(h["filled"] for h in heads.values()):
+        empty = described.where(~F.col("filled"))
+        target = {p: f"{out_dir}/{heads[g]['kind']}-empty/table={tables[p]}" for p, g in paths.items() if not heads[g]["filled"]}
+        where = spark.createDataFrame(list(target.items()), "path string, target string")
+        _write_empty(empty.join(F.broadcast(where), "path"), csv_sep)  # a row per member
     out = []
-    for i, ((suffix, _), group) in enumerate(groups.items()):
-        target = f"{out_dir.rstrip('/')}/{suffix}-{i:05d}"
+    for i, (g, group_paths) in enumerate(groups.items()):
+        suffix, head = heads[g]["kind"], heads[g]["head"]
+        fmt = "parquet" if suffix == "csv" else "json"
+        columns = header_names(suffix, head, csv_sep)
+        if not heads[g]["filled"]:
+            out += [Converted(tables[p], target[p], fmt, columns) for p in group_paths]
+            continue
+        to = f"{out_dir}/{suffix}-{i:05d}"
         if suffix == "csv":
-            rows = read_delimited(spark, group, sep=csv_sep, encoding=encoding)
-            rows = rows.withColumn("uri", _plain_uri(F.col("_metadata.file_path")))
+            schema = StructType([StructField(n, StringType()) for n in columns])
+            rows = read_delimited(spark, group_paths, sep=csv_sep, encoding=encoding, schema=schema)
+            rows = rows.select("*", _plain_uri(F.col("_metadata.file_path")).alias("__uri"))
         else:
-            layout = infer_layout(spark, group, header=True, encoding=encoding)
-            rows = read_fixed_width(spark, group, layout, header=True, encoding=encoding,
-                                    parse_dates=False, file_col="uri")
-            rows = rows.withColumn("uri", _plain_uri(F.col("uri")))
-        rows = rows.join(F.broadcast(names), "uri").drop("uri")  # a row per member
-        write = rows.write.mode("overwrite").partitionBy("table")
+            layout = infer_layout(spark, group_paths, header=True, encoding=encoding)
+            rows = read_fixed_width(spark, group_paths, layout, header=True, encoding=encoding,
+                                    parse_dates=False, file_col="__uri")
+            columns = layout.names
+            rows = rows.withColumn("__uri", _plain_uri(F.col("__uri")))
+        by = "table"
+        while by in {c.lower() for c in columns}:  # a member may have a column of that name
+            by += "_"
+        rows = rows.join(F.broadcast(names.select(F.col("uri").alias("__uri"), F.col("table").alias(by))), "__uri").drop("__uri")
+        write = rows.write.mode("overwrite").partitionBy(by)
         if suffix == "csv":
-            write.parquet(target)
+            write.parquet(to)
         else:
-            write.options(**NDJSON_OPTIONS).json(target)
-        out += [(tables[p], f"{target}/table={tables[p]}", "parquet" if suffix == "csv" else "json") for p in group]
+            write.options(**NDJSON_OPTIONS).json(to)
+        out += [Converted(tables[p], f"{to}/{by}={tables[p]}", fmt, columns) for p in group_paths]
     return out
 
 
