@@ -37,6 +37,7 @@ def nest(df: DataFrame, parent_cols: Sequence[str], child_cols: Sequence[str],
     order = list(order_cols or child_cols)
     struct_cols = order + [c for c in child_cols if c not in order]
     parents = list(parent_cols)
+    df = df.select(*dict.fromkeys(parents + struct_cols))  # no other column is carried or ranked
     counts = df.groupBy(*parents).agg(F.count(F.lit(1)).alias("__n"))
     big = counts.where(F.col("__n") > max_items).select(*parents)
     n_big = big.count()

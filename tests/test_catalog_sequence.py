@@ -182,3 +182,43 @@ def test_sequence_with_a_hot_group_of_equal_keys(spark):
         F.max("seq").alias("hi"))
     for r in got.collect():
         assert (r.d, r.lo, r.hi) == (r.n, 0, r.n - 1)
+
+
+def test_sequence_over_many_tasks_and_copies(spark):
+    """Keys over many partitions, a third of all rows copies of one, nulls in group and order, a map column."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None))
+         .otherwise(F.concat(F.lit("g"), (F.col("id") % 5).cast("string"))).alias("g"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 900).alias("o"),
+        F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise((F.col("id") % 2).cast("string")).alias("v"),
+        F.create_map(F.lit("k"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 4)).alias("m"))
+    out = sequence_within(df, ["g"], ["o"], keys_per_task=150)
+    assert out.columns == ["g", "o", "v", "m", "seq"]
+    got = sorted(((r.g, r.seq, r.o, r.v, r.m["k"]) for r in out.collect()), key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.g, []).append((r.o, r.v, r.m["k"]))
+    for g, held in want.items():
+        mine = [r for r in got if r[0] == g]
+        assert [r[1] for r in mine] == list(range(len(held)))
+        assert [r[2] for r in mine] == sorted((o for o, _, _ in held), key=lambda o: (o is not None, o or 0))
+        assert sorted((r[2:] for r in mine), key=str) == sorted(held, key=str)
+
+
+def test_sequence_stores_keys_only(spark):
+    """What is written to the shared folder has no column but the keys; partitions follow the number of keys."""
+    import glob
+    import pyarrow.parquet as pq
+    from statmart.session import local_path, shared_root
+    root = local_path(shared_root(spark))
+    before = set(glob.glob(f"{root}/statmart/seq*"))
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id", F.repeat(F.lit("wide"), 50).alias("payload"))
+    assert sequence_within(df, ["g"], ["id"], keys_per_task=100).count() == 1000
+    new = sorted(set(glob.glob(f"{root}/statmart/seq*")) - before)
+    assert len(new) == 2
+    for folder in new:
+        names = pq.read_table(folder).column_names
+        assert "payload" not in names and {"__h1", "__h2", "__n"} <= set(names)
+    assert len({r["__pid"] for r in spark.read.parquet([f for f in new if "ranks" in f][0]).collect()}) == 10
+    empty = sequence_within(df.limit(0), ["g"], ["id"])
+    assert empty.count() == 0 and empty.columns == ["g", "id", "payload", "seq"]
