@@ -946,7 +946,7 @@ def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer")["customer"]
     root = scratch_path(spark, "envelope")
     envelope_pages(c, F.floor(F.col("c_custkey") / 100)).write.text(root)
-    rows = read_envelope(spark, root, "value", StructType.fromDDL(_CUSTOMER_ELEMENT))
+    rows = read_envelope(spark, root, "value", StructType.fromDDL(_CUSTOMER_ELEMENT), multi_line=True)
     return rows.select(*[get_key(F.struct("*"), n).alias(n) for n in c.columns])
 
 
@@ -1028,7 +1028,7 @@ def zip_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("zip_empty_members", """
 WITH batch AS (SELECT 2 * (c_custkey // 5000) + c_custkey % 2 AS batch, count(*) AS n, sum(c_custkey) AS keys FROM customer GROUP BY 1)
 SELECT batch, member, columns, CASE WHEN filled THEN n ELSE 0 END AS n_rows,
-       CASE WHEN filled THEN CAST(keys AS BIGINT) END AS key_sum
+       CASE WHEN filled THEN CAST(keys AS BIGINT) ELSE 0 END AS key_sum
 FROM batch CROSS JOIN (VALUES ('rows', 'c_custkey,c_name,c_mktsegment', true), ('head', 'c_custkey,c_name,c_mktsegment', false),
                               ('none', '_c0', false), ('lines', 'c_custkey,c_name,c_mktsegment', true),
                               ('names', 'c_custkey,c_name,c_mktsegment', false)) AS m(member, columns, filled)
@@ -1055,7 +1055,8 @@ def zip_empty_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     pattern = r"batch_(\d+)_set_(\w+)$"
     return spark.createDataFrame(listed, "name string, columns string").join(counted, "name", "left").select(
         F.regexp_extract("name", pattern, 1).cast("bigint").alias("batch"), F.regexp_extract("name", pattern, 2).alias("member"),
-        "columns", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows"), "key_sum")
+        "columns", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows"),
+        F.coalesce("key_sum", F.lit(0)).cast("bigint").alias("key_sum"))
 
 
 @register("assign_names", """

@@ -1,18 +1,11 @@
-"""Small per-file helpers shared by the scans.
-
-Line numbers inside a file: a text scan reads each split of a file in file
-order inside one task, and ``monotonically_increasing_id`` numbers rows in scan
-order inside a task. Per (file, split) counts then give exact line numbers for
-every line (:func:`numbered_lines`): exact header and skip-row handling without
-a global sort, while every split of a large file is still read by its own task.
-"""
+"""Small per-file helpers shared by the scans."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.session import local_path
@@ -22,10 +15,6 @@ ENCODING_ALIASES = {"8859": "ISO-8859-1", "latin1": "ISO-8859-1", "latin-1": "IS
                     "iso-8859-1": "ISO-8859-1", "utf8": "UTF-8", "utf-8": "UTF-8"}
 
 
-# Per-file and per-split tables are broadcast up to this many rows.
-MAX_BROADCAST_FILES = 200_000
-
-
 def charset(encoding: str) -> str:
     return ENCODING_ALIASES.get(encoding.lower(), encoding)
 
@@ -34,38 +23,6 @@ def as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def numbered_lines(spark: SparkSession, paths: str | Sequence[str],
-                   encoding: str = "UTF-8") -> DataFrame:
-    """Text lines with ``file`` and ``line_no``: the exact 0-based line number
-    in the file, for every line of every split.
-
-    One text scan; inside a task the rows of one split are consecutive, so
-    per (file, split) the smallest ``monotonically_increasing_id`` and the row
-    count give each line's place in its split, and a running sum of the counts
-    over the splits of a file gives the split's first line. The split table has
-    at most (files + partitions) rows, known before any pass, and is broadcast
-    under a bound. ``paths`` should list the files (see :func:`input_files`).
-    """
-    r = spark.read.option("encoding", charset(encoding)) if charset(encoding) != "UTF-8" \
-        else spark.read
-    raw = (r.text(as_list(paths))
-            .select("value",
-                    F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_block_start").alias("__block"),
-                    F.monotonically_increasing_id().alias("__id")))
-    blocks = raw.groupBy("file", "__block").agg(F.min("__id").alias("__first"),
-                                                F.count(F.lit(1)).alias("__n"))
-    w = (Window.partitionBy("file").orderBy("__block")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    blocks = blocks.withColumn("__before", F.sum("__n").over(w) - F.col("__n")).drop("__n")
-    n_files = len(as_list(paths))
-    bound = n_files + raw.rdd.getNumPartitions()
-    out = raw.join(F.broadcast(blocks) if bound <= MAX_BROADCAST_FILES else blocks,
-                   ["file", "__block"], "inner")
-    line_no = F.col("__before") + F.col("__id") - F.col("__first")
-    return out.select("value", "file", line_no.alias("line_no"))
-
-
 def _open_text(path: str, encoding: str):
     from pyarrow import fs as pafs
     import io

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.functions.columns import parse_date, trim_all
-from statmart.sources.files import as_list, charset, first_lines, input_files, numbered_lines
+from statmart.sources.files import as_list, charset, first_lines, input_files
+from statmart.sources.ranges import lines, sized_files
 
 # Field separator for writing whole lines through the CSV writer (which puts
 # the header line at the top of every file): never present in register text.
@@ -60,14 +61,14 @@ class Layout:
 def read_lines(spark: SparkSession, paths: str | Sequence[str], header: bool = False,
                encoding: str = "utf-8", keep_file: bool = False) -> DataFrame:
     """Whole lines as ``value``, with ``file`` if ``keep_file``; ``header`` drops the first line of every file
-    (exact per-file line numbers, see :func:`statmart.sources.files.numbered_lines`)."""
+    while it is read (see :mod:`statmart.sources.ranges`)."""
     if not header:
         r = spark.read.option("encoding", charset(encoding)) if charset(encoding) != "UTF-8" \
             else spark.read
-        lines = r.text(as_list(paths))
-        return lines.select("value", F.col("_metadata.file_path").alias("file")) if keep_file else lines
-    lines = numbered_lines(spark, input_files(spark, paths), encoding)
-    return lines.where(F.col("line_no") != 0).select("value", *(["file"] if keep_file else []))
+        raw = r.text(as_list(paths))
+        return raw.select("value", F.col("_metadata.file_path").alias("file")) if keep_file else raw
+    kept = lines(spark, sized_files(spark, paths), encoding, skip=[(None, [0])])
+    return kept.select("value", *(["file"] if keep_file else []))
 
 
 def cut(lines: DataFrame, layout: Layout, parse_dates: bool = True, *extra: Column) -> DataFrame:

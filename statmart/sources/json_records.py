@@ -14,13 +14,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from statmart.session import scratch_path
 from statmart.sources.files import as_list
+from statmart.sources.ranges import elements, sized_files
 
 
 def read_envelope(spark: SparkSession, paths: str | Sequence[str], key: str = "value",
                   element_schema: StructType | None = None, multi_line: bool = False) -> DataFrame:
-    """Rows of the ``key`` array of every response document."""
-    r = spark.read.option("multiLine", multi_line)
+    """Rows of the ``key`` array of every response document.
+
+    ``multi_line`` is for documents that take several lines, of any size: their elements
+    are read one by one with bounded memory (:mod:`statmart.sources.ranges`), so one task
+    never holds a whole document. Without a schema the elements are stored once, as lines,
+    to infer it from all of them.
+    """
+    if multi_line:
+        found = elements(spark, sized_files(spark, paths), key)
+        if element_schema is not None:
+            return found.select(F.from_json("value", element_schema).alias("r")).select("r.*")
+        path = scratch_path(spark, "elements")
+        found.write.text(path)
+        return spark.read.json(path)
+    r = spark.read
     if element_schema is not None:
         r = r.schema(StructType([StructField(key, ArrayType(element_schema))]))
     return r.json(as_list(paths)).select(F.inline(key))

@@ -2,8 +2,8 @@
 
 A sheet saved as delimited text: a header line, sometimes filler lines right
 under it (units, notes) to skip by line number, missing values written as
-tokens such as ``.``. The scan is one text scan with per-file line numbers
-(:func:`statmart.sources.files.numbered_lines`); lines are parsed with
+tokens such as ``.``. The scan leaves these lines out while it reads
+(:mod:`statmart.sources.ranges`); the others are parsed with
 ``from_csv`` into text columns named by the header, tokens become null, and an
 explicit lenient cast types the columns.
 """
@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.functions.columns import SHEET_NA_TOKENS, cast_columns, null_tokens_all
-from statmart.functions.paths import last_segment
-from statmart.sources.files import file_key, first_lines, input_files, numbered_lines
+from statmart.sources.files import file_key, first_lines, input_files
+from statmart.sources.ranges import lines, sized_files
 
 
 def _split_header(head: str, sep: str) -> list[str]:
@@ -42,15 +42,11 @@ def read_sheet_export(spark: SparkSession, paths: str | Sequence[str], sep: str
     groups: dict[str, list[str]] = {}
     for f in files:
         groups.setdefault(heads[f], []).append(f)
-    lines = numbered_lines(spark, files, encoding)
-    line_no, name = F.col("line_no"), file_key("file")
-    drop = line_no == 0
-    if isinstance(skip_rows, Mapping):
-        for pattern, nums in skip_rows.items():
-            drop = drop | (last_segment(name).contains(pattern) & line_no.isin(list(nums)))
-    elif list(skip_rows):
-        drop = drop | line_no.isin(list(skip_rows))
-    kept = lines.where(~drop & (F.length(F.trim("value")) > 0))
+    skip: list[tuple[str | None, list[int]]] = [(None, [0])]
+    skip += [(pattern, list(nums)) for pattern, nums in skip_rows.items()] if isinstance(skip_rows, Mapping) \
+        else [(None, list(skip_rows))]
+    name = file_key("file")
+    kept = lines(spark, sized_files(spark, paths), encoding, skip).where(F.length(F.trim("value")) > 0)
     out = None
     for head, group in groups.items():
         names = _split_header(head, sep)
