@@ -38,6 +38,7 @@ WORDS = 5
 CELLS_LOG2 = 20  # cells of the count table
 BLOCK = 2048  # nodes of a cluster that one side of a group holds
 SPARE = 16  # one shingle in so many is asked for beyond the first in a shared prefix
+TOGETHER = 1 << 18  # postings looked at in one step of a comparison
 LARGE = 1 << 18  # shingles of a group after which memory is given back
 BROADCAST_ROWS = 1_000_000  # of three longs each
 _U = np.uint64
@@ -175,28 +176,46 @@ def linked_stars(tokens: list[np.ndarray], left: np.ndarray, right: np.ndarray,
         n = at[own + 1] - at[own]
         return np.repeat(at[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), n
 
+    def pieces(own: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Runs of ``own`` whose postings are few enough to be looked at together."""
+        n = np.cumsum(at[own + 1] - at[own])
+        start = 0
+        while start < len(own):
+            stop = int(np.searchsorted(n, (n[start - 1] if start else 0) + TOGETHER, side="right"))
+            yield start, max(start + 1, stop)
+            start = max(start + 1, stop)
+
     at, docs, places = postings(prefix)
     whole = None
     label = np.arange(len(tokens))
     links = np.zeros(len(tokens), dtype=np.int64)
     for x in left:
         own = local[first[x]:first[x] + sizes[x]]
-        rows, n = look(own[:prefix[x]], at)
-        other, there = docs[rows], places[rows]
-        here = np.repeat(np.arange(prefix[x]), n)
-        fits = (5 * np.minimum(sizes[other], sizes[x]) >= 4 * np.maximum(sizes[other], sizes[x]))
-        fits &= other > x if same else other != x
-        other, met = np.unique(other[fits], return_index=True)  # where the pair meets first
+        fits = (5 * np.minimum(sizes, sizes[x]) >= 4 * np.maximum(sizes, sizes[x]))
+        fits[:x + 1 if same else 0] = False
+        fits[x] = False
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for start, stop in pieces(own[:prefix[x]], at):
+            rows, n = look(own[start:stop], at)
+            other = docs[rows]
+            new = fits[other]
+            other, there, here = other[new], places[rows[new]], start + np.repeat(np.arange(stop - start), n)[new]
+            other, where = np.unique(other, return_index=True)  # where the pair meets first
+            fits[other] = False
+            met.append((other, here[where], there[where]))
+        other, here, there = (np.concatenate(c) for c in zip(*met))
         if not len(other):
             continue
-        here, there = here[fits][met], there[fits][met]
         need = (4 * (sizes[x] + sizes[other]) + 8) // 9
         ok = 1 + np.minimum(sizes[x] - here - 1, sizes[other] - there - 1) >= need
         ok &= np.abs(bins[other] - bins[x]).sum(1) <= sizes[x] + sizes[other] - 2 * need
         other, need = other[ok], need[ok]
         if len(other) > 6:
             whole = whole or postings(sizes)
-            shared = np.bincount(whole[1][look(own, whole[0])[0]], minlength=len(tokens))[other]
+            shared = np.zeros(len(tokens), dtype=np.int64)
+            for start, stop in pieces(own, whole[0]):
+                shared += np.bincount(whole[1][look(own[start:stop], whole[0])[0]], minlength=len(tokens))
+            shared = shared[other]
         else:
             shared = np.array([len(np.intersect1d(tokens[x], tokens[y], assume_unique=True)) for y in other],
                               dtype=np.int64)
