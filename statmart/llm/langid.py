@@ -4,8 +4,10 @@ For each language the suffix automaton of a bounded sample of labelled text is b
 A text is parsed into phrases, each the longest match that the automaton of a language
 allows from where the last one ended; the language that needs the fewest phrases,
 normalised by the text's length and the sample's (phrases * log2(sample) / symbols: the
-cross-parsing entropy), wins. Case is folded, letters outside the alphabet match
-nothing and end a phrase, runs of other characters count as one space.
+cross-parsing entropy), wins. Case is folded, letters that no sample holds match nothing
+and end a phrase, runs of other characters count as one space. Where the samples hold more
+letters than the alphabet has symbols, the commonest are one symbol each and the others are
+spelled with several, so scripts of thousands of letters keep them all apart.
 
 Whether a text is of the language it comes nearest to at all is decided by the same
 entropy: it must stay within a bound fitted on labelled texts, each parsed by a model
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from statmart.llm.common import lean, table
 from statmart.llm.textunits import slices
 
-SAMPLE_SYMBOLS = 40_000  # the classifier is fitted on about so many symbols of each language
+SAMPLE_SYMBOLS = 40_000  # the classifier is fitted on about so many characters of each language
+MODEL_SYMBOLS = 640_000  # and on so many of all languages together, so many languages get less each
 ALPHABET = 62
 BLOCK = 512
 SPACE = 0
@@ -75,6 +78,51 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
     return out
 
 
+@dataclass
+class Spelling:
+    """Letters of several symbols: the code points in order, and the symbols of each (rows)."""
+
+    letters: np.ndarray
+    digits: np.ndarray
+
+    def spell(self, points: np.ndarray, got: np.ndarray) -> np.ndarray:
+        """``got``, the first symbols of the characters ``points``, with the further ones put in."""
+        at = np.flatnonzero((got >= self.digits[0, 0]) & (got <= self.digits[-1, 0]))
+        if not len(at):
+            return got
+        further = self.digits.shape[1] - 1
+        sizes = np.ones(len(got), dtype=np.int64)
+        sizes[at] += further
+        out = np.repeat(got, sizes)
+        first = (np.cumsum(sizes) - sizes)[at]
+        row = np.searchsorted(self.letters, points[at])
+        for j in range(1, further + 1):
+            out[first + j] = self.digits[row, j]
+        return out
+
+
+def choose_spelling(often: np.ndarray, alphabet: int) -> tuple[int, int]:
+    """(letters of one symbol, symbols of each other letter) for letters found so ``often``, commonest first.
+
+    Each place of a spelled letter has ``k`` symbols of its own, so a match cannot begin
+    inside a letter as if at its start. Of the numbers of places the one that makes the
+    sample shortest is taken.
+    """
+    if len(often) <= alphabet:
+        return len(often), 1
+    before = np.concatenate([[0], np.cumsum(often)])
+    found = []
+    for places in range(2, alphabet // 2 + 1):
+        k = next((k for k in range(2, alphabet // places + 1) if k ** places >= len(often) - (alphabet - places * k)), None)
+        if k is not None:
+            single = alphabet - places * k
+            found.append((int(before[single] + places * (before[-1] - before[single])), places, single))
+    if not found:
+        raise ValueError(f"{len(often)} letters cannot be spelled with {alphabet} symbols")
+    _, places, single = min(found)
+    return single, places
+
+
 @dataclass
 class LanguageModel:
     """Automata of all languages in one table of steps.
@@ -91,12 +139,14 @@ class LanguageModel:
     weight: np.ndarray
     bound: np.ndarray | None = None  # highest entropy of a language's texts (rows) by length (columns)
     share: float = 0.0  # least part of letters in a text that is too short for a bound
+    spelling: Spelling | None = None
 
     def symbols(self, text: str) -> np.ndarray:
-        got = self.lookup[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        got = self.lookup[points]
         keep = got != SPACE
         keep[1:] |= got[:-1] != SPACE
-        return got[keep]
+        return got[keep] if self.spelling is None else self.spelling.spell(points[keep], got[keep])
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
@@ -200,17 +250,26 @@ def fit_bounds(languages: list[str], clean: dict[str, list[tuple[str, LanguageMo
 
 
 def build_model(samples: dict[str, list[str]], alphabet: int = ALPHABET) -> LanguageModel:
-    """Model of the sample texts of each language."""
+    """Model of the sample texts of each language; ``alphabet`` symbols stand for their letters."""
     languages = sorted(samples)
     points = np.concatenate([np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
                              for ts in samples.values() for t in ts])
     found, often = np.unique(points, return_counts=True)
-    letters = [int(p) for p, _ in sorted(zip(found, often), key=lambda x: (-x[1], x[0])) if chr(p).isalpha()]
-    width = min(len(letters), alphabet) + 2
+    ranked = [(int(p), int(n)) for p, n in sorted(zip(found, often), key=lambda x: (-x[1], x[0])) if chr(p).isalpha()]
+    single, places = choose_spelling(np.array([n for _, n in ranked], dtype=np.int64), alphabet)
+    letters, others = [p for p, _ in ranked[:single]], np.array(sorted(p for p, _ in ranked[single:]), dtype=np.uint32)
+    k = (alphabet - single) // places if len(others) else 0
+    width = single + k * places + 2
     lookup = np.zeros(0x110000, dtype=np.uint8)
-    lookup[[cp for cp in range(0x110000) if chr(cp).isalpha()]] = width - 1  # a letter outside the alphabet
-    lookup[letters[:alphabet]] = np.arange(1, width - 1)
+    lookup[[cp for cp in range(0x110000) if chr(cp).isalpha()]] = width - 1  # a letter that no sample holds
+    lookup[letters] = np.arange(1, single + 1)
     model = LanguageModel(languages, lookup, np.zeros(0), np.zeros(0), np.zeros(0))
+    if len(others):
+        # spread over all first symbols; letters that are neighbours in Unicode share them
+        code = np.arange(len(others)) * (k ** places) // len(others)
+        digits = np.stack([single + 1 + j * k + code // k ** (places - 1 - j) % k for j in range(places)], axis=1)
+        model.spelling = Spelling(others, digits.astype(np.uint8))
+        lookup[others] = model.spelling.digits[:, 0]
     steps, roots, weights, base = [], [], [], 0
     for lang in languages:
         whole: list[int] = []
@@ -238,7 +297,8 @@ def fit_language_model(labelled: DataFrame, sample_symbols: int = SAMPLE_SYMBOLS
     """Fit on a bounded sample of ``labelled`` (doc_id, text, lang).
 
     For each label, whole texts are taken in the order of a hash of doc_id until they
-    hold ``sample_symbols`` characters. Labels can be wrong: the sample is split in two,
+    hold ``sample_symbols`` characters, or their part of ``MODEL_SYMBOLS`` if that is less;
+    a longer text gives so many of its first. Labels can be wrong: the sample is split in two,
     each half is predicted by a model of the other, and texts with another prediction
     are left out of the final model unless a language would lose more than half of its
     texts. Rows without a label, text or letter are not used; if none is left, every
@@ -248,6 +308,7 @@ def fit_language_model(labelled: DataFrame, sample_symbols: int = SAMPLE_SYMBOLS
     size = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).collect()
     if not size:
         return LanguageModel([], *[np.zeros(0)] * 4)
+    sample_symbols = min(sample_symbols, max(1, MODEL_SYMBOLS // len(size)))
     key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     # enough rows for the wanted characters, with room for chance; the exact bound is applied below
     share = F.lit(0)
@@ -259,7 +320,8 @@ def fit_language_model(labelled: DataFrame, sample_symbols: int = SAMPLE_SYMBOLS
     held: dict[str, int] = {}
     running = F.sum(F.length("text")).over(_sample_order())
     for r in near.withColumn("before", running - F.length("text")).where(F.col("before") < sample_symbols) \
-                 .orderBy("lang", "key", "text").select("lang", "text").collect():  # bounded by the sample
+                 .orderBy("lang", "key", "text") \
+                 .select("lang", F.substring("text", 1, sample_symbols).alias("text")).collect():  # bounded by the sample
         sample.setdefault(r["lang"], []).append(r["text"])
         held[r["lang"]] = held.get(r["lang"], 0) + len(r["text"])
     halves = [{g: ts[k::2] for g, ts in sample.items() if ts[k::2]} for k in (0, 1)]

@@ -104,3 +104,49 @@ def test_stage_keeps_all_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text", None, "s", 9), (2, "12", None, "s", 2)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     assert cp.language_id(spark, docs, "").count() == 2
+
+
+def test_scripts_of_many_letters(spark):
+    """Two labels in Han with disjoint characters, two in Cyrillic, Greek, Hangul and Latin."""
+    rnd = random.Random(11)
+    alphabets = {"zh": [chr(0x4E00 + i) for i in range(0, 3000)], "ja": [chr(0x6000 + i) for i in range(0, 3000)],
+                 "ru": list("абвгдежзийклмнопрстуфхцчшщъыьэюя"), "bg": list("абвгдежзийклмнопрстуфхцчшщъьюя"),
+                 "el": list("αβγδεζηθικλμνξοπρστυφχψω"), "ko": [chr(0xAC00 + 7 * i) for i in range(1200)],
+                 "en": list("abcdefghijklmnopqrstuvwxyz")}
+    words = {g: ["".join(rnd.choice(a) for _ in range(rnd.randint(2, 5))) for _ in range(400)] for g, a in alphabets.items()}
+    train = spark.createDataFrame([(i, spoken(rnd, words[g]), g) for i, g in enumerate(list(words) * 30)],
+                                  "doc_id long, text string, lang string")
+    model = langid.fit_language_model(train)
+    assert model.step.nbytes < 200 << 20
+    for g in words:
+        assert set(model.predict([spoken(rnd, words[g], n) for n in (5, 20, 200)])[0]) == {g}
+    never = "".join(chr(0x0E01 + rnd.randrange(40)) for _ in range(300))  # a script that was never learned
+    assert model.told([never, spoken(rnd, words["zh"], 100), spoken(rnd, words["bg"], 100)]).tolist() == [False, True, True]
+
+
+def test_spelled_letters_are_told_apart():
+    rnd = random.Random(3)
+    letters = [chr(0x4E00 + 5 * i) for i in range(2500)] + list("abcdefghij")
+    text = "".join(rnd.choice(letters) for _ in range(6000)) + "abcdefghij" * 500
+    model = langid.build_model({"x": [text, "".join(letters)]})
+    spelled = {bytes(model.symbols(c)) for c in letters}
+    assert len(spelled) == len(letters) and model.step.size < 1 << 31
+    assert bytes(model.symbols(text)) == b"".join(bytes(model.symbols(c)) for c in text)
+    assert len(model.symbols("a")) == 1  # the commonest stay single
+    symbols = [model.symbols(t) for t in (text[100:700], "龥" + text[:40], "a龥b")]
+    joined = bytes(model.symbols(text)) + b"\xff" + bytes(model.symbols("".join(letters))) + b"\xff"
+    other = int(model.lookup.max())
+    want = [phrases_by_search(joined, bytes(254 if x == other else x for x in s)) for s in symbols]
+    assert model.phrases(symbols)[:, 0].tolist() == want
+
+
+def test_many_labels_bound_the_model(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MODEL_SYMBOLS", 20_000)
+    rnd = random.Random(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    words = {f"l{i:02d}": ["".join(rnd.choice(letters) for _ in range(6)) for _ in range(12)] for i in range(40)}
+    rows = [(i, spoken(rnd, words[g], 30), g) for i, g in enumerate(list(words) * 6)]
+    rows.append((len(rows), spoken(rnd, words["l00"], 50_000), "l00"))  # one very long text
+    model = langid.fit_language_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.step.size < 4 * 20_000 * 28
+    assert model.predict([spoken(rnd, words[g], 10) for g in words])[0] == list(words)
