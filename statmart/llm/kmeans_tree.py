@@ -214,7 +214,8 @@ def search(table_: DataFrame, is_query: Column, k: int = 10, recall: float = REC
                 yield pa.record_batch([*batch.columns, pa.array(shared.value.file(_matrix(batch.column(1))))],
                                       names=["vec_id", "vector", "leaf"])
 
-    filed = stored(valid.mapInArrow(file, "vec_id long, vector array<float>, leaf int"), "leaves")
+    own = valid.schema["vector"].dataType.simpleString()  # floats or doubles, kept as they are
+    filed = stored(valid.mapInArrow(file, f"vec_id long, vector {own}, leaf int"), "leaves")
     held = {r["leaf"]: r["count"] for r in filed.groupBy("leaf").count().collect()}  # at most a row per leaf
     queries = filed.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     probes = _collected(queries.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(CALIBRATION))

@@ -84,3 +84,16 @@ def test_wanted_recall(spark):
     want = {(int(q), v) for q in ids if q % 100 == 0 for v, _ in exact(ids, vectors, q)}
     got = {(r["query_id"], r["vec_id"]) for r in kt.op4_kmeans_tree(spark, sf).collect()}
     assert kt.RECALL == 0.97 and len(want & got) >= 0.97 * len(want)
+
+
+def test_double_vectors_keep_their_precision(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(500, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(900, None), (1000, [1.0, None, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    out = kt.search(df, F.col("vec_id") % 100 == 0).collect()
+    assert {r["query_id"] for r in out} == {0, 100, 200, 300, 400}
+    for r in out:
+        assert r["score"] == pytest.approx(np.sqrt(((vectors[r["vec_id"]] - vectors[r["query_id"]]) ** 2).sum()), rel=1e-14)
+    best = {r["query_id"]: r["vec_id"] for r in out if r["rank"] == 1}
+    assert sum(best[q] == exact(np.arange(500), vectors, q)[0][0] for q in best) >= 4
