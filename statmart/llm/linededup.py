@@ -308,8 +308,8 @@ def dedup_lines(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document after line deduplication, as digests."""
-    done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Every document after line deduplication, as digests; equal lines of any length go."""
+    done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least=1)
     return done.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
                        F.col("n_removed").cast("long").alias("n_removed"),
                        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("kept_chars"),
