@@ -10,9 +10,11 @@ together hit every such window, whichever words differ, so the seeds lose nothin
 Items shorter than a window are found where all their words stand in a row, or, if
 ``scaled``, with ``tolerance`` of their words differing: such an item is cut into two
 blocks more than that, so two blocks are whole wherever it differs, and every pair of
-blocks is a mask. Items of fewer than ``LEAST`` words are no evidence and are left out;
-``unmatched`` lists them. Words are runs of letters and digits in lower case, compared by
-64-bit hashes; if ``scaled``, a character of a script without blanks is a word of its own.
+blocks is a mask. Items of fewer than ``LEAST`` words are no evidence of a leak, so
+``contamination`` leaves them out and ``unmatched`` lists them; ``short_matches`` finds
+them word for word, as a class of its own. Words are runs of letters and digits in lower
+case, compared by 64-bit hashes; if ``scaled``, a character of a script without blanks is a
+word of its own.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ MASKS = ["111011", "11001011", "1101000101"]
 WINDOW, SUBSTITUTIONS = 13, 3
 LEAST = 5
 BROADCAST_SEEDS = 2_000_000  # of five longs each; beyond that the join shuffles
-BROADCAST_HITS = 500_000
+BROADCAST_HITS = 500_000  # of three values each, and as many ids
+PIECE = 1024  # words of a document that hits are compared with at once, at least
 
 
 NO_BLANKS = "([" + "".join(f"\\p{{Is{s}}}" for s in (
@@ -114,18 +117,55 @@ def contamination(docs: DataFrame, benchmark: DataFrame, scaled: bool = False) -
     return verified(texts, items, hits, scaled)
 
 
+def short_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, matched, best_window, first_word) of items below ``LEAST`` words in documents.
+
+    All words of the item stand in a row; ``first_word`` is the first such place, and the
+    other columns are the item's words. Items without a word are found nowhere. Nulls,
+    repeated ids and empty tables as in ``contamination``.
+    """
+    items = benchmark.select("item_id", word_codes(F.col("text"), True).alias("codes")) \
+        .where(F.size("codes").between(1, LEAST - 1)).distinct()
+    lengths = sorted(r[0] for r in items.select(F.size("codes")).distinct().collect())  # < LEAST values
+    masks = [(n, "1" * n) for n in lengths or [1]]
+    known = seeds(items.select(F.struct("item_id", "codes").alias("item"), "codes"), "item", masks) \
+        .where((F.col("pos") == 0) & (F.col("mask") == F.size("item.codes"))).select("item.item_id", "mask", "seed")
+    if known.count() <= BROADCAST_SEEDS:
+        known = F.broadcast(known)
+    coded = docs.select("doc_id", "text").where("text IS NOT NULL") \
+        .select("doc_id", word_codes(F.col("text"), True).alias("codes"))
+    hits = seeds(coded if lengths else coded.limit(0), "doc_id", masks).join(known, ["mask", "seed"])
+    return hits.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("mask").alias("n"), (-F.col("pos")).alias("back"))).alias("b")) \
+        .select("doc_id", "item_id", F.col("b.n").alias("matched"), F.col("b.n").alias("best_window"),
+                (-F.col("b.back")).alias("first_word"))
+
+
 def verified(texts: DataFrame, items: DataFrame, hits: DataFrame, scaled: bool = False) -> DataFrame:
-    """Compare the words along each hit diagonal."""
-    hits = stored(hits, "seedhits").groupBy("doc_id").agg(F.collect_set(F.struct("item_id", "shift")).alias("hits"))
+    """Compare the words along each hit diagonal.
+
+    Hits stay rows. A document with hits is cut into pieces that overlap by the longest
+    item, and a hit meets the piece its diagonal begins in, so neither the hits nor the
+    words of a document come together in one row or task.
+    """
+    hits = stored(hits, "seedhits")
+    longest = items.agg(F.max("words")).first()[0] or 0
+    step = max(PIECE, longest)  # a diagonal begins less than an item before the document
+    ids, placed = hits.select("doc_id").distinct(), hits.withColumn("place", F.floor(F.col("shift") / step).cast("int"))
     if hits.count() <= BROADCAST_HITS:
-        hits = F.broadcast(hits)
+        ids, placed = F.broadcast(ids), F.broadcast(placed)
     # the words of the few documents with hits only, so they are split after the join
-    found = texts.join(hits, "doc_id").select("doc_id", word_codes(F.col("text"), scaled).alias("codes"), "hits")
-    lines = found.select("doc_id", "codes", F.explode("hits").alias("h")) \
-        .select("doc_id", "codes", "h.item_id", "h.shift")
+    coded = texts.join(ids, "doc_id", "left_semi").select("doc_id", word_codes(F.col("text"), scaled).alias("codes"))
+    begin = F.greatest(F.col("place") * step, F.lit(0))
+    pieces = coded.select("doc_id", "codes", F.explode(F.sequence(F.lit(-1), F.floor(F.size("codes") / step).cast("int"))).alias("place")) \
+        .select("doc_id", "place", begin.alias("begin"),
+                F.slice("codes", begin + 1, (F.col("place") + 1) * step + longest - begin).alias("piece"))
+    at = F.col("shift") - F.col("begin")
+    lines = pieces.join(placed, ["doc_id", "place"]).select(
+        "doc_id", "item_id", "shift", F.least(at, F.lit(0)).alias("off"),
+        F.slice("piece", F.greatest(at, F.lit(0)) + 1, F.lit(longest)).alias("codes"))
     item = items.select("item_id", F.col("codes").alias("item"), "words")
     pair = lines.join(item, "item_id").select("doc_id", "item_id", "shift", "words", F.transform(
-        "item", lambda w, i: F.when(F.get(F.col("codes"), F.col("shift") + i) == w, 1).otherwise(0)).alias("equal"))
+        "item", lambda w, i: F.when(F.get(F.col("codes"), F.col("off") + i) == w, 1).otherwise(0)).alias("equal"))
     width = F.least(F.lit(WINDOW), F.col("words"))
     windows = F.transform(F.sequence(F.lit(1), F.col("words") - width + 1), lambda s: F.aggregate(
         F.slice("equal", s, width), F.lit(0), lambda a, b: a + b))
@@ -141,5 +181,9 @@ def verified(texts: DataFrame, items: DataFrame, hits: DataFrame, scaled: bool =
 
 
 def op8_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every benchmark item found in any document."""
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), scaled=True)
+    """Every benchmark item found in any document; ``short`` marks items below ``LEAST`` words."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = contamination(docs, benchmark, scaled=True).withColumn("short", F.lit(False))
+    if unmatched(benchmark).where("words > 0").isEmpty():
+        return found
+    return found.unionByName(short_matches(docs, benchmark).withColumn("short", F.lit(True)))

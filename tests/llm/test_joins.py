@@ -50,19 +50,23 @@ def test_banded_distance():
             assert linededup.within(a, b, limit) == (edit_distance(a, b) <= limit), (a, b, limit)
 
 
-def brute_lines(docs):
-    """Text and number of removed lines of each document; every document id once."""
+def brute_lines(docs, shortest=linededup.MIN_CHARS):
+    """Text and number of removed lines of each document; every document id once.
+
+    Lines from ``shortest`` characters on are compared for equality, from ``MIN_CHARS`` on for nearness.
+    """
     first = {}
     for d, t in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
         for k, x in enumerate((t or "").split("\n")):
-            if len(x) >= linededup.MIN_CHARS:
+            if len(x) >= shortest:
                 first.setdefault(x, (d is not None, d or 0, k))
     less = lambda s: {s, *(s[:i] + s[i + 1:] for i in range(len(s)))}
     near = defaultdict(set)
-    for x in first:
+    wide = [x for x in first if len(x) >= linededup.MIN_CHARS]
+    for x in wide:
         for v in less(x):
             near[v].add(x)
-    gone = {x for x in first if any(first[y] < first[x] and linededup.within(x, y, 1)
+    gone = {x for x in wide if any(first[y] < first[x] and linededup.within(x, y, 1)
                                     for v in less(x) for y in near[v] if y != x)}
     out = {}
     for d, t in docs:
@@ -70,7 +74,7 @@ def brute_lines(docs):
             out[d] = (None, 0)
             continue
         lines = t.split("\n")
-        keep = [x for k, x in enumerate(lines) if len(x) < linededup.MIN_CHARS
+        keep = [x for k, x in enumerate(lines) if len(x) < shortest
                 or x not in gone and first[x] == (d is not None, d or 0, k)]
         out[d] = ("\n".join(keep), len(lines) - len(keep))
     return out
@@ -317,6 +321,46 @@ def test_short_items_with_changed_words(spark):
     assert sorted(map(tuple, decontaminate.unmatched(bench).collect())) == [(2, 2), (3, 3), (4, 4), (91, 3)]
 
 
+def test_items_below_five_words(spark, tmp_path):
+    """Found word for word in any document, first place counted, as a class of their own."""
+    rnd = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(rnd.choice(vocabulary) for _ in range(n))) for i, n in enumerate([1, 1, 2, 2, 3, 3, 4, 4, 4])]
+    items += [(20, "Who wrote Hamlet?"), (21, "短い文"), (22, ""), (23, None), (24, "..."), (20, "hamlet wrote"),
+              (30, " ".join(f"long{i}" for i in range(20)))]
+    docs = [(d, ", ".join(rnd.choice(vocabulary) for _ in range(rnd.choice([0, 1, 3, 30])))) for d in range(60)]
+    docs += [(100, "So, who wrote Hamlet? Nobody knows who wrote Hamlet."), (101, "日本語の短い文"), (102, None), (103, ""),
+             (104, "w1 " * 3000), (105, "x " + items[-1][1]), (None, "who wrote hamlet")]
+    want = set()
+    for d, t in docs:
+        ws = words_of(re.sub("([日本語の短い文])", r" \1 ", t or ""))
+        for i in {i for i, _ in items}:
+            own = [words_of(re.sub("([短い文])", r" \1 ", x or "")) for k, x in items if k == i]
+            found = [(len(w), -p) for w in own if 0 < len(w) < 5 for p in range(len(ws)) if ws[p:p + len(w)] == w]
+            if found:
+                want.add((d, i, max(found)[0], max(found)[0], -max(found)[1]))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.short_matches(documents(spark, docs), bench).collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    assert decontaminate.short_matches(documents(spark, []), bench).count() == 0
+    assert decontaminate.short_matches(documents(spark, docs), bench.limit(0)).count() == 0
+    documents(spark, docs).write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    out = decontaminate.op8_spaced_seeds(spark, str(tmp_path)).collect()
+    assert {tuple(r)[:5] for r in out if r["short"]} == want
+    assert [(r["doc_id"], r["item_id"]) for r in out if not r["short"]] == [(105, 30)]
+
+
+def test_one_word_repeated_meets_an_item_of_it(spark, monkeypatch):
+    """As many diagonals as the document has words; pieces keep each comparison small."""
+    monkeypatch.setattr(decontaminate, "PIECE", 32)  # below the longest item, as beyond it
+    docs = [(1, "w1 " * 3000), (2, "w1 " * 5), (3, "a b " * 70 + "w1 " * 40 + "a b " * 30), (4, "w2 " * 300)]
+    items = [(1, "w1 " * 40), (2, "a b " * 30), (3, "w1 " * 12)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.contamination(documents(spark, docs), bench).collect()))
+    assert got == brute_contamination(docs, items)
+
+
 def test_contamination_runs_no_python(spark):
     from conftest import plan_text
     sf = "/root/testdata/sf0.001"
@@ -329,9 +373,9 @@ def test_registered_queries(spark, query):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     if query == "lines":
         got = {r["doc_id"]: (r["n_removed"], r["kept_chars"]) for r in linededup.op6_line_dedup(spark, sf).collect()}
-        assert got == {d: (n, len(t or "")) for d, (t, n) in brute_lines(docs).items()}
+        assert got == {d: (n, len(t or "")) for d, (t, n) in brute_lines(docs, 1).items()}
     elif query == "ngrams":
         assert sorted(map(tuple, ngram_join.op7_ngram_join(spark, sf).collect())) == brute_components(docs)
     else:
         items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
-        assert sorted(map(tuple, decontaminate.op8_spaced_seeds(spark, sf).collect())) == brute_contamination(docs, items)
+        assert sorted(tuple(r)[:5] for r in decontaminate.op8_spaced_seeds(spark, sf).collect()) == brute_contamination(docs, items)
