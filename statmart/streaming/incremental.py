@@ -15,29 +15,34 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 
-def _rows(spark: SparkSession, target: str, schema: StructType) -> int:
-    """Committed rows of the table, from its file footers; none while it does not exist."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return 0
-    return spark.read.schema(schema).parquet(target).count()
+# Spark keeps the reports of so many micro-batches; a load has one for each that had files
+REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
+MOST_REPORTS = 1_000_000
 
 
 def load_new_files(spark: SparkSession, source: str, target: str, checkpoint: str,
                    schema: StructType, fmt: str = "json", max_files_per_trigger: int = 1000,
                    options: dict[str, str] | None = None) -> int:
     """Append every not-yet-loaded file below ``source`` to the parquet table
-    ``target``; returns the number of rows appended by this run."""
+    ``target``; returns the number of rows appended by this run.
+
+    The rows are counted by the micro-batches themselves as they are written, so
+    the target is not read, and what others put there meanwhile does not count.
+    """
     opts = {"recursiveFileLookup": "true", "maxFilesPerTrigger": str(max_files_per_trigger)}
     if fmt == "json":
         opts["timestampNTZFormat"] = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     opts.update(options or {})
-    before = _rows(spark, target, schema)
+    kept = spark.conf.get(REPORTS)
     stream = spark.readStream.format(fmt).schema(schema).options(**opts).load(source)
-    q = (stream.writeStream.format("parquet").outputMode("append")
-               .option("checkpointLocation", checkpoint)
-               .trigger(availableNow=True).start(target))
-    q.awaitTermination()
+    spark.conf.set(REPORTS, str(MOST_REPORTS))  # the query takes it over when it starts
+    try:
+        q = (stream.writeStream.format("parquet").outputMode("append")
+                   .option("checkpointLocation", checkpoint)
+                   .trigger(availableNow=True).start(target))
+        q.awaitTermination()
+    finally:
+        spark.conf.set(REPORTS, kept)
     if q.exception() is not None:
         raise q.exception()
-    return _rows(spark, target, schema) - before
+    return sum({p.batchId: p.numInputRows for p in q.recentProgress}.values())
