@@ -13,6 +13,14 @@ that contracting one by one, left to right, would reach: every other one in a ru
 such pairs, and only the leftmost while some token of the word could join the new one
 at a lower rank (``risky``). The number of steps then follows the number of different
 merges and not the length. Both queries give the same ids.
+
+Very long matches are contracted in pieces of ``PIECE`` bytes, so the work grows with their
+length. Ids are those of the whole match exactly if each two neighbouring ones are what
+their own bytes contract to: a first pair contracted across two of them would also be the
+least one of those bytes alone. Pairs inside a piece are so by its own contraction. Over a
+seam the second half of the ids before it and the first half of those behind it are
+contracted once more; if the outermost two come out unchanged, all pairs are proven, and
+if not, the two pieces become one and are contracted again.
 """
 
 from __future__ import annotations
@@ -33,6 +41,8 @@ from statmart.llm.textunits import UnitEncoder, slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 64  # bytes; from here on LONG_SQL
+PIECE = 32  # bytes of a piece of a very long word
+VERY_LONG = 512  # bytes; from here on in pieces
 CHUNK = 1 << 17  # bytes of words, or ids to decode, in one query; bounds its memory
 
 SHORT_SQL = """
@@ -106,6 +116,8 @@ class Codec:
         self._ranks = load_ranks(path)
         self._pattern = regex.compile(pattern)
         self._byte = np.array([self._ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self._size = np.zeros(max(self._ranks.values()) + 1, dtype=np.int32)
+        self._size[list(self._ranks.values())] = [len(t) for t in self._ranks]
         merges = [(self._ranks[t[:k]], self._ranks[t[k:]], i) for t, i in self._ranks.items()
                   for k in range(1, len(t)) if t[:k] in self._ranks and t[k:] in self._ranks]
         # a token and a neighbour that it joins at a rank below its own
@@ -138,27 +150,73 @@ class Codec:
         counts = np.bincount(np.asarray(got["w"]), minlength=len(words))
         return np.split(np.asarray(got["id"]).astype(np.uint32), np.cumsum(counts)[:-1])
 
-    def encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
-        """Ids of each distinct pattern match."""
-        out: dict[str, np.ndarray] = {}
+    def _contract_all(self, words: list[bytes]) -> dict[bytes, np.ndarray]:
+        """Contracted ids of each distinct word, some words in one query."""
+        out: dict[bytes, np.ndarray] = {}
         for sql, long in ((SHORT_SQL, False), (LONG_SQL, True)):
-            names, raw, size = [], [], 0
-            for w in words:
-                b = w.encode()
+            some, size = [], 0
+            for b in dict.fromkeys(words):
                 if (len(b) >= LONG) != long:
                     continue
-                whole = self._ranks.get(b)
-                if whole is not None:
-                    out[w] = np.array([whole], dtype=np.uint32)
-                    continue
-                names.append(w)
-                raw.append(b)
+                some.append(b)
                 size += len(b)
                 if size >= CHUNK:
-                    out.update(zip(names, self._contract(raw, sql)))
-                    names, raw, size = [], [], 0
-            if names:
-                out.update(zip(names, self._contract(raw, sql)))
+                    out.update(zip(some, self._contract(some, sql)))
+                    some, size = [], 0
+            if some:
+                out.update(zip(some, self._contract(some, sql)))
+        return out
+
+    def _contract_pieces(self, word: bytes) -> np.ndarray:
+        """Ids of one very long word, contracted in pieces (see the module's docstring)."""
+        pieces = [word[at:at + PIECE] for at in range(0, len(word), PIECE)]
+        ids: list[np.ndarray | None] = [None] * len(pieces)
+        seams: list[np.ndarray | None] = [None] * (len(pieces) - 1)  # ids of the window over each proven seam
+        while True:
+            new = self._contract_all([b for b, own in zip(pieces, ids) if own is None])
+            ids = [new[b] if own is None else own for b, own in zip(pieces, ids)]
+            half = [len(own) // 2 for own in ids]
+            cut = [int(self._size[own[:n]].sum()) for own, n in zip(ids, half)]
+            # a piece of one token has no first half: the seam before it stays open
+            windows = {s: pieces[s][cut[s]:] + pieces[s + 1][:cut[s + 1]]
+                       for s, known in enumerate(seams) if known is None and half[s + 1]}
+            got = self._contract_all(list(windows.values()))
+            for s, window in windows.items():
+                over = got[window]
+                if over[0] == ids[s][half[s]] and over[-1] == ids[s + 1][half[s + 1] - 1]:
+                    seams[s] = over
+            if all(known is not None for known in seams):
+                return np.concatenate([ids[0][:half[0]], *seams, ids[-1][half[-1]:]])
+            # pieces with an open seam between them become one, and seams beside it are open again
+            joined, kept, open_ids = [], [], []
+            first = 0
+            for last in range(len(pieces)):
+                if last < len(seams) and seams[last] is None:
+                    continue
+                alone = first == last
+                joined.append(b"".join(pieces[first:last + 1]))
+                open_ids.append(ids[first] if alone else None)
+                if last < len(seams):
+                    kept.append(seams[last])
+                first = last + 1
+            pieces, ids = joined, open_ids
+            seams = [known if ids[s] is not None and ids[s + 1] is not None else None for s, known in enumerate(kept)]
+
+    def encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
+        """Ids of each distinct pattern match."""
+        out: dict[str, np.ndarray] = {}
+        rest = {}
+        for w in words:
+            b = w.encode()
+            whole = self._ranks.get(b)
+            if whole is not None:
+                out[w] = np.array([whole], dtype=np.uint32)
+            elif len(b) >= VERY_LONG:
+                out[w] = self._contract_pieces(b)
+            else:
+                rest[w] = b
+        ids = self._contract_all(list(rest.values()))
+        out.update((w, ids[b]) for w, b in rest.items())
         return out
 
     def _encode_units(self, units: list[str]) -> list[np.ndarray]:

@@ -52,6 +52,28 @@ def test_long_and_short_queries_agree():
         [x.tolist() for x in own._contract(raw, bpe.LONG_SQL)]
 
 
+def test_very_long_words_in_pieces(monkeypatch):
+    rnd, own = random.Random(5), bpe.Codec(RANKS)
+    words = ["".join(rnd.choices(letters, k=k)).encode() for letters in
+             ("ab", "aAbB", "abcdefghijklmnopqrstuvwxyz", "etaoinshrdlu", "日本語的了", "é̀абв") for k in (130, 600)]
+    words += [w.encode() for w in ("a" * 3000, "ab" * 900, "the" * 300, "internationalization" * 30, " " * 2000, "=" * 999)]
+    whole = [own._contract([w], bpe.LONG_SQL)[0].tolist() for w in words]
+    for piece in (2, 7, bpe.PIECE):
+        monkeypatch.setattr(bpe, "PIECE", piece)
+        assert [own._contract_pieces(w).tolist() for w in words] == whole
+    own.close()
+
+
+def test_a_blob_without_blanks(library):
+    """100,000 random characters are one match; the work follows the length."""
+    blob = "".join(random.Random(3).choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", k=100_000))
+    own = bpe.Codec(RANKS)
+    ids, counts = own.encode([blob, "x"])
+    assert ids[:counts[0]].tolist() == library.encode_ordinary(blob)
+    assert own.decode(ids, counts) == [blob.encode(), b"x"]
+    own.close()
+
+
 def test_a_full_table_of_units_starts_over(library):
     own = bpe.Codec(RANKS, bound=64)
     for t in odd_texts(200):
