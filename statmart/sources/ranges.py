@@ -1,6 +1,6 @@
-"""Batch readers for files whose lines or elements need their place in the file.
+"""Batch readers for files whose lines or elements need their place in the file.
 
-Two Python data sources. ``statmart_lines`` plans byte ranges of text files: a line belongs
+Three Python data sources. ``statmart_lines`` plans byte ranges of text files: a line belongs
 to the range its first byte lies in, and the lines to leave out (a header, filler lines)
 are left out while reading, so no line is numbered and nothing is joined. Where the lines
 to leave out start is found by each task from the beginning of the file, no further than
@@ -9,6 +9,10 @@ the last of them.
 ``statmart_json_elements`` walks through JSON documents of any size and gives the elements
 of one of their arrays, in Arrow batches; a task holds a piece of the file and the element
 it is in. A file is one range, small files share a task.
+
+``statmart_xml_records`` plans byte ranges of XML files: an element with the record tag
+belongs to the range its first byte lies in, and is read to its end. So a document of one
+line, or one document of any size, is read by many tasks.
 """
 
 from __future__ import annotations
@@ -328,6 +332,110 @@ class ElementSource(DataSource):
         return ElementReader(self.options)
 
 
+# ---- records of XML documents ----------------------------------------------------------------
+
+# Files that have no byte ranges of their own are read in one piece.
+_PACKED = (".gz", ".bz2", ".zst", ".lz4")
+
+
+def xml_elements(f, tag: str, start: int, end: int | None, chunk: int = CHUNK) -> Iterator[bytes]:
+    """The elements with the local name ``tag`` that begin in ``[start, end)`` of a file, as their own text.
+
+    Elements within an element of that name are a part of it. ``f`` stands at ``start``;
+    without ``end`` everything is read.
+    """
+    name = rb"(?:[^\s<>/:'\"=]+:)?" + re.escape(tag.encode())
+    sign = re.compile(rb"<!--|<!\[CDATA\[|<" + name + rb"(?=[\s/>])|</" + name + rb"\s*>")
+    rest = re.compile(rb"(?:[^>'\"]|'[^']*'|\"[^\"]*\")*>")  # of an opening tag, behind its name
+    held, base, at, begin, depth, last = b"", start, 0, -1, 0, False
+    while True:
+        while m := sign.search(held, at):
+            token = m.group()
+            if token.startswith(b"<!"):
+                close = b"-->" if token == b"<!--" else b"]]>"
+                stop = held.find(close, m.end())
+                if stop < 0:
+                    break
+                at = stop + 3
+            elif token.startswith(b"</"):
+                at = m.end()
+                depth = max(0, depth - 1)
+                if begin >= 0 and not depth:
+                    yield held[begin:at]
+                    begin = -1
+            else:
+                if not depth and end is not None and base + m.start() >= end:
+                    return
+                opened = rest.match(held, m.end())
+                if not opened:
+                    break
+                if not depth:
+                    begin = m.start()
+                at = opened.end()
+                if opened.group().endswith(b"/>"):
+                    if not depth:
+                        yield held[begin:at]
+                        begin = -1
+                else:
+                    depth += 1
+        else:  # what may be the beginning of a sign stays
+            at = max(at, held.rfind(b"<", at)) if held.find(b"<", at) >= 0 else len(held)
+        if last:
+            if depth:
+                raise ValueError(f"an XML document ends inside an element {tag}")
+            return
+        if begin < 0 and end is not None and base + at >= end:
+            return
+        done = begin if begin >= 0 else at
+        held, base, at = held[done:], base + done, at - done
+        begin = 0 if begin >= 0 else -1
+        data = f.read(chunk)
+        last = not data
+        held += data
+
+
+class XmlReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.files = [tuple(f) for f in json.loads(options["files"])]
+        self.tag, self.whole = options["tag"], options["whole"] == "true"
+        self.most, self.cost = int(options["rangebytes"]), int(options["opencost"])
+
+    def partitions(self) -> list[Ranges]:
+        packed = [f for f in self.files if f[0].endswith(_PACKED)]
+        plain = [f for f in self.files if not f[0].endswith(_PACKED)]
+        return plan_ranges(plain, self.most, self.cost, whole=self.whole) \
+            + plan_ranges(packed, self.most, self.cost, whole=True)
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        own, size = [], 0
+        for path, start, end, _ in partition.parts:
+            fs, p = filesystem(path)
+            packed = path.endswith(_PACKED)
+            with (fs.open_input_stream(p) if packed else fs.open_input_file(p)) as f:
+                if start:
+                    f.seek(start)
+                for element in xml_elements(f, self.tag, start, None if packed else end):
+                    own.append(element)
+                    size += len(element)
+                    if size >= BATCH_BYTES or len(own) >= LINES_PER_BATCH:
+                        yield pa.RecordBatch.from_arrays([_text(own, "UTF-8")], names=["value"])
+                        own, size = [], 0
+        if own:
+            yield pa.RecordBatch.from_arrays([_text(own, "UTF-8")], names=["value"])
+
+
+class XmlSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "statmart_xml_records"
+
+    def schema(self) -> str:
+        return "value string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return XmlReader(self.options)
+
+
 # ---- DataFrames ------------------------------------------------------------------------------
 
 def _bytes(setting: str) -> int:
@@ -364,3 +472,13 @@ def elements(spark: SparkSession, files: Sequence[tuple[str, int]], key: str) ->
     """``value``: the text of each element of the array ``key`` of the JSON documents in ``files``."""
     return _load(spark, ElementSource, files, key=key)
 
+
+
+def xml_texts(spark: SparkSession, files: Sequence[tuple[str, int]], tag: str, whole: bool = False) -> DataFrame:
+    """``value``: the text of each element with the local name ``tag`` of the XML files ``files``.
+
+    Files are cut at any byte, so a tag that stands in a comment or a CDATA section is told
+    from an element only if the section begins in the same range, and elements that hold
+    others of their name need ``whole`` (a file is one range).
+    """
+    return _load(spark, XmlSource, files, tag=tag, whole=str(whole).lower())

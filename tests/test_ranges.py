@@ -8,10 +8,12 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import ROOT, plan_text, rows
 from statmart.sources.json_records import read_envelope
-from statmart.sources.ranges import json_elements, lines, lines_between, places_of, plan_ranges, sized_files
+from statmart.sources.ranges import (json_elements, lines, lines_between, places_of, plan_ranges, sized_files,
+                                     xml_elements)
 from statmart.sources.sheet import read_sheet_export
 from statmart.sources.fixed_width import Layout, read_fixed_width
 
@@ -158,3 +160,61 @@ except MemoryError:
 """
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert out.stdout.split("\n")[:2] == ["160 True", "too large at once"], out.stderr[-2000:]
+
+
+# --- XML records ------------------------------------------------------------------------------
+
+RECORDS = (b'<r xmlns:b="u"><!-- <Num>no</Num> --><b:Num id="a>b"><x>1</x></b:Num><Num/><Number>9</Number>'
+           b"<Num\n id='2' ><x><![CDATA[</Num>]]></x></Num><Num id='3'><Num id='in'/></Num ></r>")
+FOUND = [b'<b:Num id="a>b"><x>1</x></b:Num>', b"<Num/>", b"<Num\n id='2' ><x><![CDATA[</Num>]]></x></Num>",
+         b"<Num id='3'><Num id='in'/></Num >"]
+
+
+def test_xml_elements_by_any_piece():
+    for chunk in (1, 2, 3, 7, 1000):
+        assert list(xml_elements(io.BytesIO(RECORDS), "Num", 0, None, chunk)) == FOUND
+    with pytest.raises(ValueError, match="ends inside"):
+        list(xml_elements(io.BytesIO(b"<r><Num><x>"), "Num", 0, None))
+
+
+def test_xml_ranges_cover_each_record_once():
+    body = b"<r>" + b"".join(b"<n:Num id='%d'><x>%s</x></n:Num>" % (i, b"y" * (i % 40)) for i in range(200)) + b"</r>"
+    whole = list(xml_elements(io.BytesIO(body), "Num", 0, None))
+    assert len(whole) == 200
+    for step in (5, 64, 333):
+        got = []
+        for start in range(0, len(body), step):
+            f = io.BytesIO(body)
+            f.seek(start)
+            got += xml_elements(f, "Num", start, start + step, 16)
+        assert got == whole
+
+
+def test_one_line_xml_document_is_read_by_several_tasks(spark, tmp_path):
+    from statmart.sources.xml_records import declared_prefixes, read_xml_records
+    body = "".join(f'<c:Num id="{i:05d}"><x>{i % 7}</x>' + ("<y><z>1</z></y>" if i % 3 else "") + "</c:Num>" for i in range(3000))
+    path = tmp_path / "one.xml"
+    path.write_text('<c:r xmlns:c="http://c">' + body + "</c:r>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert declared_prefixes(spark, str(path)) == ({"c"}, {"id"})
+        df = read_xml_records(spark, str(path), "Num")
+        assert sorted(df.columns) == ["@id", "x", "y"]
+        assert df.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+        got = sorted((r["@id"], r["x"], r["y"] and r["y"]["z"]) for r in df.collect())
+        assert got == [(f"{i:05d}", str(i % 7), "1" if i % 3 else None) for i in range(3000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_xml_without_records_and_packed(spark, tmp_path):
+    import gzip
+    from statmart.sources.xml_records import read_xml_records
+    (tmp_path / "none.xml").write_text("<r/>")
+    assert read_xml_records(spark, str(tmp_path / "none.xml"), "Num").columns == []
+    with gzip.open(tmp_path / "a.xml.gz", "wb") as f:
+        f.write(b"<r><Num id='1'><x>7</x></Num></r>")
+    got = read_xml_records(spark, str(tmp_path / "a.xml.gz"), "Num").collect()
+    assert [(r["@id"], r["x"]) for r in got] == [("1", "7")]
