@@ -27,7 +27,7 @@ from statmart.functions.names import assign_columns, clean_name_col
 from statmart.operators.sequence import batch_number
 from statmart.operators.star import flatten
 from statmart.session import scratch_path
-from statmart.sinks.datasets import (dataset_name, drop_dataset, replace_dataset,
+from statmart.sinks.datasets import (dataset_name, drop_dataset, read_tables, replace_dataset,
                                      replace_dataset_from_folder)
 from statmart.sinks.tables import read_range, replace_table, write_ndjson, write_range_partitioned
 from statmart.plans.staging import (envelope_pages, stage_member_zips, stage_sheet_exports, stage_xml,
@@ -1018,8 +1018,8 @@ def zip_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = root.rsplit("-", 1)[-1]
     tables = replace_dataset(spark, "zip", name, out, location=f"{root}/db")
     rows = None
-    for t in tables:
-        part = spark.table(t).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_mktsegment")
+    for _, table in read_tables(spark, tables):
+        part = table.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_mktsegment")
         rows = part if rows is None else rows.unionByName(part)
     drop_dataset(spark, dataset_name("zip", name))
     return rows
@@ -1044,11 +1044,11 @@ def zip_empty_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = root.rsplit("-", 1)[-1]
     tables = replace_dataset(spark, "zip", name, convert_members(spark, members, f"{root}/converted"), location=f"{root}/db")
     listed, rows = [], None
-    for t in tables:
-        table = spark.table(t)
-        listed.append((t, ",".join(table.columns)))
-        key = F.col("c_custkey").cast("bigint") if "c_custkey" in table.columns else F.lit(None).cast("bigint")
-        part = table.select(F.lit(t).alias("name"), key.alias("key"))
+    for names, table in read_tables(spark, tables, "name"):
+        columns = [c for c in table.columns if c != "name"]
+        listed += [(t, ",".join(columns)) for t in names]
+        key = F.col("c_custkey").cast("bigint") if "c_custkey" in columns else F.lit(None).cast("bigint")
+        part = table.select("name", key.alias("key"))
         rows = part if rows is None else rows.unionByName(part)
     drop_dataset(spark, dataset_name("zip", name))
     counted = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum("key").alias("key_sum"))

@@ -13,13 +13,17 @@ on the way leaves the old state: names that were already moved are moved back.
 from __future__ import annotations
 
 import logging
+import re
 import uuid
+from collections import Counter
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from statmart.sources.archives import file_uri, plain_uri
 from statmart.sources.listing import list_prefix
 
 log = logging.getLogger(__name__)
@@ -55,7 +59,7 @@ def dataset_exists(spark: SparkSession, name: str) -> bool:
 
 
 VERSION = "statmart.version"  # the database a dataset's names point at
-INFERENCE_THREADS = 8
+CATALOG_THREADS = 8  # statements of independent tables that run side by side
 
 
 def _version(spark: SparkSession, name: str) -> str | None:
@@ -97,8 +101,7 @@ def _checked(uris: list[str | tuple[str, str, str]]) -> list[tuple[str, str, str
         if suffix not in FORMATS:
             raise TypeError(f"no table can be made of {uri!r}: its suffix is none of {sorted(FORMATS)}")
         plan.append((tid, uri, FORMATS[suffix], getattr(given, "schema", None)))
-    names = [tid.lower() for tid, *_ in plan]
-    twice = sorted({n for n in names if names.count(n) > 1})
+    twice = sorted(t for t, n in Counter(tid.lower() for tid, *_ in plan).items() if n > 1)
     if twice:
         raise ValueError(f"several files would become one table: {twice}")
     return plan
@@ -126,13 +129,17 @@ def _readable(spark: SparkSession, plan: list[tuple[str, str, str, StructType |
         tid, uri, fmt, schema = entry
         return schema if schema is not None else spark.read.format(fmt).load(uri).schema
 
-    with ThreadPoolExecutor(INFERENCE_THREADS) as pool:
+    with ThreadPoolExecutor(CATALOG_THREADS) as pool:
         return [(tid, uri, fmt, schema) for (tid, uri, fmt, _), schema in zip(there, pool.map(schema_of, there))]
 
 
 def _register(spark: SparkSession, dataset: str, tables: list[tuple[str, str, str, StructType]]) -> list[str]:
-    for tid, uri, fmt, schema in tables:
+    def create(entry: tuple) -> None:
+        tid, uri, fmt, schema = entry
         spark.catalog.createTable(f"{_q(dataset)}.{_q(tid)}", path=uri, source=fmt, schema=schema)
+
+    with ThreadPoolExecutor(CATALOG_THREADS) as pool:
+        list(pool.map(create, tables))
     return [f"{dataset}.{tid}" for tid, *_ in tables]
 
 
@@ -178,7 +185,7 @@ def _switch(spark: SparkSession, ds: str, old: str | None, new: str, tables: lis
             else:
                 spark.sql(f"DROP VIEW IF EXISTS {_q(ds)}.{_q(t)}")
         raise
-    gone = [t for t in before if t not in set(tables)]
+    gone = sorted(set(before) - set(tables))
     for t, is_view in [(t, before[t]) for t in gone] + [(aside, False) for _, aside in done if aside]:
         spark.sql(f"DROP {'VIEW' if is_view else 'TABLE'} IF EXISTS {_q(ds)}.{_q(t)}")
 
@@ -215,6 +222,48 @@ def replace_dataset(spark: SparkSession, source: str | None, name: str, uris: li
     return [f"{ds}.{tid}" for tid, *_ in tables]
 
 
+def _places(spark: SparkSession, dataset: str) -> dict[str, tuple[str, str]]:
+    """Format and location of every file table that a dataset's names stand for."""
+    def told(key: str):
+        return F.regexp_extract("information", rf"(?m)^{key}: (.*)$", 1)
+
+    found = {}
+    for database in filter(None, (dataset, _version(spark, dataset))):
+        listed = spark.sql(f"SHOW TABLE EXTENDED IN {_q(database)} LIKE '*'").where(~F.col("isTemporary") & (told("Type") != "VIEW"))
+        found.update({r[0]: (r[1], r[2]) for r in listed.select(
+            "tableName", told("Provider"), told("Location")).collect()})  # one row per table
+    return found
+
+
+def read_tables(spark: SparkSession, tables: Sequence[str], name_col: str = "__table") -> list[tuple[list[str], DataFrame]]:
+    """Rows of many registered tables (names as :func:`replace_dataset` returns them), ``name_col``
+    telling which table each is of: one (table names, rows) per format and schema.
+
+    Formats, locations and schemas are the catalog's. Tables of one format and schema are
+    read in one scan, so a plan grows with the number of schemas and not of tables.
+    """
+    places = {ds: _places(spark, ds) for ds in {t.split(".", 1)[0] for t in tables}}
+    with ThreadPoolExecutor(CATALOG_THREADS) as pool:
+        schemas = list(pool.map(lambda t: spark.table(".".join(map(_q, t.split(".", 1)))).schema, tables))
+    groups: dict[tuple, tuple[StructType, list[tuple[str, str]]]] = {}
+    for t, schema in zip(tables, schemas):
+        ds, tid = t.split(".", 1)
+        fmt, location = places[ds][tid.lower()]
+        location = file_uri(location).rstrip("/")
+        # a file's table is told by as many parts of its path as the location has
+        groups.setdefault((fmt, schema.json(), location.count("/") + 1), (schema, []))[1].append((location, t))
+    out = []
+    for (fmt, _, depth), (schema, members) in groups.items():
+        if name_col.lower() in {c.lower() for c in schema.names}:
+            raise ValueError(f"a table has a column {name_col!r}")
+        paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in sorted({p for p, _ in members})]  # no patterns
+        rows = spark.read.format(fmt).schema(schema).load(paths)
+        rows = rows.select("*", F.substring_index(plain_uri(F.col("_metadata.file_path")), "/", depth).alias("__place"))
+        names = spark.createDataFrame(members, f"__place string, `{name_col}` string")
+        out.append(([t for _, t in members], rows.join(F.broadcast(names), "__place").drop("__place")))
+    return out
+
+
 def replace_dataset_from_folder(spark: SparkSession, root: str, prefix: str, name: str,
                                 source: str | None = None, description: str | None = None,
                                 location: str | None = None) -> list[str]:

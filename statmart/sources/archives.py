@@ -28,7 +28,7 @@ from statmart.sources.files import charset, filesystem, publish
 from statmart.sources.listing import list_files, qualified
 
 MEMBER_SCHEMA = "archive string, member string, path string, size long"
-MAX_TASKS = 10_000  # more files than this share tasks
+TASKS_PER_CORE = 8  # more files than this share tasks
 _COPY_CHUNK = 8 * 1024 * 1024
 
 
@@ -46,7 +46,7 @@ def map_files(listing: DataFrame, fn: Callable[..., Iterator[dict]], schema: str
               n_tasks: int | None = None, columns: Sequence[str] = ("path",)) -> DataFrame:
     """Apply ``fn(*columns)`` to every row of a listing in parallel (X1); ``fn``
     yields output rows, passed on file by file. Constants reach ``fn`` by closure."""
-    n = min(n_tasks or max(1, listing.count()), MAX_TASKS)
+    n = n_tasks or max(1, min(listing.count(), TASKS_PER_CORE * listing.sparkSession.sparkContext.defaultParallelism))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -266,13 +266,13 @@ def convert_members(spark: SparkSession, members: DataFrame, out_dir: str, csv_s
         if suffix == "csv":
             schema = StructType([StructField(n, StringType()) for n in columns])
             rows = read_delimited(spark, group_paths, sep=csv_sep, encoding=encoding, schema=schema)
-            rows = rows.select("*", _plain_uri(F.col("_metadata.file_path")).alias("__uri"))
+            rows = rows.select("*", plain_uri(F.col("_metadata.file_path")).alias("__uri"))
         else:
             layout = infer_layout(spark, group_paths, header=True, encoding=encoding)
             rows = read_fixed_width(spark, group_paths, layout, header=True, encoding=encoding,
                                     parse_dates=False, file_col="__uri")
             columns = layout.names
-            rows = rows.withColumn("__uri", _plain_uri(F.col("__uri")))
+            rows = rows.withColumn("__uri", plain_uri(F.col("__uri")))
         by = "table"
         while by in {c.lower() for c in columns}:  # a member may have a column of that name
             by += "_"
@@ -291,5 +291,6 @@ def file_uri(path: str) -> str:
     return re.sub(r"^file:/+", "file:/", path if "://" in path or path.startswith("file:") else "file:" + path)
 
 
-def _plain_uri(c):
+def plain_uri(c):
+    """A file path of Spark's metadata in the spelling of :func:`file_uri`."""
     return F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")

@@ -150,3 +150,50 @@ def test_linked_tables_are_replaced(spark, tmp_path):
     assert spark.table("linked_unit.a").agg(F.max("id")).first()[0] == 1
     drop_dataset(spark, "linked_unit")
     assert _databases(spark, "linked_unit") == []
+
+
+def _check_read(spark, tables, parts):
+    from statmart.sinks.datasets import read_tables
+    try:
+        read = read_tables(spark, tables, "name")
+        assert len(read) == parts and sorted(t for names, _ in read for t in names) == sorted(tables)
+        got = {t: [] for t in tables}
+        for names, df in read:
+            for r in df.collect():
+                assert r["name"] in names
+                got[r["name"]].append(tuple(r)[:-1])
+        assert {t: sorted(r) for t, r in got.items()} == {t: sorted(map(tuple, spark.table(t).collect())) for t in tables}
+    finally:
+        drop_dataset(spark, tables[0].split(".")[0])
+
+
+def test_tables_of_one_schema_are_read_in_one_scan(spark, tmp_path):
+    uris = []
+    for i in range(6):
+        names = ["k", "v"] if i < 5 else ["z"]
+        rows = [(str(10 * i + k),) * len(names) for k in range(i)]
+        df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+        df.write.parquet(f"{tmp_path}/odd 50%+ö/p{i}.parquet")
+        uris.append(f"{tmp_path}/odd 50%+ö/p{i}.parquet")
+        if i:
+            df.write.json(f"{tmp_path}/odd 50%+ö/j{i}.json")
+            uris.append(f"{tmp_path}/odd 50%+ö/j{i}.json")
+    copy = ("copy", uris[1], "parquet")  # a second table of the same files
+    _check_read(spark, replace_dataset(spark, "scan", "unit", [*uris, copy]), 4)  # two formats, two schemas
+    spark.sql("CREATE DATABASE scan_linked")
+    _check_read(spark, link_files(spark, "scan_linked", uris[:4]), 2)
+
+
+def test_plan_of_zip_members_has_a_scan_per_schema(spark):
+    from conftest import plan_text
+    from statmart.plans import suite
+    for name, most in (("zip_empty_members", 3), ("zip_to_dataset", 4)):
+        assert plan_text(suite.QUERIES[name](spark, "/root/testdata/sf0.1")).count("Location: ") <= most
+
+
+def test_few_tasks_for_many_files(spark):
+    from statmart.sources.archives import TASKS_PER_CORE, map_files
+    most = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    listing = spark.range(20 * most).selectExpr("concat('f', id) AS path")
+    done = map_files(listing, lambda path: iter([{"path": path}]), "path string")
+    assert done.rdd.getNumPartitions() == most and done.distinct().count() == 20 * most
