@@ -89,7 +89,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the text decoded from them."""
     ship_package(spark)
     spark.conf.set(BATCH, TEXT_ROWS)
-    return bpe_digests(docs, public_tokenizers.path(RANKS))
+    return bpe_digests(docs, public_tokenizers.path(RANKS), frugal=True)
 
 
 STAGES = [

@@ -37,13 +37,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from statmart.llm.common import HELD, lean, table
-from statmart.llm.textunits import UnitEncoder, slices
+from statmart.llm.textunits import SLICE, UnitEncoder, slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG = 64  # bytes; from here on LONG_SQL
 PIECE = 32  # bytes of a piece of a very long word
 VERY_LONG = 512  # bytes; from here on in pieces
 CHUNK = 1 << 17  # bytes of words, or ids to decode, in one query; bounds its memory
+FRUGAL = 1 << 18  # characters at once, and known units, of a codec that takes more time and less memory
 
 SHORT_SQL = """
 WITH RECURSIVE step AS (
@@ -110,9 +111,10 @@ class Codec:
     """Encoder and decoder of one rank file; holds its tables in a DuckDB of its own.
 
     The database lives in the memory of the task's process, is bounded and writes no files.
+    With ``frugal`` it gives memory back after every query.
     """
 
-    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, bound: int = 1 << 20):
+    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, bound: int = 1 << 20, frugal: bool = False):
         self._ranks = load_ranks(path)
         self._pattern = regex.compile(pattern)
         self._byte = np.array([self._ranks[bytes([b])] for b in range(256)], dtype=np.int32)
@@ -122,7 +124,8 @@ class Codec:
                   for k in range(1, len(t)) if t[:k] in self._ranks and t[k:] in self._ranks]
         # a token and a neighbour that it joins at a rank below its own
         risky = {p for l, r, made in merges for p in ((l, r), (r, l)) if made < p[0]}
-        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+        flush = {"allocator_flush_threshold": "1MB", "allocator_bulk_deallocation_flush_threshold": "1MB"} if frugal else {}
+        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": "", **flush})
         self._put("merges", *zip(*merges), names=("l", "r", "made"))
         self._put("risky", *(zip(*sorted(risky)) if risky else ((), ())), names=("made", "other"))
         shown = pa.table({"id": pa.array(list(self._ranks.values()), pa.int32()),
@@ -247,14 +250,16 @@ class Codec:
         return out
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[tuple[str, bool], Codec] = {}
 
 
-def codec(path: str) -> Codec:
+def codec(path: str, frugal: bool = False) -> Codec:
     """The process's codec of a rank file, kept for later tasks of the same worker."""
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    if (path, frugal) not in _CODECS:
+        if (other := _CODECS.pop((path, not frugal), None)) is not None:
+            other.close()
+        _CODECS[path, frugal] = Codec(path, bound=FRUGAL, frugal=True) if frugal else Codec(path)
+    return _CODECS[path, frugal]
 
 
 def _drop_codecs() -> None:
@@ -295,19 +300,20 @@ def bpe_decode(df: DataFrame, id_col: str, ids_col: str, path: str) -> DataFrame
     return kept.mapInArrow(run, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, bytes binary")
 
 
-def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+def bpe_digests(docs: DataFrame, path: str | None = None, frugal: bool = False) -> DataFrame:
     """Encode and decode the text of every row in one pass over the table.
 
     Null and empty texts have no ids; repeated rows each give a row; columns other
-    than doc_id and text are not read.
+    than doc_id and text are not read. ``frugal`` works on fewer texts at once and keeps
+    fewer units, for jobs whose other stages leave little memory.
     """
     path = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
+        own = codec(path, frugal)
         for batch in batches:
             done = 0
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), FRUGAL if frugal else SLICE):
                 ids, counts = own.encode(part)
                 raw = ids.astype("<u4").tobytes()
                 ends = np.cumsum(counts).tolist()

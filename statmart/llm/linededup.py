@@ -299,7 +299,9 @@ def dedup_lines(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
 
     joined = keyed.join(gone, "row", "left")
     touched, text = F.col("gone").isNotNull(), F.col("d.text")
-    cleaned = F.when(touched, without(F.when(touched, text).otherwise(""),
+    # a filter on the text would else run the function once more, in a second Python process of each task
+    once = without.asNondeterministic()
+    cleaned = F.when(touched, once(F.when(touched, text).otherwise(""),
                                       F.coalesce("gone", F.array().cast("array<bigint>")))).otherwise(text)
     lines = F.coalesce(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1, F.lit(0))
     return joined.select(

@@ -20,6 +20,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from statmart.llm.common import HELD
+
 OTHER, LETTER, DIGIT, SPACE, UNKNOWN = 0, 1, 2, 3, 4
 BASE = 0x9E3779B97F4A7C15 | 1
 SLICE = 1 << 20  # characters worked on at once; a longer text is taken whole
@@ -51,13 +53,21 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if _CLASS is None:
         _CLASS = _classes()
     if len(_POWERS) <= n:
-        size = max(SLICE, n) + 1
+        size = 1 << n.bit_length()
         _POWERS = np.cumprod(np.concatenate([[_U(1)], np.full(size, BASE, dtype=np.uint64)]))
         inv = _U(pow(BASE, -1, 1 << 64))
         _INVERSE = np.cumprod(np.concatenate([[_U(1)], np.full(size, inv, dtype=np.uint64)]))
     return _CLASS, _POWERS, _INVERSE
 
 
+def _drop_powers() -> None:
+    global _POWERS, _INVERSE
+    _POWERS = _INVERSE = np.ones(1, dtype=np.uint64)
+
+
+HELD["powers"] = _drop_powers
+
+
 def finish(h: np.ndarray) -> np.ndarray:
     """Spread a 64-bit sum over all its bits (in place on a copy)."""
     h = h ^ (h >> _U(30))
@@ -96,15 +106,15 @@ def _few_at_once(column: pa.Array) -> Iterator[str | None]:
         yield from column.slice(at, 64).to_pylist()
 
 
-def slices(texts: list[str | None] | pa.Array) -> Iterator[list[str]]:
-    """Consecutive texts in groups of about ``SLICE`` characters; null counts as empty.
+def slices(texts: list[str | None] | pa.Array, most: int = SLICE) -> Iterator[list[str]]:
+    """Consecutive texts in groups of about ``most`` characters; null counts as empty.
 
     Of an Arrow column only the texts of a group become Python strings at a time.
     """
     part, size = [], 0
     for t in _few_at_once(texts) if isinstance(texts, pa.Array) else texts:
         t = t or ""
-        if part and size + len(t) > SLICE:
+        if part and size + len(t) > most:
             yield part
             part, size = [], 0
         part.append(t)

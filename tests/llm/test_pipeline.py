@@ -94,3 +94,23 @@ def test_rows_that_share_an_id_or_have_none(spark, folder, tmp_path):
     told = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in en] + [(1, "12345 ...", None, "s", 9), (None, en[0][1], None, "s", 5)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     assert got(by_name["language_id"](spark, told, path)) == sorted([*en, (None, en[0][1])], key=str)
+
+
+def test_line_dedup_needs_one_python_process_per_task(spark, folder):
+    from conftest import plan_text
+    path, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    plan = plan_text(cp.line_dedup(spark, docs, path))
+    assert plan.split("(1) ")[0].count("ArrowEvalPython") == 1
+
+
+def test_frugal_codec_gives_the_same_ids(spark):
+    rows = [(i, " ".join(f"word{i * k} größe 東京 {k}" for k in range(40)) if i % 7 else None) for i in range(60)] + [(60, ""), (60, "x" * 2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids = lambda df: sorted(map(tuple, df.collect()))
+    assert ids(bpe.bpe_digests(docs, frugal=True)) == ids(bpe.bpe_digests(docs))
+    path = public_tokenizers.path(bpe.RANKS)
+    own = bpe.codec(path)
+    frugal = bpe.codec(path, True)
+    assert list(bpe._CODECS) == [(path, True)] and frugal is bpe.codec(path, True) is not own
+    bpe._drop_codecs()
