@@ -45,6 +45,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of ``stored`` tables that nothing will read again."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Add ``row_no``: the 0-based rank of each row in the order of ``order`` (nulls first).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statmart.llm.common import stored
+from statmart.llm.common import discard, stored
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -19,7 +19,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     A large star links each node's larger neighbours to its smallest one, a small star
     the smaller ones; repeated, every component ends as one star around its smallest
     node. Each step is a minimum per node and a join, so a node with very many edges is
-    neither collected nor paired, and each result is written to the shared folder.
+    neither collected nor paired, and each result is written to the shared folder, where
+    it takes the place of the one before.
     Self links and repeated edges are allowed; no edges give no rows.
     """
     both = lambda e: e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -35,7 +36,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = stored(small, name)
+        last, now = now, stored(small, name)
+        discard(last)
         print_ = _fingerprint(now)
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")) \
         .union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

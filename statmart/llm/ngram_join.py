@@ -6,10 +6,12 @@ table of fixed size, ties by hash. Of two linked documents the first
 ``n - ceil(0.8 n) + l`` shingles have at least ``l`` in common, so
 
 1. documents with equal sets become one node, which keeps exact copies out of the join;
-2. the prefixes are joined on the shingle, and only nodes stay that share as many of their
-   prefix shingles as a linked node must;
-3. the nodes left that share a shingle are gathered into clusters through the smallest
-   node of each shingle, so a shingle with very many nodes gives as many rows and no pairs;
+2. the prefixes are joined on the shingle, a slice of the shingles at a time, and only nodes
+   stay that share as many of their prefix shingles as a linked node must;
+3. the nodes left are dealt into classes by the node most of their shingles point to, and
+   classes are merged into clusters where a node has as many shingles in another class as a
+   link takes. Nodes that share a few shingles by chance, as most do in a large corpus, do
+   not chain up, and a shingle with very many nodes gives as many rows and no pairs;
 4. inside a cluster, pairs that meet in a prefix shingle pass a length, a positional and
    a suffix filter (the histogram of hashes bounds the overlap from above) and are
    verified once; a large cluster is dealt out as pairs of blocks. A group returns a
@@ -23,6 +25,7 @@ Shingles are told apart by 64-bit hashes, equal sets by 64-bit sums of these.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statmart.llm.common import lean, release_memory, stored, table
+from statmart.llm.common import discard, lean, release_memory, stored, table
 from statmart.llm.components import connected_components
 from statmart.llm.textunits import finish, slices, span_hashes
 
@@ -41,6 +44,9 @@ SPARE = 16  # one shingle in so many is asked for beyond the first in a shared p
 TOGETHER = 1 << 18  # postings looked at in one step of a comparison
 LARGE = 1 << 18  # shingles of a group after which memory is given back
 BROADCAST_ROWS = 1_000_000  # of three longs each
+SLICES = 4  # of the shingles, joined one after the other if there are many
+WHOLE_ROWS = 1 << 24  # prefix shingles that are joined at once
+CLASSES = 1024  # a shingle of more classes is not counted for each of them
 _U = np.uint64
 _PLACE = finish(np.arange(101, 101 + WORDS, dtype=np.uint64)) | _U(1)
 
@@ -127,11 +133,12 @@ def corpus_counts(docs: DataFrame) -> np.ndarray:
                          "counts": pa.array([total.tobytes()], pa.binary())})
 
     layout = "cut int, part int, counts binary"
-    sums = docs.select("text").mapInArrow(lean(count), layout).groupBy("cut", "part").applyInArrow(add, layout) \
-        .groupBy("cut").applyInArrow(add, layout).select("cut", "counts").collect()
+    sums = stored(docs.select("text").mapInArrow(lean(count), layout).groupBy("cut", "part").applyInArrow(add, layout)
+                  .groupBy("cut").applyInArrow(add, layout).select("cut", "counts"), "cells")
     out = np.zeros(cells, dtype=np.int64)
-    for r in sums:
+    for r in sums.collect():
         out.reshape(cuts, -1)[r["cut"]] = np.frombuffer(r["counts"], dtype=np.int64)
+    discard(sums)
     return out
 
 
@@ -140,12 +147,19 @@ def _prefix(n: np.ndarray, extra: np.ndarray | int = 1) -> np.ndarray:
     return n - (4 * n + 4) // 5 + extra
 
 
-def _lists(flat: np.ndarray, counts: np.ndarray, keep: np.ndarray) -> pa.Array:
-    """The first ``keep`` hashes of each text as a list column."""
+def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The hashes of each text as a list column."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
+                                    pa.array(flat.view(np.int64)))
+
+
+def _sliced(flat: np.ndarray, counts: np.ndarray, keep: np.ndarray) -> list[pa.Array]:
+    """The first ``keep`` hashes of each text as a list column for each slice of the hashes."""
     first = np.cumsum(counts) - counts
     rows = np.repeat(first - (np.cumsum(keep) - keep), keep) + np.arange(int(keep.sum()))
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(keep)]), pa.int32()),
-                                    pa.array(flat[rows].view(np.int64)))
+    flat, doc = flat[rows], np.repeat(np.arange(len(keep)), keep)
+    here = [flat % _U(SLICES) == k for k in range(SLICES)]
+    return [_lists(flat[x], np.bincount(doc[x], minlength=len(keep))) for x in here]
 
 
 def linked_stars(tokens: list[np.ndarray], left: np.ndarray, right: np.ndarray,
@@ -269,32 +283,18 @@ def document_classes(docs: DataFrame) -> DataFrame:
         for rows, flat, counts, ids in sets(batches):
             keep = np.where(counts > 0, np.minimum(counts, _prefix(counts, 1 + counts // SPARE)), 0)
             yield pa.record_batch([rows.column(0), rows.column(1), pa.array(counts, pa.int64()), pa.array(ids),
-                                   _lists(flat, counts, keep)], names=["doc_id", "row", "n", "node", "prefix"])
+                                   *_sliced(flat, counts, keep)], names=["doc_id", "row", "n", "node", *prefix])
 
-    kept = stored(docs.mapInArrow(lean(prefixes), "doc_id long, row long, n long, node long, prefix array<bigint>")
-                  .withColumn("place", F.monotonically_increasing_id()), "prefixes")
+    prefix = [f"prefix{k}" for k in range(SLICES)]
+    layout = ", ".join(["doc_id long, row long, n long, node long", *[f"{c} array<bigint>" for c in prefix]])
+    whole = stored(docs.mapInArrow(lean(prefixes), layout).withColumn("place", F.monotonically_increasing_id()), "prefixes")
+    kept = stored(whole.select("doc_id", "row", "n", "node", "place"), "rows")
     nodes = stored(kept.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("place").alias("place"), F.min_by("row", "place").alias("row"),
         F.first("n").alias("n")), "nodes")
-    rows = kept.select("place", "prefix").join(nodes.select("place", "node"), "place") \
-        .select("node", F.explode("prefix").alias("token"))
-
-    def repeated(r: DataFrame) -> DataFrame:
-        return r.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("hub")).where("c > 1")
-
-    shared = stored(rows.join(repeated(rows).select("token"), "token"), "shared")
-    # a linked node has at least 0.8 n shingles, and both prefixes are long enough for the smaller demand
-    wanted = F.floor(F.floor((4 * F.col("n") + 4) / 5) / SPARE) + 1
-    live = shared
-    for _ in range(2):  # again among those left: what only a node that has gone shared does not count
-        alive = live.groupBy("node").agg(F.count(F.lit(1)).alias("c")).join(nodes.select("node", "n"), "node") \
-            .where(F.col("c") >= wanted).select("node")
-        live = live.join(alive, "node")
-        live = stored(live.join(repeated(live).select("token"), "token"), "live")
-    meet = live.join(repeated(live).select("token", "hub"), "token").select(F.col("node").alias("u"),
-                                                                           F.col("hub").alias("v"))
-    clusters = stored(connected_components(meet, "candidates"), "clusters")
+    clusters = _clusters(_shared(whole, nodes, prefix), nodes)
     links = stored(_verified(docs, nodes, clusters, sets), "links")
+    discard(clusters)
     parts = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")), "linked")
     degree = links.groupBy("node").agg(F.sum("links").alias("links"))
     where = nodes.select("node", "doc_id").join(parts, "node")
@@ -310,12 +310,108 @@ def document_classes(docs: DataFrame) -> DataFrame:
                 F.coalesce("links", F.lit(0).cast("long")).alias("links"))
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Shingles of more than one row (node, token), with the smallest of their nodes."""
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("hub")).where("c > 1")
+
+
+def _wanted(n: Column) -> Column:
+    """So many prefix shingles a linked node of ``n`` shingles shares with the other, at least.
+
+    It has at least 0.8 n, and both prefixes are long enough for the smaller demand.
+    """
+    return F.floor(F.floor((4 * n + 4) / 5) / SPARE) + 1
+
+
+def _shared(whole: DataFrame, nodes: DataFrame, prefix: list[str]) -> DataFrame:
+    """(node, token) of the prefix shingles by which a node can have links; ``whole`` is discarded.
+
+    Slices of the shingles do not meet, so each is joined by itself and the disk holds the
+    shuffles of one slice.
+    """
+    tokens = whole.agg(F.sum(sum(F.size(c) for c in prefix))).first()[0] or 0
+    own = stored(whole.where("n > 0").select("place", *prefix).join(nodes.select("place", "node"), "place")
+                 .select("node", *prefix), "sets")
+    discard(whole)
+    live = []
+    for part in [F.concat(*prefix)] if tokens <= WHOLE_ROWS else [F.col(c) for c in prefix]:
+        rows = own.select("node", F.explode(part).alias("token"))
+        live.append(stored(rows.join(_repeated(rows).select("token"), "token").select("node", "token"), "shared"))
+    discard(own)
+    for _ in range(2):  # again among those left: what only a node that has gone shared does not count
+        counts = reduce(DataFrame.union, live).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+        alive = stored(counts.join(nodes.select("node", "n"), "node").where(F.col("c") >= _wanted(F.col("n")))
+                       .select("node"), "alive")
+        for k, part in enumerate(live):
+            left = part.join(alive, "node")
+            live[k] = stored(left.join(_repeated(left).select("token"), "token").select("node", "token"), "live")
+            discard(part)
+        discard(alive)
+    return reduce(DataFrame.union, live)
+
+
+def _clusters(live: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, component) such that linked nodes are in one component; ``live`` is discarded.
+
+    Any classes would do: of two linked nodes in different ones, each has as many shingles in
+    the other's class as the link takes. Shingles of few classes are counted for each of
+    them; the bound on classes is the largest that gives no more rows than ``live`` has. A
+    link takes at least half of its demand from these or more than half from the others, and
+    nodes with so many of the others are joined through the smallest class of each.
+    """
+    hubs = live.join(_repeated(live).select("token", "hub"), "token").groupBy("node", "hub").agg(
+        F.count(F.lit(1)).alias("c"))
+    classes = stored(hubs.groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("class"))
+                     .join(nodes.select("node", "n"), "node"), "classes")
+    placed = stored(live.join(classes, "node").select("node", "token", "class", "n"), "placed")
+    rows = placed.count()
+    discard(live)
+    mixed = placed.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a < b")
+    mixed_rows = stored(placed.join(mixed.select("token"), "token"), "mixed")
+    discard(placed)
+    sides = stored(mixed_rows.groupBy("token", "class").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("m")), "sides")
+    spread = stored(sides.groupBy("token").agg(F.count(F.lit(1)).alias("classes"), F.sum("m").alias("m"),
+                                               F.min("class").alias("least")), "spread")
+    costs = spread.where(F.col("classes") <= CLASSES).groupBy("classes").agg(
+        F.sum(F.col("m") * (F.col("classes") - 1)).alias("rows")).collect()  # a row for each number of classes
+    bound, total = 1, 0
+    for r in sorted(costs):
+        total += r["rows"]
+        if total > rows:
+            break
+        bound = r["classes"]
+    few = F.col("classes") <= bound
+    many = mixed_rows.join(spread.where(~few).select("token"), "token")
+    many_of = stored(many.groupBy("node").agg(F.count(F.lit(1)).alias("many")), "many")
+    wanted = _wanted(F.col("n"))
+    others = sides.join(spread.where(few).select("token"), "token").select("token", F.col("class").alias("other"), "lo", "hi")
+    counted = mixed_rows.join(others, "token").where(
+        (F.col("class") != F.col("other")) & (5 * F.col("n") >= 4 * F.col("lo")) & (4 * F.col("n") <= 5 * F.col("hi"))) \
+        .groupBy("node", "n", "class", "other").agg(F.count(F.lit(1)).alias("c"))
+    strong = stored(counted.join(many_of, "node", "left")
+                    .where(F.col("c") >= F.greatest(wanted - F.floor(wanted / 2), wanted - F.coalesce("many", F.lit(0))))
+                    .select("class", "other").distinct(), "strong")
+    back = strong.select(F.col("class").alias("other"), F.col("other").alias("class"))
+    edges = strong.join(back, ["class", "other"]).select(F.col("class").alias("u"), F.col("other").alias("v"))
+    common = many.join(many_of, "node").where(F.col("many") > F.floor(wanted / 2)).select("token", "class")
+    least = common.groupBy("token").agg(F.min("class").alias("least"))
+    edges = edges.union(common.distinct().join(least, "token").select("class", "least"))
+    merged = connected_components(edges, "candidates")
+    found = classes.join(merged.select(F.col("node").alias("class"), "component"), "class", "left") \
+        .select("node", F.coalesce("component", "class").alias("component"))
+    alone = found.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("component")
+    clusters = stored(found.join(alone, "component").select("node", "component"), "clusters")
+    discard(classes, mixed_rows, sides, spread, many_of, strong)
+    return clusters
+
+
 def _verified(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, sets) -> DataFrame:
     """(node, root, links) of every node that has a link, from each group it is compared in."""
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     total = clusters.count()
     small = F.col("size") <= BLOCK // 4
-    # small clusters share a group; they have no shingle in common that could make a pair
+    # small clusters share a group; they have too few shingles in common for a link
     members = clusters.join(sizes, "component").join(nodes.select("node", "row"), "node").select(
         "row", "node", F.when(small, F.pmod(F.xxhash64("component"), F.lit(total // BLOCK + 1)))
         .otherwise(F.col("component")).alias("pool"),
@@ -326,7 +422,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, sets) -> D
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, flat, counts, ids in sets(batches):
             right = rows.column(1).to_numpy() == ids  # always so but for equal hashes of two rows
-            yield pa.record_batch([*[rows.column(i) for i in range(1, 5)], _lists(flat, counts, counts)],
+            yield pa.record_batch([*[rows.column(i) for i in range(1, 5)], _lists(flat, counts)],
                                   names=["node", "pool", "blocks", "small", "tokens"]).filter(pa.array(right))
 
     full = docs.join(chosen, "row").select("text", "node", "pool", "blocks", "small") \

@@ -1,5 +1,6 @@
 """Line deduplication, n-gram join, decontamination and components against brute force."""
 
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -9,7 +10,9 @@ import pytest
 import regex
 
 from statmart.llm import decontaminate, linededup, ngram_join
+from statmart.llm.common import discard
 from statmart.llm.components import connected_components
+from statmart.session import shared_root
 
 CLASHING = "doc_id long, text string, row long, node long, key string, codes int, n_shingles long, d string"
 
@@ -202,6 +205,66 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert got == brute_components(docs)
 
 
+def chained_pairs(rnd, pairs, passage=12):
+    """Pairs of near copies; each pair has a passage in common with the next, too short for a link."""
+    docs, word = [], iter(range(10**6))
+    fresh = lambda n: [f"c{next(word)}" for _ in range(n)]
+    link = fresh(passage)
+    for _ in range(pairs):
+        after = fresh(passage)
+        words = link + fresh(170) + after
+        link = after
+        near = list(words)
+        near[rnd.randrange(30, 150)] = "changed"
+        docs += [" ".join(words), " ".join(near)]
+    return docs
+
+
+def test_chance_passages_do_not_chain_clusters(spark, monkeypatch):
+    """In a large corpus the counts do not tell rare shingles, and all nodes hang together by some."""
+    monkeypatch.setattr(ngram_join, "corpus_counts", lambda docs: np.zeros(1 << ngram_join.CELLS_LOG2, dtype=np.int64))
+    found, verified = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda docs, nodes, clusters, sets: found.append(
+        Counter(r["component"] for r in clusters.collect())) or verified(docs, nodes, clusters, sets))
+    docs = list(enumerate(chained_pairs(random.Random(1), 40)))
+    got = sorted(map(tuple, ngram_join.similar_documents(documents(spark, docs)).collect()))
+    assert got == brute_components(docs)
+    assert [r[3] for r in got] == [1] * 80
+    assert max(found[0].values()) == 2
+
+
+@pytest.mark.parametrize("classes,whole", [(1, 1 << 24), (2, 0), (1024, 0)])
+def test_shingles_of_many_classes(spark, monkeypatch, classes, whole):
+    """Links are the same whatever shingles are counted by class, and joined at once."""
+    monkeypatch.setattr(ngram_join, "CLASSES", classes)
+    monkeypatch.setattr(ngram_join, "WHOLE_ROWS", whole)
+    monkeypatch.setattr(ngram_join, "corpus_counts", lambda docs: np.zeros(1 << ngram_join.CELLS_LOG2, dtype=np.int64))
+    rnd = random.Random(classes)
+    passage = " ".join(f"p{i}" for i in range(90))
+    texts = near_copies(rnd, 50, 9) + chained_pairs(rnd, 15)
+    texts += [f"{passage} {' '.join(f'q{rnd.randrange(40)}' for _ in range(rnd.randint(1, 40)))}" for _ in range(50)]
+    docs = list(enumerate(texts))
+    got = sorted(map(tuple, ngram_join.similar_documents(documents(spark, docs)).collect()))
+    assert got == brute_components(docs)
+
+
+def test_shingle_tables_are_deleted(spark):
+    root = shared_root(spark).removeprefix("file:") + "/statmart"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    docs = list(enumerate(near_copies(random.Random(5), 20, 4)))
+    ngram_join.similar_documents(documents(spark, docs)).collect()
+    left = {n.rpartition("-")[0] for n in set(os.listdir(root)) - before}
+    assert left <= {"rows", "nodes", "members", "links", "linked", "candidates"}
+
+
+def test_discard_odd_folder_names(spark, tmp_path):
+    path = str(tmp_path / "a b%20ü#1")
+    spark.range(5).write.parquet(path)
+    (tmp_path / "other").mkdir()
+    discard(spark.read.parquet(path))
+    assert os.listdir(tmp_path) == ["other"]
+
+
 def test_repeated_ids_and_null_ids(spark):
     text = "a b c d e f g h i j"
     rows = [(5, text), (5, text), (5, "other words stand in this row"), (7, text), (None, text), (None, None)]
